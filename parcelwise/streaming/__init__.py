@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The behaviour this package reproduces is batch only -- partitions are
+planned, written and refreshed on request -- and has no streams, watermarks
+or streaming state, so no streaming operator is built here.
+"""
