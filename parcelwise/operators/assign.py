@@ -31,7 +31,8 @@ from ..functions.periods import (
     period_end,
     period_start,
 )
-from ..session import bounded_broadcast
+from ..session import BROADCAST_MAX_ROWS, bounded_broadcast
+from ..sources.control import RANGES_SCHEMA
 
 PARTITION_COLUMN = "partition_name"
 
@@ -70,11 +71,25 @@ def _month_buckets(ranges: DataFrame) -> DataFrame:
                                          month_index("range_end"))).alias("_m")))
 
 
-def _bucket_join(df: DataFrame, date_col, ranges: DataFrame, how: str,
+def _local_ranges(spark, rows: list, table: str | None) -> tuple[DataFrame, int]:
+    """Ranges given as driver-side rows: frame plus the exact bucket count."""
+    rows = [r for r in rows if table is None or r[0] == table]
+    n_buckets = sum((r[3].year * 12 + r[3].month) - (r[2].year * 12 + r[2].month) + 1
+                    for r in rows if r[2] is not None and r[3] is not None and r[2] <= r[3])
+    return spark.createDataFrame(rows, RANGES_SCHEMA), n_buckets
+
+
+def _bucket_join(df: DataFrame, date_col, ranges, how: str,
                  table: str | None) -> DataFrame:
-    if table is not None:
-        ranges = ranges.where(F.col("table_name") == table)
-    buckets = bounded_broadcast(_month_buckets(ranges))
+    if isinstance(ranges, DataFrame):
+        if table is not None:
+            ranges = ranges.where(F.col("table_name") == table)
+        buckets = bounded_broadcast(_month_buckets(ranges))
+    else:
+        frame, n_buckets = _local_ranges(df.sparkSession, list(ranges), table)
+        buckets = _month_buckets(frame)
+        if n_buckets <= BROADCAST_MAX_ROWS:
+            buckets = F.broadcast(buckets)
     d = day_of(date_col)
     keyed = df.withColumn("_d", d).withColumn("_dm", month_index(F.col("_d")))
     cond = ((keyed["_dm"] == buckets["_m"])
@@ -86,8 +101,9 @@ def assign_by_ranges(df: DataFrame, date_col, ranges: DataFrame, table: str | No
                      column: str = PARTITION_COLUMN, keep_unmatched: bool = True) -> DataFrame:
     """Add ``partition_name`` from arbitrary inclusive ``ranges``.
 
-    ``ranges`` has (table_name, partition_name, range_start, range_end);
-    pass ``table`` to use only that table's ranges.  Unmatched rows keep a
+    ``ranges`` has (table_name, partition_name, range_start, range_end), as
+    a DataFrame or as driver-side rows (then no job is needed to size the
+    broadcast); pass ``table`` to use only that table's ranges.  Unmatched rows keep a
     NULL name (or are dropped with ``keep_unmatched=False``).  A row inside
     two overlapping ranges appears once per range.
     """

@@ -1,11 +1,12 @@
 """Related-table closure: every vertex reachable from the seeds (W12 scope).
 
 Breadth-first frontier expansion expressed as DataFrame joins: each round
-joins the new frontier with the edges, keeps the vertices not reached yet,
-and checkpoints them (reliable checkpoint in ``spark.checkpoint.dir``) so
-lineage stays one round deep and a lost executor only recomputes one round.
-Rounds = distance from the seeds to the farthest reached vertex; cycles end
-because a vertex is only ever added once.
+joins the new frontier with the edges, keeps the vertices not reached yet
+(anti-join), and writes them as a reliable checkpoint in
+``spark.checkpoint.dir``, so lineage stays one round deep and a lost
+executor only recomputes one round.  Rounds = distance from the seeds to
+the farthest reached vertex; cycles end because a vertex is only ever
+added once.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
 
     reached = (seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
                .where(F.col(NODE).isNotNull()).distinct().checkpoint())
+    # Reached = the union of the checkpointed frontiers: each round adds one
+    # short branch to the plan instead of re-materialising everything reached.
+    layers = [reached]
     frontier, n_frontier = reached, reached.count()
     rounds = 0
     while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
@@ -46,8 +50,15 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
         side = F.broadcast(frontier) if n_frontier <= BROADCAST_MAX_ROWS else frontier
         step = (e.join(side, e["_src"] == side[NODE])
                 .select(F.col("_dst").alias(NODE)).distinct())
-        frontier = step.join(reached, NODE, "left_anti").checkpoint()
+        frontier = step.join(_union(layers), NODE, "left_anti").checkpoint()
         n_frontier = frontier.count()
         if n_frontier:
-            reached = reached.unionByName(frontier).checkpoint()
-    return reached
+            layers.append(frontier)
+    return _union(layers)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

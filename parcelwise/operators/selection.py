@@ -1,9 +1,9 @@
 """Which partitions to refresh: explode selections (W11) and resolve them.
 
 The refresh set is computed as joins: semi-joins keep what is available,
-anti-joins find what is not.  The few emptiness checks that decide between
-the documented branches are actions on small metadata frames; those frames
-are checkpointed first so each check does not recompute the catalog.
+anti-joins find what is not.  The checks that decide between the
+documented branches (unavailable tables, invalid names, whether any
+selected table is available) run together as one small job.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir
 from .closure import related_closure
 
 log = logging.getLogger("parcelwise.selection")
@@ -89,28 +88,38 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
     * ``mode='documented'``: selected tables refresh only their listed
       partitions, other tables in scope refresh all of theirs;
     * ``mode='selected_only'``: only the listed partitions.
+
+    The three checks run as one job over the two small inputs, which are
+    cached for the result that follows.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    shared_dir(partitions.sparkSession)
     available = (partitions.select(*KEYS).distinct()
-                 .join(scope.select("table_name"), "table_name", "left_semi")
-                 .checkpoint())
+                 .join(scope.select("table_name"), "table_name", "left_semi"))
     if selection is None:
         return available
-    selected = explode_selection(selection).checkpoint()
-    missing = unavailable_tables(selected, available)
-    if not missing.isEmpty():
-        log.warning("selected tables without available partitions: %s",
-                    [r.table_name for r in missing.limit(50).collect()])
-    chosen_tables = selected.join(available.select("table_name"), "table_name", "left_semi")
-    if chosen_tables.isEmpty():
+    available = available.cache()
+    selected = explode_selection(selection).cache()
+    chosen_tables = (selected.select("table_name").distinct()
+                     .join(available.select("table_name"), "table_name", "left_semi"))
+    diagnostics = (
+        unavailable_tables(selected, available).limit(50)
+        .select(F.lit("unavailable").alias("kind"), "table_name", F.lit(None).cast("string").alias("partition_name"))
+        .unionByName(invalid_selection(selected, available).limit(50)
+                     .select(F.lit("invalid").alias("kind"), "table_name", "partition_name"))
+        .unionByName(chosen_tables.limit(1)
+                     .select(F.lit("chosen").alias("kind"), "table_name", F.lit(None).cast("string").alias("partition_name")))
+        .collect())
+    missing = [r.table_name for r in diagnostics if r.kind == "unavailable"]
+    if missing:
+        log.warning("selected tables without available partitions: %s", missing)
+    if not any(r.kind == "chosen" for r in diagnostics):
         return available
-    bad = invalid_selection(selected, available)
-    if not bad.isEmpty():
-        raise ValueError(f"invalid partitions: {[r.asDict() for r in bad.limit(50).collect()]}")
+    bad = [(r.table_name, r.partition_name) for r in diagnostics if r.kind == "invalid"]
+    if bad:
+        raise ValueError(f"invalid partitions: {bad}")
     picked = available.join(selected, KEYS, "left_semi")
     if mode == "selected_only":
         return picked
-    untouched = available.join(chosen_tables.select("table_name"), "table_name", "left_anti")
+    untouched = available.join(chosen_tables, "table_name", "left_anti")
     return picked.unionByName(untouched)

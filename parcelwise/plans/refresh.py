@@ -73,8 +73,7 @@ def _rows_for(binding: TableBinding, table: str, ranges: list) -> DataFrame:
     parts = []
     if dated:
         span = _span_filter(binding.source, binding.date_col, dated)
-        parts.append(assign_by_ranges(span, binding.date_col,
-                                      spark.createDataFrame(dated, RANGES_SCHEMA),
+        parts.append(assign_by_ranges(span, binding.date_col, [tuple(r) for r in dated],
                                       keep_unmatched=False))
     if any(r.range_start is None for r in ranges):
         # The catch-all partition holds the whole source.
@@ -170,7 +169,7 @@ def refresh_report(spark: SparkSession, bindings: Mapping[str, TableBinding],
     for t, n in refresh_set:
         by_table.setdefault(t, []).append(n)
     for table, names in by_table.items():
-        data = read_table(spark, bindings[table].root)
+        data = read_table(spark, bindings[table].root, bindings[table].source.schema)
         if data is None:
             continue
         counts.append(data.where(F.col(PARTITION_COLUMN).isin(names))
@@ -183,18 +182,21 @@ def refresh_report(spark: SparkSession, bindings: Mapping[str, TableBinding],
         joined = wanted.join(all_counts, ["table_name", "partition_name"], "left")
     else:
         joined = wanted.withColumn("rows", F.lit(None).cast("bigint"))
-    return joined.select(
+    rows = joined.select(
         "table_name", "partition_name",
         F.when(F.col("error").isNull(), F.lit(COMPLETED)).otherwise(F.lit(FAILED)).alias("status"),
         F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
-        "error")
+        "error").collect()
+    # One row per refreshed partition: kept as a local frame so checking and
+    # returning it does not read the target again.
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def check_report(report: DataFrame) -> None:
     """Raise ``RuntimeError`` unless every partition completed."""
-    bad = report.where(F.col("status") != COMPLETED)
-    if not bad.isEmpty():
-        raise RuntimeError(f"refresh failed: {[r.asDict() for r in bad.limit(20).collect()]}")
+    bad = report.where(F.col("status") != COMPLETED).limit(20).collect()
+    if bad:
+        raise RuntimeError(f"refresh failed: {[r.asDict() for r in bad]}")
 
 
 def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBinding]) -> DataFrame:
