@@ -91,10 +91,17 @@ def _write_observed(rows: DataFrame, binding: TableBinding, names: list[str],
     obs = Observation()
     observed = rows.observe(obs, F.collect_set(PARTITION_COLUMN).alias("names"))
     write_partitions(observed, binding.root, rebalance=rebalance)
-    written = set(obs.get.get("names") or [])
-    for name in names:
-        if name not in written:
-            clear_directory(spark, partition_dir(binding.root, name), binding.source.schema)
+    # An empty metrics row means no task ran the observed plan: nothing written.
+    written = set(obs.get.get("names") or []) if obs._jo.getRow().length() else set()
+    emptied = [n for n in names if n not in written]
+    if not emptied:
+        return
+    # Emptied partitions are rare; confirm with an existence probe before
+    # deleting anything, so a lost metric can never wipe a partition.
+    if not rows.where(F.col(PARTITION_COLUMN).isin(emptied)).isEmpty():
+        raise RuntimeError(f"could not confirm that {emptied} have no source rows")
+    for name in emptied:
+        clear_directory(spark, partition_dir(binding.root, name), binding.source.schema)
 
 
 def refresh_transactional(binding: TableBinding, table: str, names: list[str],
