@@ -199,11 +199,15 @@ def refresh_report(spark: SparkSession, bindings: Mapping[str, TableBinding],
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def _raise_failed(rows) -> None:
+    bad = [r.asDict() for r in rows if r.status != COMPLETED]
+    if bad:
+        raise RuntimeError(f"refresh failed: {bad[:20]}")
+
+
 def check_report(report: DataFrame) -> None:
     """Raise ``RuntimeError`` unless every partition completed."""
-    bad = report.where(F.col("status") != COMPLETED).limit(20).collect()
-    if bad:
-        raise RuntimeError(f"refresh failed: {[r.asDict() for r in bad]}")
+    _raise_failed(report.where(F.col("status") != COMPLETED).limit(20).collect())
 
 
 def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBinding]) -> DataFrame:
@@ -227,7 +231,17 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
     if commit_mode not in COMMIT_MODES:
         raise ValueError(f"commit_mode must be one of {COMMIT_MODES}")
     available_tables = spark.createDataFrame([(t,) for t in bindings], "table_name string")
-    scope = refresh_scope(table_list(spark, tables_to_refresh), available_tables, edges, direction)
+    if edges is None and isinstance(tables_to_refresh, (str, list, tuple)):
+        # A name list given as text: check it against the bound tables here.
+        names = [t.strip() for t in (tables_to_refresh.split(",") if isinstance(tables_to_refresh, str)
+                                     else tables_to_refresh) if t and t.strip()]
+        unknown = sorted(set(names) - set(bindings))
+        if unknown:
+            raise ValueError(f"invalid table names: {unknown}")
+        scope = (spark.createDataFrame([(t,) for t in dict.fromkeys(names)], "table_name string")
+                 if names else available_tables)
+    else:
+        scope = refresh_scope(table_list(spark, tables_to_refresh), available_tables, edges, direction)
     partitions = available_partitions(spark, bindings)
     selection = read_selection(spark, partitions_to_refresh)
     chosen = resolve_refresh_set(scope, partitions, selection, mode)
@@ -249,5 +263,5 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
         failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance)
     report = refresh_report(spark, bindings, refresh_set, failures)
     if raise_on_failure:
-        check_report(report)
+        _raise_failed(report.collect())  # a local frame: no job on the target
     return report
