@@ -79,16 +79,16 @@ def _local_ranges(spark, rows: list, table: str | None) -> tuple[DataFrame, int]
     return spark.createDataFrame(rows, RANGES_SCHEMA), n_buckets
 
 
-def _bucket_join(df: DataFrame, date_col, ranges, how: str,
-                 table: str | None) -> DataFrame:
+def _bucket_join(df: DataFrame, date_col, ranges, how: str, table: str | None,
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     if isinstance(ranges, DataFrame):
         if table is not None:
             ranges = ranges.where(F.col("table_name") == table)
-        buckets = bounded_broadcast(_month_buckets(ranges))
+        buckets = bounded_broadcast(_month_buckets(ranges), max_rows)
     else:
         frame, n_buckets = _local_ranges(df.sparkSession, list(ranges), table)
         buckets = _month_buckets(frame)
-        if n_buckets <= BROADCAST_MAX_ROWS:
+        if n_buckets <= max_rows:
             buckets = F.broadcast(buckets)
     d = day_of(date_col)
     keyed = df.withColumn("_d", d).withColumn("_dm", month_index(F.col("_d")))
@@ -98,7 +98,8 @@ def _bucket_join(df: DataFrame, date_col, ranges, how: str,
 
 
 def assign_by_ranges(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None,
-                     column: str = PARTITION_COLUMN, keep_unmatched: bool = True) -> DataFrame:
+                     column: str = PARTITION_COLUMN, keep_unmatched: bool = True,
+                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``partition_name`` from arbitrary inclusive ``ranges``.
 
     ``ranges`` has (table_name, partition_name, range_start, range_end), as
@@ -107,7 +108,8 @@ def assign_by_ranges(df: DataFrame, date_col, ranges: DataFrame, table: str | No
     NULL name (or are dropped with ``keep_unmatched=False``).  A row inside
     two overlapping ranges appears once per range.
     """
-    joined = _bucket_join(df, date_col, ranges, "left" if keep_unmatched else "inner", table)
+    joined = _bucket_join(df, date_col, ranges, "left" if keep_unmatched else "inner", table,
+                          broadcast_max_rows)
     return joined.withColumn(column, F.col("_pn")).drop("_d", "_dm", "_pn", "_rs", "_re", "_m")
 
 
@@ -151,11 +153,12 @@ def partition_profile(df_tagged: DataFrame, date_col, table: str | None = None,
                     "min_date", "max_date"))
 
 
-def uncovered_rows(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None) -> DataFrame:
+def uncovered_rows(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None,
+                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows that fall in no range (NULL dates included).
 
     These are the rows that would be lost from view when the catch-all
     partition is retired.
     """
-    return (_bucket_join(df, date_col, ranges, "left_anti", table)
+    return (_bucket_join(df, date_col, ranges, "left_anti", table, broadcast_max_rows)
             .drop("_d", "_dm"))

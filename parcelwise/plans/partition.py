@@ -86,8 +86,8 @@ def materialize_partitions(source: DataFrame, root: str, pending: DataFrame,
     overlaps = overlapping_ranges(existing.unionByName(todo_df).distinct())
     if not overlaps.isEmpty():
         raise ValueError(f"overlapping ranges: {[r.asDict() for r in overlaps.limit(20).collect()]}")
-    tagged = assign_by_ranges(_span_filter(source, date_col, todo), date_col, todo_df,
-                              keep_unmatched=False)
+    tagged = assign_by_ranges(_span_filter(source, date_col, todo), date_col,
+                              [tuple(r) for r in todo], keep_unmatched=False)
     write_partitions(tagged, root, rebalance=rebalance)
     write_manifest(todo_df, root)
     return [r.partition_name for r in todo]

@@ -118,3 +118,17 @@ def test_assign_partition_is_narrow(spark, sf_small):
     li = _lineitem(spark, sf_small)
     plan = _plan(assign_partition(li, "lineitem", "l_shipdate", "YEAR", "19950101", AS_OF))
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_shuffle_path_beyond_broadcast_bound(spark, sf_small):
+    """With the broadcast bound at 0 the interval join shuffles; results are the same."""
+    li = _lineitem(spark, sf_small)
+    ranges = _ranges(spark, "lineitem", "19950215", "QUARTER")
+    key = ["l_orderkey", "l_linenumber", "partition_name"]
+    wide = assign_by_ranges(li, "l_shipdate", ranges, "lineitem", broadcast_max_rows=0)
+    assert "BroadcastHashJoin" not in _plan(wide) and "NestedLoop" not in _plan(wide)
+    narrow = assign_partition(li, "lineitem", "l_shipdate", "QUARTER", "19950215", AS_OF)
+    assert wide.select(key).exceptAll(narrow.select(key)).count() == 0
+    assert wide.count() == li.count()
+    lost = uncovered_rows(li, "l_shipdate", ranges, "lineitem", broadcast_max_rows=0).count()
+    assert lost == narrow.where(F.col("partition_name").isNull()).count()
