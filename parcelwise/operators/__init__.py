@@ -7,7 +7,7 @@ from .assign import (  # noqa: F401
     slice_partition,
     uncovered_rows,
 )
-from .closure import related_closure  # noqa: F401
+from .closure import component_labels, related_closure  # noqa: F401
 from .ranges import overlapping_ranges, period_ranges, refresh_ranges, selection_list  # noqa: F401
 from .selection import (  # noqa: F401
     explode_selection,

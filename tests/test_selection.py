@@ -91,3 +91,17 @@ def test_closure_stops_on_cycles_and_chains(spark):
     chain = edges_frame(spark, [(f"c{i}", f"c{i + 1}") for i in range(12)])
     out = related_closure(chain, spark.createDataFrame([("c5",)], "s string"), direction="out")
     assert sorted(r.table_name for r in out.collect()) == sorted(f"c{i}" for i in range(5, 13))
+
+
+def test_components_match_frontier(spark):
+    import random
+
+    rnd = random.Random(7)
+    pairs = [(f"n{rnd.randrange(60)}", f"n{rnd.randrange(60)}") for _ in range(45)]
+    pairs += [(f"k{i:03d}", f"k{i + 1:03d}") for i in range(40)]  # a long chain
+    g = edges_frame(spark, pairs)
+    for seed in ("n1", "n7", "k020", "lonely"):
+        seeds = spark.createDataFrame([(seed,)], "s string")
+        a = sorted(r.table_name for r in related_closure(g, seeds).collect())
+        b = sorted(r.table_name for r in related_closure(g, seeds, method="components").collect())
+        assert a == b, seed
