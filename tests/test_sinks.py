@@ -181,3 +181,24 @@ def test_run_derives_selection_from_spec(spark, sf_small):
     # Partitions are created from the binding's (full) source, then the two
     # derived ones refreshed: every partition ends with the full rows.
     assert _profile(spark, root) == _expected(orders)
+
+
+@pytest.mark.parametrize("mode", ["transactional", "partialBatch"])
+def test_names_with_special_characters(spark, mode):
+    """Table names are data: spaces and characters Spark escapes in directory
+    names must round-trip, including when an emptied partition is cleared."""
+    table = "Order Lines:EU/#1"
+    df = spark.createDataFrame([(i, D(2020, 1, 1) + dt.timedelta(days=i)) for i in range(0, 120, 3)],
+                               "id int, d date")
+    root = scratch_path(spark, "t-special")
+    spec = [{"table": table, "first_date": "20200101", "partition_by": "d", "interval": "MONTH"}]
+    partition_tables(spark, spec, {table: TableBinding(df, root, "d")}, D(2020, 4, 30))
+    got = _profile(spark, root)
+    assert got[f"{table}_20200101_20200131"] == 11 and len(got) == 4
+    emptied = df.where(F.month("d") != 2)
+    names = [f"{table}_20200201_20200229", f"{table}_20200301_20200331"]
+    sel = [{"table": table, "selected_partitions": ",".join(names)}]
+    report = refresh(spark, {table: TableBinding(emptied, root, "d")}, [table], sel, mode)
+    assert {r.partition_name: r.rows for r in report.collect()} == {names[0]: 0, names[1]: 11}
+    after = _profile(spark, root)
+    assert names[0] not in after and after[names[1]] == 11
