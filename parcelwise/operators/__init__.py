@@ -8,7 +8,13 @@ from .assign import (  # noqa: F401
     uncovered_rows,
 )
 from .closure import component_labels, related_closure  # noqa: F401
-from .ranges import overlapping_ranges, period_ranges, refresh_ranges, selection_list  # noqa: F401
+from .ranges import (  # noqa: F401
+    overlapping_ranges,
+    period_ranges,
+    refresh_ranges,
+    selection_json,
+    selection_list,
+)
 from .selection import (  # noqa: F401
     explode_selection,
     invalid_selection,

@@ -129,3 +129,15 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     return (ranges.where(F.col("range_start").isNotNull())
             .select(*RANGE_COLUMNS, nxt.alias("next_start"), nxt_name.alias("next_partition"))
             .where(F.col("next_start") <= F.col("range_end")))
+
+
+def selection_json(selection: DataFrame) -> DataFrame:
+    """One row, one column ``partitions_to_refresh``: the selection as JSON records.
+
+    ``[{"table": ..., "selected_partitions": "a,b"}, ...]`` ordered by table,
+    the hand-off form a refresh run accepts.  Built by Spark
+    (``to_json(array_sort(collect_list(struct)))``); the list has one entry
+    per table.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("table", "selected_partitions")))
+    return selection.agg(F.to_json(entries).alias("partitions_to_refresh"))

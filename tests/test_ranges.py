@@ -152,3 +152,27 @@ def test_selection_forms_blanks_and_duplicates(spark):
     assert read_selection(spark, "  ") is None
     assert sorted(r.table_name for r in table_list(spark, "Sales,, Customer ,Sales").collect()) == \
         ["Customer", "Sales"]
+
+
+def test_selection_json_round_trips(spark):
+    from parcelwise.operators.ranges import selection_json
+
+    spec = read_spec(spark, [
+        {"table": "Sales", "first_date": "20200101", "partition_by": "d", "interval": "QUARTER",
+         "refresh_from": "20200601", "number_of_intervals": "2"},
+        {"table": "Orders", "first_date": "20200101", "partition_by": "d", "interval": "YEAR",
+         "refresh_from": "TODAY", "number_of_intervals": "1"}])
+    text = selection_json(selection_list(refresh_ranges(spec, D(2021, 3, 1)))).first()[0]
+    assert text == ('[{"table":"Orders","selected_partitions":"Orders_20210101_20211231"},'
+                    '{"table":"Sales","selected_partitions":"Sales_20200101_20200331,Sales_20200401_20200630"}]')
+    back = rows(explode_selection(read_selection(spark, text)))
+    assert back == [("Orders", "Orders_20210101_20211231"), ("Sales", "Sales_20200101_20200331"),
+                    ("Sales", "Sales_20200401_20200630")]
+
+
+def test_columns_catalog_from_session_catalog(spark):
+    from parcelwise.sources.control import columns_catalog
+
+    spark.createDataFrame([(1, D(2020, 1, 1))], "id int, sold_on date").createOrReplaceTempView("sales_v")
+    got = sorted(tuple(r) for r in columns_catalog(spark, ["sales_v"]).collect())
+    assert got == [("sales_v", "id"), ("sales_v", "sold_on")]
