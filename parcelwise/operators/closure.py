@@ -1,12 +1,15 @@
 """Related-table closure: every vertex reachable from the seeds (W12 scope).
 
 Breadth-first frontier expansion expressed as DataFrame joins: each round
-joins the new frontier with the edges, keeps the vertices not reached yet
-(anti-join), and writes them as a reliable checkpoint in
-``spark.checkpoint.dir``, so lineage stays one round deep and a lost
+joins the new frontier with the edges and keeps the vertices not reached
+yet (anti-join).  Every round's frontier is materialised to cut lineage:
+a frontier proven to hold at most ``LOCAL_MAX_ROWS`` ids comes back as a
+local frame (a relation-level graph of tables is tiny), anything larger is
+written as a reliable checkpoint in ``spark.checkpoint.dir``, so a lost
 executor only recomputes one round.  Rounds = distance from the seeds to
 the farthest reached vertex; cycles end because a vertex is only ever
-added once.
+added once.  ``component_labels`` gives the undirected closure in a number
+of rounds that does not grow with the graph's depth.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from pyspark.sql import functions as F
 from ..session import BROADCAST_MAX_ROWS, shared_dir
 
 NODE = "table_name"
+# Frames up to this many vertex ids / edges are materialised as local rows.
+LOCAL_MAX_ROWS = 10_000
 
 
 def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
@@ -44,27 +49,47 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
                      F.col("dst").cast("string").alias("_dst"))
     if direction == "both":
         e = e.unionByName(e.select(F.col("_dst").alias("_src"), F.col("_src").alias("_dst")))
-    e = e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct().checkpoint()
-
-    reached = (seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
-               .where(F.col(NODE).isNotNull()).distinct().checkpoint())
-    # Reached = the union of the checkpointed frontiers: each round adds one
+    # Size the raw input first (a limited count stops early), so a large edge
+    # list goes straight to a checkpoint instead of being computed twice.
+    n_in = edges.limit(LOCAL_MAX_ROWS + 1).count()
+    e, _ = _materialize(e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct(),
+                        big=n_in * (2 if direction == "both" else 1) > LOCAL_MAX_ROWS)
+
+    reached, n_frontier = _materialize(
+        seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
+        .where(F.col(NODE).isNotNull()).distinct())
+    # Reached = the union of the materialised frontiers: each round adds one
     # short branch to the plan instead of re-materialising everything reached.
     layers = [reached]
-    frontier, n_frontier = reached, reached.count()
+    frontier = reached
     rounds = 0
     while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
         rounds += 1
         side = F.broadcast(frontier) if n_frontier <= BROADCAST_MAX_ROWS else frontier
         step = (e.join(side, e["_src"] == side[NODE])
                 .select(F.col("_dst").alias(NODE)).distinct())
-        frontier = step.join(_union(layers), NODE, "left_anti").checkpoint()
-        n_frontier = frontier.count()
+        frontier, n_frontier = _materialize(step.join(_union(layers), NODE, "left_anti"),
+                                            big=n_frontier > LOCAL_MAX_ROWS)
         if n_frontier:
             layers.append(frontier)
     return _union(layers)
 
 
+def _materialize(df: DataFrame, big: bool = False) -> tuple[DataFrame, int]:
+    """Cut ``df``'s lineage; returns (frame, row count).
+
+    At most ``LOCAL_MAX_ROWS`` rows (checked by fetching one more than that)
+    come back as a local frame; larger results, or ones expected to be large
+    (``big``), are written as a reliable checkpoint.
+    """
+    if not big:
+        rows = df.limit(LOCAL_MAX_ROWS + 1).collect()
+        if len(rows) <= LOCAL_MAX_ROWS:
+            return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+    ck = df.checkpoint()
+    return ck, ck.count()
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
