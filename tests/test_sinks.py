@@ -202,3 +202,25 @@ def test_names_with_special_characters(spark, mode):
     assert {r.partition_name: r.rows for r in report.collect()} == {names[0]: 0, names[1]: 11}
     after = _profile(spark, root)
     assert names[0] not in after and after[names[1]] == 11
+
+
+def test_hot_partition_is_split_across_writers(spark):
+    """All of ``events`` falls in one month: the rebalanced write must not put
+    that hot partition in a single task.  With a small advisory size AQE
+    splits it, so the partition gets several files."""
+    # AQE splits a hot partition by ranges of map outputs; the test file is a
+    # single small Parquet file (one map task), so spread it over 8 map tasks
+    # as a large scan would be.
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet").repartition(8)
+    root = scratch_path(spark, "t-hot")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        spec = [{"table": "events", "first_date": "20240101", "partition_by": "ts", "interval": "MONTH"}]
+        partition_tables(spark, spec, {"events": TableBinding(events, root, "ts")}, D(2024, 1, 31))
+    finally:
+        spark.conf.set(key, old)
+    files = _files(root, "events_20240101_20240131")
+    assert len(files) > 1
+    assert _profile(spark, root) == {"events_20240101_20240131": events.count()}
