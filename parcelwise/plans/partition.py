@@ -10,6 +10,7 @@ partitions.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -46,14 +47,33 @@ class TableBinding:
     date_col: str | None = None
 
 
+def merged_intervals(ranges: list) -> list[tuple]:
+    """Inclusive (start, end) day intervals covering ``ranges``, adjacent ones merged."""
+    spans = sorted((r.range_start, r.range_end) for r in ranges)
+    merged: list[list] = []
+    for start, end in spans:
+        if merged and start <= merged[-1][1] + dt.timedelta(days=1):
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    return [tuple(m) for m in merged]
+
+
 def _span_filter(df: DataFrame, date_col: str, ranges: list) -> DataFrame:
-    """Literal date bounds spanning ``ranges``: lets Parquet skip everything else."""
-    starts = [r.range_start for r in ranges if r.range_start is not None]
-    ends = [r.range_end for r in ranges if r.range_end is not None]
-    if not starts or len(starts) < len(ranges):
+    """Literal date predicate covering exactly ``ranges``: lets Parquet skip the rest.
+
+    Contiguous ranges collapse into one interval; scattered selections give
+    an OR of intervals, so refreshing the first and the last period does not
+    read everything in between.
+    """
+    if not ranges or any(r.range_start is None or r.range_end is None for r in ranges):
         return df
     c = F.col(date_col)
-    return df.where((c >= as_date(min(starts))) & (c < F.date_add(as_date(max(ends)), 1)))
+    cond = None
+    for start, end in merged_intervals(ranges):
+        term = (c >= as_date(start)) & (c < F.date_add(as_date(end), 1))
+        cond = term if cond is None else cond | term
+    return df.where(cond)
 
 
 def write_default_partition(source: DataFrame, root: str, table: str) -> None:

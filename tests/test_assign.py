@@ -132,3 +132,22 @@ def test_shuffle_path_beyond_broadcast_bound(spark, sf_small):
     assert wide.count() == li.count()
     lost = uncovered_rows(li, "l_shipdate", ranges, "lineitem", broadcast_max_rows=0).count()
     assert lost == narrow.where(F.col("partition_name").isNull()).count()
+
+
+def test_scattered_refresh_reads_only_selected_dates(spark, sf_small):
+    from pyspark.sql import Row
+
+    from parcelwise.plans.partition import _span_filter, merged_intervals
+
+    R = Row("range_start", "range_end")
+    ranges = [R(D(1995, 1, 1), D(1995, 3, 31)), R(D(1995, 4, 1), D(1995, 6, 30)),
+              R(D(2001, 7, 1), D(2001, 9, 30))]
+    assert merged_intervals(ranges) == [(D(1995, 1, 1), D(1995, 6, 30)), (D(2001, 7, 1), D(2001, 9, 30))]
+    li = _lineitem(spark, sf_small)
+    sliced = _span_filter(li, "l_shipdate", ranges)
+    pushed = _plan(sliced)
+    assert ("PushedFilters: [Or(And(GreaterThanOrEqual(l_shipdate,1995-01-01T00:00),"
+            "LessThan(l_shipdate,1995-07-01T00:00))") in pushed
+    d = F.to_date("l_shipdate")
+    want = li.where(d.between(D(1995, 1, 1), D(1995, 6, 30)) | d.between(D(2001, 7, 1), D(2001, 9, 30)))
+    assert sliced.count() == want.count() > 0
