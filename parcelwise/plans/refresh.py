@@ -5,7 +5,7 @@ root: files are staged and only published when a job commits, so a failed
 job leaves the published partitions as they were.
 
 * ``transactional`` (W14): one job per table covers all of that table's
-  selected partitions.  The source is read between literal bounds (the
+  selected partitions (up to ``max_parallelism`` tables at once).  The source is read between literal bounds (the
   span of the selected ranges), so Parquet skips the rest, rows are tagged
   with the bucketed interval join, and the job publishes everything or
   nothing.
@@ -249,16 +249,23 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
                    for r in chosen.orderBy("table_name", "partition_name").collect()]
     failures: dict = {}
     if commit_mode == "transactional":
+        if max_parallelism < 1:
+            raise ValueError("max_parallelism must be >= 1")
         by_table: dict[str, list[str]] = {}
         for t, n in refresh_set:
             by_table.setdefault(t, []).append(n)
-        for table, names in by_table.items():
-            try:
-                refresh_transactional(bindings[table], table, names, rebalance=rebalance)
-            except Exception as exc:  # all-or-nothing per table
-                log.error("refresh of %s failed: %s", table, exc)
-                for n in names:
-                    failures[(table, n)] = f"{type(exc).__name__}: {exc}"
+        # One job per table, up to max_parallelism tables at once; each table
+        # publishes all of its selected partitions or none.
+        with ThreadPoolExecutor(max_workers=max_parallelism) as pool:
+            futures = {table: pool.submit(refresh_transactional, bindings[table], table, names,
+                                          rebalance)
+                       for table, names in by_table.items()}
+            for table, fut in futures.items():
+                exc = fut.exception()
+                if exc is not None:
+                    log.error("refresh of %s failed: %s", table, exc)
+                    for n in by_table[table]:
+                        failures[(table, n)] = f"{type(exc).__name__}: {exc}"
     else:
         failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance)
     report = refresh_report(spark, bindings, refresh_set, failures)

@@ -224,3 +224,27 @@ def test_hot_partition_is_split_across_writers(spark):
     files = _files(root, "events_20240101_20240131")
     assert len(files) > 1
     assert _profile(spark, root) == {"events_20240101_20240131": events.count()}
+
+
+def test_transactional_tables_in_parallel_fail_independently(spark, sf_small):
+    orders = _orders(spark, sf_small)
+    good_root = _stale_target(spark, orders)
+    bad_root = scratch_path(spark, "t-copy")
+    copy_spec = [dict(SPEC[0], table="orders_copy")]
+    stale = orders.where(F.col("o_orderstatus") == "O")
+    partition_tables(spark, copy_spec, {"orders_copy": TableBinding(stale, bad_root, "o_orderdate")}, AS_OF)
+    before_bad = _profile(spark, bad_root)
+    bindings = {"orders": TableBinding(orders, good_root, "o_orderdate"),
+                "orders_copy": TableBinding(_failing(orders, 1999), bad_root, "o_orderdate")}
+    sel = [{"table": "orders", "selected_partitions": "orders_19990101_19991231"},
+           {"table": "orders_copy", "selected_partitions": "orders_copy_19990101_19991231,"
+                                                           "orders_copy_20000101_20001231"}]
+    report = refresh(spark, bindings, "orders,orders_copy", sel, "transactional",
+                     max_parallelism=2, raise_on_failure=False, mode="selected_only")
+    status = {(r.table_name, r.partition_name): r.status for r in report.collect()}
+    assert status == {("orders", "orders_19990101_19991231"): "Completed",
+                      ("orders_copy", "orders_copy_19990101_19991231"): "Failed",
+                      ("orders_copy", "orders_copy_20000101_20001231"): "Failed"}
+    assert _profile(spark, bad_root) == before_bad  # nothing of the failed table published
+    assert _profile(spark, good_root)["orders_19990101_19991231"] == \
+        _expected(orders)["orders_19990101_19991231"]
