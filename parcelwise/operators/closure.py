@@ -103,14 +103,16 @@ def component_labels(edges: DataFrame) -> DataFrame:
     Large-star / small-star alternation (Kiveris et al., 2014): each round is
     a grouped ``min`` plus a join, and the number of rounds grows with the
     logarithm of the component size rather than with its depth, so long
-    chains do not need one round per hop.  Each round's edge set is written
-    as a reliable checkpoint.  Vertices only appear through edges.
+    chains do not need one round per hop.  Each round's edge set is materialised
+    the same way as frontiers (local when small, else a reliable checkpoint).
+    Vertices only appear through edges.
     """
     spark = edges.sparkSession
     shared_dir(spark)
     base = edges.select(F.col("src").cast("string").alias("u"), F.col("dst").cast("string").alias("v"))
-    e = _symmetric(base.where(F.col("u").isNotNull() & F.col("v").isNotNull())).checkpoint()
-    n_edges = e.count()
+    big = 2 * edges.limit(LOCAL_MAX_ROWS + 1).count() > LOCAL_MAX_ROWS
+    e, n_edges = _materialize(_symmetric(base.where(F.col("u").isNotNull() & F.col("v").isNotNull())),
+                              big=big)
     while True:
         # Large star: attach every larger neighbour of u to the minimum of u's closed neighbourhood.
         m_all = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -122,8 +124,7 @@ def component_labels(edges: DataFrame) -> DataFrame:
         m_low = lower.groupBy("u").agg(F.min("v").alias("m"))
         small = (lower.join(m_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(m_low.select("u", F.col("m").alias("v"))))
-        new = _symmetric(small).checkpoint()
-        n_new = new.count()
+        new, n_new = _materialize(_symmetric(small), big=n_edges > LOCAL_MAX_ROWS)
         if n_new == n_edges and new.exceptAll(e).isEmpty():
             break
         e, n_edges = new, n_new

@@ -179,6 +179,40 @@ SELECT table_name, {_name('table_name', 'greatest(p, fd)', _pend('p', 'k'))} AS
 FROM p
 """
 
+_RELATED_CLOSURE = """
+        WITH RECURSIVE e0 AS (
+          SELECT 'nation:' || CAST(n_nationkey AS VARCHAR) AS src,
+                 'region:' || CAST(n_regionkey AS VARCHAR) AS dst FROM nation
+          UNION ALL SELECT 'customer:' || CAST(c_custkey AS VARCHAR),
+                           'nation:' || CAST(c_nationkey AS VARCHAR) FROM customer
+          UNION ALL SELECT 'supplier:' || CAST(s_suppkey AS VARCHAR),
+                           'nation:' || CAST(s_nationkey AS VARCHAR) FROM supplier),
+        e AS (SELECT src, dst FROM e0 UNION SELECT dst, src FROM e0),
+        reach(table_name) AS (
+          SELECT 'region:' || CAST(r_regionkey AS VARCHAR) FROM region WHERE r_regionkey = 0
+          UNION SELECT e.dst FROM reach JOIN e ON e.src = reach.table_name)
+        SELECT table_name FROM reach"""
+
+_OVERLAPS = f"""
+WITH s AS (
+  SELECT 3 AS k, CAST(min(o_orderdate) AS DATE) AS fd, {_trunc('quarter', 'min(o_orderdate)')} AS f,
+         {_trunc('quarter', 'max(o_orderdate)')} AS l FROM orders
+  UNION ALL
+  SELECT 1, CAST(min(o_orderdate) AS DATE), {_trunc('month', 'min(o_orderdate)')},
+         {_trunc('month', 'max(o_orderdate)')} FROM orders
+), p AS (
+  SELECT k, fd, CAST(unnest(generate_series(CAST(f AS TIMESTAMP), CAST(l AS TIMESTAMP), to_months(k))) AS DATE) AS p
+  FROM s
+), r AS (
+  SELECT 'orders' AS table_name, {_name("'orders'", 'greatest(p, fd)', _pend('p', 'k'))} AS partition_name,
+         greatest(p, fd) AS range_start, {_pend('p', 'k')} AS range_end FROM p
+), w AS (
+  SELECT *, lead(range_start) OVER o AS next_start, lead(partition_name) OVER o AS next_partition
+  FROM r WINDOW o AS (PARTITION BY table_name ORDER BY range_start, range_end, partition_name)
+)
+SELECT * FROM w WHERE next_start <= range_end
+"""
+
 ORACLE_SQL = {
     "orders_quarter_profile": f"""
         WITH r AS ({ORDERS_RANGES}), prof AS ({_profile('orders', ORDERS_TAGGED)})
@@ -216,19 +250,14 @@ ORACLE_SQL = {
                AS selected_partitions
         FROM ({REFRESH_RANGES}) GROUP BY table_name""",
     "explode_selection": f"SELECT DISTINCT table_name, partition_name FROM ({REFRESH_RANGES})",
-    "related_closure": """
-        WITH RECURSIVE e0 AS (
-          SELECT 'nation:' || CAST(n_nationkey AS VARCHAR) AS src,
-                 'region:' || CAST(n_regionkey AS VARCHAR) AS dst FROM nation
-          UNION ALL SELECT 'customer:' || CAST(c_custkey AS VARCHAR),
-                           'nation:' || CAST(c_nationkey AS VARCHAR) FROM customer
-          UNION ALL SELECT 'supplier:' || CAST(s_suppkey AS VARCHAR),
-                           'nation:' || CAST(s_nationkey AS VARCHAR) FROM supplier),
-        e AS (SELECT src, dst FROM e0 UNION SELECT dst, src FROM e0),
-        reach(table_name) AS (
-          SELECT 'region:' || CAST(r_regionkey AS VARCHAR) FROM region WHERE r_regionkey = 0
-          UNION SELECT e.dst FROM reach JOIN e ON e.src = reach.table_name)
-        SELECT table_name FROM reach""",
+    "related_closure": _RELATED_CLOSURE,
+    "related_closure_components": _RELATED_CLOSURE,
+    "overlapping_ranges_orders": _OVERLAPS,
+    "selection_json": f"""
+        SELECT CAST(to_json(list({{'table': table_name, 'selected_partitions': sp}} ORDER BY table_name))
+                    AS VARCHAR) AS partitions_to_refresh
+        FROM (SELECT table_name, string_agg(partition_name, ',' ORDER BY range_start) AS sp
+              FROM ({REFRESH_RANGES}) GROUP BY table_name)""",
     "refresh_set_documented": _refresh_set("documented"),
     "refresh_set_selected_only": _refresh_set("selected_only"),
     "materialize_readback": _profile("orders", ORDERS_TAGGED),

@@ -26,7 +26,13 @@ from .operators.assign import (
     uncovered_rows,
 )
 from .operators.closure import related_closure
-from .operators.ranges import period_ranges, refresh_ranges, selection_list
+from .operators.ranges import (
+    overlapping_ranges,
+    period_ranges,
+    refresh_ranges,
+    selection_json,
+    selection_list,
+)
 from .operators.selection import explode_selection, refresh_scope, resolve_refresh_set
 from .operators.validate import invalid_specs, pending_partitions
 from .plans.partition import TableBinding, partition_tables, write_default_partition
@@ -306,6 +312,26 @@ def q_refresh_report(spark, sf_dir):
     return report
 
 
+def q_related_closure_components(spark, sf_dir):
+    """Same closure as ``related_closure``, by connected-component labels."""
+    seeds = (_t(spark, sf_dir, "region").where(F.col("r_regionkey") == 0)
+             .select(F.concat(F.lit("region:"), F.col("r_regionkey").cast("string")).alias("v")))
+    return related_closure(_row_edges(spark, sf_dir), seeds, method="components")
+
+
+def q_overlapping_ranges_orders(spark, sf_dir):
+    """Quarterly and monthly ranges over the orders extent side by side (as
+    after an interval change): the overlaps a writer refuses."""
+    o = _t(spark, sf_dir, "orders")
+    both = (_spec_row(o, "orders", "o_orderdate", "QUARTER")
+            .unionByName(_spec_row(o, "orders", "o_orderdate", "MONTH")))
+    return overlapping_ranges(period_ranges(both))
+
+
+def q_selection_json(spark, sf_dir):
+    return selection_json(selection_list(refresh_ranges(_refresh_spec(spark, sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_quarter_profile": q_orders_quarter_profile,
     "invalid_specs": q_invalid_specs,
@@ -326,4 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_transactional_readback": q_refresh_transactional_readback,
     "refresh_partial_readback": q_refresh_partial_readback,
     "refresh_report": q_refresh_report,
+    "related_closure_components": q_related_closure_components,
+    "overlapping_ranges_orders": q_overlapping_ranges_orders,
+    "selection_json": q_selection_json,
 }
