@@ -45,6 +45,7 @@ from .partition import TableBinding, _span_filter
 
 log = logging.getLogger("parcelwise.refresh")
 
+# The commit modes a refresh accepts.
 COMMIT_MODES = ("transactional", "partialBatch")
 REPORT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),

@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="parcelwise-tests")
+    # Up to 4 attempts per task, as on a cluster, so task-loss tests can retry.
+    s = build_session(master="local[*,4]", shuffle_partitions=8, app_name="parcelwise-tests")
     yield s
     s.stop()
 
