@@ -11,7 +11,6 @@ import io
 import sys
 
 sys.path.insert(0, ".")
-from parcelwise.functions.periods import in_day_range  # noqa: E402
 from parcelwise.operators.assign import (  # noqa: E402
     assign_by_ranges,
     assign_partition,
@@ -20,6 +19,7 @@ from parcelwise.operators.assign import (  # noqa: E402
     uncovered_rows,
 )
 from parcelwise.operators.ranges import period_ranges  # noqa: E402
+from parcelwise.plans.partition import _span_filter  # noqa: E402
 from parcelwise.session import build_session  # noqa: E402
 from parcelwise.sources.control import read_spec  # noqa: E402
 
@@ -40,6 +40,8 @@ def main():
     ranges = period_ranges(read_spec(spark, [{"table": "lineitem", "first_date": "19950215",
                                               "partition_by": "l_shipdate", "interval": "QUARTER"}]), AS_OF)
     tagged = assign_partition(li, "lineitem", "l_shipdate", "QUARTER", "19950215", AS_OF)
+    all_ranges = ranges.orderBy("range_start").collect()
+    picked = [all_ranges[0], all_ranges[-1]]
     cases = [
         ("W3 assign_partition (narrow, no exchange)", tagged.select("l_orderkey", "partition_name")),
         ("W4 assign_by_ranges (month-bucket broadcast hash join)",
@@ -49,10 +51,10 @@ def main():
         ("W6 partition_profile (partial + final aggregate)", partition_profile(tagged, "l_shipdate", "lineitem")),
         ("W8 uncovered_rows (broadcast left anti join)",
          uncovered_rows(li, "l_shipdate", ranges, "lineitem").select("l_orderkey")),
-        ("W14 refresh input: literal span + tagging + rebalance",
-         assign_by_ranges(li.where(in_day_range("l_shipdate", "2000-10-01", "2001-09-30")), "l_shipdate",
-                          [r for r in ranges.collect() if r.range_start >= dt.date(2000, 10, 1)],
-                          keep_unmatched=False).hint("rebalance", "partition_name")),
+        ("W14 refresh input: first and last quarter selected -> OR of two intervals pushed, "
+         "tagging join, rebalance",
+         assign_by_ranges(_span_filter(li, "l_shipdate", picked), "l_shipdate",
+                          [tuple(r) for r in picked], keep_unmatched=False).hint("rebalance", "partition_name")),
     ]
     out = ["# Physical plans (generated by tools/plans.py at sf0.01, AQE on)", "",
            "Checked properties: no nested-loop join, filters in `PushedFilters`, "
