@@ -106,10 +106,14 @@ def _write_observed(rows: DataFrame, binding: TableBinding, names: list[str],
 
 
 def refresh_transactional(binding: TableBinding, table: str, names: list[str],
-                          rebalance: bool = True) -> None:
-    """Recompute the selected partitions of one table in a single job."""
+                          rebalance: bool = True, ranges: list | None = None) -> None:
+    """Recompute the selected partitions of one table in a single job.
+
+    ``ranges`` (manifest rows of ``names``) may be passed when already known.
+    """
     spark = binding.source.sparkSession
-    ranges = _selected_ranges(spark, binding.root, names)
+    if ranges is None:
+        ranges = _selected_ranges(spark, binding.root, names)
     known = {r.partition_name for r in ranges}
     unknown = [n for n in names if n not in known]
     if unknown:
@@ -120,10 +124,13 @@ def refresh_transactional(binding: TableBinding, table: str, names: list[str],
 
 
 def refresh_partial_batch(bindings: Mapping[str, TableBinding], refresh_set: list[tuple[str, str]],
-                          max_parallelism: int = 4, rebalance: bool = True) -> dict:
+                          max_parallelism: int = 4, rebalance: bool = True,
+                          known_ranges: Mapping[str, list] | None = None) -> dict:
     """One job per (table, partition), ``max_parallelism`` at a time.
 
-    Returns {(table, partition): error text} for the failed ones.
+    ``known_ranges`` maps a table to the manifest rows of its selected
+    partitions when already known.  Returns {(table, partition): error text}
+    for the failed ones.
     """
     if max_parallelism < 1:
         raise ValueError("max_parallelism must be >= 1")
@@ -134,7 +141,10 @@ def refresh_partial_batch(bindings: Mapping[str, TableBinding], refresh_set: lis
     for table, names in by_table.items():
         binding = bindings[table]
         spark = binding.source.sparkSession
-        ranges = {r.partition_name: r for r in _selected_ranges(spark, binding.root, names)}
+        rows = (known_ranges or {}).get(table)
+        if rows is None:
+            rows = _selected_ranges(spark, binding.root, names)
+        ranges = {r.partition_name: r for r in rows}
         for name in names:
             work.append((table, name, binding, ranges.get(name)))
 
@@ -246,8 +256,14 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
     partitions = available_partitions(spark, bindings)
     selection = read_selection(spark, partitions_to_refresh)
     chosen = resolve_refresh_set(scope, partitions, selection, mode)
-    refresh_set = [(r.table_name, r.partition_name)
-                   for r in chosen.orderBy("table_name", "partition_name").collect()]
+    # The refresh set with its manifest ranges, in one small collect.
+    chosen_rows = (chosen.join(partitions, ["table_name", "partition_name"])
+                   .select(*RANGES_SCHEMA.names).distinct()
+                   .orderBy("table_name", "partition_name").collect())
+    refresh_set = [(r.table_name, r.partition_name) for r in chosen_rows]
+    known: dict[str, list] = {}
+    for r in chosen_rows:
+        known.setdefault(r.table_name, []).append(r)
     failures: dict = {}
     if commit_mode == "transactional":
         if max_parallelism < 1:
@@ -259,7 +275,7 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
         # publishes all of its selected partitions or none.
         with ThreadPoolExecutor(max_workers=max_parallelism) as pool:
             futures = {table: pool.submit(refresh_transactional, bindings[table], table, names,
-                                          rebalance)
+                                          rebalance, known[table])
                        for table, names in by_table.items()}
             for table, fut in futures.items():
                 exc = fut.exception()
@@ -268,7 +284,7 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
                     for n in by_table[table]:
                         failures[(table, n)] = f"{type(exc).__name__}: {exc}"
     else:
-        failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance)
+        failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance, known)
     report = refresh_report(spark, bindings, refresh_set, failures)
     if raise_on_failure:
         _raise_failed(report.collect())  # a local frame: no job on the target
