@@ -273,3 +273,18 @@ def test_refresh_survives_a_lost_task(spark, sf_small, mode):
     assert {r.status for r in report.collect()} == {"Completed"}
     want = _expected(orders, (F.col("o_orderstatus") == "O") | F.year("o_orderdate").isin(1999, 2000))
     assert _profile(spark, root) == want
+
+
+def test_command_line_partitions_then_refreshes(spark, sf_small, capsys):
+    import json as _json
+
+    from parcelwise.__main__ import main
+
+    root = scratch_path(spark, "t-cli")
+    spec = _json.dumps([dict(SPEC[0], refresh_from="TODAY", number_of_intervals="2")])
+    assert main(["--table", f"orders={sf_small}/orders.parquet,{root}",
+                 "--partitions-config", spec, "--as-of", "2001-08-01"], spark=spark) == 0
+    lines = [_json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert sorted(x["partition_name"] for x in lines) == ["orders_20000101_20001231", "orders_20010101_20011231"]
+    assert {x["status"] for x in lines} == {"Completed"}
+    assert _profile(spark, root) == _expected(_orders(spark, sf_small))
