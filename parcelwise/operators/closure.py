@@ -3,7 +3,7 @@
 Breadth-first frontier expansion expressed as DataFrame joins: each round
 joins the new frontier with the edges and keeps the vertices not reached
 yet (anti-join).  Every round's frontier is materialised to cut lineage:
-a frontier proven to hold at most ``LOCAL_MAX_ROWS`` ids comes back as a
+a frontier proven to hold at most ``session.LOCAL_MAX_ROWS`` ids comes back as a
 local frame (a relation-level graph of tables is tiny), anything larger is
 written as a reliable checkpoint in ``spark.checkpoint.dir``, so a lost
 executor only recomputes one round.  Rounds = distance from the seeds to
@@ -17,11 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
 from ..session import BROADCAST_MAX_ROWS, shared_dir
 
 NODE = "table_name"
-# Frames up to this many vertex ids / edges are materialised as local rows.
-LOCAL_MAX_ROWS = 10_000
 
 
 def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
@@ -51,11 +50,12 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
         e = e.unionByName(e.select(F.col("_dst").alias("_src"), F.col("_src").alias("_dst")))
     # Size the raw input first (a limited count stops early), so a large edge
     # list goes straight to a checkpoint instead of being computed twice.
-    n_in = edges.limit(LOCAL_MAX_ROWS + 1).count()
-    e, _ = _materialize(e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct(),
-                        big=n_in * (2 if direction == "both" else 1) > LOCAL_MAX_ROWS)
+    n_in = edges.limit(session.LOCAL_MAX_ROWS + 1).count()
+    e = e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct()
+    e, _ = session.materialize_bounded(
+        e, big=n_in * (2 if direction == "both" else 1) > session.LOCAL_MAX_ROWS)
 
-    reached, n_frontier = _materialize(
+    reached, n_frontier = session.materialize_bounded(
         seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
         .where(F.col(NODE).isNotNull()).distinct())
     # Reached = the union of the materialised frontiers: each round adds one
@@ -68,28 +68,13 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
         side = F.broadcast(frontier) if n_frontier <= BROADCAST_MAX_ROWS else frontier
         step = (e.join(side, e["_src"] == side[NODE])
                 .select(F.col("_dst").alias(NODE)).distinct())
-        frontier, n_frontier = _materialize(step.join(_union(layers), NODE, "left_anti"),
-                                            big=n_frontier > LOCAL_MAX_ROWS)
+        frontier, n_frontier = session.materialize_bounded(
+            step.join(_union(layers), NODE, "left_anti"), big=n_frontier > session.LOCAL_MAX_ROWS)
         if n_frontier:
             layers.append(frontier)
     return _union(layers)
 
 
-def _materialize(df: DataFrame, big: bool = False) -> tuple[DataFrame, int]:
-    """Cut ``df``'s lineage; returns (frame, row count).
-
-    At most ``LOCAL_MAX_ROWS`` rows (checked by fetching one more than that)
-    come back as a local frame; larger results, or ones expected to be large
-    (``big``), are written as a reliable checkpoint.
-    """
-    if not big:
-        rows = df.limit(LOCAL_MAX_ROWS + 1).collect()
-        if len(rows) <= LOCAL_MAX_ROWS:
-            return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
-    ck = df.checkpoint()
-    return ck, ck.count()
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -110,9 +95,9 @@ def component_labels(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     shared_dir(spark)
     base = edges.select(F.col("src").cast("string").alias("u"), F.col("dst").cast("string").alias("v"))
-    big = 2 * edges.limit(LOCAL_MAX_ROWS + 1).count() > LOCAL_MAX_ROWS
-    e, n_edges = _materialize(_symmetric(base.where(F.col("u").isNotNull() & F.col("v").isNotNull())),
-                              big=big)
+    big = 2 * edges.limit(session.LOCAL_MAX_ROWS + 1).count() > session.LOCAL_MAX_ROWS
+    e, n_edges = session.materialize_bounded(
+        _symmetric(base.where(F.col("u").isNotNull() & F.col("v").isNotNull())), big=big)
     while True:
         # Large star: attach every larger neighbour of u to the minimum of u's closed neighbourhood.
         m_all = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -124,7 +109,7 @@ def component_labels(edges: DataFrame) -> DataFrame:
         m_low = lower.groupBy("u").agg(F.min("v").alias("m"))
         small = (lower.join(m_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(m_low.select("u", F.col("m").alias("v"))))
-        new, n_new = _materialize(_symmetric(small), big=n_edges > LOCAL_MAX_ROWS)
+        new, n_new = session.materialize_bounded(_symmetric(small), big=n_edges > session.LOCAL_MAX_ROWS)
         if n_new == n_edges and new.exceptAll(e).isEmpty():
             break
         e, n_edges = new, n_new

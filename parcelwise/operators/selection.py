@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize_bounded
 from .closure import related_closure
 
 log = logging.getLogger("parcelwise.selection")
@@ -89,8 +90,9 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
       partitions, other tables in scope refresh all of theirs;
     * ``mode='selected_only'``: only the listed partitions.
 
-    The three checks run as one job over the two small inputs, which are
-    cached for the result that follows.
+    The two inputs are materialised first (local rows when small, else a
+    checkpoint), so the three checks run as one job over them and the result
+    does not recompute the catalog.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -98,8 +100,8 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
                  .join(scope.select("table_name"), "table_name", "left_semi"))
     if selection is None:
         return available
-    available = available.cache()
-    selected = explode_selection(selection).cache()
+    available, _ = materialize_bounded(available)
+    selected, _ = materialize_bounded(explode_selection(selection))
     chosen_tables = (selected.select("table_name").distinct()
                      .join(available.select("table_name"), "table_name", "left_semi"))
     diagnostics = (

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # passed to ``bounded_broadcast`` is counted against this before it is
 # broadcast; beyond it the join is left to a shuffle (with AQE skew handling).
 BROADCAST_MAX_ROWS = 2_000_000
+# Metadata frames up to this many rows are materialised as local rows (which
+# also cuts their lineage); larger ones are written as reliable checkpoints.
+LOCAL_MAX_ROWS = 10_000
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -84,3 +87,19 @@ def local_path(path: str) -> str:
 
 def path_exists_local(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+def materialize_bounded(df: DataFrame, big: bool = False) -> tuple[DataFrame, int]:
+    """Cut ``df``'s lineage; returns (frame, row count).
+
+    At most ``LOCAL_MAX_ROWS`` rows (checked by fetching one more than that)
+    come back as a local frame; larger results, or ones expected to be large
+    (``big``), are written as a reliable checkpoint in the shared folder.
+    """
+    if not big:
+        rows = df.limit(LOCAL_MAX_ROWS + 1).collect()
+        if len(rows) <= LOCAL_MAX_ROWS:
+            return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+    shared_dir(df.sparkSession)
+    ck = df.checkpoint()
+    return ck, ck.count()

@@ -105,3 +105,22 @@ def test_components_match_frontier(spark):
         a = sorted(r.table_name for r in related_closure(g, seeds).collect())
         b = sorted(r.table_name for r in related_closure(g, seeds, method="components").collect())
         assert a == b, seed
+
+
+def test_large_frame_path_checkpoints(spark, model, monkeypatch):
+    """With the local bound at 3 rows, closure frontiers and the refresh-set
+    inputs go through reliable checkpoints; results are unchanged."""
+    from parcelwise import session
+
+    monkeypatch.setattr(session, "LOCAL_MAX_ROWS", 3)
+    chain = edges_frame(spark, [(f"c{i}", f"c{i + 1}") for i in range(12)])
+    out = related_closure(chain, spark.createDataFrame([("c5",)], "s string"), direction="out")
+    assert sorted(r.table_name for r in out.collect()) == sorted(f"c{i}" for i in range(5, 13))
+    both = related_closure(chain, spark.createDataFrame([("c5",)], "s string"), method="components")
+    assert len(both.collect()) == 13
+    tables, parts, edges = model
+    scope = refresh_scope(table_list(spark, "Sales"), tables, edges, direction="out")
+    sel = read_selection(spark, '[{"table":"Sales","selected_partitions":"Sales_20250101_20250331"}]')
+    assert names(resolve_refresh_set(scope, parts, sel, "documented")) == [
+        ("Customer", "Customer"), ("Product", "Product"), ("Sales", "Sales_20250101_20250331"),
+        ("Store", "Store")]
