@@ -90,8 +90,8 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
       partitions, other tables in scope refresh all of theirs;
     * ``mode='selected_only'``: only the listed partitions.
 
-    The two inputs are materialised first (local rows when small, else a
-    checkpoint), so the three checks run as one job over them and the result
+    The available partitions are materialised first (local rows when small,
+    else a checkpoint), so the three checks run as one job and the result
     does not recompute the catalog.
     """
     if mode not in MODES:
@@ -100,8 +100,10 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
                  .join(scope.select("table_name"), "table_name", "left_semi"))
     if selection is None:
         return available
+    # The catalog side may be derived from data (profiles), so it is
+    # materialised once; the parsed selection is cheap to recompute.
     available, _ = materialize_bounded(available)
-    selected, _ = materialize_bounded(explode_selection(selection))
+    selected = explode_selection(selection)
     chosen_tables = (selected.select("table_name").distinct()
                      .join(available.select("table_name"), "table_name", "left_semi"))
     diagnostics = (

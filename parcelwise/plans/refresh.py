@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from ..functions.periods import in_day_range
 from ..operators.assign import assign_by_ranges
 from ..operators.selection import refresh_scope, resolve_refresh_set
+from ..session import materialize_bounded
 from ..sources.control import RANGES_SCHEMA, read_selection, table_list
 from ..sources.storage import (
     PARTITION_COLUMN,
@@ -253,7 +254,8 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
                  if names else available_tables)
     else:
         scope = refresh_scope(table_list(spark, tables_to_refresh), available_tables, edges, direction)
-    partitions = available_partitions(spark, bindings)
+    # Manifests are read once; their rows (one per partition) drive the rest.
+    partitions, _ = materialize_bounded(available_partitions(spark, bindings))
     selection = read_selection(spark, partitions_to_refresh)
     chosen = resolve_refresh_set(scope, partitions, selection, mode)
     # The refresh set with its manifest ranges, in one small collect.
