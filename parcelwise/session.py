@@ -34,6 +34,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
+             # Delete reliable checkpoint files once their RDDs are garbage-collected.
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.driver.memory", "16g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
