@@ -79,7 +79,7 @@ def invalid_selection(selected: DataFrame, available_partitions: DataFrame) -> D
 
 
 def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: DataFrame | None = None,
-                        mode: str = "documented") -> DataFrame:
+                        mode: str = "documented", materialize: bool = True) -> DataFrame:
     """(table_name, partition_name) to refresh.
 
     * no selection: every partition of every table in scope;
@@ -101,8 +101,10 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
     if selection is None:
         return available
     # The catalog side may be derived from data (profiles), so it is
-    # materialised once; the parsed selection is cheap to recompute.
-    available, _ = materialize_bounded(available)
+    # materialised once (skip with ``materialize=False`` when ``partitions``
+    # already is); the parsed selection is cheap to recompute.
+    if materialize:
+        available, _ = materialize_bounded(available)
     selected = explode_selection(selection)
     chosen_tables = (selected.select("table_name").distinct()
                      .join(available.select("table_name"), "table_name", "left_semi"))

@@ -257,7 +257,7 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
     # Manifests are read once; their rows (one per partition) drive the rest.
     partitions, _ = materialize_bounded(available_partitions(spark, bindings))
     selection = read_selection(spark, partitions_to_refresh)
-    chosen = resolve_refresh_set(scope, partitions, selection, mode)
+    chosen = resolve_refresh_set(scope, partitions, selection, mode, materialize=False)
     # The refresh set with its manifest ranges, in one small collect.
     chosen_rows = (chosen.join(partitions, ["table_name", "partition_name"])
                    .select(*RANGES_SCHEMA.names).distinct()
