@@ -21,6 +21,65 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.co
 FROM documents d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+MIX = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+z AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+k AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight,
+             row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM z),
+l AS (SELECT *, row_number() OVER o AS place,
+             1.5::DOUBLE * (sum(source_size) OVER ())::BIGINT
+               - 2.0::DOUBLE * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS left_,
+             ((sum(weight) OVER ()) - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS open_
+      FROM k WINDOW o AS (ORDER BY source_size::DOUBLE / weight, rank)),
+f AS (SELECT left_, open_, place AS from_ FROM l WHERE left_ * weight / open_ <= 2.0::DOUBLE * source_size ORDER BY place LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN place < from_ THEN 2.0::DOUBLE * source_size
+                                  ELSE f.left_ * weight / f.open_ END AS target FROM l, f),
+n AS (SELECT count(*) AS n FROM d),
+p AS (SELECT d.*, CASE WHEN size = 0 THEN -1 ELSE (length(bin(size)) - 1) * 4
+                    + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * 4) // (1::BIGINT << (length(bin(size)) - 1)::INT) END AS bin_,
+             ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+               % (SELECT greatest(1, (n + 499999) // 500000) FROM n) AS salt FROM d),
+i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bin_, salt, size, doc_id) AS place,
+             floor(('0x' || substr(md5('17:' || coalesce('s' || source, 'null')), 1, 8))::BIGINT::DOUBLE
+                   / 4294967296.0::DOUBLE * 1048576)::BIGINT AS offset_ FROM p),
+r AS (SELECT i.*, t.source_size, t.target,
+             CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size * 1048576)::BIGINT ELSE 0 END AS rate
+      FROM i JOIN t ON i.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (((place * rate + offset_) // 1048576 - ((place - 1) * rate + offset_) // 1048576) * size)::BIGINT AS taken FROM r
+"""
+
+_ITEM_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+DECONTAMINATE = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, {_ITEM_WORDS}) AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({_FOLDED}, {_ITEM_WORDS}) AS w FROM benchmark),
+g AS (SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS t
+      FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+k AS (SELECT DISTINCT k FROM g),
+o AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS t
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, k)),
+h AS (SELECT doc_id, o.k, i, item FROM o JOIN g ON g.t = o.t AND g.k = o.k),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+LINE_DEDUP = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, i, x[i] AS line, translate(trim(x[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             '{_UPPER}', '{_LOWER}') AS key FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM s)),
+c AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN c ON c.key = l.key GROUP BY doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": DECONTAMINATE,
+    "op5_line_dedup": LINE_DEDUP,
+    "op8_mix": MIX,
     "op10_near_dup": NEAR_DUP,
 }

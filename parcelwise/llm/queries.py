@@ -5,9 +5,64 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import contamination
+from .language_id import id_fold, identify, learn
+from .line_dedup import LineIndex, drop_common_lines
+from .mixing import mix
 from .near_dup import near_duplicates
+from .nearest import nearest
+from .sharding import shard
+from .suffix_dedup import remove_repeats
+from .token_frames import read_tokens, write_tokens
+
+
+def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, manifest).drop("ids")
+
+
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return drop_common_lines(docs, LineIndex.build(docs)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    return identify(docs, learn(docs.where(~held_out)), keep=held_out).withColumnRenamed("held", "held_out")
+
+
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
 
 
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +71,13 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_frames": op1_token_frames,
+    "op2_shards": op2_shards,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
+    "op8_mix": op8_mix,
+    "op9_nearest": op9_nearest,
     "op10_near_dup": op10_near_dup,
 }

@@ -56,6 +56,12 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
 
 def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit word hashes in order, offsets of each text's words)."""
+    hashes, _, _, _, at = word_spans(data, offsets, table)
+    return hashes, at
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+    """(word hashes, mapped bytes with eight zeros behind, start and length of each word, offsets of each text's words)."""
     size = len(data)
     mapped = np.zeros(size + 8, np.uint8)
     np.take(table, data, out=mapped[:size])
@@ -85,7 +91,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[
         at, left = at[more] + 8, left[more] - 8
     for i in np.flatnonzero(length > LONG_WORD):
         hashes[i] = xxhash.xxh3_64_intdigest(mapped[starts[i]:ends[i]].tobytes())
-    return hashes, np.searchsorted(starts, offsets)
+    return hashes, mapped, starts, length, np.searchsorted(starts, offsets)
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
