@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast a value whose classes the executors need not have installed; read it with ``received``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
 def row_key(doc_id: Column, text: Column) -> list[Column]:
     """Two non-null columns that identify a (doc_id, text) pair, nulls included."""
     return [F.coalesce(doc_id.cast("long"), F.lit(-1)).alias("k1"),

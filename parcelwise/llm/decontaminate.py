@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import materialize, received, row_key, send
 from .words import ALNUM, shingle_hashes, text_chunks, words_of
 
 WINDOW, WIDTH = 10, 5
@@ -102,10 +102,10 @@ def _lookup(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 def _rarity(docs: DataFrame, windows: Windows, width: int) -> dict[int, int]:
     """Occurrences of each window shingle over all documents."""
     tokens = np.unique(np.concatenate(windows.shingles)) if windows.shingles else np.empty(0, np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast((tokens, _widths(windows, width)))
+    sent = send(docs.sparkSession, (tokens, _widths(windows, width)))
 
     def run(batches):
-        keys, widths = sent.value
+        keys, widths = received(sent)
         counts = np.zeros(len(keys), np.int64)
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column("text")):
@@ -161,10 +161,10 @@ def _hits_in(words, at, windows: Windows, index, widths):
 
 
 def _search(docs: DataFrame, windows: Windows, index, width: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((windows, index, _widths(windows, width)))
+    sent = send(docs.sparkSession, (windows, index, _widths(windows, width)))
 
     def run(batches):
-        found, table, widths = sent.value
+        found, table, widths = received(sent)
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column("text")):
                 words, at = words_of(data, offsets, ALNUM)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import received, send
 from .words import byte_table, mix64, text_chunks
 
 SAMPLE = 2000
@@ -114,7 +115,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, least_share: float = LEAST_
 
 def _predict(sent, keep: list[str]):
     def run(batches):
-        model: LanguageFilter = sent.value
+        model: LanguageFilter = received(sent)
         wrong = model.false_positive
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column("text")):
@@ -154,7 +155,7 @@ def identify(docs: DataFrame, model: LanguageFilter, keep: Column | None = None)
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if keep is None else keep).alias("held"),
                       F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), ["doc_id", "held"]),
+    return own.mapInArrow(_predict(send(docs.sparkSession, model), ["doc_id", "held"]),
                           "doc_id long, held boolean, lang_pred string, score double")
 
 

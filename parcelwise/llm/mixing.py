@@ -7,7 +7,7 @@ Documents stand in order of size class, salt, size and id, so each stretch of th
 line holds documents of near the same size and a source's taken words come close to its target.
 
 Scale: the prefix sum is made in two levels.  A source is cut into blocks (size class and a
-salt whose range grows with the number of rows), rows are numbered inside their block, and only
+salt whose range grows with the rows of that class), rows are numbered inside their block, and only
 the per-block counts are summed per source.  No task holds a whole source.
 """
 
@@ -22,7 +22,7 @@ from .common import materialize, row_key
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
 SEED = 17
-BLOCK_ROWS = 500_000
+BLOCK_ROWS = 1000
 _WORD = r"[^\x20\x09-\x0D]+"
 _BINS = 4  # size classes per doubling
 
@@ -79,13 +79,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string")
                                     .alias("source"), word_count(F.col("text")).alias("size"),
                                     *row_key(F.col("doc_id"), F.col("text"))), "sizes")
-    salts = max(1, -(-sized.count() // BLOCK_ROWS))
-    salt = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8),
-                  16, 10).cast("long") % salts
     # integer size class: doublings from the bit length, each cut in equal parts
     bin_ = F.expr(f"if(size = 0, -1L, (length(bin(size)) - 1) * {_BINS}L + (size - shiftleft(1L, length(bin(size)) - 1))"
                   f" * {_BINS}L div shiftleft(1L, length(bin(size)) - 1))")
-    placed = sized.withColumn("bin", bin_).withColumn("salt", salt)
+    binned = sized.withColumn("bin", bin_)
+    counts = binned.groupBy(F.col("source").alias("of"), F.col("bin").alias("class")).agg(F.count("*").alias("rows"))
+    salt = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
+    placed = binned.join(counts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bin") == F.col("class"))) \
+        .withColumn("salt", F.pmod(salt, F.ceil(F.col("rows") / BLOCK_ROWS))).drop("of", "class", "rows")
     blocks = materialize(placed.groupBy("source", "bin", "salt").agg(F.count("*").alias("m"),
                                                                      F.sum("size").alias("words")), "blocks")
     along = Window.partitionBy("source").orderBy("bin", "salt").rowsBetween(Window.unboundedPreceding, -1)

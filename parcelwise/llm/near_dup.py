@@ -9,8 +9,8 @@ documents that share a band are candidates, and every link is confirmed on the
 full shingle sets.
 
 Scale: rows with the same set are one node, so exact copies never meet each
-other.  Within a band bucket every member is compared with two leaders of the bucket
-(a star, never all pairs).  Buckets whose members are then still in several
+other.  Within a band bucket every member is compared with two leaders of the bucket,
+the one that meets most others and the least (a star, never all pairs).  Buckets whose members are then still in several
 components are finished by an exact prefix-filtered join on rare shingles
 between different components, so no link between different sets is lost.
 """
@@ -122,11 +122,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5,
         F.min("n_shingles").alias("n")).select("node", "n", "first.k1", "first.k2", "first.bands"), "nodes")
 
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    buckets = materialize(members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"),
-                                                        F.count("*").alias("m")).where("m > 1").drop("m"), "buckets")
+    buckets = materialize(members.groupBy("bucket").agg(F.min("node").alias("low"), F.count("*").alias("m")).where("m > 1"),
+                          "buckets")
     shared = materialize(members.join(buckets, "bucket"), "members")
-    sized = shared.select("node", "n").distinct()
-    stars = shared.select("node", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("leader")) \
+    sized = materialize(shared.groupBy("node").agg(F.first("n").alias("n"), F.sum("m").alias("met")), "sized")
+    # the member that meets most others is the one nearest to what a group of copies has in common
+    central = materialize(shared.select("node", "bucket").join(sized.select("node", "met"), "node")
+                          .groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("high")), "central")
+    stars = shared.select("node", "bucket", "low").join(central, "bucket") \
+        .select("node", F.explode(F.array_distinct(F.array("low", "high"))).alias("leader")) \
         .where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")) \
         .distinct()
     sizes = lambda side: sized.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"))
@@ -157,7 +161,8 @@ def _open_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     """Candidate pairs between different components that meet in some bucket.
 
     Exact: two sets that pass the threshold share one of the rarest
-    n - ceil(percent * n / 100) + 1 shingles of each, under one global order (rarity, then hash).
+    n - ceil(percent * n / 100) + 1 shingles of each, under one global order (rarity, then hash), and from the first
+    one they share on, each still has at least as many shingles that others share as their intersection needs.
     """
     tagged = shared.select("node", "n", "bucket").join(labels, "node", "left") \
         .withColumn("label", F.coalesce("label", "node"))
@@ -171,11 +176,16 @@ def _open_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     # Shingles of one node only come first in its order but can make no pair: they only use up prefix places.
     known = tokens.join(rarity, "token").groupBy("node", "n", "label").agg(
         F.array_sort(F.collect_list(F.struct("df", "token", "l0", "l1"))).alias("shared"))
-    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - (F.col("n") - F.size("shared"))
-    prefix_rows = materialize(known.withColumn("places", prefix.cast("int")).where("places > 0").select(
-        "node", "n", "label", F.explode(F.slice("shared", F.lit(1), F.col("places"))).alias("t"))
-        .where("t.l0 <> t.l1").select("node", "n", "label", F.col("t.token").alias("token")), "prefix")
-    a = prefix_rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "label")])
-    b = prefix_rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "label")])
-    return (a.join(b, "token").where("node_a < node_b AND label_a <> label_b").where(_sizes_allow("n_a", "n_b", percent))
+    known = known.withColumn("m", F.size("shared"))
+    places = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - (F.col("n") - F.col("m"))
+    prefix = materialize(known.withColumn("places", places.cast("int")).where("places > 0").select(
+        "node", "n", "label", "m", F.posexplode(F.slice("shared", F.lit(1), F.col("places"))).alias("at", "t"))
+        .where("t.l0 <> t.l1").select("node", "n", "label", (F.col("m") - F.col("at")).alias("rest"), F.col("t.token").alias("token")),
+        "prefix")
+    a = prefix.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "label", "rest")])
+    b = prefix.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "label", "rest")])
+    # from the first common shingle on, both must still have as many shared shingles as the intersection needs
+    reaches = F.least("rest_a", "rest_b") * (100 + percent) >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    return (a.join(b, "token").where("node_a < node_b AND label_a <> label_b")
+            .where(_sizes_allow("n_a", "n_b", percent) & reaches)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())

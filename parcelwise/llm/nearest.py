@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, received, send
 
 BITS, PIECE = 256, 16
 SAMPLE, CALIBRATION, QUERY_BLOCK = 20_000, 64, 4096
@@ -83,7 +83,7 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 def _search(sent, most: int):
     def run(batches):
-        reps, queries, codes, coder, radius = sent.value
+        reps, queries, codes, coder, radius = received(sent)
         best = [[] for _ in reps]
         for batch in batches:
             if not batch.num_rows:
@@ -122,7 +122,7 @@ def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 
 def _run(entries: DataFrame, reps, queries, coder: Coder, radius: int, most: int) -> DataFrame:
-    sent = entries.sparkSession.sparkContext.broadcast((reps, queries, coder.codes(queries), coder, radius))
+    sent = send(entries.sparkSession, (reps, queries, coder.codes(queries), coder, radius))
     hits = entries.mapInArrow(_search(sent, most), HITS)
     first = Window.partitionBy("rep").orderBy("score", "vec_id")
     return materialize(hits.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most), "hits")

@@ -34,14 +34,13 @@ l AS (SELECT *, row_number() OVER o AS place,
 f AS (SELECT left_, open_, place AS from_ FROM l WHERE left_ * weight / open_ <= 2.0::DOUBLE * source_size ORDER BY place LIMIT 1),
 t AS (SELECT source, source_size, CASE WHEN place < from_ THEN 2.0::DOUBLE * source_size
                                   ELSE f.left_ * weight / f.open_ END AS target FROM l, f),
-n AS (SELECT count(*) AS n FROM d),
 p AS (SELECT d.*, CASE WHEN size = 0 THEN -1 ELSE (length(bin(size)) - 1) * 4
-                    + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * 4) // (1::BIGINT << (length(bin(size)) - 1)::INT) END AS bin_,
-             ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
-               % (SELECT greatest(1, (n + 499999) // 500000) FROM n) AS salt FROM d),
+                    + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * 4) // (1::BIGINT << (length(bin(size)) - 1)::INT) END AS bin_ FROM d),
+q AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+               % ((count(*) OVER (PARTITION BY source, bin_) + 999) // 1000) AS salt FROM p),
 i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bin_, salt, size, doc_id) AS place,
              floor(('0x' || substr(md5('17:' || coalesce('s' || source, 'null')), 1, 8))::BIGINT::DOUBLE
-                   / 4294967296.0::DOUBLE * 1048576)::BIGINT AS offset_ FROM p),
+                   / 4294967296.0::DOUBLE * 1048576)::BIGINT AS offset_ FROM q),
 r AS (SELECT i.*, t.source_size, t.target,
              CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size * 1048576)::BIGINT ELSE 0 END AS rate
       FROM i JOIN t ON i.source IS NOT DISTINCT FROM t.source)

@@ -17,6 +17,7 @@ from .nearest import nearest
 from .sharding import shard
 from .suffix_dedup import remove_repeats
 from .token_frames import read_tokens, write_tokens
+from .toxicity import fit, score
 
 
 def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, learn(docs.where(~held_out)), keep=held_out).withColumnRenamed("held", "held_out")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(id_fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    scored = score(docs, fit(docs.where(~held_out), labels.where(~held_out)), keep=held_out)
+    return scored.select("doc_id", F.col("held").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_mix": op8_mix,
     "op9_nearest": op9_nearest,
     "op10_near_dup": op10_near_dup,

@@ -138,7 +138,7 @@ def _writer(folder: str, spec, end_id: int, by_word: bool):
                     uri = f"{folder}/{uuid.uuid4().hex}.zst"
                     system, path = _open(uri)
                     system.create_dir(path.rpartition("/")[0], recursive=True)
-                    sink = system.open_output_stream(path)
+                    sink = system.open_output_stream(path, compression=None)
                     out, encoder = FrameWriter(sink), WordEncoder(spec.value, by_word)
                 ids = encoder.encode([t or b"" for t in part.column("text").to_pylist()])
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):

@@ -22,15 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, received, send
 from .words import ALNUM, mix64, text_chunks, word_spans
 
 BITS = 22
 BEGINNINGS = (4, 5, 6, 7)
 POSITIVES, UNLABELLED, FIT_FEATURES = 2000, 6000, 4000
 SELECTED, LEAST_RATIO, LEAST_TEXTS, LEAST_SHARE, SMOOTHING = 1000, 1.0, 3, 0.01, 1e-5
-EPOCHS, BATCH, RATE, PULL, SCALE = 40, 500, 0.05, 1e-3, 25.0
-SEED = 3
+STEPS, RATE, PULL, SCALE = 400, 0.1, 1e-3, 25.0
 
 
 @dataclass
@@ -129,9 +128,8 @@ def select(toxic: list, other: list) -> tuple[np.ndarray, np.ndarray]:
     return some.astype(np.int32), ratio[some]
 
 
-def train(toxic: list, other: list, prior: float, epochs: int = EPOCHS) -> ToxicModel:
-    """Weights of the selected features that minimise the non-negative risk with the logistic loss."""
-    random = np.random.RandomState(SEED)
+def train(toxic: list, other: list, prior: float, steps: int = STEPS) -> ToxicModel:
+    """Weights of the selected features that minimise the non-negative risk with the sigmoid loss, over all examples at once."""
     numbers, ratio = select(toxic, other)
     place = np.full(1 << BITS, -1)
     place[numbers] = np.arange(len(numbers))
@@ -144,34 +142,31 @@ def train(toxic: list, other: list, prior: float, epochs: int = EPOCHS) -> Toxic
         return out
 
     toxic, other = reduced(toxic), reduced(other)
-    size = len(numbers) + 1  # the last weight is the bias
-    w, m, v, step = np.append(np.ones(len(numbers)), -2.0), np.zeros(size), np.zeros(size), 0
+    k = len(numbers)
+    size = k + 2  # a factor for all log ratios, free of the pull towards them, and the bias
+    w, m, v = np.concatenate([np.zeros(k), [1.0, -2.0]]), np.zeros(size), np.zeros(size)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    rounds = max(1, len(other) // BATCH)
-    for _ in range(epochs):
-        for block in np.array_split(random.permutation(len(other)), rounds):
-            mine = random.choice(len(toxic), min(len(toxic), BATCH), replace=False)
-            pn, pv, pt = _joined([toxic[i] for i in mine])
-            un, uv, ut = _joined([other[i] for i in block])
-            zp = np.bincount(pt, w[pn] * pv, len(mine)) + w[-1]
-            zu = np.bincount(ut, w[un] * uv, len(block)) + w[-1]
-            as_clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            if as_clean >= 0:  # gradients of prior * l(z) - prior * l(-z) on toxic, of l(-z) on the others
-                gp, gu = np.full(len(mine), -prior / len(mine)), sigmoid(zu) / len(block)
-            else:  # the corrected part went below zero: step back along it
-                gp, gu = prior * sigmoid(zp) / len(mine), -sigmoid(zu) / len(block)
-            g = np.bincount(pn, gp[pt] * pv, size) + np.bincount(un, gu[ut] * uv, size)
-            g[:-1] += PULL * (w[:-1] - 1)
-            g[-1] = gp.sum() + gu.sum()
-            step += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w = w - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return ToxicModel(numbers, (SCALE * w[:-1] * ratio).astype(np.float32), float(w[-1]))
+    (pn, pv, pt), (un, uv, ut) = _joined(toxic), _joined(other)
+    for step in range(1, steps + 1):
+        p = sigmoid(np.bincount(pt, (w[k] + w[pn]) * pv, len(toxic)) + w[-1])
+        u = sigmoid(np.bincount(ut, (w[k] + w[un]) * uv, len(other)) + w[-1])
+        as_clean = u.mean() - prior * p.mean()  # what the unlabelled texts cost as clean, less the toxic among them
+        gp = -prior * p * (1 - p) / len(toxic)
+        gu = u * (1 - u) / len(other) if as_clean > 0 else np.zeros(len(other))
+        gp = 2 * gp if as_clean > 0 else gp
+        g = np.bincount(pn, gp[pt] * pv, size) + np.bincount(un, gu[ut] * uv, size)
+        g[k] = g[:k].sum()
+        g[:k] += PULL * w[:k]
+        g[-1] = gp.sum() + gu.sum()
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        rate = RATE * (1 - step / (steps + 1))
+        w = w - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    return ToxicModel(numbers, (SCALE * (w[k] + w[:k]) * ratio).astype(np.float32), float(w[-1]))
 
 
 def _scores(sent, keep: list[str]):
     def run(batches):
-        model: ToxicModel = sent.value
+        model: ToxicModel = received(sent)
         weights = model.dense()
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column("text"), 1 << 20):
@@ -192,4 +187,4 @@ def score(docs: DataFrame, model: ToxicModel, keep: Column | None = None) -> Dat
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if keep is None else keep).alias("held"),
                       F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model), ["doc_id", "held"]), "doc_id long, held boolean, score double")
+    return own.mapInArrow(_scores(send(docs.sparkSession, model), ["doc_id", "held"]), "doc_id long, held boolean, score double")
