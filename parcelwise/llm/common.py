@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -32,7 +32,41 @@ def received(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
-def row_key(doc_id: Column, text: Column) -> list[Column]:
-    """Two non-null columns that identify a (doc_id, text) pair, nulls included."""
-    return [F.coalesce(doc_id.cast("long"), F.lit(-1)).alias("k1"),
-            F.xxhash64(doc_id.isNull(), text.isNull(), text).alias("k2")]
+def row_key(doc_id: Column, *columns: Column) -> list[Column]:
+    """k1, k2: two non-null columns that identify a row by its id and the given columns, nulls included."""
+    nulls = [c.isNull() for c in (doc_id, *columns)]
+    return [F.coalesce(doc_id.cast("long"), F.lit(-1)).alias("k1"), F.xxhash64(*nulls, *columns).alias("k2")]
+
+
+def text_key(docs: DataFrame) -> list[Column]:
+    """The key of a row by doc_id and text."""
+    return row_key(F.col("doc_id"), F.col("text"))
+
+
+def whole_row_key(docs: DataFrame) -> list[Column]:
+    """The key of a row by all its columns but maps: rows with equal keys are the same row."""
+    return row_key(F.col("doc_id"), *[docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()])
+
+
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Names as given, with underscores put before those that ``docs`` has."""
+    out = []
+    for name in names:
+        while name.lower() in {c.lower() for c in docs.columns}:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, times: str, key: list[Column]) -> DataFrame:
+    """The rows of ``docs`` whose key is in ``keys`` (k1, k2, ``times``): one row of each key, ``times`` times.
+
+    ``times`` null keeps every row of the key as it is.  ``keys`` has one row per key.
+    """
+    k1, k2, n, i = free_names(docs, "k1", "k2", "times", "i")
+    marked = docs.withColumns({k1: key[0], k2: key[1]})
+    marked = marked.join(keys.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col(times).cast("int").alias(n)), [k1, k2])
+    first = Window.partitionBy(k1, k2).orderBy(k1)
+    marked = marked.withColumn(i, F.row_number().over(first))
+    copies = F.when(F.col(n).isNull(), 1).when(F.col(i) == 1, F.col(n)).otherwise(0)
+    return marked.withColumn(n, F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)

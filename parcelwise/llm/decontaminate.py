@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, received, row_key, send
+from .common import free_names, materialize, received, send, text_key
 from .words import ALNUM, shingle_hashes, text_chunks, words_of
 
 WINDOW, WIDTH = 10, 5
@@ -206,7 +206,7 @@ def _merge(groups: pa.Table) -> pa.Table:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, width: int = WIDTH,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
+                  block_words: int = BLOCK_WORDS, key: list[Column] | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): k1, k2, doc_id, n_words, n_hit, spans, items.
 
     spans holds the distinct occurrences of windows as pairs of little-endian longs (first word, end word);
@@ -215,7 +215,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
     Repeated rows each get a row.  Other columns are ignored; an empty benchmark hits nothing.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-                      *row_key(F.col("doc_id"), F.col("text")))
+                      *(key or text_key(docs)))
     parts = []
     for items in read_blocks(benchmark, block_words):
         windows = windows_of(items, window, width)
@@ -232,3 +232,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
         _merge, "k1 long, k2 long, n_hit long, spans binary, items array<string>"), "hits")
     return (parts[0].select("k1", "k2", "doc_id", "n_words").join(one, ["k1", "k2"], "left")
             .select("k1", "k2", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "spans", "items"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, width: int = WIDTH) -> DataFrame:
+    """``docs`` without the rows whose text holds a window of an item; all columns are returned as they are."""
+    hits = contamination(docs, benchmark, window, width).where("n_hit > 0").select("k1", "k2").distinct()
+    k1, k2 = free_names(docs, "k1", "k2")
+    own = text_key(docs)
+    return docs.withColumns({k1: own[0], k2: own[1]}).join(
+        hits.withColumnsRenamed({"k1": k1, "k2": k2}), [k1, k2], "left_anti").select(*docs.columns)

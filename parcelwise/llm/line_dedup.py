@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import materialize, text_key
 
 THRESHOLD = 10
 SALTS = 8
@@ -284,7 +284,7 @@ def drop_common_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     Other columns are ignored; no rows give no rows.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-                      *row_key(F.col("doc_id"), F.col("text")))
+                      *text_key(docs))
     lines = own.select("k1", "k2", "text").mapInArrow(
         _lines(index.shards, SALTS), "shard int, salt int, kind int, digests binary, places binary, filter binary")
     filters = index.table.mapInArrow(_frequent(index.threshold), INDEX)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import keep_rows, materialize, text_key, whole_row_key
 
 #: fixed values of the mix: weights by rank of the source, share of all sizes, most copies of a size
 WEIGHTS = (5, 2, 1)
@@ -69,7 +69,8 @@ def unit(seed: int, source: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED,
+        key: list[Column] | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): k1, k2, doc_id, source, size, source_size, target, copies.
 
     copies is 0, 1, ... (at most ``most``, rounded up).  A null text has size 0; null is a source of its
@@ -78,7 +79,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     """
     sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string")
                                     .alias("source"), word_count(F.col("text")).alias("size"),
-                                    *row_key(F.col("doc_id"), F.col("text"))), "sizes")
+                                    *(key or text_key(docs))), "sizes")
     # integer size class: doublings from the bit length, each cut in equal parts
     bin_ = F.expr(f"if(size = 0, -1L, (length(bin(size)) - 1) * {_BINS}L + (size - shiftleft(1L, length(bin(size)) - 1))"
                   f" * {_BINS}L div shiftleft(1L, length(bin(size)) - 1))")
@@ -107,3 +108,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
             .withColumn("offset", F.floor(unit(seed, F.col("source")) * (1 << 20)))
             .withColumn("copies", (count(place) - count(place - 1)).cast("long"))
             .select("k1", "k2", "doc_id", "source", "size", "source_size", "target", "copies"))
+
+
+def take_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: each as often as it has copies, all columns as they are."""
+    key = whole_row_key(docs)
+    copies = mix(docs, weights, share, most, seed, key).groupBy("k1", "k2").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    return keep_rows(docs, copies, "copies", key)

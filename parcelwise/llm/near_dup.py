@@ -20,10 +20,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import keep_rows, materialize, text_key, whole_row_key
 from .components import connected_components
 from .words import SPACED, mix64, shingle_runs, text_chunks, words_of
 
@@ -103,17 +103,18 @@ def _sizes_allow(x: str, y: str, percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): k1, k2, doc_id, n_shingles, component_id, kept.
+                    bands: int = BANDS, rows: int = ROWS, key: list[Column] | None = None) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): k1, k2, doc_id, n_shingles, label, component_id, kept.
 
     Words are runs without ASCII white space, lower-cased in A-Z.  Null, empty or blank
     texts have the empty set, link with nothing and are their own component.
     component_id is the smallest non-null doc_id reachable (null only where a
     component has none); kept is doc_id = component_id (false for null ids).
-    Repeated rows each get a row.  Other columns of ``docs`` are ignored.
+    label tells components apart (null for an empty set).  Repeated rows each get a row.  Other columns of ``docs`` only
+    count where ``key`` (two columns k1, k2; by default of doc_id and text) has them.
     """
     own = docs.select("doc_id", F.col("text").cast("binary").alias("text"),
-                      *row_key(F.col("doc_id"), F.col("text")))
+                      *(key or text_key(docs)))
     described = materialize(own.select("k1", "k2", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _signatures(width, bands, rows),
         "k1 long, k2 long, doc_id long, n_shingles long, node long, bands array<long>"), "signatures")
@@ -153,10 +154,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5,
                         "least")
     return (rows_.join(least, "label", "left")
             .withColumn("component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-            .select("k1", "k2", "doc_id", "n_shingles", "component_id",
+            .select("k1", "k2", "doc_id", "n_shingles", "label", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
 
 
+def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+    """``docs`` with one row of each component: the least doc_id's (a null id only where there is no other).
+
+    Rows with an empty set all stay.  All columns are returned as they are.
+    """
+    found = near_duplicates(docs, percent, width, key=whole_row_key(docs))
+    found = materialize(found.select("k1", "k2", "doc_id", "label"), "near-duplicates")
+    first = found.where("label IS NOT NULL").groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("s")).select("s.k1", "s.k2", F.lit(1).alias("times"))
+    alone = found.where("label IS NULL").select("k1", "k2", F.lit(None).cast("int").alias("times")).distinct()
+    return keep_rows(docs, first.unionByName(alone), "times", whole_row_key(docs))
+
+
 def _open_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between different components that meet in some bucket.
 

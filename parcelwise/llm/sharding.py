@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import free_names, materialize, text_key
 
 SHARDS = 16
 FIRST_BITS, MORE_BITS = 14, 8
@@ -136,6 +136,27 @@ def _even_cuts(r: Ranges, capacity: int, shards: int) -> list[int]:
     return cuts
 
 
+def _described(docs: DataFrame) -> dict:
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return {"key": F.xxhash64(text), "size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text)}
+
+
+def _numbered(rows: DataFrame, cuts: list[int], shards: int, count: int, key: str, ids: list[str], names: list[str]) -> DataFrame:
+    """``rows`` with their shard and slot, named as ``names`` says (shard, slot, and two names to work with)."""
+    shard, slot, block, before = names
+    number = F.lit(0)
+    for cut in cuts:
+        number = number + (F.col(key) >= F.lit(cut)).cast("int")
+    blocks = max(8, -(-count // (shards * BLOCK_ROWS)))
+    dealt = rows.withColumn(shard, number).withColumn(block, F.pmod(F.xxhash64(*ids), F.lit(blocks)))
+    along = Window.partitionBy(shard).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    counts = materialize(dealt.groupBy(shard, block).agg(F.count("*").alias("m")), "blocks") \
+        .withColumn(before, F.coalesce(F.sum("m").over(along), F.lit(0))).drop("m")
+    inside = Window.partitionBy(shard, block).orderBy(*ids)
+    return (dealt.withColumn(slot, F.row_number().over(inside)).join(counts, [shard, block])
+            .withColumn(slot, (F.col(before) + F.col(slot) - 1).cast("long")).drop(block, before))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): k1, k2, doc_id, key, size, text_crc32, shard, slot.
 
@@ -143,20 +164,21 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     slot numbers a shard's rows from 0 without gaps, in an order that depends on the rows only (equal rows
     may swap).  Null and repeated ids are allowed; other columns are ignored; no rows give no rows.
     """
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"),
-                                   (F.octet_length(text) + 1).cast("long").alias("size"),
-                                   F.crc32(text).alias("text_crc32"), *row_key(F.col("doc_id"), F.col("text"))), "sized")
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(docs),
+                                   *[c.alias(n) for n, c in _described(docs).items()]), "sized")
     _, cuts = minimax_cuts(rows.select("key", "size"), shards)
-    number = F.lit(0)
-    for cut in cuts:
-        number = number + (F.col("key") >= F.lit(cut)).cast("int")
-    blocks = max(8, -(-rows.count() // (shards * BLOCK_ROWS)))
-    dealt = rows.withColumn("shard", number).withColumn("block", F.pmod(F.xxhash64("k1", "k2"), F.lit(blocks)))
-    along = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = materialize(dealt.groupBy("shard", "block").agg(F.count("*").alias("m")), "blocks") \
-        .withColumn("before", F.coalesce(F.sum("m").over(along), F.lit(0))).drop("m")
-    inside = Window.partitionBy("shard", "block").orderBy("k1", "k2")
-    return (dealt.withColumn("i", F.row_number().over(inside)).join(before, ["shard", "block"])
-            .withColumn("slot", (F.col("before") + F.col("i") - 1).cast("long"))
-            .select("k1", "k2", "doc_id", "key", "size", "text_crc32", "shard", "slot"))
+    return _numbered(rows, cuts, shards, rows.count(), "key", ["k1", "k2"], ["shard", "slot", "block", "before"]).select(
+        "k1", "k2", "doc_id", "key", "size", "text_crc32", "shard", "slot")
+
+
+def place_in_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """``docs`` with shard and slot (see ``shard``); columns of ``docs`` with these names are replaced."""
+    docs = docs.drop("shard", "slot")
+    described = _described(docs)
+    sized = materialize(docs.select(described["key"].alias("key"), described["size"].alias("size")), "sized")
+    _, cuts = minimax_cuts(sized, shards)
+    k1, k2, key, block, before = free_names(docs, "k1", "k2", "key", "block", "before")
+    own = text_key(docs)
+    rows = docs.withColumns({k1: own[0], k2: own[1], key: described["key"]})
+    return _numbered(rows, cuts, shards, sized.count(), key, [k1, k2], ["shard", "slot", block, before]).select(
+        *docs.columns, "shard", "slot")

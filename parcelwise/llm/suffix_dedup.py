@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import materialize, text_key
 from .suffix_array import Block
 from .words import mix64, text_chunks
 
@@ -339,7 +339,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shards: int | None = N
     spark = docs.sparkSession
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-                      *row_key(F.col("doc_id"), F.col("text")))
+                      *text_key(docs))
     counted = own.select("text").mapInArrow(_count(shards, length), "shard int, keys binary, counts binary")
     known = materialize(_by_shard(counted, ["shard"], []).mapInArrow(_twice, "shard int, keys binary"), "anchors")
     heads = known.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), "keys",

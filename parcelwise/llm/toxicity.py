@@ -15,9 +15,11 @@ frequent features of each), chosen by a hash of the id; scoring is one narrow pa
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,19 +166,23 @@ def train(toxic: list, other: list, prior: float, steps: int = STEPS) -> ToxicMo
     return ToxicModel(numbers, (SCALE * (w[k] + w[:k]) * ratio).astype(np.float32), float(w[-1]))
 
 
+def _chunk_scores(texts: pa.Array, weights: np.ndarray, bias: float):
+    for lo, hi, data, offsets in text_chunks(texts, 1 << 20):
+        total, z = np.zeros(hi - lo), np.zeros(hi - lo)
+        for number, text in _occurrences(data, offsets):
+            total += np.bincount(text, minlength=hi - lo)
+            z += np.bincount(text, weights[number], hi - lo)
+        yield lo, hi, 1 / (1 + np.exp(-np.clip(z / np.maximum(total, 1) + bias, -30, 30)))
+
+
 def _scores(sent, keep: list[str]):
     def run(batches):
         model: ToxicModel = received(sent)
         weights = model.dense()
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch.column("text"), 1 << 20):
-                total, z = np.zeros(hi - lo), np.zeros(hi - lo)
-                for number, text in _occurrences(data, offsets):
-                    total += np.bincount(text, minlength=hi - lo)
-                    z += np.bincount(text, weights[number], hi - lo)
-                z = z / np.maximum(total, 1) + model.bias
+            for lo, hi, found in _chunk_scores(batch.column("text"), weights, model.bias):
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(found)], [*keep, "score"])
     return run
 
 
@@ -188,3 +194,18 @@ def score(docs: DataFrame, model: ToxicModel, keep: Column | None = None) -> Dat
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if keep is None else keep).alias("held"),
                       F.col("text").cast("binary").alias("text"))
     return own.mapInArrow(_scores(send(docs.sparkSession, model), ["doc_id", "held"]), "doc_id long, held boolean, score double")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicModel, least: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose score is ``least`` or more; all columns are returned as they are."""
+    sent = send(docs.sparkSession, model)
+
+    @F.pandas_udf("double")
+    def toxic(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        found = received(sent)
+        weights = found.dense()
+        for texts in parts:
+            scores = [s for _, _, s in _chunk_scores(pa.array(texts, pa.large_binary(), from_pandas=True), weights, found.bias)]
+            yield pd.Series(np.concatenate(scores) if scores else np.empty(0))
+
+    return docs.where(toxic(F.col("text").cast("binary")) < least)
