@@ -228,7 +228,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
     hits = parts[0].where("n_hit > 0").drop("doc_id", "n_words")
     for part in parts[1:]:
         hits = hits.unionByName(part.where("n_hit > 0").drop("doc_id", "n_words"))
-    one = materialize(hits.dropDuplicates(["k1", "k2", "spans"]).groupBy("k1", "k2").applyInArrow(
+    one = materialize(hits.dropDuplicates(["k1", "k2", "spans", "items"]).groupBy("k1", "k2").applyInArrow(
         _merge, "k1 long, k2 long, n_hit long, spans binary, items array<string>"), "hits")
     return (parts[0].select("k1", "k2", "doc_id", "n_words").join(one, ["k1", "k2"], "left")
             .select("k1", "k2", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "spans", "items"))

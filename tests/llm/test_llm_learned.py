@@ -1,0 +1,137 @@
+"""Language id, toxicity and nearest neighbours: held-out accuracy and recall, and odd inputs."""
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from parcelwise.llm.language_id import LanguageFilter, identify, id_fold, learn, make_filter
+from parcelwise.llm.nearest import Unit, learn_codes, nearest
+from parcelwise.llm.queries import op6_language_id, op7_toxicity, op9_nearest
+from parcelwise.llm.toxicity import drop_toxic, fit, score
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang")
+    got = op6_language_id(spark, MIDDLE).join(docs, "doc_id").where("held_out").toPandas()
+    assert len(got) > 250
+    assert (got.lang_pred == got.lang).mean() >= 0.98
+    assert got.score.between(0, 1).all()
+
+
+def test_fold_is_the_crc_of_the_id(spark):
+    import zlib
+    got = spark.range(50).select("id", id_fold(F.col("id"), 3).alias("f")).collect()
+    assert all(r.f == zlib.crc32(str(r.id).encode()) % 3 for r in got)
+
+
+def test_language_of_odd_texts(spark, odd, none):
+    model = learn(odd)
+    got = {r.doc_id: r for r in identify(odd, model).collect()}
+    assert {got[i].lang_pred for i in (100, 101, 102)} == {"und"}
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert got[105].lang_pred in model.languages
+    assert identify(none, model).count() == 0
+    assert {r.lang_pred for r in identify(odd, learn(none)).collect()} == {"und"}
+
+
+def test_filter_returns_all_languages_of_an_n_gram():
+    random = np.random.RandomState(2)
+    grams = random.randint(-(1 << 62), 1 << 62, 400)
+    pairs = [(n, int(g)) for i, g in enumerate(grams) for n in range(70) if (i + n) % 35 == 0]
+    model: LanguageFilter = make_filter(pairs, [f"l{n:02}" for n in range(70)], 0)
+    words = model.look_up(grams.view(np.uint64))
+    for i in range(len(grams)):
+        for n in range(70):
+            if (i + n) % 35 == 0:
+                assert int(words[i, n // 64]) >> (n % 64) & 1
+    wrong = model.look_up(random.randint(-(1 << 62), 1 << 62, 20000).view(np.uint64))
+    share = np.array([((wrong[:, n // 64] >> np.uint64(n % 64)) & np.uint64(1)).mean() for n in range(70)])
+    assert abs(share.mean() - model.false_positive.mean()) < 0.01
+
+
+def test_toxicity_of_held_out_documents(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = op7_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").toPandas()
+    toxic = got.toxic == 1
+    assert (got.predicted[toxic] == 1).mean() >= 0.85
+    assert (got.predicted[~toxic] == 1).mean() <= 0.02
+
+
+def test_toxicity_of_odd_texts(spark, odd, none):
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)] + [(None, 1), (3, None), (7, 1), (7, 0)], "doc_id long, toxic int")
+    model = fit(odd, labels)
+    got = score(odd, model).collect()
+    assert len(got) == odd.count()
+    assert all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (100, 101, 102)}) == 1
+    left = drop_toxic(odd, model)
+    assert left.columns == odd.columns
+    assert left.count() == sum(r.score < 0.5 for r in got)
+    assert score(none, model).count() == drop_toxic(none, model).count() == 0
+    assert score(odd, fit(odd, labels.where("toxic = 0"))).where("score >= 0.5").count() == 0
+    assert score(odd, fit(none, labels.limit(0))).where("score >= 0.5").count() == 0
+
+
+def brute(rows, k, every):
+    rows = sorted(rows)
+    x = np.array([v for _, v in rows])
+    ids = np.array([i for i, _ in rows])
+    out = {}
+    for i, q in rows:
+        if i % every == 0:
+            d = np.sqrt(((x - np.array(q)) ** 2).sum(axis=1))
+            order = [j for j in np.lexsort((ids, d)) if ids[j] != i][:k]
+            out[i] = [(int(ids[j]), d[j]) for j in order]
+    return out
+
+
+def test_recall_over_the_table(spark):
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet(f"{MIDDLE}/embeddings.parquet").collect()]
+    want = brute(rows, 10, 100)
+    got = {}
+    for r in op9_nearest(spark, MIDDLE).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == set(want)
+    hit = sum(len({a for a, _ in got[q]} & {a for a, _ in want[q]}) for q in want)
+    assert hit >= 0.9 * 10 * len(want)
+    assert all(len(v) == 10 and [s for _, s in v] == sorted(s for _, s in v) for v in got.values())
+
+
+def test_odd_vectors(spark):
+    """Nulls, zeros, other lengths, ties, copies and few candidates."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [float("nan"), 1.0]),
+            (7, [float("inf"), 1.0]), (None, [1.0, 1.0]), (8, [1.0, 2.0, 3.0]), (9, []), (100, [1.0, 0.0]), (200, None), (10, [2.0, 0.0]),
+            (10, [2.0, 0.0]), (-100, [0.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("x"))
+    use = [(0, [1, 0]), (1, [1, 0]), (2, [0, 1]), (100, [1, 0]), (10, [2, 0]), (-100, [0, -1])]
+    want = brute(use, 3, 100)
+    got = {}
+    for r in nearest(df, k=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == want
+    all_of_them = nearest(df, k=10).groupBy("query_id").count().collect()
+    assert {r["count"] for r in all_of_them} == {5}
+    assert nearest(df.limit(0)).count() == 0
+    assert nearest(df.where("vec_id = 3")).count() == 0
+    assert nearest(df.where("vec_id = 0")).count() == 0
+
+
+def test_many_copies_of_a_vector(spark):
+    rows = [(i, [1.0, 1.0] if i % 3 else [float(i), 1.0]) for i in range(1, 700)]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = brute(rows, 10, 100)
+    assert {q: v for q, v in got.items() if q % 3} == {q: v for q, v in want.items() if q % 3}
+
+
+@pytest.mark.parametrize("radius", [3, 20, 60])
+def test_probing_retrieves_every_code_within_the_radius(radius):
+    x = np.random.RandomState(0).randn(3000, 16)
+    codes = learn_codes(x, 64).codes(x)
+    assert codes.shape == (3000, 4)
+    rows, distance = Unit(codes).within(codes[0], radius)
+    true = np.array([sum(bin(int(v)).count("1") for v in c ^ codes[0]) for c in codes])
+    assert rows.tolist() == np.flatnonzero(true <= radius).tolist()
+    assert distance.tolist() == true[true <= radius].tolist()
