@@ -8,10 +8,12 @@
         --as-of 2001-08-01
 
 Each ``--table NAME=SOURCE,TARGET`` binds a table to its source (Parquet)
-and its partitioned target folder; the date column comes from the spec.
+and its partitioned target folder; the date column comes from the spec, else from what was recorded when the
+partitions were created.
 Parameters mirror the original entry points: ``--partitions-config``,
 ``--tables-to-refresh``, ``--partitions-to-refresh``, ``--commit-mode``,
-``--max-parallelism``, ``--no-partition`` / ``--no-refresh``.  ``--as-of``
+``--max-parallelism``, ``--no-partition`` / ``--no-refresh``; ``--edges`` and ``--direction`` add related
+tables to the scope.  ``--as-of``
 defaults to today's date (the only place the clock is read).
 """
 
@@ -37,6 +39,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--commit-mode", default="transactional", choices=["transactional", "partialBatch"])
     p.add_argument("--max-parallelism", type=int, default=4)
     p.add_argument("--as-of", default=None, help="yyyy-MM-dd; defaults to today")
+    p.add_argument("--edges", default="", help="related tables as comma-separated SRC:DST pairs")
+    p.add_argument("--direction", default="both", choices=["both", "out"])
     p.add_argument("--no-partition", action="store_true")
     p.add_argument("--no-refresh", action="store_true")
     p.add_argument("--mode", default="documented", choices=["documented", "selected_only"])
@@ -63,7 +67,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if not (name and source and target):
             raise SystemExit(f"--table expects NAME=SOURCE,TARGET, got {item!r}")
         bindings[name] = TableBinding(spark.read.parquet(source), target, spec_dates.get(name))
-    report = run(spark, bindings, as_of,
+    edges = [tuple(x.strip().split(":")) for x in args.edges.split(",") if x.strip()]
+    if any(len(e) != 2 or not all(e) for e in edges):
+        raise SystemExit(f"--edges expects SRC:DST pairs, got {args.edges!r}")
+    report = run(spark, bindings, as_of, edges=edges or None, direction=args.direction,
                  partitions_config=args.partitions_config or None,
                  enable_partition=not args.no_partition, enable_refresh=not args.no_refresh,
                  tables_to_refresh=args.tables_to_refresh or None,

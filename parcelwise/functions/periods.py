@@ -56,17 +56,20 @@ def parse_date_text(c) -> Column:
 
 def as_date(value) -> Column:
     """A DATE column from a Python date, ``yyyy-MM-dd``/``yyyyMMdd`` text or a Column."""
-    if isinstance(value, Column):
-        return value.cast("date")
+    return value.cast("date") if isinstance(value, Column) else F.lit(python_date(value))
+
+
+def python_date(value) -> _dt.date:
+    """A Python date from a date, a datetime or ``yyyy-MM-dd`` / ``yyyyMMdd`` text."""
     if isinstance(value, _dt.datetime):
-        value = value.date()
+        return value.date()
     if isinstance(value, _dt.date):
-        return F.lit(value)
+        return value
     if isinstance(value, str):
         text = value.strip()
         if len(text) == 8 and text.isdigit():
-            return F.lit(_dt.datetime.strptime(text, "%Y%m%d").date())
-        return F.lit(_dt.date.fromisoformat(text))
+            return _dt.datetime.strptime(text, "%Y%m%d").date()
+        return _dt.date.fromisoformat(text)
     raise TypeError(f"cannot use {value!r} as a date")
 
 

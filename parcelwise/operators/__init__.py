@@ -3,6 +3,7 @@
 from .assign import (  # noqa: F401
     assign_by_ranges,
     assign_partition,
+    calendar_profile,
     partition_profile,
     slice_partition,
     uncovered_rows,
@@ -23,4 +24,4 @@ from .selection import (  # noqa: F401
     unavailable_tables,
     unknown_tables,
 )
-from .validate import check_specs, invalid_specs, pending_partitions  # noqa: F401
+from .validate import InvalidInput, check_specs, invalid_specs, pending_partitions  # noqa: F401

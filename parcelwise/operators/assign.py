@@ -19,10 +19,13 @@ for scale:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import (
+    INTERVAL_MONTHS,
     as_date,
     day_of,
     in_day_range,
@@ -30,8 +33,9 @@ from ..functions.periods import (
     partition_name,
     period_end,
     period_start,
+    python_date,
 )
-from ..session import BROADCAST_MAX_ROWS, bounded_broadcast
+from ..session import local_frame
 from ..sources.control import RANGES_SCHEMA
 
 PARTITION_COLUMN = "partition_name"
@@ -54,11 +58,55 @@ def assign_partition(df: DataFrame, table: str, date_col, interval: str, first_d
     d = day_of(date_col)
     fd = as_date(first_date)
     last_day = period_end(period_start(as_date(as_of), interval), interval)
-    p = period_start(d, interval)
-    name = partition_name(table, F.greatest(p, fd), period_end(p, interval))
+    if isinstance(first_date, Column) or isinstance(as_of, Column):
+        p = period_start(d, interval)
+        name = partition_name(table, F.greatest(p, fd), period_end(p, interval))
+    else:  # the names of all periods are known: pick one by the number of its period
+        periods = calendar_periods(table, interval, first_date, as_of)
+        name = F.get(F.lit([n for n, _, _ in periods]), _period_number(d, interval, periods)) if periods else F.lit(None).cast("string")
     return df.withColumn(column, F.when((d >= fd) & (d <= last_day), name))
 
 
+def calendar_periods(table: str, interval: str, first_date, as_of) -> list[tuple]:
+    """(name, first day, last day) of the periods that :func:`period_ranges` gives, from dates the driver knows."""
+    k = INTERVAL_MONTHS[interval.strip().upper()]
+    first, last = python_date(first_date), python_date(as_of)
+    month = (first.year * 12 + first.month - 1) // k * k
+    out = []
+    while month <= (last.year * 12 + last.month - 1) // k * k:
+        start = max(first, dt.date(month // 12, month % 12 + 1, 1))
+        end = dt.date((month + k) // 12, (month + k) % 12 + 1, 1) - dt.timedelta(days=1)
+        out.append((f"{table}_{start:%Y%m%d}_{end:%Y%m%d}", start, end))
+        month += k
+    return out
+
+
+def _period_number(d, interval: str, periods: list[tuple]) -> Column:
+    """Number, from 0, of the period that holds day ``d``."""
+    k = INTERVAL_MONTHS[interval.strip().upper()]
+    first = (periods[0][1].year * 12 + periods[0][1].month - 1) // k
+    return F.floor(month_index(d) / k).cast("int") - F.lit(first)
+
+
+def calendar_profile(df: DataFrame, table: str, date_col: str, interval: str, first_date, as_of,
+                     manifest: DataFrame | None = None) -> DataFrame:
+    """W3 and W6 in one: ``partition_profile`` of ``assign_partition``, without a name per row.
+
+    Rows are filtered on the raw column (so Parquet skips row groups), grouped by the number of their period, and
+    the few groups get their names.  Dates must be known to the driver.
+    """
+    periods = calendar_periods(table, interval, first_date, as_of)
+    names = F.lit([n for n, _, _ in periods]) if periods else F.array().cast("array<string>")
+    start, end = (periods[0][1], periods[-1][2]) if periods else (dt.date(1, 1, 2), dt.date(1, 1, 1))
+    d = day_of(date_col)
+    number = _period_number(d, interval, periods) if periods else F.lit(0)
+    prof = (df.where(in_day_range(_c(date_col), start, end)).groupBy(number.alias("_number"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min(d).alias("min_date"), F.max(d).alias("max_date"))
+            .select(F.lit(table).alias("table_name"), F.get(names, F.col("_number")).alias(PARTITION_COLUMN),
+                    "n_rows", "min_date", "max_date"))
+    return prof if manifest is None else _listed(prof, manifest, table)
+
+
 def _month_buckets(ranges: DataFrame) -> DataFrame:
     """One row per (range, month it touches), keyed by ``_m``."""
     return (ranges
@@ -71,25 +119,13 @@ def _month_buckets(ranges: DataFrame) -> DataFrame:
                                          month_index("range_end"))).alias("_m")))
 
 
-def _local_ranges(spark, rows: list, table: str | None) -> tuple[DataFrame, int]:
-    """Ranges given as driver-side rows: frame plus the exact bucket count."""
-    rows = [r for r in rows if table is None or r[0] == table]
-    n_buckets = sum((r[3].year * 12 + r[3].month) - (r[2].year * 12 + r[2].month) + 1
-                    for r in rows if r[2] is not None and r[3] is not None and r[2] <= r[3])
-    return spark.createDataFrame(rows, RANGES_SCHEMA), n_buckets
-
-
-def _bucket_join(df: DataFrame, date_col, ranges, how: str, table: str | None,
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    if isinstance(ranges, DataFrame):
-        if table is not None:
-            ranges = ranges.where(F.col("table_name") == table)
-        buckets = bounded_broadcast(_month_buckets(ranges), max_rows)
-    else:
-        frame, n_buckets = _local_ranges(df.sparkSession, list(ranges), table)
-        buckets = _month_buckets(frame)
-        if n_buckets <= max_rows:
-            buckets = F.broadcast(buckets)
+def _bucket_join(df: DataFrame, date_col, ranges, how: str, table: str | None) -> DataFrame:
+    """Interval join by month buckets; Spark chooses the strategy by the size of the ranges."""
+    if not isinstance(ranges, DataFrame):
+        ranges = local_frame(df.sparkSession, [tuple(r)[:4] for r in ranges], RANGES_SCHEMA)
+    if table is not None:
+        ranges = ranges.where(F.col("table_name") == table)
+    buckets = _month_buckets(ranges)
     d = day_of(date_col)
     keyed = df.withColumn("_d", d).withColumn("_dm", month_index(F.col("_d")))
     cond = ((keyed["_dm"] == buckets["_m"])
@@ -98,18 +134,16 @@ def _bucket_join(df: DataFrame, date_col, ranges, how: str, table: str | None,
 
 
 def assign_by_ranges(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None,
-                     column: str = PARTITION_COLUMN, keep_unmatched: bool = True,
-                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                     column: str = PARTITION_COLUMN, keep_unmatched: bool = True) -> DataFrame:
     """Add ``partition_name`` from arbitrary inclusive ``ranges``.
 
     ``ranges`` has (table_name, partition_name, range_start, range_end), as
-    a DataFrame or as driver-side rows (then no job is needed to size the
-    broadcast); pass ``table`` to use only that table's ranges.  Unmatched rows keep a
+    a DataFrame or as driver-side rows (a local relation, whose size Spark
+    knows); pass ``table`` to use only that table's ranges.  Unmatched rows keep a
     NULL name (or are dropped with ``keep_unmatched=False``).  A row inside
     two overlapping ranges appears once per range.
     """
-    joined = _bucket_join(df, date_col, ranges, "left" if keep_unmatched else "inner", table,
-                          broadcast_max_rows)
+    joined = _bucket_join(df, date_col, ranges, "left" if keep_unmatched else "inner", table)
     return joined.withColumn(column, F.col("_pn")).drop("_d", "_dm", "_pn", "_rs", "_re", "_m")
 
 
@@ -142,8 +176,11 @@ def partition_profile(df_tagged: DataFrame, date_col, table: str | None = None,
     tname = F.lit(table) if table is not None else F.col("table_name")
     prof = prof.select(tname.alias("table_name"), F.col(column).alias("partition_name"),
                        "n_rows", "min_date", "max_date")
-    if manifest is None:
-        return prof
+    return prof if manifest is None else _listed(prof, manifest, table)
+
+
+def _listed(prof: DataFrame, manifest: DataFrame, table: str | None) -> DataFrame:
+    """The profile with a row for every partition of the manifest."""
     listed = manifest.select("table_name", "partition_name").distinct()
     if table is not None:
         listed = listed.where(F.col("table_name") == table)
@@ -153,12 +190,11 @@ def partition_profile(df_tagged: DataFrame, date_col, table: str | None = None,
                     "min_date", "max_date"))
 
 
-def uncovered_rows(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None,
-                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def uncovered_rows(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None) -> DataFrame:
     """Rows that fall in no range (NULL dates included).
 
     These are the rows that would be lost from view when the catch-all
     partition is retired.
     """
-    return (_bucket_join(df, date_col, ranges, "left_anti", table, broadcast_max_rows)
+    return (_bucket_join(df, date_col, ranges, "left_anti", table)
             .drop("_d", "_dm"))

@@ -2,11 +2,11 @@
 
 Breadth-first frontier expansion expressed as DataFrame joins: each round
 joins the new frontier with the edges and keeps the vertices not reached
-yet (anti-join).  Every round's frontier is materialised to cut lineage:
-a frontier proven to hold at most ``session.LOCAL_MAX_ROWS`` ids comes back as a
-local frame (a relation-level graph of tables is tiny), anything larger is
-written as a reliable checkpoint in ``spark.checkpoint.dir``, so a lost
-executor only recomputes one round.  Rounds = distance from the seeds to
+yet (anti-join).  Edges and frontiers follow the data, so every round's frontier is
+written as a reliable checkpoint in ``spark.checkpoint.dir`` and a lost
+executor only recomputes one round.  Over undirected edges the neighbours of a
+layer lie in that layer, the one before or the next, so a round compares with two layers, not with all.
+Rounds = distance from the seeds to
 the farthest reached vertex; cycles end because a vertex is only ever
 added once.  ``component_labels`` gives the undirected closure in a number
 of rounds that does not grow with the graph's depth.
@@ -17,14 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import session
-from ..session import BROADCAST_MAX_ROWS, shared_dir
+from ..session import checkpointed
 
 NODE = "table_name"
 
 
 def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
-                    max_rounds: int | None = None, method: str = "frontier") -> DataFrame:
+                    method: str = "frontier") -> DataFrame:
     """Seeds plus every vertex reachable over ``edges`` (src, dst).
 
     ``direction='both'`` treats edges as undirected (a table and everything
@@ -42,37 +41,22 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
         return related_components(edges, seeds)
     if method != "frontier":
         raise ValueError("method must be 'frontier' or 'components'")
-    spark = edges.sparkSession
-    shared_dir(spark)
     e = edges.select(F.col("src").cast("string").alias("_src"),
                      F.col("dst").cast("string").alias("_dst"))
     if direction == "both":
         e = e.unionByName(e.select(F.col("_dst").alias("_src"), F.col("_src").alias("_dst")))
-    # Size the raw input first (a limited count stops early), so a large edge
-    # list goes straight to a checkpoint instead of being computed twice.
-    n_in = edges.limit(session.LOCAL_MAX_ROWS + 1).count()
-    e = e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct()
-    e, _ = session.materialize_bounded(
-        e, big=n_in * (2 if direction == "both" else 1) > session.LOCAL_MAX_ROWS)
-
-    reached, n_frontier = session.materialize_bounded(
-        seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
-        .where(F.col(NODE).isNotNull()).distinct())
-    # Reached = the union of the materialised frontiers: each round adds one
-    # short branch to the plan instead of re-materialising everything reached.
-    layers = [reached]
-    frontier = reached
-    rounds = 0
-    while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
-        rounds += 1
-        side = F.broadcast(frontier) if n_frontier <= BROADCAST_MAX_ROWS else frontier
-        step = (e.join(side, e["_src"] == side[NODE])
+    e = checkpointed(e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct())
+    # Reached = the union of the checkpointed frontiers.
+    layers = [checkpointed(seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
+                           .where(F.col(NODE).isNotNull()).distinct())]
+    while True:
+        step = (e.join(layers[-1], e["_src"] == layers[-1][NODE])
                 .select(F.col("_dst").alias(NODE)).distinct())
-        frontier, n_frontier = session.materialize_bounded(
-            step.join(_union(layers), NODE, "left_anti"), big=n_frontier > session.LOCAL_MAX_ROWS)
-        if n_frontier:
-            layers.append(frontier)
-    return _union(layers)
+        seen = layers[-2:] if direction == "both" else layers
+        frontier = checkpointed(step.join(_union(seen), NODE, "left_anti"))
+        if frontier.isEmpty():
+            return _union(layers)
+        layers.append(frontier)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -88,28 +72,26 @@ def component_labels(edges: DataFrame) -> DataFrame:
     Large-star / small-star alternation (Kiveris et al., 2014): each round is
     a grouped ``min`` plus a join, and the number of rounds grows with the
     logarithm of the component size rather than with its depth, so long
-    chains do not need one round per hop.  Each round's edge set is materialised
-    the same way as frontiers (local when small, else a reliable checkpoint).
-    Vertices only appear through edges.
+    chains do not need one round per hop.  Each round's edge set and its minima are
+    reliable checkpoints: the join of edges and minima then reads two shuffles of its own,
+    which Spark can split where a vertex has very many edges.  Vertices only appear through edges.
     """
-    spark = edges.sparkSession
-    shared_dir(spark)
     base = edges.select(F.col("src").cast("string").alias("u"), F.col("dst").cast("string").alias("v"))
-    big = 2 * edges.limit(session.LOCAL_MAX_ROWS + 1).count() > session.LOCAL_MAX_ROWS
-    e, n_edges = session.materialize_bounded(
-        _symmetric(base.where(F.col("u").isNotNull() & F.col("v").isNotNull())), big=big)
+    e = checkpointed(_symmetric(base.where(F.col("u").isNotNull() & F.col("v").isNotNull())))
+    n_edges = e.count()
     while True:
         # Large star: attach every larger neighbour of u to the minimum of u's closed neighbourhood.
-        m_all = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        m_all = checkpointed(e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = (e.join(m_all, "u").where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = _symmetric(large)
+        large = checkpointed(_symmetric(large))
         # Small star: attach u and its smaller neighbours to the minimum of those.
         lower = large.where(F.col("v") < F.col("u"))
-        m_low = lower.groupBy("u").agg(F.min("v").alias("m"))
+        m_low = checkpointed(lower.groupBy("u").agg(F.min("v").alias("m")))
         small = (lower.join(m_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(m_low.select("u", F.col("m").alias("v"))))
-        new, n_new = session.materialize_bounded(_symmetric(small), big=n_edges > session.LOCAL_MAX_ROWS)
+        new = checkpointed(_symmetric(small))
+        n_new = new.count()
         # Converged when the edge set is unchanged.  Count and an order-free
         # hash signature are compared first (one aggregate, no shuffle); the
         # exact set comparison only runs when they agree.

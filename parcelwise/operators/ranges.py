@@ -8,7 +8,7 @@ the clock, so results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import (
@@ -16,6 +16,7 @@ from ..functions.periods import (
     TODAY_TOKEN,
     as_date,
     interval_months,
+    month_index,
     parse_date_text,
     partition_name,
     period_start,
@@ -88,11 +89,14 @@ def refresh_ranges(spec: DataFrame, as_of=None) -> DataFrame:
     rf = (F.when(F.upper(rf_text) == TODAY_TOKEN, _as_of_column(as_of))
           .otherwise(parse_date_text(rf_text)))
     n_text = F.trim(F.col("number_of_intervals"))
-    n = F.when(n_text.rlike(r"^[0-9]{1,6}$"), n_text.cast("int"))
+    # A count of any length: one that reaches back to first_date or further takes all periods.
+    digits = F.regexp_extract(n_text, r"^0*([1-9][0-9]*)$", 1)
     last = period_start(rf, iv)
     first_all = period_start(fd, iv)
+    periods = ((month_index(last) - month_index(first_all)) / k).cast("int") + 1
+    n = F.when(F.length(digits) > 9, periods).otherwise(F.least(F.try_to_number(digits, F.lit("999999999")), periods))
     first = (F.when(n_text == ALL_TOKEN, first_all)
-             .when(n >= 1, F.greatest(first_all, F.add_months(last, ((n - 1) * -k).cast("int")))))
+             .when(digits != "", F.greatest(first_all, F.add_months(last, ((n - 1) * -k).cast("int")))))
     base = spec.select(
         F.col("table").alias("table_name"),
         fd.alias("_fd"),
@@ -117,18 +121,22 @@ def selection_list(ranges: DataFrame) -> DataFrame:
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """Ranges that overlap the next range of the same table (by start date).
+    """Every pair of ranges of one table that share a day: a range and the later-starting one (next_*).
 
     Partition diffs are by name, so changing a table's interval would leave
     old and new ranges side by side and count rows twice; writers refuse
-    such range sets.
+    such range sets.  The pairs meet in the month in which the later range starts, so
+    ranges far from each other are never compared.
     """
-    w = Window.partitionBy("table_name").orderBy("range_start", "range_end", "partition_name")
-    nxt = F.lead("range_start").over(w)
-    nxt_name = F.lead("partition_name").over(w)
-    return (ranges.where(F.col("range_start").isNotNull())
-            .select(*RANGE_COLUMNS, nxt.alias("next_start"), nxt_name.alias("next_partition"))
-            .where(F.col("next_start") <= F.col("range_end")))
+    dated = ranges.where("range_start IS NOT NULL AND range_end IS NOT NULL AND range_start <= range_end").select(*RANGE_COLUMNS).distinct()
+    first = dated.withColumn("month", F.explode(F.sequence(month_index("range_start"), month_index("range_end"))))
+    later = dated.select(F.col("table_name").alias("next_table"), F.col("partition_name").alias("next_partition"),
+                         F.col("range_start").alias("next_start"), F.col("range_end").alias("next_end"),
+                         month_index("range_start").alias("next_month"))
+    order = F.struct("range_start", "range_end", "partition_name") < F.struct("next_start", "next_end", "next_partition")
+    return (first.join(later, (F.col("table_name") == F.col("next_table")) & (F.col("month") == F.col("next_month"))
+                       & (F.col("next_start") <= F.col("range_end")) & order)
+            .select(*RANGE_COLUMNS, "next_start", "next_partition"))
 
 
 def selection_json(selection: DataFrame) -> DataFrame:

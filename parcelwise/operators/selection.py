@@ -1,9 +1,8 @@
 """Which partitions to refresh: explode selections (W11) and resolve them.
 
 The refresh set is computed as joins: semi-joins keep what is available,
-anti-joins find what is not.  The checks that decide between the
-documented branches (unavailable tables, invalid names, whether any
-selected table is available) run together as one small job.
+anti-joins find what is not.  Input that names nothing, or something that does not exist, is
+reported whole and never widens the refresh set.
 """
 
 from __future__ import annotations
@@ -14,12 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize_bounded
+from ..session import local_frame
+from ..sources.control import TABLES_SCHEMA
 from .closure import related_closure
+from .validate import raise_if_any
 
 log = logging.getLogger("parcelwise.selection")
 
 KEYS = ["table_name", "partition_name"]
+KEYS_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in KEYS])
 MODES = ("documented", "selected_only")
 
 
@@ -46,26 +48,45 @@ def unknown_tables(tables: DataFrame, available: DataFrame) -> DataFrame:
 
 
 def refresh_scope(tables: DataFrame | None, available: DataFrame,
-                  edges: DataFrame | None = None, direction: str = "both") -> DataFrame:
+                  edges=None, direction: str = "both") -> DataFrame:
     """Tables to refresh: the requested ones plus related tables, or all.
 
-    Unknown requested tables raise ``ValueError``.  Without a request every
-    available table is in scope.  Output: ``table_name``.
+    Unknown requested tables raise ``InvalidInput`` with all of them.  Without a request every
+    available table is in scope.  ``edges`` is a DataFrame (src, dst), or pairs the driver
+    holds, which are then followed there.  Output: ``table_name``.
     """
     available = available.select("table_name").distinct()
     if tables is None:
         return available
-    bad = unknown_tables(tables, available)
-    if not bad.isEmpty():
-        names = [r.table_name for r in bad.limit(50).collect()]
-        raise ValueError(f"invalid table names: {names}")
+    raise_if_any(unknown_tables(tables, available), "invalid table names")
     if edges is None:
         return tables.select("table_name").distinct()
-    scope = related_closure(edges, tables.select("table_name"), direction)
+    if isinstance(edges, DataFrame):
+        scope = related_closure(edges, tables.select("table_name"), direction)
+    else:
+        seeds = [r.table_name for r in tables.select("table_name").distinct().collect()]
+        scope = local_frame(tables.sparkSession, [(t,) for t in related_names(edges, seeds, direction)], TABLES_SCHEMA)
     # Related vertices that are not tables of the catalog are not refreshable.
     return scope.join(available, "table_name", "left_semi")
 
 
+def related_names(edges, seeds: list[str], direction: str = "both") -> list[str]:
+    """The seeds and every table reachable over a few pairs (src, dst) that the driver holds."""
+    if direction not in ("both", "out"):
+        raise ValueError("direction must be 'both' or 'out'")
+    near: dict[str, set] = {}
+    for src, dst in edges:
+        near.setdefault(src, set()).add(dst)
+        if direction == "both":
+            near.setdefault(dst, set()).add(src)
+    reached, todo = set(seeds), list(seeds)
+    while todo:
+        new = near.get(todo.pop(), set()) - reached
+        reached |= new
+        todo += new
+    return sorted(reached)
+
+
 def unavailable_tables(selected: DataFrame, available_partitions: DataFrame) -> DataFrame:
     """Selected tables that have no available partition (in scope)."""
     return (selected.select("table_name").distinct()
@@ -79,20 +100,21 @@ def invalid_selection(selected: DataFrame, available_partitions: DataFrame) -> D
 
 
 def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: DataFrame | None = None,
-                        mode: str = "documented", materialize: bool = True) -> DataFrame:
+                        mode: str = "documented") -> DataFrame:
     """(table_name, partition_name) to refresh.
 
     * no selection: every partition of every table in scope;
+    * a selection that names no table, or a record without a table or a partition: ``ValueError``;
     * selected tables without available partitions: warning only; if that
       is every selected table, everything in scope is refreshed;
-    * a selected partition that does not exist: ``ValueError``;
+    * a selected partition that does not exist: ``InvalidInput`` with all of them;
     * ``mode='documented'``: selected tables refresh only their listed
       partitions, other tables in scope refresh all of theirs;
     * ``mode='selected_only'``: only the listed partitions.
 
-    The available partitions are materialised first (local rows when small,
-    else a checkpoint), so the three checks run as one job and the result
-    does not recompute the catalog.
+    The catalog and the selection (one row per partition, the driver's own
+    metadata) are each computed once and held as local relations, so the checks and the
+    result never recompute what they were derived from.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -100,32 +122,33 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
                  .join(scope.select("table_name"), "table_name", "left_semi"))
     if selection is None:
         return available
-    # The catalog side may be derived from data (profiles), so it is
-    # materialised once (skip with ``materialize=False`` when ``partitions``
-    # already is); the parsed selection is cheap to recompute.
-    if materialize:
-        available, _ = materialize_bounded(available)
-    selected = explode_selection(selection)
+    spark = partitions.sparkSession
+    available = local_frame(spark, [tuple(r) for r in available.collect()], KEYS_SCHEMA)
+    named = selection.select("table", "selected_partitions")
+    selected = local_frame(spark, _named_partitions(named), KEYS_SCHEMA)
     chosen_tables = (selected.select("table_name").distinct()
                      .join(available.select("table_name"), "table_name", "left_semi"))
-    diagnostics = (
-        unavailable_tables(selected, available).limit(50)
-        .select(F.lit("unavailable").alias("kind"), "table_name", F.lit(None).cast("string").alias("partition_name"))
-        .unionByName(invalid_selection(selected, available).limit(50)
-                     .select(F.lit("invalid").alias("kind"), "table_name", "partition_name"))
-        .unionByName(chosen_tables.limit(1)
-                     .select(F.lit("chosen").alias("kind"), "table_name", F.lit(None).cast("string").alias("partition_name")))
-        .collect())
-    missing = [r.table_name for r in diagnostics if r.kind == "unavailable"]
+    missing = sorted(r.table_name for r in unavailable_tables(selected, available).collect())
     if missing:
-        log.warning("selected tables without available partitions: %s", missing)
-    if not any(r.kind == "chosen" for r in diagnostics):
+        log.warning("%d selected tables without available partitions: %s", len(missing), missing)
+    if chosen_tables.isEmpty():
         return available
-    bad = [(r.table_name, r.partition_name) for r in diagnostics if r.kind == "invalid"]
-    if bad:
-        raise ValueError(f"invalid partitions: {bad}")
+    raise_if_any(invalid_selection(selected, available), "invalid partitions")
     picked = available.join(selected, KEYS, "left_semi")
     if mode == "selected_only":
         return picked
     untouched = available.join(chosen_tables, "table_name", "left_anti")
     return picked.unionByName(untouched)
+
+
+def _named_partitions(selection: DataFrame) -> list[tuple]:
+    """Rows of ``explode_selection``, after a check that every record names a table and a partition."""
+    field = selection.schema["selected_partitions"].dataType
+    names = F.col("selected_partitions") if isinstance(field, T.ArrayType) else F.split("selected_partitions", ",")
+    names = F.filter(F.transform(names, lambda n: F.trim(n)), lambda n: n.isNotNull() & (n != ""))
+    rows = selection.select(F.trim("table").alias("table"), names.alias("names")).collect()
+    bad = [r.table for r in rows if not r.table or not r.names]
+    if bad or not rows:
+        raise ValueError(f"the selection has {len(bad)} records without a table or a partition: {bad}" if bad
+                         else "the selection names no table")
+    return sorted({(r.table, n) for r in rows for n in r.names})

@@ -55,7 +55,7 @@ def invalid_specs(spec: DataFrame, columns: DataFrame, for_refresh: bool = False
                   .select("table", "partition_by", F.lit(REASON_BAD_REFRESH_FROM).alias("reason"),
                           F.col("refresh_from").alias("value")))
         n = F.trim(F.col("number_of_intervals"))
-        n_ok = (n == ALL_TOKEN) | (n.rlike(r"^[0-9]{1,6}$") & (n.cast("int") >= 1))
+        n_ok = (n == ALL_TOKEN) | n.rlike(r"^0*[1-9][0-9]*$")
         bad_n = (spec.where(~F.coalesce(n_ok, F.lit(False)))
                  .select("table", "partition_by", F.lit(REASON_BAD_COUNT).alias("reason"),
                          F.col("number_of_intervals").alias("value")))
@@ -65,10 +65,22 @@ def invalid_specs(spec: DataFrame, columns: DataFrame, for_refresh: bool = False
 
 def check_specs(spec: DataFrame, columns: DataFrame, for_refresh: bool = False) -> None:
     """Raise ``ValueError`` listing the problems if any spec row is invalid."""
-    bad = invalid_specs(spec, columns, for_refresh)
-    if not bad.isEmpty():
-        sample = [r.asDict() for r in bad.limit(50).collect()]
-        raise ValueError(f"invalid partition spec: {sample}")
+    raise_if_any(invalid_specs(spec, columns, for_refresh), "invalid partition spec")
+
+
+class InvalidInput(ValueError):
+    """Input that names something wrong: ``problems`` has every one, ``count`` their number."""
+
+    def __init__(self, what: str, problems: list[dict]):
+        super().__init__(f"{what}: {len(problems)}: {problems}")
+        self.problems, self.count = problems, len(problems)
+
+
+def raise_if_any(problems: DataFrame, what: str) -> None:
+    """Raise ``InvalidInput`` with all rows of ``problems`` (one per bad entry of the caller's input)."""
+    rows = [r.asDict() for r in problems.collect()]
+    if rows:
+        raise InvalidInput(what, rows)
 
 
 def pending_partitions(expected: DataFrame, existing: DataFrame) -> DataFrame:

@@ -58,7 +58,27 @@ def _ranges(table: str, unit: str, first: str, first_p: str, last_p: str) -> str
 
 ORDERS_RANGES = _ranges("orders", "quarter", FIRST, "DATE '1995-01-01'", "DATE '2001-07-01'")
 ORDERS_TAGGED = _tagged("orders", "orders", "o_orderdate", "quarter")
-LINEITEM_Q_TAGGED = _tagged("lineitem", "lineitem", "l_shipdate", "quarter")
+
+
+def _first_day(table: str, col: str) -> str:
+    return f"(SELECT CAST(min({col}) AS DATE) FROM {table})"
+
+
+def _last_end(table: str, col: str, unit: str) -> str:
+    return f"(SELECT {_pend(_trunc(unit, f'max({col})'), UNIT_MONTHS[unit])} FROM {table})"
+
+
+def _whole(table: str, col: str, unit: str) -> str:
+    """All rows of a table, tagged by the periods of its own extent."""
+    return _tagged(table, table, col, unit, first=_first_day(table, col), last_day=_last_end(table, col, unit))
+
+
+def _whole_ranges(table: str, col: str, unit: str) -> str:
+    first, last = f"(SELECT {_trunc(unit, f'min({col})')} FROM {table})", f"(SELECT {_trunc(unit, f'max({col})')} FROM {table})"
+    return _ranges(table, unit, _first_day(table, col), first, last)
+
+
+LINEITEM_Q_TAGGED = _whole("lineitem", "l_shipdate", "quarter")
 
 # Refresh windows (see queries._refresh_spec), one CTE body per table.
 REFRESH_RANGES = f"""
@@ -88,18 +108,15 @@ _TABLE_EDGES = ("('lineitem','orders'),('lineitem','part'),('lineitem','supplier
 
 def _refresh_set(mode: str) -> str:
     catalog = " UNION ALL ".join(
-        [f"SELECT DISTINCT 'orders' AS table_name, partition_name FROM ({ORDERS_TAGGED}) "
-         "WHERE partition_name IS NOT NULL",
-         f"SELECT DISTINCT 'lineitem', partition_name FROM "
-         f"({_tagged('lineitem', 'lineitem', 'l_shipdate', 'year')}) WHERE partition_name IS NOT NULL",
-         f"SELECT DISTINCT 'events', partition_name FROM "
-         f"({_tagged('events', 'events', 'ts', 'month', first="DATE '2024-01-01'", last_day="DATE '2024-01-31'")}) "
-         "WHERE partition_name IS NOT NULL"]
+        [f"SELECT DISTINCT '{t}' AS table_name, partition_name FROM ({_whole(t, col, unit)}) WHERE partition_name IS NOT NULL"
+         for t, col, unit in (("orders", "o_orderdate", "quarter"), ("lineitem", "l_shipdate", "year"), ("events", "ts", "month"))]
         + [f"SELECT '{t}', '{t}' FROM {t} HAVING count(*) > 0"
            for t in ("region", "nation", "customer", "supplier", "part")])
     pick = ("SELECT a.table_name, a.partition_name FROM avail a "
             "WHERE EXISTS (SELECT 1 FROM sel s WHERE s.table_name = a.table_name "
             "AND s.partition_name = a.partition_name)")
+    if mode == "all":
+        pick = "SELECT table_name, partition_name FROM avail"
     if mode == "documented":
         pick += " OR a.table_name NOT IN (SELECT table_name FROM seltables)"
     return f"""
@@ -116,8 +133,19 @@ seltables AS (SELECT DISTINCT table_name FROM sel WHERE table_name IN (SELECT ta
 """
 
 
-_REFRESHED_QUARTERS = ("'lineitem_20001001_20001231', 'lineitem_20010101_20010331', "
-                       "'lineitem_20010401_20010630', 'lineitem_20010701_20010930'")
+_LINEITEM_QUARTERS = _whole_ranges("lineitem", "l_shipdate", "quarter")
+_REFRESHED_QUARTERS = f"SELECT partition_name FROM ({_LINEITEM_QUARTERS}) ORDER BY range_start DESC LIMIT 4"
+_FIRST_QUARTER = f"SELECT partition_name FROM ({_LINEITEM_QUARTERS}) ORDER BY range_start LIMIT 1"
+
+
+def _report(names: str) -> str:
+    return f"""
+        SELECT 'lineitem' AS table_name, partition_name, 'Completed' AS status,
+               count(*) AS "rows", CAST(NULL AS VARCHAR) AS error
+        FROM ({LINEITEM_Q_TAGGED}) WHERE partition_name IN ({names})
+        GROUP BY partition_name"""
+
+
 _REFRESH_READBACK = _profile("lineitem", LINEITEM_Q_TAGGED,
                              f"partition_name IN ({_REFRESHED_QUARTERS}) OR l_linestatus = 'O'")
 
@@ -156,8 +184,7 @@ SELECT "table", partition_by, 'invalid refresh_from', refresh_from FROM spec
 UNION ALL
 SELECT "table", partition_by, 'invalid number_of_intervals', number_of_intervals FROM spec
  WHERE NOT COALESCE(trim(number_of_intervals) = '*'
-                    OR (regexp_full_match(trim(number_of_intervals), '[0-9]{{1,6}}')
-                        AND TRY_CAST(trim(number_of_intervals) AS INTEGER) >= 1), false)
+                    OR regexp_full_match(trim(number_of_intervals), '0*[1-9][0-9]*'), false)
 """
 
 PERIOD_RANGES = f"""
@@ -206,11 +233,10 @@ WITH s AS (
 ), r AS (
   SELECT 'orders' AS table_name, {_name("'orders'", 'greatest(p, fd)', _pend('p', 'k'))} AS partition_name,
          greatest(p, fd) AS range_start, {_pend('p', 'k')} AS range_end FROM p
-), w AS (
-  SELECT *, lead(range_start) OVER o AS next_start, lead(partition_name) OVER o AS next_partition
-  FROM r WINDOW o AS (PARTITION BY table_name ORDER BY range_start, range_end, partition_name)
 )
-SELECT * FROM w WHERE next_start <= range_end
+SELECT a.*, b.range_start AS next_start, b.partition_name AS next_partition FROM r a, r b
+WHERE a.partition_name <> b.partition_name AND a.range_start <= b.range_end AND b.range_start <= a.range_end
+  AND (a.range_start, a.range_end, a.partition_name) < (b.range_start, b.range_end, b.partition_name)
 """
 
 ORACLE_SQL = {
@@ -234,8 +260,8 @@ ORACLE_SQL = {
         WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-21'""",
     "partition_profile_lineitem": _profile("lineitem", LINEITEM_Q_TAGGED),
     "pending_partitions": f"""
-        WITH r AS ({ORDERS_RANGES}),
-        existing AS (SELECT DISTINCT partition_name FROM ({ORDERS_TAGGED})
+        WITH r AS ({_whole_ranges('orders', 'o_orderdate', 'quarter')}),
+        existing AS (SELECT DISTINCT partition_name FROM ({_whole('orders', 'o_orderdate', 'quarter')})
                      WHERE partition_name IS NOT NULL
                        AND {_trunc('quarter', 'd')} NOT IN
                            (DATE '1996-04-01', DATE '1998-07-01', DATE '2000-10-01'))
@@ -260,12 +286,23 @@ ORACLE_SQL = {
               FROM ({REFRESH_RANGES}) GROUP BY table_name)""",
     "refresh_set_documented": _refresh_set("documented"),
     "refresh_set_selected_only": _refresh_set("selected_only"),
-    "materialize_readback": _profile("orders", ORDERS_TAGGED),
+    "refresh_set_all_unavailable": _refresh_set("all"),
+    "unknown_tables": "SELECT DISTINCT event_type AS table_name FROM events",
+    "unavailable_tables": f"SELECT DISTINCT table_name FROM ({REFRESH_RANGES}) WHERE table_name <> 'orders'",
+    "invalid_selection": f"""
+        SELECT table_name, partition_name FROM ({REFRESH_RANGES}) WHERE table_name = 'orders' AND partition_name NOT IN
+            (SELECT partition_name FROM ({_whole('orders', 'o_orderdate', 'quarter')})
+             WHERE partition_name IS NOT NULL AND month(d) <= 6)""",
+    "materialize_readback": _profile("orders", _whole("orders", "o_orderdate", "quarter")),
+    "rematerialize_after_empty": _profile("orders", _whole("orders", "o_orderdate", "year"), "year(d) <> 1998"),
+    "manifest_empty_partitions": f"""
+        WITH r AS ({_ranges('events', 'month', _first_day('events', 'ts'), f"(SELECT {_trunc('month', 'min(ts)')} FROM events)",
+                            f"(SELECT CAST({_trunc('month', 'max(ts)')} + INTERVAL 62 DAY AS DATE) FROM events)")}),
+        p AS ({_profile('events', _whole('events', 'ts', 'month'))})
+        SELECT r.table_name, r.partition_name, coalesce(p.n_rows, 0) AS n_rows, p.min_date, p.max_date
+        FROM r LEFT JOIN p ON p.partition_name = r.partition_name""",
+    "run_precedence": _report(_FIRST_QUARTER),
     "refresh_transactional_readback": _REFRESH_READBACK,
     "refresh_partial_readback": _REFRESH_READBACK,
-    "refresh_report": f"""
-        SELECT 'lineitem' AS table_name, partition_name, 'Completed' AS status,
-               count(*) AS "rows", CAST(NULL AS VARCHAR) AS error
-        FROM ({LINEITEM_Q_TAGGED}) WHERE partition_name IN ({_REFRESHED_QUARTERS})
-        GROUP BY partition_name""",
+    "refresh_report": _report(_REFRESHED_QUARTERS),
 }

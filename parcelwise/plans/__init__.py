@@ -9,6 +9,7 @@ from .partition import (  # noqa: F401
     write_default_partition,
 )
 from .refresh import (  # noqa: F401
+    RefreshFailed,
     check_report,
     refresh,
     refresh_partial_batch,

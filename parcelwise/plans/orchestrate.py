@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.ranges import refresh_ranges, selection_list
 from ..operators.validate import check_specs
 from ..sources.control import columns_catalog, read_spec
-from .partition import TableBinding, partition_tables
-from .refresh import refresh
+from .partition import TableBinding, checked_spec, partition_tables
+from .refresh import check_request, refresh
 
 log = logging.getLogger("parcelwise.run")
 
@@ -33,26 +33,36 @@ def derived_selection(spark: SparkSession, spec, as_of, columns: DataFrame | Non
     return selection_list(refresh_ranges(spec_df, as_of))
 
 
+def _blank(value) -> bool:
+    return value is None or (isinstance(value, str) and not value.strip())
+
+
 def run(spark: SparkSession, bindings: Mapping[str, TableBinding], as_of, *,
         partitions_config=None, enable_partition: bool = True, enable_refresh: bool = True,
         tables_to_refresh=None, partitions_to_refresh=None,
         refresh_commit_mode: str = "transactional", refresh_max_parallelism: int = 4,
-        edges: DataFrame | None = None, mode: str = "documented") -> DataFrame | None:
-    """Partition (if enabled) and refresh (if enabled); returns the refresh report."""
-    has_spec = partitions_config is not None and not (
-        isinstance(partitions_config, str) and not partitions_config.strip())
+        edges=None, direction: str = "both", mode: str = "documented") -> DataFrame | None:
+    """Partition (if enabled) and refresh (if enabled); returns the refresh report.
+
+    Spec, table list, selection, refresh window and options are all checked before anything is written.
+    """
+    has_spec = not _blank(partitions_config)
+    derive = enable_refresh and has_spec and _blank(partitions_to_refresh)
+    if enable_partition and not has_spec:
+        raise ValueError("a partition spec is required for partitioning")
+    if has_spec:
+        partitions_config = checked_spec(spark, partitions_config, bindings, for_refresh=derive)
+    if enable_refresh:
+        check_request(spark, bindings, tables_to_refresh, partitions_to_refresh, refresh_commit_mode,
+                      refresh_max_parallelism, edges, direction, mode)
     if enable_partition:
-        if not has_spec:
-            raise ValueError("a partition spec is required for partitioning")
         partition_tables(spark, partitions_config, bindings, as_of)
     if not enable_refresh:
         return None
-    selection = partitions_to_refresh
-    blank = selection is None or (isinstance(selection, str) and not selection.strip())
-    if blank and has_spec:
+    selection = None if _blank(partitions_to_refresh) else partitions_to_refresh
+    if derive:
         selection = derived_selection(spark, partitions_config, as_of, bindings=bindings)
-    elif blank:
+    elif selection is None:
         log.warning("no refresh information given: every partition in scope is refreshed")
-        selection = None
     return refresh(spark, bindings, tables_to_refresh, selection, refresh_commit_mode,
-                   refresh_max_parallelism, edges=edges, mode=mode)
+                   refresh_max_parallelism, edges=edges, direction=direction, mode=mode)

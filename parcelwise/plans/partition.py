@@ -3,34 +3,36 @@
 Flow per table, in spec order (a failure stops the run; tables done before
 it stay done): ranges from the spec (W2) -> pending = ranges not in the
 manifest (W7) -> write the pending partitions' rows and record them in the
-manifest (W13) -> retire the catch-all partition.  Re-running is safe:
-written names leave the pending set, and each write replaces only its own
-partitions.
+manifest (W13) -> retire the catch-all partition.  Re-running is safe, also
+after a run that broke off between two steps: a range is pending until the manifest
+names it, its write replaces its own partition, and a pending range without source rows
+is cleared of what an earlier run left there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.periods import as_date
 from ..operators.assign import assign_by_ranges, uncovered_rows
 from ..operators.ranges import overlapping_ranges, period_ranges
-from ..operators.validate import check_specs, pending_partitions
+from ..operators.validate import check_specs, pending_partitions, raise_if_any
+from ..session import local_frame
 from ..sources.control import RANGES_SCHEMA, columns_catalog, read_spec
 from ..sources.storage import (
     PARTITION_COLUMN,
     drop_from_manifest,
-    partition_dir,
     clear_directory,
+    partition_dir,
+    path_exists,
     read_manifest,
-    read_table,
     write_manifest,
     write_partitions,
 )
@@ -79,8 +81,50 @@ def _span_filter(df: DataFrame, date_col: str, ranges: list) -> DataFrame:
 def write_default_partition(source: DataFrame, root: str, table: str) -> None:
     """Store ``source`` whole as the catch-all partition named ``table``."""
     spark = source.sparkSession
-    write_partitions(source.withColumn(PARTITION_COLUMN, F.lit(table)), root)
-    write_manifest(spark.createDataFrame([(table, table, None, None)], RANGES_SCHEMA), root)
+    write_partitions(source.withColumn(PARTITION_COLUMN, F.lit(table)), root, one_name=True)
+    write_manifest(spark, [(table, table, None, None)], root)
+
+
+def write_ranges(source: DataFrame, root: str, date_col: str, ranges: list, rebalance: bool = True) -> None:
+    """Replace the partitions of ``ranges`` (driver-side rows with dates) by the source's rows in them.
+
+    One job reads the source between the ranges' literal bounds, tags, writes by dynamic partition overwrite
+    and observes which names got rows; the others are cleared, after a probe of their own bounds.
+    """
+    rows = assign_by_ranges(_span_filter(source, date_col, ranges), date_col, ranges, keep_unmatched=False)
+    write_observed(rows, source, root, [r.partition_name for r in ranges],
+                   lambda names: _span_filter(source, date_col, [r for r in ranges if r.partition_name in names]), rebalance)
+
+
+def write_observed(rows: DataFrame, source: DataFrame, root: str, names: list[str],
+                   source_of: Callable[[set], DataFrame], rebalance: bool = True) -> None:
+    """Write tagged ``rows`` and clear those of ``names`` that got none.
+
+    ``source_of`` gives the source rows of some names.  A name without a metric counts as unknown until a probe
+    finds that the source has no row for it, so a lost metric never wipes a partition.
+    """
+    spark = source.sparkSession
+    seen = Observation()
+    write_partitions(rows.observe(seen, F.collect_set(PARTITION_COLUMN).alias("names")), root, rebalance, one_name=len(names) == 1)
+    emptied = sorted(set(names) - _observed(seen))
+    if not emptied:
+        return
+    if not source_of(set(emptied)).isEmpty():
+        raise RuntimeError(f"published, but could not confirm that {emptied} have no source rows; a re-run finishes the job")
+    try:
+        for name in emptied:
+            if path_exists(spark, partition_dir(root, name)):
+                clear_directory(spark, partition_dir(root, name), source.schema)
+    except Exception as exc:
+        raise RuntimeError(f"published, but clearing the emptied partitions {emptied} failed ({exc}); a re-run finishes the job") from exc
+
+
+def _observed(seen: Observation) -> set:
+    """Names that got rows; none where no task ran the observed plan (there is no metric then)."""
+    try:
+        return set(seen.get.get("names") or [])
+    except Py4JJavaError:
+        return set()
 
 
 def materialize_partitions(source: DataFrame, root: str, pending: DataFrame,
@@ -89,9 +133,9 @@ def materialize_partitions(source: DataFrame, root: str, pending: DataFrame,
     """Write the rows of the ``pending`` ranges as partitions under ``root``.
 
     Refuses a range set that overlaps itself or the partitions already in
-    the manifest.  Rows are tagged by the bucketed interval join (W4),
+    the manifest, with all overlapping pairs.  Rows are tagged by the bucketed interval join (W4),
     restricted to the literal span of the pending ranges so the scan skips
-    the rest, and written by dynamic partition overwrite; then the ranges
+    the rest, and written by dynamic partition overwrite (see ``write_ranges``); then the ranges
     are recorded in the manifest, so a range with no rows still exists.
     Returns the written names.
     """
@@ -101,15 +145,10 @@ def materialize_partitions(source: DataFrame, root: str, pending: DataFrame,
     todo = pending.select(*RANGES_SCHEMA.names).collect()
     if not todo:
         return []
-    todo_df = spark.createDataFrame(todo, RANGES_SCHEMA)
-    existing = read_manifest(spark, root)
-    overlaps = overlapping_ranges(existing.unionByName(todo_df).distinct())
-    if not overlaps.isEmpty():
-        raise ValueError(f"overlapping ranges: {[r.asDict() for r in overlaps.limit(20).collect()]}")
-    tagged = assign_by_ranges(_span_filter(source, date_col, todo), date_col,
-                              [tuple(r) for r in todo], keep_unmatched=False)
-    write_partitions(tagged, root, rebalance=rebalance)
-    write_manifest(todo_df, root)
+    both = read_manifest(spark, root).unionByName(local_frame(spark, [tuple(r) for r in todo], RANGES_SCHEMA))
+    raise_if_any(overlapping_ranges(both), "overlapping ranges")
+    write_ranges(source, root, date_col, todo, rebalance)
+    write_manifest(spark, todo, root, date_col)
     return [r.partition_name for r in todo]
 
 
@@ -130,14 +169,26 @@ def retire_default(spark: SparkSession, root: str, table: str, *, source: DataFr
         if not lost.isEmpty():
             raise ValueError(f"retiring the catch-all partition of {table!r} would hide "
                              "rows that fall in no range")
-    data = read_table(spark, root)
-    if data is not None:
-        data_schema = T.StructType([f for f in data.schema.fields if f.name != PARTITION_COLUMN])
-        clear_directory(spark, partition_dir(root, table), data_schema)
+    own = partition_dir(root, table)
+    if path_exists(spark, own):
+        clear_directory(spark, own, spark.read.parquet(own).schema)
     drop_from_manifest(spark, root, [table])
     return True
 
 
+def checked_spec(spark: SparkSession, spec, bindings: Mapping[str, TableBinding], columns: DataFrame | None = None,
+                 for_refresh: bool = False) -> DataFrame:
+    """The spec, after all its checks (W1): every table is bound, every column, date and interval is usable."""
+    spec_df = read_spec(spark, spec)
+    if columns is None:
+        columns = columns_catalog(spark, {t: b.source for t, b in bindings.items()})
+    check_specs(spec_df, columns, for_refresh)
+    unbound = sorted({r.table for r in spec_df.collect()} - set(bindings))
+    if unbound:
+        raise ValueError(f"no source and target are given for the tables {unbound}")
+    return spec_df
+
+
 def partition_tables(spark: SparkSession, spec, bindings: Mapping[str, TableBinding], as_of,
                      columns: DataFrame | None = None, require_covered: bool = False) -> dict:
     """Entry point "partition": validate the spec, then create partitions table by table.
@@ -146,16 +197,13 @@ def partition_tables(spark: SparkSession, spec, bindings: Mapping[str, TableBind
     catalog defaults to the bindings' source schemas.  Returns
     {table: [created partition names]}.
     """
-    spec_df = read_spec(spark, spec)
-    if columns is None:
-        columns = columns_catalog(spark, {t: b.source for t, b in bindings.items()})
-    check_specs(spec_df, columns)
+    spec_df = checked_spec(spark, spec, bindings, columns)
     created = {}
     for row in spec_df.collect():
         table = row["table"]
         binding = bindings[table]
         date_col = row["partition_by"]
-        one = spark.createDataFrame([row.asDict()], spec_df.schema)
+        one = local_frame(spark, [tuple(row)], spec_df.schema)
         expected = period_ranges(one, as_of)
         existing = read_manifest(spark, binding.root)
         pending = pending_partitions(expected, existing)

@@ -25,24 +25,15 @@ import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.periods import in_day_range
-from ..operators.assign import assign_by_ranges
-from ..operators.selection import refresh_scope, resolve_refresh_set
-from ..session import materialize_bounded
-from ..sources.control import RANGES_SCHEMA, read_selection, table_list
-from ..sources.storage import (
-    PARTITION_COLUMN,
-    clear_directory,
-    partition_dir,
-    read_manifest,
-    read_table,
-    write_partitions,
-)
-from .partition import TableBinding, _span_filter
+from ..operators.selection import KEYS_SCHEMA, MODES, refresh_scope, resolve_refresh_set
+from ..session import local_frame
+from ..sources.control import TABLES_SCHEMA, read_selection, table_list
+from ..sources.storage import PARTITION_COLUMN, manifest_rows, read_partitions
+from .partition import TableBinding, write_observed, write_ranges
 
 log = logging.getLogger("parcelwise.refresh")
 
@@ -60,50 +51,21 @@ COMPLETED = "Completed"
 FAILED = "Failed"
 
 
-def _selected_ranges(spark: SparkSession, root: str, names: list[str]) -> list:
-    if not names:
-        return []
-    return (read_manifest(spark, root)
-            .where(F.col("partition_name").isin(names))
-            .collect())
+def _ranges_of(spark: SparkSession, root: str, table: str, names: list[str]) -> list:
+    """Manifest rows of the named partitions; all of them must exist."""
+    rows = [r for r in manifest_rows(spark, [root]) if r.table_name == table and r.partition_name in names]
+    unknown = sorted(set(names) - {r.partition_name for r in rows})
+    if unknown:
+        raise ValueError(f"partitions not in the manifest of {table!r}: {unknown}")
+    return rows
 
 
-def _rows_for(binding: TableBinding, table: str, ranges: list) -> DataFrame:
-    """Source rows tagged with the selected partition names."""
-    spark = binding.source.sparkSession
-    dated = [r for r in ranges if r.range_start is not None]
-    parts = []
-    if dated:
-        span = _span_filter(binding.source, binding.date_col, dated)
-        parts.append(assign_by_ranges(span, binding.date_col, [tuple(r) for r in dated],
-                                      keep_unmatched=False))
-    if any(r.range_start is None for r in ranges):
-        # The catch-all partition holds the whole source.
-        parts.append(binding.source.withColumn(PARTITION_COLUMN, F.lit(table)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _write_observed(rows: DataFrame, binding: TableBinding, names: list[str],
-                    rebalance: bool) -> None:
-    """Write ``rows`` and clear the selected names that got no rows."""
-    spark = rows.sparkSession
-    obs = Observation()
-    observed = rows.observe(obs, F.collect_set(PARTITION_COLUMN).alias("names"))
-    write_partitions(observed, binding.root, rebalance=rebalance)
-    # An empty metrics row means no task ran the observed plan: nothing written.
-    written = set(obs.get.get("names") or []) if obs._jo.getRow().length() else set()
-    emptied = [n for n in names if n not in written]
-    if not emptied:
-        return
-    # Emptied partitions are rare; confirm with an existence probe before
-    # deleting anything, so a lost metric can never wipe a partition.
-    if not rows.where(F.col(PARTITION_COLUMN).isin(emptied)).isEmpty():
-        raise RuntimeError(f"could not confirm that {emptied} have no source rows")
-    for name in emptied:
-        clear_directory(spark, partition_dir(binding.root, name), binding.source.schema)
+def _date_col(binding: TableBinding, table: str, ranges: list) -> str:
+    """The column the ranges are dated by: the binding's, else the one recorded when they were created."""
+    recorded = {r.date_col for r in ranges if r.date_col}
+    if binding.date_col or len(recorded) == 1:
+        return binding.date_col or recorded.pop()
+    raise ValueError(f"the date column of {table!r} is neither given nor recorded with its partitions")
 
 
 def refresh_transactional(binding: TableBinding, table: str, names: list[str],
@@ -112,16 +74,14 @@ def refresh_transactional(binding: TableBinding, table: str, names: list[str],
 
     ``ranges`` (manifest rows of ``names``) may be passed when already known.
     """
-    spark = binding.source.sparkSession
     if ranges is None:
-        ranges = _selected_ranges(spark, binding.root, names)
-    known = {r.partition_name for r in ranges}
-    unknown = [n for n in names if n not in known]
-    if unknown:
-        raise ValueError(f"partitions not in the manifest of {table!r}: {unknown}")
-    if not ranges:
-        return
-    _write_observed(_rows_for(binding, table, ranges), binding, names, rebalance)
+        ranges = _ranges_of(binding.source.sparkSession, binding.root, table, names)
+    dated = [r for r in ranges if r.range_start is not None]
+    if dated:
+        write_ranges(binding.source, binding.root, _date_col(binding, table, dated), dated, rebalance)
+    if len(dated) < len(ranges):  # the catch-all partition holds the whole source
+        write_observed(binding.source.withColumn(PARTITION_COLUMN, F.lit(table)), binding.source, binding.root,
+                       [table], lambda _: binding.source, rebalance)
 
 
 def refresh_partial_batch(bindings: Mapping[str, TableBinding], refresh_set: list[tuple[str, str]],
@@ -141,25 +101,12 @@ def refresh_partial_batch(bindings: Mapping[str, TableBinding], refresh_set: lis
     work = []
     for table, names in by_table.items():
         binding = bindings[table]
-        spark = binding.source.sparkSession
-        rows = (known_ranges or {}).get(table)
-        if rows is None:
-            rows = _selected_ranges(spark, binding.root, names)
-        ranges = {r.partition_name: r for r in rows}
-        for name in names:
-            work.append((table, name, binding, ranges.get(name)))
+        rows = (known_ranges or {}).get(table) or _ranges_of(binding.source.sparkSession, binding.root, table, names)
+        work += [(table, r.partition_name, binding, r) for r in rows if r.partition_name in names]
 
     def run_one(item):
         table, name, binding, rng = item
-        if rng is None:
-            raise ValueError(f"partition {name!r} is not in the manifest of {table!r}")
-        if rng.range_start is None:
-            rows = binding.source.withColumn(PARTITION_COLUMN, F.lit(name))
-        else:
-            rows = (binding.source
-                    .where(in_day_range(binding.date_col, rng.range_start, rng.range_end))
-                    .withColumn(PARTITION_COLUMN, F.lit(name)))
-        _write_observed(rows, binding, [name], rebalance)
+        refresh_transactional(binding, table, [name], rebalance, [rng])
 
     failures = {}
     with ThreadPoolExecutor(max_workers=max_parallelism) as pool:
@@ -180,114 +127,99 @@ def refresh_report(spark: SparkSession, bindings: Mapping[str, TableBinding],
     partition directories.
     """
     failures = failures or {}
-    wanted = spark.createDataFrame(
-        [(t, n, failures.get((t, n))) for t, n in refresh_set],
-        "table_name string, partition_name string, error string")
-    counts = []
+    counts = None
     by_table: dict[str, list[str]] = {}
     for t, n in refresh_set:
         by_table.setdefault(t, []).append(n)
     for table, names in by_table.items():
-        data = read_table(spark, bindings[table].root, bindings[table].source.schema)
+        data = read_partitions(spark, bindings[table].root, names, bindings[table].source.schema)
         if data is None:
             continue
-        counts.append(data.where(F.col(PARTITION_COLUMN).isin(names))
-                      .groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("rows"))
-                      .select(F.lit(table).alias("table_name"), PARTITION_COLUMN, "rows"))
-    if counts:
-        all_counts = counts[0]
-        for c in counts[1:]:
-            all_counts = all_counts.unionByName(c)
-        joined = wanted.join(all_counts, ["table_name", "partition_name"], "left")
-    else:
-        joined = wanted.withColumn("rows", F.lit(None).cast("bigint"))
-    rows = joined.select(
-        "table_name", "partition_name",
-        F.when(F.col("error").isNull(), F.lit(COMPLETED)).otherwise(F.lit(FAILED)).alias("status"),
-        F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
-        "error").collect()
-    # One row per refreshed partition: kept as a local frame so checking and
+        part = (data.groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(table).alias("table_name"), PARTITION_COLUMN, "rows"))
+        counts = part if counts is None else counts.unionByName(part)
+    found = {(r.table_name, r[PARTITION_COLUMN]): r["rows"] for r in counts.collect()} if counts is not None else {}
+    # One row per refreshed partition: a local frame, so checking and
     # returning it does not read the target again.
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return local_frame(spark, [(t, n, COMPLETED if failures.get((t, n)) is None else FAILED, found.get((t, n), 0),
+                                failures.get((t, n))) for t, n in sorted(set(refresh_set))], REPORT_SCHEMA)
 
 
-def _raise_failed(rows) -> None:
-    bad = [r.asDict() for r in rows if r.status != COMPLETED]
+def check_report(report: DataFrame) -> None:
+    """Raise ``RefreshFailed`` with every partition that did not complete."""
+    bad = [r.asDict() for r in report.collect() if r.status != COMPLETED]
     if bad:
-        raise RuntimeError(f"refresh failed: {bad[:20]}")
+        raise RefreshFailed(bad)
 
 
-def check_report(report: DataFrame) -> None:
-    """Raise ``RuntimeError`` unless every partition completed."""
-    _raise_failed(report.where(F.col("status") != COMPLETED).limit(20).collect())
+class RefreshFailed(RuntimeError):
+    """Some partitions were not refreshed: ``failures`` has a row for each."""
 
+    def __init__(self, failures: list[dict]):
+        super().__init__(f"refresh failed: {len(failures)}: {failures}")
+        self.failures = failures
 
-def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBinding]) -> DataFrame:
-    """Partition catalog of all bound tables (from their manifests)."""
-    frames = [read_manifest(spark, b.root).where(F.col("table_name") == t)
-              for t, b in bindings.items()]
-    if not frames:
-        return spark.createDataFrame([], RANGES_SCHEMA)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+
+def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBinding]) -> list:
+    """Partition catalog of all bound tables: manifest rows, read by one job."""
+    own = {(b.root, t) for t, b in bindings.items()}
+    return [r for r in manifest_rows(spark, {t: b.root for t, b in bindings.items()})
+            if any(t == r.table_name for _, t in own)]
+
+
+def check_request(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to_refresh=None, partitions_to_refresh=None,
+                  commit_mode: str = "transactional", max_parallelism: int = 4, edges=None, direction: str = "both",
+                  mode: str = "documented") -> tuple[DataFrame, DataFrame | None]:
+    """(scope, selection) of a refresh, after every check that needs no partition catalog."""
+    if commit_mode not in COMMIT_MODES:
+        raise ValueError(f"commit_mode must be one of {COMMIT_MODES}")
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if isinstance(max_parallelism, bool) or not isinstance(max_parallelism, int) or max_parallelism < 1:
+        raise ValueError("max_parallelism must be an integer >= 1")
+    available = local_frame(spark, [(t,) for t in bindings], TABLES_SCHEMA)
+    scope = refresh_scope(table_list(spark, tables_to_refresh), available, edges, direction)
+    return scope, read_selection(spark, partitions_to_refresh)
 
 
 def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to_refresh=None,
             partitions_to_refresh=None, commit_mode: str = "transactional",
-            max_parallelism: int = 4, edges: DataFrame | None = None,
+            max_parallelism: int = 4, edges=None,
             direction: str = "both", mode: str = "documented", raise_on_failure: bool = True,
             rebalance: bool = True) -> DataFrame:
-    """Entry point "refresh": scope -> refresh set (W12) -> W14 or W15 -> report."""
-    if commit_mode not in COMMIT_MODES:
-        raise ValueError(f"commit_mode must be one of {COMMIT_MODES}")
-    available_tables = spark.createDataFrame([(t,) for t in bindings], "table_name string")
-    if edges is None and isinstance(tables_to_refresh, (str, list, tuple)):
-        # A name list given as text: check it against the bound tables here.
-        names = [t.strip() for t in (tables_to_refresh.split(",") if isinstance(tables_to_refresh, str)
-                                     else tables_to_refresh) if t and t.strip()]
-        unknown = sorted(set(names) - set(bindings))
-        if unknown:
-            raise ValueError(f"invalid table names: {unknown}")
-        scope = (spark.createDataFrame([(t,) for t in dict.fromkeys(names)], "table_name string")
-                 if names else available_tables)
-    else:
-        scope = refresh_scope(table_list(spark, tables_to_refresh), available_tables, edges, direction)
-    # Manifests are read once; their rows (one per partition) drive the rest.
-    partitions, _ = materialize_bounded(available_partitions(spark, bindings))
-    selection = read_selection(spark, partitions_to_refresh)
-    chosen = resolve_refresh_set(scope, partitions, selection, mode, materialize=False)
-    # The refresh set with its manifest ranges, in one small collect.
-    chosen_rows = (chosen.join(partitions, ["table_name", "partition_name"])
-                   .select(*RANGES_SCHEMA.names).distinct()
-                   .orderBy("table_name", "partition_name").collect())
-    refresh_set = [(r.table_name, r.partition_name) for r in chosen_rows]
+    """Entry point "refresh": scope -> refresh set (W12) -> W14 or W15 -> report.
+
+    ``edges`` relates tables: a DataFrame (src, dst) or pairs.  Everything is checked before anything is written.
+    """
+    scope, selection = check_request(spark, bindings, tables_to_refresh, partitions_to_refresh, commit_mode,
+                                     max_parallelism, edges, direction, mode)
+    catalog = {(r.table_name, r.partition_name): r for r in available_partitions(spark, bindings)}
+    partitions = local_frame(spark, list(catalog), KEYS_SCHEMA)
+    chosen = resolve_refresh_set(scope, partitions, selection, mode)
+    refresh_set = sorted({(r.table_name, r.partition_name) for r in chosen.collect()})
     known: dict[str, list] = {}
-    for r in chosen_rows:
-        known.setdefault(r.table_name, []).append(r)
+    for key in refresh_set:
+        known.setdefault(key[0], []).append(catalog[key])
+    for table, ranges in known.items():
+        if any(r.range_start is not None for r in ranges):
+            _date_col(bindings[table], table, [r for r in ranges if r.range_start is not None])
     failures: dict = {}
     if commit_mode == "transactional":
-        if max_parallelism < 1:
-            raise ValueError("max_parallelism must be >= 1")
-        by_table: dict[str, list[str]] = {}
-        for t, n in refresh_set:
-            by_table.setdefault(t, []).append(n)
         # One job per table, up to max_parallelism tables at once; each table
         # publishes all of its selected partitions or none.
         with ThreadPoolExecutor(max_workers=max_parallelism) as pool:
-            futures = {table: pool.submit(refresh_transactional, bindings[table], table, names,
-                                          rebalance, known[table])
-                       for table, names in by_table.items()}
+            futures = {table: pool.submit(refresh_transactional, bindings[table], table,
+                                          [r.partition_name for r in ranges], rebalance, ranges)
+                       for table, ranges in known.items()}
             for table, fut in futures.items():
                 exc = fut.exception()
                 if exc is not None:
                     log.error("refresh of %s failed: %s", table, exc)
-                    for n in by_table[table]:
-                        failures[(table, n)] = f"{type(exc).__name__}: {exc}"
+                    for r in known[table]:
+                        failures[(table, r.partition_name)] = f"{type(exc).__name__}: {exc}"
     else:
         failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance, known)
     report = refresh_report(spark, bindings, refresh_set, failures)
     if raise_on_failure:
-        _raise_failed(report.collect())  # a local frame: no job on the target
+        check_report(report)  # a local frame: no job on the target
     return report

@@ -6,7 +6,8 @@ table), so the work grows with the tables.  Column names are aliased the
 same way on both sides.
 
 Fixed query parameters: ``FIRST_DATE`` is deliberately off a quarter
-boundary; ``AS_OF`` lies inside the orders / lineitem date range.
+boundary and ``AS_OF`` lies inside the date range, for the queries whose feature is that rows before the
+first date or after the last period are in no partition (assign, quarter profile, uncovered rows).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from .functions.periods import as_date, day_of
 from .operators.assign import (
     assign_by_ranges,
     assign_partition,
+    calendar_profile,
     partition_profile,
     slice_partition,
     uncovered_rows,
@@ -33,13 +35,21 @@ from .operators.ranges import (
     selection_json,
     selection_list,
 )
-from .operators.selection import explode_selection, refresh_scope, resolve_refresh_set
+from .operators.selection import (
+    explode_selection,
+    invalid_selection,
+    refresh_scope,
+    resolve_refresh_set,
+    unavailable_tables,
+    unknown_tables,
+)
 from .operators.validate import invalid_specs, pending_partitions
-from .plans.partition import TableBinding, partition_tables, write_default_partition
+from .plans.orchestrate import run
+from .plans.partition import TableBinding, partition_tables, write_default_partition, write_ranges
 from .plans.refresh import refresh
-from .session import scratch_path
+from .session import drop_folder, local_frame, scratch_path
 from .sources.control import columns_catalog, read_spec, table_list
-from .sources.storage import read_table
+from .sources.storage import read_manifest, read_table
 
 FIRST_DATE = "19950215"
 AS_OF = dt.date(2001, 8, 1)
@@ -111,6 +121,25 @@ def _refresh_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(lineitem).unionByName(events)
 
 
+def _extent(df: DataFrame, col: str) -> tuple[dt.date, dt.date]:
+    """First and last day of a table's date column; no days (first after last) for an empty table."""
+    row = df.agg(F.to_date(F.min(col)), F.to_date(F.max(col))).first()
+    return (row[0], row[1]) if row[0] else (dt.date(2, 1, 1), dt.date(1, 1, 1))
+
+
+def _whole_profile(spark, sf_dir, table, col, interval):
+    """Profile of all of a table's rows by calendar period."""
+    df = _t(spark, sf_dir, table)
+    return calendar_profile(df, table, col, interval, *_extent(df, col))
+
+
+def _kept(spark, root, df: DataFrame) -> DataFrame:
+    """A small result read from a scratch table, held by the driver so the table can go."""
+    out = local_frame(spark, [tuple(r) for r in df.collect()], df.schema)
+    drop_folder(spark, root)
+    return out
+
+
 def _orders_tagged(spark, sf_dir):
     return assign_partition(_t(spark, sf_dir, "orders"), "orders", "o_orderdate", "QUARTER",
                             FIRST_DATE, AS_OF)
@@ -126,8 +155,8 @@ def _orders_ranges(spark):
 
 def q_orders_quarter_profile(spark, sf_dir):
     """Flagship: W2 -> W3 -> W6, every planned quarter with its row count."""
-    return partition_profile(_orders_tagged(spark, sf_dir), "o_orderdate", "orders",
-                             manifest=_orders_ranges(spark))
+    return calendar_profile(_t(spark, sf_dir, "orders"), "orders", "o_orderdate", "QUARTER", FIRST_DATE, AS_OF,
+                            manifest=_orders_ranges(spark))
 
 
 def q_invalid_specs(spark, sf_dir):
@@ -176,16 +205,16 @@ def q_slice_partition_events(spark, sf_dir):
 
 
 def q_partition_profile_lineitem(spark, sf_dir):
-    tagged = assign_partition(_t(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "QUARTER",
-                              FIRST_DATE, AS_OF)
-    return partition_profile(tagged, "l_shipdate", "lineitem")
+    return _whole_profile(spark, sf_dir, "lineitem", "l_shipdate", "QUARTER")
 
 
 def q_pending_partitions(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders")
+    first, last = _extent(orders, "o_orderdate")
     q = F.trunc(day_of("o_orderdate"), "QUARTER")
-    kept = _orders_tagged(spark, sf_dir).where(~q.isin([as_date(d) for d in DROPPED_QUARTERS]))
-    existing = partition_profile(kept, "o_orderdate", "orders")
-    return pending_partitions(_orders_ranges(spark), existing)
+    kept = orders.where(~q.isin([as_date(d) for d in DROPPED_QUARTERS]))
+    existing = calendar_profile(kept, "orders", "o_orderdate", "QUARTER", first, last)
+    return pending_partitions(period_ranges(_spec_row(orders, "orders", "o_orderdate", "QUARTER")), existing)
 
 
 def q_uncovered_rows_orders(spark, sf_dir):
@@ -227,14 +256,9 @@ def q_related_closure(spark, sf_dir):
 def _catalog_partitions(spark, sf_dir):
     """Partition catalog derived from the data: quarters of orders, years of
     lineitem, months of events, and the catch-all partition of the others."""
-    orders = partition_profile(_orders_tagged(spark, sf_dir), "o_orderdate", "orders")
-    lineitem = partition_profile(
-        assign_partition(_t(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "YEAR",
-                         FIRST_DATE, AS_OF), "l_shipdate", "lineitem")
-    ev = _t(spark, sf_dir, "events")
-    events = partition_profile(
-        assign_partition(ev, "events", "ts", "MONTH", "20240101", dt.date(2024, 1, 31)),
-        "ts", "events")
+    orders = _whole_profile(spark, sf_dir, "orders", "o_orderdate", "QUARTER")
+    lineitem = _whole_profile(spark, sf_dir, "lineitem", "l_shipdate", "YEAR")
+    events = _whole_profile(spark, sf_dir, "events", "ts", "MONTH")
     parts = [p.select("table_name", "partition_name") for p in (orders, lineitem, events)]
     for name in ("region", "nation", "customer", "supplier", "part"):
         # One catch-all partition per non-empty table.
@@ -247,15 +271,42 @@ def _catalog_partitions(spark, sf_dir):
     return out
 
 
-def _refresh_set(spark, sf_dir, mode):
+def _refresh_set(spark, sf_dir, mode, tables=("orders", "events")):
     available = spark.createDataFrame([(t,) for t in CATALOG_TABLES], "table_name string")
-    edges = spark.createDataFrame(TABLE_EDGES, "src string, dst string")
-    scope = refresh_scope(table_list(spark, "orders"), available, edges)
+    scope = refresh_scope(table_list(spark, "orders"), available, TABLE_EDGES)
     selection = selection_list(refresh_ranges(_refresh_spec(spark, sf_dir))
-                               .where(F.col("table_name").isin("orders", "events")))
+                               .where(F.col("table_name").isin(*tables)))
     return resolve_refresh_set(scope, _catalog_partitions(spark, sf_dir), selection, mode)
 
 
+def q_refresh_set_all_unavailable(spark, sf_dir):
+    """Every selected table is outside the scope: everything in scope is refreshed."""
+    return _refresh_set(spark, sf_dir, "selected_only", tables=("events",))
+
+
+def q_unknown_tables(spark, sf_dir):
+    """Requested names (a table's values beside a real table) that are no tables."""
+    requested = (_t(spark, sf_dir, "events").select(F.col("event_type").alias("table_name")).distinct()
+                 .unionByName(table_list(spark, "orders")))
+    return unknown_tables(requested, spark.createDataFrame([(t,) for t in CATALOG_TABLES], "table_name string"))
+
+
+def _chosen(spark, sf_dir):
+    return explode_selection(selection_list(refresh_ranges(_refresh_spec(spark, sf_dir))))
+
+
+def q_unavailable_tables(spark, sf_dir):
+    """Selected tables of which only orders has partitions."""
+    return unavailable_tables(_chosen(spark, sf_dir), _whole_profile(spark, sf_dir, "orders", "o_orderdate", "QUARTER"))
+
+
+def q_invalid_selection(spark, sf_dir):
+    """Selected quarters of orders that do not exist in a table without the second halves of the years."""
+    some = _t(spark, sf_dir, "orders").where(F.month("o_orderdate") <= 6)
+    existing = calendar_profile(some, "orders", "o_orderdate", "QUARTER", *_extent(_t(spark, sf_dir, "orders"), "o_orderdate"))
+    return invalid_selection(_chosen(spark, sf_dir), existing)
+
+
 def q_refresh_set_documented(spark, sf_dir):
     return _refresh_set(spark, sf_dir, "documented")
 
@@ -266,22 +317,49 @@ def q_refresh_set_selected_only(spark, sf_dir):
 
 def _profile_of_target(spark, root, table, date_col):
     data = read_table(spark, root)
-    return partition_profile(data, date_col, table).select(*PROFILE_COLUMNS)
+    return _kept(spark, root, partition_profile(data, date_col, table).select(*PROFILE_COLUMNS))
+
+
+def _spec_of(df, table, date_col, interval, **more) -> tuple[list[dict], dt.date]:
+    """A spec from the table's first day, and the table's last day."""
+    first, last = _extent(df, date_col)
+    return [{"table": table, "first_date": f"{first:%Y%m%d}", "partition_by": date_col, "interval": interval, **more}], last
 
 
 def q_materialize_readback(spark, sf_dir):
     root = scratch_path(spark, "orders")
     src = _t(spark, sf_dir, "orders")
     write_default_partition(src, root, "orders")
-    binding = TableBinding(src, root, "o_orderdate")
-    partition_tables(spark, [{"table": "orders", "first_date": FIRST_DATE,
-                              "partition_by": "o_orderdate", "interval": "QUARTER"}],
-                     {"orders": binding}, AS_OF)
+    spec, last = _spec_of(src, "orders", "o_orderdate", "QUARTER")
+    partition_tables(spark, spec, {"orders": TableBinding(src, root, "o_orderdate")}, last)
     return _profile_of_target(spark, root, "orders", "o_orderdate")
 
 
-REFRESH_SPEC = [{"table": "lineitem", "first_date": FIRST_DATE, "partition_by": "l_shipdate",
-                 "interval": "QUARTER", "refresh_from": "TODAY", "number_of_intervals": "4"}]
+def q_rematerialize_after_empty(spark, sf_dir):
+    """A run that broke off after its rows were written and before they were recorded, then a run over a
+    source without one year: that year's old rows are gone."""
+    root = scratch_path(spark, "orders-again")
+    src = _t(spark, sf_dir, "orders")
+    spec, last = _spec_of(src, "orders", "o_orderdate", "YEAR")
+    write_ranges(src, root, "o_orderdate", period_ranges(read_spec(spark, spec), last).collect())
+    later = src.where(F.year("o_orderdate") != 1998)
+    partition_tables(spark, spec, {"orders": TableBinding(later, root, "o_orderdate")}, last)
+    return _profile_of_target(spark, root, "orders", "o_orderdate")
+
+
+def q_manifest_empty_partitions(spark, sf_dir):
+    """Months of events up to two months after its last day: recorded partitions without rows count 0."""
+    root = scratch_path(spark, "events")
+    src = _t(spark, sf_dir, "events")
+    spec, last = _spec_of(src, "events", "ts", "MONTH")
+    partition_tables(spark, spec, {"events": TableBinding(src, root, "ts")}, last.replace(day=1) + dt.timedelta(days=62))
+    profile = partition_profile(read_table(spark, root), "ts", "events", manifest=read_manifest(spark, root))
+    return _kept(spark, root, profile.select(*PROFILE_COLUMNS))
+
+
+def _lineitem_spec(spark, sf_dir):
+    return _spec_of(_t(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "QUARTER",
+                    refresh_from="TODAY", number_of_intervals="4")
 
 
 def _stale_then_refresh(spark, sf_dir, commit_mode):
@@ -290,13 +368,27 @@ def _stale_then_refresh(spark, sf_dir, commit_mode):
     root = scratch_path(spark, f"lineitem-{commit_mode}")
     full = _t(spark, sf_dir, "lineitem")
     stale = full.where(F.col("l_linestatus") == "O")
-    partition_tables(spark, REFRESH_SPEC, {"lineitem": TableBinding(stale, root, "l_shipdate")}, AS_OF)
-    selection = selection_list(refresh_ranges(read_spec(spark, REFRESH_SPEC), AS_OF))
+    spec, last = _lineitem_spec(spark, sf_dir)
+    partition_tables(spark, spec, {"lineitem": TableBinding(stale, root, "l_shipdate")}, last)
+    selection = selection_list(refresh_ranges(read_spec(spark, spec), last))
     report = refresh(spark, {"lineitem": TableBinding(full, root, "l_shipdate")},
                      "lineitem", selection, commit_mode, max_parallelism=4)
     return root, report
 
 
+def q_run_precedence(spark, sf_dir):
+    """``run`` with a spec and an explicit selection: only the explicit partition (the first quarter) is
+    refreshed, by the date column recorded when it was created."""
+    root = scratch_path(spark, "lineitem-run")
+    full = _t(spark, sf_dir, "lineitem")
+    spec, last = _lineitem_spec(spark, sf_dir)
+    partition_tables(spark, spec, {"lineitem": TableBinding(full.where("l_linestatus = 'O'"), root)}, last)
+    first = period_ranges(read_spec(spark, spec), last).orderBy("range_start").first().partition_name
+    report = run(spark, {"lineitem": TableBinding(full, root)}, last, partitions_config=spec, enable_partition=False,
+                 partitions_to_refresh=[{"table": "lineitem", "selected_partitions": [first]}])
+    return _kept(spark, root, report)
+
+
 def q_refresh_transactional_readback(spark, sf_dir):
     root, _ = _stale_then_refresh(spark, sf_dir, "transactional")
     return _profile_of_target(spark, root, "lineitem", "l_shipdate")
@@ -308,8 +400,8 @@ def q_refresh_partial_readback(spark, sf_dir):
 
 
 def q_refresh_report(spark, sf_dir):
-    _, report = _stale_then_refresh(spark, sf_dir, "transactional")
-    return report
+    root, report = _stale_then_refresh(spark, sf_dir, "transactional")
+    return _kept(spark, root, report)
 
 
 def q_related_closure_components(spark, sf_dir):
@@ -348,7 +440,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "related_closure": q_related_closure,
     "refresh_set_documented": q_refresh_set_documented,
     "refresh_set_selected_only": q_refresh_set_selected_only,
+    "refresh_set_all_unavailable": q_refresh_set_all_unavailable,
+    "unknown_tables": q_unknown_tables,
+    "unavailable_tables": q_unavailable_tables,
+    "invalid_selection": q_invalid_selection,
     "materialize_readback": q_materialize_readback,
+    "rematerialize_after_empty": q_rematerialize_after_empty,
+    "manifest_empty_partitions": q_manifest_empty_partitions,
+    "run_precedence": q_run_precedence,
     "refresh_transactional_readback": q_refresh_transactional_readback,
     "refresh_partial_readback": q_refresh_partial_readback,
     "refresh_report": q_refresh_report,

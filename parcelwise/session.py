@@ -1,32 +1,25 @@
-"""Session helpers: the shared scratch folder and bounded broadcasts."""
+"""Session helpers: the shared scratch folder, local relations and checkpoints."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-# Largest control frame we broadcast without further thought.  Every frame
-# passed to ``bounded_broadcast`` is counted against this before it is
-# broadcast; beyond it the join is left to a shuffle (with AQE skew handling).
-BROADCAST_MAX_ROWS = 2_000_000
-# Metadata frames up to this many rows are materialised as local rows (which
-# also cuts their lineage); larger ones are written as reliable checkpoints.
-LOCAL_MAX_ROWS = 10_000
-
-
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "parcelwise") -> SparkSession:
+def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app_name: str = "parcelwise",
+                  checkpoint_dir: str | None = None, driver_memory: str = "4g") -> SparkSession:
     """Session for tests, the bench and the examples.
 
     AQE (coalesce + skew join + rebalance splitting) is on; the UI stays off.
-    On a cluster, get the session from the platform instead and keep its
-    ``spark.checkpoint.dir``.
+    ``checkpoint_dir`` is the folder that driver and executors share.  On a cluster, get the
+    session from the platform instead and keep its ``spark.checkpoint.dir``.
     """
-    spark = (SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder if checkpoint_dir is None else SparkSession.builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = (builder.master(master).appName(app_name)
              .config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
@@ -36,7 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
              .config("spark.sql.session.timeZone", "UTC")
              # Delete reliable checkpoint files once their RDDs are garbage-collected.
              .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-             .config("spark.driver.memory", "16g")
+             .config("spark.driver.memory", driver_memory)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
@@ -47,8 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     Used for checkpoints and for scratch tables.  The setting is read from
-    the session; only a local-mode session without one gets a fresh temp
-    folder (as in tests).  A cluster session without it is an error: a
+    the session; only a session whose tasks run in the driver's own process
+    gets a fresh temp folder without one.  Elsewhere its absence is an error: a
     machine-local folder is not visible to executors.
     """
     sc = spark.sparkContext
@@ -57,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="parcelwise-ckpt-")
     sc.setCheckpointDir(configured)
@@ -71,37 +64,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}{sep}parcelwise-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably holds at most ``max_rows`` rows, else ``df``.
-
-    The check runs ``df.limit(max_rows + 1).count()``, so it never scans more
-    than the bound.  Only call this on frames that are cheap to evaluate
-    (control metadata), or cache them first.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for local tests that inspect files)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def path_exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """Rows the driver owns (specs, selections, manifests: one per table or partition) as a local relation.
 
+    Spark knows its size, so joins with it are broadcast or evaluated without a job; nothing is recomputed.
+    """
+    columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema]
+    kinds = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds), schema)
 
-def materialize_bounded(df: DataFrame, big: bool = False) -> tuple[DataFrame, int]:
-    """Cut ``df``'s lineage; returns (frame, row count).
 
-    At most ``LOCAL_MAX_ROWS`` rows (checked by fetching one more than that)
-    come back as a local frame; larger results, or ones expected to be large
-    (``big``), are written as a reliable checkpoint in the shared folder.
-    """
-    if not big:
-        rows = df.limit(LOCAL_MAX_ROWS + 1).collect()
-        if len(rows) <= LOCAL_MAX_ROWS:
-            return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A frame whose size follows the data, written as a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
-    ck = df.checkpoint()
-    return ck, ck.count()
+    return df.checkpoint()
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder made by ``scratch_path``, whatever file system holds it."""
+    if "/parcelwise-" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -2,9 +2,11 @@
 
 Control frames are small metadata, but they are still DataFrames so the
 operators that consume them compose into one Spark plan.  JSON text is
-parsed by Spark with an explicit all-STRING schema (no inference), so a
+read with an explicit all-STRING schema (no inference), so a
 ``first_date`` of ``"20200101"`` stays text and ``number_of_intervals`` has
-one type whatever its neighbours hold.
+one type whatever its neighbours hold.  Input that cannot be read, lacks a
+required field or names nothing raises ``ValueError``: a typo must never widen
+what a run touches.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_frame
+
 SPEC_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("first_date", T.StringType()),
@@ -28,16 +32,14 @@ COLUMNS_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("column_name", T.StringType()),
 ])
-PARTITIONS_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("partition_name", T.StringType()),
-])
 RANGES_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("partition_name", T.StringType()),
     T.StructField("range_start", T.DateType()),
     T.StructField("range_end", T.DateType()),
 ])
+#: a range as the manifest keeps it: with the column its rows are dated by
+MANIFEST_SCHEMA = T.StructType([*RANGES_SCHEMA.fields, T.StructField("date_col", T.StringType())])
 EDGES_SCHEMA = T.StructType([
     T.StructField("src", T.StringType()),
     T.StructField("dst", T.StringType()),
@@ -45,7 +47,7 @@ EDGES_SCHEMA = T.StructType([
 TABLES_SCHEMA = T.StructType([T.StructField("table_name", T.StringType())])
 
 # A selection may carry its partition names as CSV text or as a JSON array.
-_SELECTION_JSON_SCHEMA = T.StructType([
+SELECTION_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("selected_partitions", T.StringType()),
 ])
@@ -55,89 +57,93 @@ def _is_blank(text) -> bool:
     return text is None or (isinstance(text, str) and not text.strip())
 
 
-def _json_records(spark: SparkSession, text: str, schema: T.StructType) -> DataFrame:
-    """Parse a JSON array (or one object) with Spark, against ``schema``."""
-    lines = spark.createDataFrame([(text,)], "value string")
-    return (lines
-            .select(F.explode(F.from_json("value", T.ArrayType(schema))).alias("r"))
-            .select("r.*"))
+# The fields every record must hold.
+SPEC_REQUIRED = ("table", "first_date", "partition_by", "interval")
+SELECTION_REQUIRED = ("table", "selected_partitions")
+
+
+def _records(given, required: tuple, what: str) -> list[dict]:
+    """Records from JSON text or a list of mappings; raises for text that is no JSON, a missing or a blank field."""
+    if isinstance(given, str):
+        try:
+            given = json.loads(given)
+        except ValueError as exc:
+            raise ValueError(f"{what} is not valid JSON: {exc}") from exc
+    given = [given] if isinstance(given, Mapping) else given
+    if not isinstance(given, (list, tuple)) or not all(isinstance(r, Mapping) for r in given):
+        raise ValueError(f"{what} must be a list of records")
+    bad = [f"record {i}: {name!r} is missing or blank" for i, r in enumerate(given) for name in required
+           if _is_blank(r.get(name)) or r.get(name) == []]
+    if bad:
+        raise ValueError(f"{what}: {len(bad)} problems: {bad}")
+    return [dict(r) for r in given]
+
+
+def _text(value) -> str | None:
+    return None if value is None else str(value)
 
 
 def read_spec(spark: SparkSession, spec) -> DataFrame:
     """Spec frame from JSON text, a list of dicts, a path to JSON lines, or a DataFrame.
 
     Missing optional fields (``refresh_from``, ``number_of_intervals``) come
-    back as NULL.  Values are kept as text; operators parse them once.
+    back as NULL.  Values are kept as text; operators parse them once.  Text that is
+    not valid JSON and records without a required field raise ``ValueError``.
     """
     if isinstance(spec, DataFrame):
         missing = [f.name for f in SPEC_SCHEMA if f.name not in spec.columns]
         for name in missing:
+            if name in SPEC_REQUIRED:
+                raise ValueError(f"partition spec: column {name!r} is missing")
             spec = spec.withColumn(name, F.lit(None).cast("string"))
         return spec.select(*[F.col(f.name).cast("string") for f in SPEC_SCHEMA])
-    if spec is None or (isinstance(spec, str) and _is_blank(spec)):
-        return spark.createDataFrame([], SPEC_SCHEMA)
-    if isinstance(spec, str) and spec.lstrip().startswith(("[", "{")):
-        text = spec if spec.lstrip().startswith("[") else f"[{spec}]"
-        return _json_records(spark, text, SPEC_SCHEMA)
-    if isinstance(spec, str):
-        return spark.read.schema(SPEC_SCHEMA).json(spec)
-    rows = [{k: (None if r.get(k) is None else str(r.get(k))) for k in SPEC_SCHEMA.names}
-            for r in spec]
-    return spark.createDataFrame(rows, SPEC_SCHEMA)
+    if _is_blank(spec):
+        return local_frame(spark, [], SPEC_SCHEMA)
+    if isinstance(spec, str) and "\n" not in spec.strip() and spec.strip().endswith(".json"):
+        spec = [r.asDict() for r in spark.read.schema(SPEC_SCHEMA).option("mode", "FAILFAST").json(spec.strip()).collect()]
+    rows = _records(spec, SPEC_REQUIRED, "partition spec")
+    return local_frame(spark, [tuple(_text(r.get(k)) for k in SPEC_SCHEMA.names) for r in rows], SPEC_SCHEMA)
 
 
 def read_selection(spark: SparkSession, selection) -> DataFrame | None:
     """Selection frame ``(table, selected_partitions)``; None when blank.
 
     ``selected_partitions`` may be CSV text or a JSON array of names; both
-    come back as text and :func:`explode_selection` handles either.
+    come back as text and :func:`explode_selection` handles either.  A selection that is
+    given but is no JSON, misses a field or names no partition raises ``ValueError``.
     """
-    if selection is None:
-        return None
     if isinstance(selection, DataFrame):
         return selection
-    if isinstance(selection, str):
-        if _is_blank(selection):
-            return None
-        text = selection if selection.lstrip().startswith("[") else f"[{selection}]"
-        # Arrays are kept as JSON text by the STRING field; normalise them to CSV
-        # text after parsing so both spellings take one code path.
-        parsed = _json_records(spark, text, _SELECTION_JSON_SCHEMA)
-        return parsed.withColumn(
-            "selected_partitions",
-            F.when(F.col("selected_partitions").startswith("["),
-                   F.array_join(F.from_json("selected_partitions", "array<string>"), ","))
-             .otherwise(F.col("selected_partitions")))
+    if _is_blank(selection):
+        return None
     rows = []
-    for r in selection:
-        names = r.get("selected_partitions")
-        if isinstance(names, (list, tuple)):
-            names = ",".join(str(n) for n in names)
-        rows.append((r.get("table"), names))
-    return spark.createDataFrame(rows, _SELECTION_JSON_SCHEMA)
+    for r in _records(selection, SELECTION_REQUIRED, "partitions to refresh"):
+        names = r["selected_partitions"]
+        names = names if isinstance(names, (list, tuple)) else str(names).split(",")
+        names = [str(n).strip() for n in names if not _is_blank(n)]
+        if not names:
+            raise ValueError(f"partitions to refresh: no partition is named for table {r['table']!r}")
+        rows.append((str(r["table"]).strip(), ",".join(names)))
+    if not rows:
+        raise ValueError("partitions to refresh: the selection names no table")
+    return local_frame(spark, rows, SELECTION_SCHEMA)
 
 
 def table_list(spark: SparkSession, tables) -> DataFrame | None:
     """``(table_name)`` frame from CSV text, a list or a DataFrame; None when blank.
 
-    Blank items are dropped (``"a,,b"`` is ``a, b``) and names are trimmed.
+    Blank items are dropped (``"a,,b"`` is ``a, b``) and names are trimmed; text or a list that is
+    given but holds no name raises ``ValueError``.
     """
-    if tables is None:
-        return None
     if isinstance(tables, DataFrame):
         return tables.select(F.col(tables.columns[0]).alias("table_name"))
-    if isinstance(tables, str):
-        if _is_blank(tables):
-            return None
-        raw = spark.createDataFrame([(tables,)], "csv string")
-        return (raw.select(F.explode(F.split("csv", ",")).alias("table_name"))
-                .select(F.trim("table_name").alias("table_name"))
-                .where(F.col("table_name") != "")
-                .distinct())
-    names = [str(t).strip() for t in tables if not _is_blank(t)]
-    if not names:
+    if _is_blank(tables):
         return None
-    return spark.createDataFrame([(n,) for n in dict.fromkeys(names)], TABLES_SCHEMA)
+    given = tables.split(",") if isinstance(tables, str) else list(tables)
+    names = [str(t).strip() for t in given if not _is_blank(t)]
+    if not names:
+        raise ValueError(f"the table list names no table: {tables!r}")
+    return local_frame(spark, [(n,) for n in dict.fromkeys(names)], TABLES_SCHEMA)
 
 
 def columns_catalog(spark: SparkSession, tables: Mapping[str, DataFrame] | Iterable[str]) -> DataFrame:
@@ -153,7 +159,7 @@ def columns_catalog(spark: SparkSession, tables: Mapping[str, DataFrame] | Itera
     else:
         for name in tables:
             rows.extend((name, c.name) for c in spark.catalog.listColumns(name))
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA)
+    return local_frame(spark, rows, COLUMNS_SCHEMA)
 
 
 def edges_frame(spark: SparkSession, edges) -> DataFrame:
@@ -164,9 +170,4 @@ def edges_frame(spark: SparkSession, edges) -> DataFrame:
         pairs = [(s, d) for s, ds in edges.items() for d in ds]
     else:
         pairs = [tuple(p) for p in edges]
-    return spark.createDataFrame(pairs, EDGES_SCHEMA)
-
-
-def to_json_records(df: DataFrame) -> str:
-    """Small control frame -> JSON array text (for hand-off / messages only)."""
-    return json.dumps([r.asDict() for r in df.collect()], default=str)
+    return local_frame(spark, pairs, EDGES_SCHEMA)

@@ -1,12 +1,19 @@
 """Driver contract: entry() runs, and every query has a matching oracle."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from parcelwise.oracle import ORACLE_SQL
+from parcelwise.queries import QUERIES
 
 FAST = ["period_ranges", "assign_partition_orders", "slice_partition_events", "pending_partitions",
-        "uncovered_rows_orders", "selection_list", "related_closure", "invalid_specs"]
+        "uncovered_rows_orders", "selection_list", "related_closure", "invalid_specs",
+        "overlapping_ranges_orders", "run_precedence", "rematerialize_after_empty", "unknown_tables"]
 
 
 def test_entry_runs(spark):
@@ -17,7 +24,17 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Those of the partition toolkit; the optional corpus queries come on top."""
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_the_entry_works_without_the_corpus_operators():
+    """The rest imports and registers its queries when the optional parts cannot be imported."""
+    code = ("import sys; sys.modules['parcelwise.llm'] = None; sys.modules['corpus_pipeline'] = None; "
+            "import __spark_entry__ as e; from parcelwise.queries import QUERIES; assert set(e.queries()) == set(QUERIES)")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(E.__file__))
 
 
 @pytest.mark.parametrize("name", FAST)

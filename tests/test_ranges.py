@@ -176,3 +176,37 @@ def test_columns_catalog_from_session_catalog(spark):
     spark.createDataFrame([(1, D(2020, 1, 1))], "id int, sold_on date").createOrReplaceTempView("sales_v")
     got = sorted(tuple(r) for r in columns_catalog(spark, ["sales_v"]).collect())
     assert got == [("sales_v", "id"), ("sales_v", "sold_on")]
+
+
+def test_counts_of_any_length(spark):
+    """A count that reaches back to first_date or further equals ``*``; leading zeros are allowed."""
+    def got(n):
+        return rows(refresh_ranges(read_spec(spark, [{"table": "T", "first_date": "20200101", "partition_by": "d", "interval": "MONTH",
+                                                      "refresh_from": "20210615", "number_of_intervals": n}]), D(2022, 1, 1)))
+    everything = got("*")
+    assert len(everything) == 18
+    for n in ("18", "999999", "1000000", "2147483648", "9" * 60, "0" * 40 + "18"):
+        assert got(n) == everything, n
+    assert got("2") == everything[-2:] == got("0002")
+    for n in ("0", "00", "-1", "1.5", "", " "):
+        assert got(n) == [], n
+
+
+def test_every_overlapping_pair_is_listed(spark):
+    """A year with two months inside it overlaps both; ranges that only touch do not overlap."""
+    given_ = [("T", "year", D(2020, 1, 1), D(2020, 12, 31)), ("T", "march", D(2020, 3, 1), D(2020, 3, 31)),
+              ("T", "april", D(2020, 4, 1), D(2020, 4, 30)), ("T", "next", D(2021, 1, 1), D(2021, 1, 31)),
+              ("U", "year", D(2020, 1, 1), D(2020, 12, 31)), ("T", "T", None, None)]
+    df = spark.createDataFrame(given_, "table_name string, partition_name string, range_start date, range_end date")
+    got = sorted((r.table_name, r.partition_name, r.next_partition) for r in overlapping_ranges(df.union(df)).collect())
+    assert got == [("T", "year", "april"), ("T", "year", "march")]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 900), st.integers(0, 200)), max_size=12))
+def test_overlaps_equal_brute_force(spark, spans):
+    day = lambda n: D(2020, 1, 1) + dt.timedelta(days=n)
+    given_ = [("T", f"r{i:02}", day(a), day(a + n)) for i, (a, n) in enumerate(spans)]
+    df = spark.createDataFrame(given_, "table_name string, partition_name string, range_start date, range_end date")
+    want = sorted(tuple(sorted((a[1], b[1]))) for i, a in enumerate(given_) for b in given_[:i] if a[2] <= b[3] and b[2] <= a[3])
+    assert sorted(tuple(sorted((r.partition_name, r.next_partition))) for r in overlapping_ranges(df).collect()) == want

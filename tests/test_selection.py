@@ -1,9 +1,12 @@
 """Scope, closure and refresh-set resolution (goldens G6-G8, both modes)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from parcelwise.operators.closure import related_closure
-from parcelwise.operators.selection import refresh_scope, resolve_refresh_set
+from parcelwise.operators.selection import refresh_scope, related_names, resolve_refresh_set
+from parcelwise.operators.validate import InvalidInput
+from parcelwise.session import checkpointed
 from parcelwise.sources.control import edges_frame, read_selection, table_list
 
 
@@ -107,20 +110,100 @@ def test_components_match_frontier(spark):
         assert a == b, seed
 
 
-def test_large_frame_path_checkpoints(spark, model, monkeypatch):
-    """With the local bound at 3 rows, closure frontiers and the refresh-set
-    inputs go through reliable checkpoints; results are unchanged."""
-    from parcelwise import session
+def test_hub_and_directed_cycle(spark):
+    """A vertex with very many edges, and back edges to layers further up."""
+    hub = edges_frame(spark, [("hub", f"leaf{i:04d}") for i in range(2000)])
+    for method in ("frontier", "components"):
+        assert related_closure(hub, spark.createDataFrame([("leaf0007",)], "s string"), method=method).count() == 2001
+    loop = edges_frame(spark, [("a", "b"), ("b", "c"), ("c", "d"), ("d", "a"), ("d", "b")])
+    got = related_closure(loop, spark.createDataFrame([("a",)], "s string"), direction="out")
+    assert sorted(r.table_name for r in got.collect()) == list("abcd")
+
+
+def test_a_hub_join_can_be_split(spark):
+    """The minima are read from a checkpoint, so both sides of the hub's join have a shuffle of their own and AQE
+    splits the hub's rows over several tasks."""
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        e = checkpointed(spark.range(60_000).selectExpr("if(id % 10 < 8, 'hub', cast(id as string)) as u", "cast(id as string) as v").repartition(8))
+        minima = checkpointed(e.groupBy("u").agg(F.min("v").alias("m")))
+        joined = e.join(minima, "u")
+        assert joined.count() == 60_000
+        rows = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in rows) < 30_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_related_names_equal_the_closure(spark):
+    pairs = [("a", "b"), ("b", "c"), ("x", "y"), ("c", "a"), ("d", "c")]
+    seeds = spark.createDataFrame([("b",)], "s string")
+    for direction in ("both", "out"):
+        want = sorted(r.table_name for r in related_closure(edges_frame(spark, pairs), seeds, direction).collect())
+        assert related_names(pairs, ["b"], direction) == want
+
+
+@pytest.mark.parametrize("text", ['[{"table": "Sales", "selected_partitions": "Sales_2025', "not json", '{"tabel": "Sales", "selected_partitions": "x"}',
+                                  '[{"table": "Sales"}]', '[{"table": "Sales", "selected_partitions": ""}]', "[]",
+                                  '[{"table": "Sales", "selected_partitions": " , "}]', '[{"table": "Sales", "selected_partitions": []}]', '["Sales"]', "3"])
+def test_a_bad_selection_never_widens(spark, text):
+    with pytest.raises(ValueError):
+        read_selection(spark, text)
+
+
+def test_a_bad_selection_frame_never_widens(spark, model):
+    tables, parts, _ = model
+    scope = refresh_scope(None, tables)
+    for rows in ([], [("Sales", " , ")], [(None, "x")], [("", "x")], [("Sales", None)]):
+        with pytest.raises(ValueError):
+            resolve_refresh_set(scope, parts, spark.createDataFrame(rows, "table string, selected_partitions string"))
+
+
+def test_a_list_without_a_name_is_no_list(spark):
+    assert table_list(spark, None) is None
+    assert table_list(spark, "  ") is None
+    assert sorted(r.table_name for r in table_list(spark, "a,,b , a").collect()) == ["a", "b"]
+    for empty in (",", " , ", [" "], []):
+        with pytest.raises(ValueError, match="names no table"):
+            table_list(spark, empty)
+
+
+def test_every_problem_is_reported(spark, caplog):
+    """More than sixty unknown, unavailable and invalid names: all of them are named and counted."""
+    tables = spark.createDataFrame([("T",)], "table_name string")
+    parts = spark.createDataFrame([("T", "T_1")], "table_name string, partition_name string")
+    with pytest.raises(InvalidInput) as unknown:
+        refresh_scope(table_list(spark, [f"ghost{i}" for i in range(70)]), tables)
+    assert unknown.value.count == 70
+    assert {p["table_name"] for p in unknown.value.problems} == {f"ghost{i}" for i in range(70)}
+    bad = read_selection(spark, [{"table": "T", "selected_partitions": [f"T_{i}" for i in range(1, 66)]}])
+    with pytest.raises(InvalidInput) as invalid:
+        resolve_refresh_set(tables, parts, bad)
+    assert invalid.value.count == 64
+    assert "T_65" in str(invalid.value)
+    away = read_selection(spark, [{"table": "T", "selected_partitions": "T_1"}]
+                          + [{"table": f"U{i}", "selected_partitions": "U"} for i in range(61)])
+    with caplog.at_level("WARNING"):
+        assert names(resolve_refresh_set(tables, parts, away, "selected_only")) == [("T", "T_1")]
+    assert "61 selected tables" in caplog.text
+    assert all(f"U{i}" in caplog.text for i in range(61))
 
-    monkeypatch.setattr(session, "LOCAL_MAX_ROWS", 3)
-    chain = edges_frame(spark, [(f"c{i}", f"c{i + 1}") for i in range(12)])
-    out = related_closure(chain, spark.createDataFrame([("c5",)], "s string"), direction="out")
-    assert sorted(r.table_name for r in out.collect()) == sorted(f"c{i}" for i in range(5, 13))
-    both = related_closure(chain, spark.createDataFrame([("c5",)], "s string"), method="components")
-    assert len(both.collect()) == 13
-    tables, parts, edges = model
-    scope = refresh_scope(table_list(spark, "Sales"), tables, edges, direction="out")
-    sel = read_selection(spark, '[{"table":"Sales","selected_partitions":"Sales_20250101_20250331"}]')
-    assert names(resolve_refresh_set(scope, parts, sel, "documented")) == [
-        ("Customer", "Customer"), ("Product", "Product"), ("Sales", "Sales_20250101_20250331"),
-        ("Store", "Store")]
+
+def test_selection_is_computed_once(spark, model, tmp_path):
+    """What the selection is derived from is read once for all checks and the result."""
+    tables, parts, _ = model
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+    sel = spark.createDataFrame(spark.sparkContext.parallelize([("Sales", "Sales_20250101_20250331")], 1).mapPartitions(count),
+                                "table string, selected_partitions string")
+    resolve_refresh_set(refresh_scope(None, tables), parts, sel).collect()
+    assert seen.value == 1

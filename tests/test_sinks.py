@@ -288,3 +288,106 @@ def test_command_line_partitions_then_refreshes(spark, sf_small, capsys):
     assert sorted(x["partition_name"] for x in lines) == ["orders_20000101_20001231", "orders_20010101_20011231"]
     assert {x["status"] for x in lines} == {"Completed"}
     assert _profile(spark, root) == _expected(_orders(spark, sf_small))
+
+
+def _written(spark, root):
+    return _profile(spark, root), sorted(r.partition_name for r in read_manifest(spark, root).collect())
+
+
+@pytest.mark.parametrize("step", ["write_manifest", "write_observed", "retire_default"])
+def test_a_broken_run_then_a_run_equals_a_clean_run(spark, sf_small, monkeypatch, step):
+    """The run breaks off before a step; the source then loses a year; the next run leaves no old row."""
+    import parcelwise.plans.partition as plan
+
+    orders = _orders(spark, sf_small)
+    later = orders.where(F.year("o_orderdate") != 1998)
+    clean, broken = scratch_path(spark, "t-clean"), scratch_path(spark, "t-broken")
+    for root in (clean, broken):
+        write_default_partition(orders, root, "orders")
+
+    def boom(*_, **__):
+        raise RuntimeError("gone")
+    with monkeypatch.context() as m:
+        m.setattr(plan, step, boom)
+        with pytest.raises(RuntimeError, match="gone"):
+            partition_tables(spark, SPEC, {"orders": TableBinding(orders, broken, "o_orderdate")}, AS_OF)
+    if step == "retire_default":  # all ranges are recorded: a refresh brings the change
+        later = orders
+    for root in (clean, broken):
+        partition_tables(spark, SPEC, {"orders": TableBinding(later, root, "o_orderdate")}, AS_OF)
+    assert _written(spark, broken) == _written(spark, clean)
+    assert _written(spark, clean)[0] == _expected(later)
+
+
+def test_nothing_is_written_before_all_checks(spark, sf_small):
+    orders = _orders(spark, sf_small)
+    root = scratch_path(spark, "t-checks")
+    binding = {"orders": TableBinding(orders, root, "o_orderdate")}
+    bad = [{"refresh_commit_mode": "both"}, {"refresh_max_parallelism": 0}, {"refresh_max_parallelism": "4"}, {"tables_to_refresh": "orders,ghost"},
+           {"tables_to_refresh": ","}, {"partitions_to_refresh": '[{"table": "orders"'}, {"partitions_to_refresh": '[{"tabel": "orders"}]'},
+           {"mode": "some"}, {"edges": [("orders", "x")], "tables_to_refresh": "orders", "direction": "in"},
+           {"partitions_config": '[{"table": "orders"'}, {"partitions_config": [dict(SPEC[0], table="ghost")]},
+           {"partitions_config": [dict(SPEC[0], refresh_from="soon", number_of_intervals="2")]}, {"partitions_config": " "}]
+    for more in bad:
+        with pytest.raises(ValueError):
+            run(spark, binding, AS_OF, **{"partitions_config": SPEC} | more)
+        assert read_table(spark, root) is None, more
+    with pytest.raises(ValueError, match="not valid JSON"):
+        partition_tables(spark, '[{"table": "orders", "first', binding, AS_OF)
+
+
+def test_refresh_by_the_recorded_date_column(spark, sf_small, capsys):
+    """Partition with a spec, then refresh from the command line without one; related tables join the scope."""
+    import json as _json
+
+    from parcelwise.__main__ import main
+
+    orders = _orders(spark, sf_small)
+    root = _stale_target(spark, orders)
+    table = f"orders={sf_small}/orders.parquet,{root}"
+    selection = _json.dumps(_selection(["orders_19990101_19991231"]))
+    assert main(["--table", table, "--no-partition", "--as-of", "2001-08-01", "--partitions-to-refresh", selection], spark=spark) == 0
+    out = [_json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert [(x["partition_name"], x["status"]) for x in out] == [("orders_19990101_19991231", "Completed")]
+    assert _profile(spark, root) == _expected(orders, (F.col("o_orderstatus") == "O") | (F.year("o_orderdate") == 1999))
+    assert main(["--table", table, "--table", f"customer={sf_small}/customer.parquet,{scratch_path(spark, 't-c')}", "--no-partition",
+                 "--tables-to-refresh", "customer", "--edges", "orders:customer", "--direction", "both"], spark=spark) == 0
+    out = [_json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert {x["table_name"] for x in out} == {"orders"} and len(out) == 7
+    assert _profile(spark, root) == _expected(orders)
+
+
+def test_all_failures_are_reported(spark):
+    from parcelwise.plans.refresh import RefreshFailed, check_report
+    from parcelwise.session import local_frame
+    from parcelwise.plans.refresh import REPORT_SCHEMA
+
+    report = local_frame(spark, [("T", f"T_{i}", "Failed", 0, "boom") for i in range(65)] + [("T", "ok", "Completed", 1, None)], REPORT_SCHEMA)
+    with pytest.raises(RefreshFailed) as failed:
+        check_report(report)
+    assert len(failed.value.failures) == 65
+
+
+def test_refresh_of_one_partition_takes_few_jobs(spark, sf_small):
+    orders = _orders(spark, sf_small)
+    root = _stale_target(spark, orders)
+    sc = spark.sparkContext
+    sc.setJobGroup("one-partition", "count the jobs")
+    try:
+        refresh(spark, {"orders": TableBinding(orders, root, "o_orderdate")}, "orders", _selection(["orders_19990101_19991231"]), max_parallelism=1)
+        jobs = sc.statusTracker().getJobIdsForGroup("one-partition")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 10
+
+
+def test_manifest_is_one_file_whatever_the_number_of_partitions(spark):
+    df = spark.createDataFrame([(1, D(2020, 1, 5))], "id int, d date")
+    root = scratch_path(spark, "t-one-file")
+    spec = [{"table": "T", "first_date": "20200101", "partition_by": "d", "interval": "MONTH"}]
+    for end in (D(2021, 1, 1), D(2022, 1, 1), D(2023, 1, 1)):
+        partition_tables(spark, spec, {"T": TableBinding(df, root, "d")}, end)
+    assert read_manifest(spark, root).count() == 37
+    versions = glob.glob(os.path.join(local_path(root), "_ranges", "v*"))
+    assert len(versions) <= 2
+    assert all(len(glob.glob(os.path.join(v, "*.parquet"))) == 1 for v in versions)
