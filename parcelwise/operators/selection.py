@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..session import local_frame
 from ..sources.control import TABLES_SCHEMA
 from .closure import related_closure
-from .validate import raise_if_any
+from .validate import InvalidInput, raise_if_any
 
 log = logging.getLogger("parcelwise.selection")
 
@@ -113,8 +113,7 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
     * ``mode='selected_only'``: only the listed partitions.
 
     The catalog and the selection (one row per partition, the driver's own
-    metadata) are each computed once and held as local relations, so the checks and the
-    result never recompute what they were derived from.
+    metadata) are each computed once; the checks and the result use those rows.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -122,26 +121,28 @@ def resolve_refresh_set(scope: DataFrame, partitions: DataFrame, selection: Data
                  .join(scope.select("table_name"), "table_name", "left_semi"))
     if selection is None:
         return available
-    spark = partitions.sparkSession
-    available = local_frame(spark, [tuple(r) for r in available.collect()], KEYS_SCHEMA)
-    named = selection.select("table", "selected_partitions")
-    selected = local_frame(spark, _named_partitions(named), KEYS_SCHEMA)
-    chosen_tables = (selected.select("table_name").distinct()
-                     .join(available.select("table_name"), "table_name", "left_semi"))
-    missing = sorted(r.table_name for r in unavailable_tables(selected, available).collect())
-    if missing:
-        log.warning("%d selected tables without available partitions: %s", len(missing), missing)
-    if chosen_tables.isEmpty():
-        return available
-    raise_if_any(invalid_selection(selected, available), "invalid partitions")
-    picked = available.join(selected, KEYS, "left_semi")
-    if mode == "selected_only":
-        return picked
-    untouched = available.join(chosen_tables, "table_name", "left_anti")
-    return picked.unionByName(untouched)
+    chosen = choose_partitions([tuple(r) for r in available.collect()], named_partitions(selection), mode)
+    return local_frame(partitions.sparkSession, chosen, KEYS_SCHEMA)
 
 
-def _named_partitions(selection: DataFrame) -> list[tuple]:
+def choose_partitions(available: list[tuple], selected: list[tuple], mode: str = "documented") -> list[tuple]:
+    """The rule of ``resolve_refresh_set`` for (table, partition) pairs that the driver holds."""
+    existing, tables = set(available), {t for t, _ in available}
+    named = {t for t, _ in selected}
+    if missing := sorted(named - tables):
+        log.warning("%d selected tables without available partitions: %s", len(missing), missing)
+    if not named & tables:
+        return sorted(existing)
+    bad = [{"table_name": t, "partition_name": p} for t, p in selected if t in tables and (t, p) not in existing]
+    if bad:
+        raise InvalidInput("invalid partitions", bad)
+    picked = existing & set(selected)
+    if mode == "documented":
+        picked |= {k for k in existing if k[0] not in named}
+    return sorted(picked)
+
+
+def named_partitions(selection: DataFrame) -> list[tuple]:
     """Rows of ``explode_selection``, after a check that every record names a table and a partition."""
     field = selection.schema["selected_partitions"].dataType
     names = F.col("selected_partitions") if isinstance(field, T.ArrayType) else F.split("selected_partitions", ",")

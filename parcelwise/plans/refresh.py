@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.selection import KEYS_SCHEMA, MODES, refresh_scope, resolve_refresh_set
+from ..operators.selection import MODES, choose_partitions, named_partitions, refresh_scope, related_names
+from ..operators.validate import InvalidInput
 from ..session import local_frame
-from ..sources.control import TABLES_SCHEMA, read_selection, table_list
+from ..sources.control import TABLES_SCHEMA, list_names, read_selection, table_list
 from ..sources.storage import PARTITION_COLUMN, manifest_rows, read_partitions
 from .partition import TableBinding, write_observed, write_ranges
 
@@ -169,17 +170,29 @@ def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBindin
 
 def check_request(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to_refresh=None, partitions_to_refresh=None,
                   commit_mode: str = "transactional", max_parallelism: int = 4, edges=None, direction: str = "both",
-                  mode: str = "documented") -> tuple[DataFrame, DataFrame | None]:
-    """(scope, selection) of a refresh, after every check that needs no partition catalog."""
+                  mode: str = "documented") -> tuple[list[str], list[tuple] | None]:
+    """(tables in scope, selected partitions) of a refresh, after every check that needs no partition catalog."""
     if commit_mode not in COMMIT_MODES:
         raise ValueError(f"commit_mode must be one of {COMMIT_MODES}")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if isinstance(max_parallelism, bool) or not isinstance(max_parallelism, int) or max_parallelism < 1:
         raise ValueError("max_parallelism must be an integer >= 1")
-    available = local_frame(spark, [(t,) for t in bindings], TABLES_SCHEMA)
-    scope = refresh_scope(table_list(spark, tables_to_refresh), available, edges, direction)
-    return scope, read_selection(spark, partitions_to_refresh)
+    names = ([r[0] for r in table_list(spark, tables_to_refresh).distinct().collect()]
+             if isinstance(tables_to_refresh, DataFrame) else list_names(tables_to_refresh))
+    scope = list(bindings)
+    if direction not in ("both", "out"):
+        raise ValueError("direction must be 'both' or 'out'")
+    if names is not None:
+        if unknown := sorted(set(names) - set(bindings)):
+            raise InvalidInput("invalid table names", [{"table_name": t} for t in unknown])
+        if isinstance(edges, DataFrame):
+            available = local_frame(spark, [(t,) for t in bindings], TABLES_SCHEMA)
+            scope = [r.table_name for r in refresh_scope(table_list(spark, names), available, edges, direction).collect()]
+        else:
+            scope = [t for t in related_names(edges or [], names, direction) if t in bindings]
+    selection = read_selection(spark, partitions_to_refresh)
+    return scope, None if selection is None else named_partitions(selection)
 
 
 def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to_refresh=None,
@@ -194,9 +207,8 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
     scope, selection = check_request(spark, bindings, tables_to_refresh, partitions_to_refresh, commit_mode,
                                      max_parallelism, edges, direction, mode)
     catalog = {(r.table_name, r.partition_name): r for r in available_partitions(spark, bindings)}
-    partitions = local_frame(spark, list(catalog), KEYS_SCHEMA)
-    chosen = resolve_refresh_set(scope, partitions, selection, mode)
-    refresh_set = sorted({(r.table_name, r.partition_name) for r in chosen.collect()})
+    available = sorted(k for k in catalog if k[0] in set(scope))
+    refresh_set = available if selection is None else choose_partitions(available, selection, mode)
     known: dict[str, list] = {}
     for key in refresh_set:
         known.setdefault(key[0], []).append(catalog[key])

@@ -137,13 +137,19 @@ def table_list(spark: SparkSession, tables) -> DataFrame | None:
     """
     if isinstance(tables, DataFrame):
         return tables.select(F.col(tables.columns[0]).alias("table_name"))
+    names = list_names(tables)
+    return None if names is None else local_frame(spark, [(n,) for n in names], TABLES_SCHEMA)
+
+
+def list_names(tables) -> list[str] | None:
+    """The names of a CSV text or list (see ``table_list``)."""
     if _is_blank(tables):
         return None
     given = tables.split(",") if isinstance(tables, str) else list(tables)
     names = [str(t).strip() for t in given if not _is_blank(t)]
     if not names:
         raise ValueError(f"the table list names no table: {tables!r}")
-    return local_frame(spark, [(n,) for n in dict.fromkeys(names)], TABLES_SCHEMA)
+    return list(dict.fromkeys(names))
 
 
 def columns_catalog(spark: SparkSession, tables: Mapping[str, DataFrame] | Iterable[str]) -> DataFrame:
