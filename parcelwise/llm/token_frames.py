@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
+import types
 import uuid
 import zlib
 
@@ -30,10 +32,11 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 LEVEL = 3
-WORD_TABLE = 400_000
+WORD_TABLE = 800_000
 READ_BYTES = 8 << 20
 #: fixed values of the zstandard seekable format
 SKIPPABLE, SEEK_SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
+_TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")  # ASCII punctuation but the apostrophe
 MANIFEST = "part int, path string, documents long, tokens long"
 NO_ID = -(1 << 63)
 
@@ -41,32 +44,59 @@ NO_ID = -(1 << 63)
 class WordEncoder:
     """Ids of texts, each distinct word encoded once.
 
-    Only for tokenizers that never join characters across ASCII white space and drop it (``by_word``); the word table is
-    bounded and only saves time.
+    ``by_word`` is only for tokenizers that lower-case, never join characters across ASCII white space, drop it, and end a
+    piece between a letter or digit and ASCII punctuation that runs to the end of a word.  Then a word's ids do not
+    depend on its neighbours: new words are encoded many at a time, with a full stop between them to tell them apart.
+    The word table is bounded and only saves time.
     """
 
     def __init__(self, spec: str, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.by_word, self.table = Tokenizer.from_str(spec), by_word, {}
+        self.tokenizer, self.by_word, self.table, self.parts = Tokenizer.from_str(spec), by_word, {}, {}
+        if by_word:
+            (self.stop,) = self.tokenizer.encode(".", add_special_tokens=False).ids
 
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._encode(texts)
+            return [x.tobytes() for x in self._encode([t.decode("utf-8", "replace") for t in texts])]
         if len(self.table) > WORD_TABLE:
-            self.table = {}
-        words = [t.split() for t in texts]
-        new = set().union(*words).difference(self.table)
-        new = list(new)
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            self.table.update(zip(some, self._encode(some), strict=True))
+            self.table, self.parts = {}, {}
+        # a special token is written as it is, so only texts that cannot hold one are lower-cased here
+        words = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+        self._learn(set().union(*words).difference(self.table))
         return [b"".join(map(self.table.__getitem__, w)) for w in words]
 
+    def _learn(self, new: set[bytes]) -> None:
+        halves = {}
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(_TAIL)
+            halves[word] = (core, text[len(core):]) if core[-1:].isalnum() and "<|" not in text else (text, "")
+        missing = {part for pair in halves.values() for part in pair if part}.difference(self.parts)
+        joined = [p for p in missing if "." not in p and "<|" not in p]
+        runs = [joined[i:i + 128] for i in range(0, len(joined), 128)]
+        for run, ids in zip(runs, self._encode([" . ".join(run) for run in runs]), strict=True):
+            stops = np.flatnonzero(ids == self.stop)
+            blob, starts, ends = ids.tobytes(), [0, *(4 * (stops + 1)).tolist()], [*(4 * stops).tolist(), 4 * len(ids)]
+            self.parts.update((p, blob[a:b]) for p, a, b in zip(run, starts, ends, strict=True))
+        single = list(missing.difference(joined))
+        self.parts.update((p, x.tobytes()) for p, x in zip(single, self._encode(single), strict=True))
+        self.parts[""] = b""
+        self.table.update((word, self.parts[core] + self.parts[tail]) for word, (core, tail) in halves.items())
+
+
+def worker_encoder(spec: str, by_word: bool) -> WordEncoder:
+    """The encoder of this Python worker: kept between tasks, so each task does not learn the same words again."""
+    held = sys.modules.setdefault("_parcelwise_encoders", types.ModuleType("_parcelwise_encoders")).__dict__
+    name = f"{xxhash.xxh3_128_hexdigest(spec)}{by_word}"
+    if name not in held:
+        held[name] = WordEncoder(spec, by_word)
+    return held[name]
+
 
 class FrameWriter:
     """Writes one file of documents, in the order given."""
@@ -139,7 +169,7 @@ def _writer(folder: str, spec, end_id: int, by_word: bool):
                     system, path = _open(uri)
                     system.create_dir(path.rpartition("/")[0], recursive=True)
                     sink = system.open_output_stream(path, compression=None)
-                    out, encoder = FrameWriter(sink), WordEncoder(spec.value, by_word)
+                    out, encoder = FrameWriter(sink), worker_encoder(spec.value, by_word)
                 ids = encoder.encode([t or b"" for t in part.column("text").to_pylist()])
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     out.add(doc_id, x + end)
