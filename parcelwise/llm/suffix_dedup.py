@@ -10,9 +10,11 @@ and all equal windows go to the shard of their anchor.  The exact decision is ma
 
 Scale: anchors (one in about 80 bytes) are counted in shards, per batch first, so a passage of a third of all
 documents costs one entry per batch; marking spreads hot anchors over salts.  Equal pieces of text are one piece with a
-count, so copies are sorted once.  A block holds at most ``BLOCK`` bytes (or one piece, shorter than two windows);
-memory does not follow an anchor's number of pieces, but an anchor with many *different* pieces is merged
-block by block in one task.
+count, so copies are sorted once.  An anchor with ``HOT`` or more different surroundings (the edge of a passage that
+very many texts share) has its windows counted one by one, by the anchor and both ends of the window: those that occur once go,
+those that occur ``MANY`` times or more stay runs of their anchor (the passage itself, the same in all texts), and the
+few between go to shards of their own.  So an anchor brings a shard a bounded number of different pieces, and a block
+holds at most ``BLOCK`` bytes and a piece.
 """
 
 from __future__ import annotations
@@ -33,8 +35,11 @@ LENGTH, GRAM = 200, 40
 BLOCK = 1 << 20
 SALTS = 8
 CHUNK = 1 << 20
+HOT, MANY = 4000, 1000
+WINDOWS_PER_SHARD = 2_000_000
 PIECE_ROWS = 2000
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
+KNOWN = "shard int, keys binary, marks binary"
 STREAM = "shard int, salt int, kind int, keys binary, places binary"
 
 
@@ -89,37 +94,83 @@ def _split(shards: int, key: np.ndarray):
     return names, order, np.append(cuts, len(order))
 
 
+def _parts(shards: int, key: np.ndarray):
+    """(shard names, the rows of each)."""
+    if not len(key):
+        return [], []
+    names, order, cuts = _split(shards, key)
+    return names.astype(np.int32), [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _blobs(parts: list, values: np.ndarray) -> pa.Array:
+    return pa.array([values[p].tobytes() for p in parts], pa.binary())
+
+
 def _count(shards: int, length: int):
+    """Per batch and shard: anchors, their occurrences (2 stands for more), the number of their different surroundings and one of these."""
     def run(batches):
         for batch in batches:
-            keys = [_runs(data, offsets, length)[3] for _, _, data, offsets in text_chunks(batch.column("text"), CHUNK)]
-            key, n = np.unique(np.concatenate(keys) if keys else np.empty(0, np.uint64), return_counts=True)
-            names, order, cuts = _split(shards, key)
-            parts = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)] if len(key) else []
+            found = []
+            for _, _, data, offsets in text_chunks(batch.column("text"), CHUNK):
+                text, _, n, key = _runs(data, offsets, length)
+                same = text[1:] == text[:-1]
+                before = np.concatenate([[0], np.where(same, key[:-1], 0)]).astype(np.uint64)[:len(key)]
+                after = np.concatenate([np.where(same, key[1:], 0), [0]]).astype(np.uint64)[:len(key)]
+                found.append((key, mix64(mix64(before) + mix64(~after) + n.astype(np.uint64))))
+            key, around = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.uint64),) * 2
+            order = np.lexsort((around, key))
+            key, around = key[order], around[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (around[1:] != around[:-1])]) if len(key) else np.empty(0, bool)
+            occurs = np.diff(np.append(first, len(key)))
+            kinds = np.add.reduceat(new, first) if len(first) else first
+            names, parts = _parts(shards, key[first])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[:len(parts)].astype(np.int32)), pa.array([key[p].tobytes() for p in parts], pa.binary()),
-                 pa.array([np.minimum(n[p], 2).astype(np.uint8).tobytes() for p in parts], pa.binary())], ["shard", "keys", "counts"])
+                [pa.array(names, pa.int32()), _blobs(parts, key[first]), _blobs(parts, np.minimum(occurs, 2).astype(np.uint8)),
+                 _blobs(parts, kinds.astype(np.uint32)), _blobs(parts, around[first])], ["shard", "keys", "counts", "kinds", "around"])
     return run
 
 
-def _twice(batches):
-    """Sorted stream of a shard's anchors and counts: one row with the anchors that occur at least twice."""
-    def close(shard, keys, counts):
-        key, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate(counts))
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([key[total > 1].tobytes()], pa.binary())], ["shard", "keys"])
-
-    shard, keys, counts = None, [], []
+def _folded(batches, columns: dict, close):
+    """Sorted stream of packed rows: ``close(shard, arrays)`` for each shard with its columns put together."""
+    shard, held = None, []
     for batch in batches:
-        for s, k, c in zip(*(batch.column(x).to_pylist() for x in ("shard", "keys", "counts")), strict=True):
-            if s != shard and shard is not None:
-                yield close(shard, keys, counts)
-                keys, counts = [], []
+        for s, *row in zip(*(batch.column(x).to_pylist() for x in ("shard", *columns)), strict=True):
+            if s != shard and held:
+                yield close(shard, [np.concatenate(x) for x in zip(*held, strict=True)])
+                held = []
             shard = s
-            keys.append(np.frombuffer(k, np.uint64))
-            counts.append(np.frombuffer(c, np.uint8))
-    if shard is not None:
-        yield close(shard, keys, counts)
+            held.append([np.frombuffer(blob, kind) for blob, kind in zip(row, columns.values(), strict=True)])
+    if held:
+        yield close(shard, [np.concatenate(x) for x in zip(*held, strict=True)])
+
+
+def _known(shard: int, keys: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([keys.tobytes()], pa.binary()),
+                                       pa.array([marks.astype(np.uint8).tobytes()], pa.binary())], ["shard", "keys", "marks"])
+
+
+def _twice(hot: int):
+    """One row per shard: the anchors that occur at least twice, and whether each is hot."""
+    def close(shard, columns):
+        key, count, kinds, around = columns
+        keys, at = np.unique(key, return_inverse=True)
+        total = np.bincount(at, weights=count)
+        firsts = np.unique(np.stack([at.astype(np.uint64), around], 1), axis=0)[:, 0].astype(np.int64)
+        different = np.bincount(at, weights=kinds - 1.0) + np.bincount(firsts, minlength=len(keys))
+        return _known(shard, keys[total > 1], different[total > 1] >= hot)
+
+    return lambda batches: _folded(batches, {"keys": np.uint64, "counts": np.uint8, "kinds": np.uint32, "around": np.uint64}, close)
+
+
+def _sent(batch, shards: int, key: np.ndarray, places: list):
+    """Packed rows of keys with their places (k1, k2 as 8, two numbers as 4 bytes), one per shard."""
+    names, parts = _parts(shards, key)
+    salt = int(xxhash.xxh3_64_intdigest(batch.column("k2").slice(0, 64).to_numpy(zero_copy_only=False).tobytes()) % SALTS)
+    blobs = [b"".join(x[p].astype(kind).tobytes() for x, kind in zip(places, ("<i8", "<i8", "<i4", "<i4"), strict=True)) for p in parts]
+    m = len(parts)
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([salt] * m, pa.int32()), pa.array([1] * m, pa.int32()),
+                                       _blobs(parts, key), pa.array(blobs, pa.binary())], ["shard", "salt", "kind", "keys", "places"])
 
 
 def _placed(shards: int, length: int):
@@ -130,34 +181,20 @@ def _placed(shards: int, length: int):
             for lo, _, data, offsets in text_chunks(batch.column("text"), CHUNK):
                 text, start, n, key = _runs(data, offsets, length)
                 rows.append((key, k1[lo + text], k2[lo + text], start, n))
-            if not rows:
-                continue
-            key, *places = (np.concatenate(x) for x in zip(*rows, strict=True))
-            names, order, cuts = _split(shards, key)
-            if not len(key):
-                continue
-            salt = int(xxhash.xxh3_64_intdigest(k2[:64].tobytes()) % SALTS)
-            keys, blobs = [], []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                p = order[a:b]
-                keys.append(key[p].tobytes())
-                blobs.append(places[0][p].astype("<i8").tobytes() + places[1][p].astype("<i8").tobytes()
-                             + places[2][p].astype("<i4").tobytes() + places[3][p].astype("<i4").tobytes())
-            m = len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), pa.array([salt] * m, pa.int32()), pa.array([1] * m, pa.int32()),
-                                              pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())],
-                                             ["shard", "salt", "kind", "keys", "places"])
+            if rows:
+                key, *places = (np.concatenate(x) for x in zip(*rows, strict=True))
+                yield _sent(batch, shards, key, places)
     return run
 
 
-def _repeated(batches):
-    """Sorted stream: a shard's repeated anchors, then its runs; gives the runs with such an anchor."""
-    shard, known = None, np.empty(0, np.uint64)
+def _met(batches):
+    """Sorted stream: a shard's known keys with their marks, then packed rows; (key, mark, k1, k2, two numbers) of the known ones."""
+    shard, known, marks = None, np.empty(0, np.uint64), np.empty(0, np.uint8)
     for batch in batches:
         for s, kind, keys, places in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "keys", "places")), strict=True):
             key = np.frombuffer(keys, np.uint64)
             if kind == 0:
-                shard, known = s, key
+                shard, known, marks = s, key, np.frombuffer(places, np.uint8)
                 continue
             if s != shard or not len(known):
                 continue
@@ -165,9 +202,116 @@ def _repeated(batches):
             keep = known[at] == key
             n = len(key)
             k1, k2 = np.frombuffer(places, "<i8", 2 * n).reshape(2, n)
-            start, count = np.frombuffer(places, "<i4", 2 * n, 16 * n).reshape(2, n)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k1, k2, start, count, key.view(np.int64))],
-                                             ["k1", "k2", "start", "n", "anchor"])
+            a, b = np.frombuffer(places, "<i4", 2 * n, 16 * n).reshape(2, n)
+            yield tuple(x[keep] for x in (key, marks[at], k1, k2, a, b))
+
+
+def _repeated(batches):
+    """Runs whose anchor is known to repeat, and whether it is hot."""
+    for key, hot, k1, k2, start, count in _met(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k1, k2, start, count, key.view(np.int64), hot.astype(bool))],
+                                         ["k1", "k2", "start", "n", "anchor", "hot"])
+
+
+def _window_keys(text: np.ndarray, start: int, n: int, anchor: int, length: int) -> np.ndarray:
+    """A hash for each window of a run: of the anchor and the window's first and last eight bytes."""
+    at = start + np.arange(n)
+    loads = np.ndarray((len(text) - 7,), "<u8", buffer=text, strides=(1,))
+    base = np.array([anchor], np.int64).view(np.uint64)
+    return mix64(mix64(loads[at] ^ base) + mix64(loads[at + length - 8] + base))
+
+
+def _hot_windows(batch, length: int):
+    """(row, run's start, offset of each window in the run, key) of the hot runs of a batch of candidates."""
+    out = []
+    for i, (text, *runs) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "counts", "anchors", "hots")), strict=True)):
+        data = np.frombuffer(text, np.uint8)
+        for start, n, anchor, hot in zip(*runs, strict=True):
+            if hot:
+                out.append((np.full(n, i), np.full(n, start), np.arange(n), _window_keys(data, start, n, anchor, length)))
+    return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 3 + [np.empty(0, np.uint64)]
+
+
+def _count_windows(shards: int, length: int):
+    def run(batches):
+        for batch in _slices(batches):
+            key, n = np.unique(_hot_windows(batch, length)[3], return_counts=True)
+            names, parts = _parts(shards, key)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), _blobs(parts, key), _blobs(parts, n.astype(np.uint32))],
+                                             ["shard", "keys", "counts"])
+    return run
+
+
+def _window_classes(many: int):
+    def close(shard, columns):
+        keys, at = np.unique(columns[0], return_inverse=True)
+        total = np.bincount(at, weights=columns[1])
+        return _known(shard, keys[total > 1], total[total > 1] >= many)
+
+    return lambda batches: _folded(batches, {"keys": np.uint64, "counts": np.uint32}, close)
+
+
+def _place_windows(shards: int, length: int):
+    def run(batches):
+        for batch in _slices(batches):
+            row, start, offset, key = _hot_windows(batch, length)
+            k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("k1", "k2"))
+            if len(key):
+                yield _sent(batch, shards, key, [k1, k2, start, offset])
+    return run
+
+
+def _window_marks(batches):
+    """Per run: the offsets of its repeated windows, and whether each occurs many times."""
+    for _, many, k1, k2, start, offset in _met(batches):
+        if not len(k1):
+            continue
+        order = np.lexsort((offset, start, k2, k1))
+        k1, k2, start, offset, many = (x[order] for x in (k1, k2, start, offset, many))
+        first = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (start[1:] != start[:-1])]))
+        cuts = [slice(a, b) for a, b in zip(first, np.append(first[1:], len(k1)), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k1[first]), pa.array(k2[first]), pa.array(start[first]), pa.array([offset[c].astype("<i4").tobytes() for c in cuts], pa.binary()),
+             pa.array([many[c].tobytes() for c in cuts], pa.binary())], ["k1", "k2", "start", "offsets", "many"])
+
+
+def _refined(length: int):
+    """Candidates with each hot run replaced by runs of its windows that occur many times, and its other repeated windows."""
+    def run(batches):
+        for batch in _slices(batches):
+            out = {"starts": [], "counts": [], "anchors": []}
+            for text, starts, counts, anchors, hots, marks in zip(
+                    *(batch.column(c).to_pylist() for c in ("text", "starts", "counts", "anchors", "hots", "marks")), strict=True):
+                by_start: dict[int, dict] = {}
+                for mark in marks or ():
+                    pairs = zip(np.frombuffer(mark["offsets"], "<i4").tolist(), mark["many"], strict=True)
+                    by_start.setdefault(mark["start"], {}).update(pairs)
+                runs, data = [], np.frombuffer(text, np.uint8)
+                for start, n, anchor, hot in zip(starts, counts, anchors, hots, strict=True):
+                    if not hot:
+                        runs.append((start, n, anchor))
+                        continue
+                    last = None
+                    for offset, many in sorted(by_start.get(start, {}).items()):
+                        if not many:
+                            own = _window_keys(data, start + offset, 1, anchor, length).view(np.int64)
+                            runs.append((start + offset, 1, int(own[0])))
+                        elif last is not None and sum(runs[last][:2]) == start + offset:
+                            runs[last] = (runs[last][0], runs[last][1] + 1, anchor)
+                        else:
+                            last = len(runs)
+                            runs.append((start + offset, 1, anchor))
+                for name, values in zip(out, zip(*runs, strict=True) if runs else ((), (), ()), strict=True):
+                    out[name].append(list(values))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("k1", "k2", "doc_id", "n_bytes", "text")),
+                 *(pa.array(out[c], pa.list_(kind)) for c, kind in (("starts", pa.int32()), ("counts", pa.int32()), ("anchors", pa.int64())))],
+                ["k1", "k2", "doc_id", "n_bytes", "text", "starts", "counts", "anchors"])
+    return run
+
+
+def _slices(batches):
+    return (b.slice(i, PIECE_ROWS) for b in batches for i in range(0, b.num_rows, PIECE_ROWS))
 
 
 def _candidates(length: int):
@@ -181,8 +325,8 @@ def _candidates(length: int):
                 [batch.column("k1"), batch.column("k2"), batch.column("doc_id"), pa.array([len(t or b"") for t in texts], pa.int64()),
                  pa.array(sha, pa.string()), pa.array([t if r else None for t, r in zip(texts, runs, strict=True)], pa.binary()),
                  *(pa.array([[x[c] for x in r] if r else None for r in runs], pa.list_(kind))
-                   for c, kind in (("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64())))],
-                ["k1", "k2", "doc_id", "n_bytes", "sha", "text", "starts", "counts", "anchors"])
+                   for c, kind in (("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64()), ("hot", pa.bool_())))],
+                ["k1", "k2", "doc_id", "n_bytes", "sha", "text", "starts", "counts", "anchors", "hots"])
     return run
 
 
@@ -200,7 +344,7 @@ def _digest(piece: bytes) -> bytes:
 def _pieces(length: int):
     """Distinct pieces of a batch with the number of times each occurs."""
     def run(batches):
-        for batch in (b.slice(i, PIECE_ROWS) for b in batches for i in range(0, b.num_rows, PIECE_ROWS)):
+        for batch in _slices(batches):
             held: dict[bytes, list] = {}
             for _, _, anchor, piece in _each_piece(batch, length):
                 held.setdefault(_digest(piece), [0, anchor, piece])[0] += 1
@@ -213,7 +357,7 @@ def _pieces(length: int):
 
 def _occurrences(length: int):
     def run(batches):
-        for batch in (b.slice(i, PIECE_ROWS) for b in batches for i in range(0, b.num_rows, PIECE_ROWS)):
+        for batch in _slices(batches):
             rows = [(i, start, _digest(piece)) for i, start, _, piece in _each_piece(batch, length)]
             at = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("k1").take(at), batch.column("k2").take(at), pa.array([r[1] for r in rows], pa.int32()),
@@ -262,6 +406,7 @@ def _flagged(length: int):
     """Sorted stream of pieces by anchor: builds blocks and gives the repeated windows of each piece.
 
     Blocks are cut between anchors; an anchor that fills more than one block gets blocks of its own, merged with each other.
+    Such an anchor has fewer than ``HOT`` different pieces, so it fills a few blocks at most.
     """
     def run(batches):
         whole, held, own, size, last = [], 0, [], 0, None  # closed anchors of a block and their bytes; the current anchor's
@@ -329,6 +474,33 @@ def _removed(length: int):
     return run
 
 
+def _with_known(known: DataFrame, rows: DataFrame) -> DataFrame:
+    """Packed rows sorted by shard and salt, behind the shard's known keys."""
+    heads = known.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), "keys",
+                         F.col("marks").alias("places"))
+    return _by_shard(heads.unionByName(rows), ["shard", "salt"], ["kind"])
+
+
+def _without_hot_anchors(found: DataFrame, length: int) -> DataFrame:
+    """Candidates (k1, k2, doc_id, n_bytes, text, starts, counts, anchors) whose hot runs are taken apart."""
+    is_hot = F.exists("hots", lambda h: h)
+    plain, hot = found.where(~is_hot).drop("hots"), found.where(is_hot)
+    windows = hot.select(F.aggregate(F.zip_with("counts", "hots", lambda n, h: F.when(h, n).otherwise(0)), F.lit(0), lambda a, b: a + b)
+                         .alias("n")).agg(F.sum("n")).first()[0]
+    if not windows:
+        return plain
+    shards = -(-windows // WINDOWS_PER_SHARD)
+    given = hot.select("k1", "k2", "text", "starts", "counts", "anchors", "hots")
+    counted = given.mapInArrow(_count_windows(shards, length), "shard int, keys binary, counts binary")
+    known = materialize(_by_shard(counted, ["shard"], []).mapInArrow(_window_classes(MANY), KNOWN), "windows")
+    marks = _with_known(known, given.mapInArrow(_place_windows(shards, length), STREAM)).mapInArrow(
+        _window_marks, "k1 long, k2 long, start int, offsets binary, many binary")
+    marks = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "offsets", "many")).alias("marks"))
+    refined = hot.join(marks, ["k1", "k2"], "left").mapInArrow(
+        _refined(length), "k1 long, k2 long, doc_id long, n_bytes long, text binary, starts array<int>, counts array<int>, anchors array<long>")
+    return plain.unionByName(materialize(refined, "refined"))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, shards: int | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): k1, k2, doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256, kept.
 
@@ -340,18 +512,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shards: int | None = N
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
                       *text_key(docs))
-    counted = own.select("text").mapInArrow(_count(shards, length), "shard int, keys binary, counts binary")
-    known = materialize(_by_shard(counted, ["shard"], []).mapInArrow(_twice, "shard int, keys binary"), "anchors")
-    heads = known.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), "keys",
-                         F.lit(None).cast("binary").alias("places"))
+    counted = own.select("text").mapInArrow(_count(shards, length), "shard int, keys binary, counts binary, kinds binary, around binary")
+    known = materialize(_by_shard(counted, ["shard"], []).mapInArrow(_twice(HOT), KNOWN), "anchors")
     lines = own.select("k1", "k2", "text").mapInArrow(_placed(shards, length), STREAM)
-    runs = _by_shard(heads.unionByName(lines), ["shard", "salt"], ["kind"]).mapInArrow(
-        _repeated, "k1 long, k2 long, start int, n int, anchor long")
-    runs = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
+    runs = _with_known(known, lines).mapInArrow(_repeated, "k1 long, k2 long, start int, n int, anchor long, hot boolean")
+    runs = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n", "anchor", "hot")).alias("runs"))
     marked = materialize(own.join(runs, ["k1", "k2"], "left").mapInArrow(
         _candidates(length), "k1 long, k2 long, doc_id long, n_bytes long, sha string, text binary, starts array<int>, "
-                             "counts array<int>, anchors array<long>"), "candidates")
-    found = marked.where("text IS NOT NULL")
+                             "counts array<int>, anchors array<long>, hots array<boolean>"), "candidates")
+    found = _without_hot_anchors(marked.where("text IS NOT NULL").drop("sha"), length)
     pieces = found.select("text", "starts", "counts", "anchors").mapInArrow(_pieces(length), "anchor long, digest binary, n long, piece binary")
     flags = materialize(_by_shard(pieces, ["anchor"], ["digest"]).mapInArrow(_flagged(length), "digest binary, flags binary"), "flags")
     marks = found.select("k1", "k2", "text", "starts", "counts", "anchors").mapInArrow(

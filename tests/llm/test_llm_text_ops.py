@@ -208,6 +208,17 @@ def test_repeats_with_small_blocks(odd, odd_rows, monkeypatch):
     assert Counter(tuple(r) for r in got) == without_repeats(odd_rows, 60)
 
 
+@pytest.mark.parametrize("length", [60, 200])
+def test_repeats_with_hot_anchors(odd, odd_rows, length, monkeypatch):
+    """Every anchor with a few different surroundings is taken apart into windows, rare, common or in between."""
+    import parcelwise.llm.suffix_dedup as module
+    monkeypatch.setattr(module, "HOT", 2)
+    monkeypatch.setattr(module, "MANY", 4)
+    monkeypatch.setattr(module, "WINDOWS_PER_SHARD", 500)
+    got = remove_repeats(odd, length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert Counter(tuple(r) for r in got) == without_repeats(odd_rows, length)
+
+
 def test_repeats_of_an_empty_table(none):
     assert remove_repeats(none).count() == 0
 
