@@ -46,6 +46,10 @@ class ToxicModel:
         return out
 
 
+#: what is learned where nothing tells toxic texts from others: every text scores 0
+NOTHING_TOXIC = ToxicModel(np.empty(0, np.int32), np.empty(0, np.float32), -30.0)
+
+
 def _occurrences(data: np.ndarray, offsets: np.ndarray):
     """(feature number and text of every occurrence of a feature, as one pair of arrays per kind of feature)."""
     words, mapped, starts, length, at = word_spans(data, offsets, ALNUM)
@@ -92,7 +96,7 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
     """Model from ``documents`` (doc_id, text) and ``labels`` (doc_id, toxic); pass only rows that may be learned from.
 
     Rows with a null id or text are left out; an id labelled more than once is toxic if any of its labels is.  Without a toxic
-    example every text scores 0.
+    example, or a feature that toxic texts have more of, every text scores 0.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = materialize(known.select("doc_id", (F.col("toxic") > 0).alias("toxic")), "labels")
@@ -105,7 +109,7 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
     found = rows.select("positive", "text").mapInArrow(_described(FIT_FEATURES), "positive boolean, numbers binary, values binary").toArrow()
     positive = found.column("positive").to_numpy()
     if not positive.any() or positive.all() or prior <= 0:
-        return ToxicModel(np.empty(0, np.int32), np.empty(0, np.float32), -20.0)
+        return NOTHING_TOXIC
     texts_ = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32))
               for a, b in zip(found.column("numbers").to_pylist(), found.column("values").to_pylist(), strict=True)]
     order = sorted(range(len(texts_)), key=lambda i: (bool(positive[i]), texts_[i][0].tobytes()))  # rows come in any order
@@ -133,6 +137,8 @@ def select(toxic: list, other: list) -> tuple[np.ndarray, np.ndarray]:
 def train(toxic: list, other: list, prior: float, steps: int = STEPS) -> ToxicModel:
     """Weights of the selected features that minimise the non-negative risk with the sigmoid loss, over all examples at once."""
     numbers, ratio = select(toxic, other)
+    if not len(numbers):
+        return NOTHING_TOXIC
     place = np.full(1 << BITS, -1)
     place[numbers] = np.arange(len(numbers))
 
@@ -156,7 +162,7 @@ def train(toxic: list, other: list, prior: float, steps: int = STEPS) -> ToxicMo
         gp = -prior * p * (1 - p) / len(toxic)
         gu = u * (1 - u) / len(other) if as_clean > 0 else np.zeros(len(other))
         gp = 2 * gp if as_clean > 0 else gp
-        g = np.bincount(pn, gp[pt] * pv, size) + np.bincount(un, gu[ut] * uv, size)
+        g = (np.bincount(pn, gp[pt] * pv, size) + np.bincount(un, gu[ut] * uv, size)).astype(np.float64)
         g[k] = g[:k].sum()
         g[:k] += PULL * w[:k]
         g[-1] = gp.sum() + gu.sum()
