@@ -97,7 +97,7 @@ def calendar_profile(df: DataFrame, table: str, date_col: str, interval: str, fi
     """
     periods = calendar_periods(table, interval, first_date, as_of)
     names = F.lit([n for n, _, _ in periods]) if periods else F.array().cast("array<string>")
-    start, end = (periods[0][1], periods[-1][2]) if periods else (dt.date(1, 1, 2), dt.date(1, 1, 1))
+    start, end = (periods[0][1], periods[-1][2]) if periods else (dt.date(1900, 1, 2), dt.date(1900, 1, 1))
     d = day_of(date_col)
     number = _period_number(d, interval, periods) if periods else F.lit(0)
     prof = (df.where(in_day_range(_c(date_col), start, end)).groupBy(number.alias("_number"))

@@ -124,7 +124,7 @@ def _refresh_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _extent(df: DataFrame, col: str) -> tuple[dt.date, dt.date]:
     """First and last day of a table's date column; no days (first after last) for an empty table."""
     row = df.agg(F.to_date(F.min(col)), F.to_date(F.max(col))).first()
-    return (row[0], row[1]) if row[0] else (dt.date(2, 1, 1), dt.date(1, 1, 1))
+    return (row[0], row[1]) if row[0] else (dt.date(1900, 2, 1), dt.date(1900, 1, 1))
 
 
 def _whole_profile(spark, sf_dir, table, col, interval):

@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelwise.operators.assign import (
     assign_by_ranges,
     assign_partition,
+    calendar_profile,
     partition_profile,
     slice_partition,
     uncovered_rows,
@@ -120,18 +122,22 @@ def test_assign_partition_is_narrow(spark, sf_small):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-def test_shuffle_path_beyond_broadcast_bound(spark, sf_small):
-    """With the broadcast bound at 0 the interval join shuffles; results are the same."""
+def test_shuffle_path_beyond_the_broadcast_limit(spark, sf_small):
+    """With Spark's broadcast limit off, the interval joins shuffle and give the same rows."""
     li = _lineitem(spark, sf_small)
-    ranges = _ranges(spark, "lineitem", "19950215", "QUARTER")
-    key = ["l_orderkey", "l_linenumber", "partition_name"]
-    wide = assign_by_ranges(li, "l_shipdate", ranges, "lineitem", broadcast_max_rows=0)
-    assert "BroadcastHashJoin" not in _plan(wide) and "NestedLoop" not in _plan(wide)
-    narrow = assign_partition(li, "lineitem", "l_shipdate", "QUARTER", "19950215", AS_OF)
-    assert wide.select(key).exceptAll(narrow.select(key)).count() == 0
-    assert wide.count() == li.count()
-    lost = uncovered_rows(li, "l_shipdate", ranges, "lineitem", broadcast_max_rows=0).count()
-    assert lost == narrow.where(F.col("partition_name").isNull()).count()
+    ranges = period_ranges(read_spec(spark, [{"table": "lineitem", "first_date": "19960301", "partition_by": "l_shipdate",
+                                              "interval": "MONTH"}]), AS_OF)
+    run = lambda: (sorted(map(tuple, assign_by_ranges(li, "l_shipdate", ranges).groupBy("partition_name").count().collect()), key=str),
+                   uncovered_rows(li, "l_shipdate", ranges).count())
+    want = run()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run() == want
+        plan = assign_by_ranges(li, "l_shipdate", ranges)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_scattered_refresh_reads_only_selected_dates(spark, sf_small):
@@ -151,3 +157,25 @@ def test_scattered_refresh_reads_only_selected_dates(spark, sf_small):
     d = F.to_date("l_shipdate")
     want = li.where(d.between(D(1995, 1, 1), D(1995, 6, 30)) | d.between(D(2001, 7, 1), D(2001, 9, 30)))
     assert sliced.count() == want.count() > 0
+
+
+@pytest.mark.parametrize("interval", ["MONTH", "quarter", "YEAR"])
+def test_picked_names_equal_built_names(spark, interval):
+    """Names looked up by period number equal the names built per row, around every boundary and for null dates."""
+    days = [None] + [D(1999, 12, 30) + dt.timedelta(days=i) for i in range(0, 900)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id int, d date")
+    for first, last in ((D(2000, 2, 15), D(2001, 8, 1)), (D(2000, 1, 1), D(2000, 1, 1)), (D(2005, 1, 1), D(2001, 1, 1))):
+        picked = assign_partition(df, "T", "d", interval, first, last)
+        built = assign_partition(df, "T", "d", interval, F.lit(first), F.lit(last))
+        assert sorted(map(tuple, picked.collect()), key=str) == sorted(map(tuple, built.collect()), key=str)
+        one = calendar_profile(df, "T", "d", interval, first, last)
+        two = partition_profile(built, "d", "T")
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+
+
+def test_calendar_profile_pushes_dates_and_groups_numbers(spark, sf_small):
+    li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    plan = calendar_profile(li, "lineitem", "l_shipdate", "QUARTER", "19950215", D(2001, 8, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan
+    assert "LessThan(l_shipdate" in plan
+    assert "date_format" not in plan

@@ -14,7 +14,7 @@ sys.path.insert(0, ".")
 from parcelwise.operators.assign import (  # noqa: E402
     assign_by_ranges,
     assign_partition,
-    partition_profile,
+    calendar_profile,
     slice_partition,
     uncovered_rows,
 )
@@ -48,7 +48,8 @@ def main():
          assign_by_ranges(li, "l_shipdate", ranges, "lineitem").select("l_orderkey", "partition_name")),
         ("W5 slice_partition (pushed filters, pruned columns)",
          slice_partition(li, "l_shipdate", "2000-01-01", "2000-03-31").select("l_orderkey", "l_quantity")),
-        ("W6 partition_profile (partial + final aggregate)", partition_profile(tagged, "l_shipdate", "lineitem")),
+        ("W6 calendar_profile (pushed filters, partial + final aggregate by period number)",
+         calendar_profile(li, "lineitem", "l_shipdate", "QUARTER", "19950215", AS_OF)),
         ("W8 uncovered_rows (broadcast left anti join)",
          uncovered_rows(li, "l_shipdate", ranges, "lineitem").select("l_orderkey")),
         ("W14 refresh input: first and last quarter selected -> OR of two intervals pushed, "
