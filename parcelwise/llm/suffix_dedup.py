@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ LENGTH, GRAM = 200, 40
 BLOCK = 1 << 20
 SALTS = 8
 CHUNK = 1 << 20
-HOT, MANY = 4000, 1000
+HOT, MANY = 1000, 250
 WINDOWS_PER_SHARD = 2_000_000
 PIECE_ROWS = 2000
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
@@ -366,9 +367,9 @@ def _occurrences(length: int):
 
 
 def flag_blocks(blocks: list[list[tuple]], length: int) -> list[tuple[bytes, bytes]]:
-    """(digest, packed window flags) of the pieces of blocks whose windows meet only each other.
+    """(digest, spans) of the pieces of blocks whose windows meet only each other and that hold repeated ones.
 
-    A block is a list of (anchor, digest, count, piece).  Only the anchors that lie in two blocks are searched across.
+    spans are the maximal runs of bytes that repeated windows cover, as pairs of little-endian 4-byte numbers.  A block is a list of (anchor, digest, count, piece).  Only the anchors that lie in two blocks are searched across.
     """
     built, flags, weights = [], [], []
     for block in blocks:
@@ -392,7 +393,9 @@ def flag_blocks(blocks: list[list[tuple]], length: int) -> list[tuple[bytes, byt
             own = flag[at:at + len(piece) - length + 1]
             at += len(piece)
             if own.any():
-                out.append((digest, np.packbits(own).tobytes()))
+                edge = np.diff(own.astype(np.int8), prepend=0, append=0)
+                first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1 + length
+                out.append((digest, np.stack([first, last], 1).astype("<i4").tobytes()))
     return out
 
 
@@ -414,7 +417,7 @@ def _flagged(length: int):
         def emit(blocks):
             found = flag_blocks(blocks, length)
             return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()), pa.array([f for _, f in found], pa.binary())],
-                                              ["digest", "flags"])
+                                              ["digest", "spans"])
 
         def cut(rows):
             blocks, held = [[]], 0
@@ -451,27 +454,27 @@ def _flagged(length: int):
     return run
 
 
-def _removed(length: int):
-    def run(batches):
-        for batch in batches:
-            spans, kept, gone = [], [], []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
-                change = np.zeros(len(text) + 1, np.int32)
-                for mark in marks or ():
-                    at = mark["start"] + np.flatnonzero(np.unpackbits(np.frombuffer(mark["flags"], np.uint8)))
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + length, -1)
-                cover = np.cumsum(change[:-1]) > 0
-                edge = np.diff(np.concatenate([[0], cover.astype(np.int8), [0]]))
-                spans.append(np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], 1).astype("<i8").tobytes())
-                kept.append(np.frombuffer(text, np.uint8)[~cover].tobytes())
-                gone.append(int(cover.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("k1"), batch.column("k2"), batch.column("doc_id"), batch.column("n_bytes"), pa.array(gone, pa.int64()),
-                 pa.array([len(s) // 16 for s in spans], pa.int64()), pa.array(spans, pa.binary()),
-                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())],
-                ["k1", "k2", "doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256", "kept"])
-    return run
+def _removed(batches):
+    for batch in batches:
+        marks = batch.column("marks")
+        held = marks.flatten()
+        starts, spans_of = held.field("start").to_numpy(zero_copy_only=False), held.field("spans").to_pylist()
+        ends = np.cumsum(np.nan_to_num(pc.list_value_length(marks).to_numpy(zero_copy_only=False)).astype(np.int64))
+        spans, kept, gone = [], [], []
+        for text, a, b in zip(batch.column("text").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            own = np.frombuffer(b"".join(spans_of[a:b]), "<i4").reshape(-1, 2).astype(np.int64)
+            own = own + np.repeat(starts[a:b], [len(x) // 8 for x in spans_of[a:b]])[:, None]
+            change = np.bincount(own[:, 0], minlength=len(text) + 1) - np.bincount(own[:, 1], minlength=len(text) + 1)
+            cover = np.cumsum(change[:-1]) > 0
+            edge = np.diff(cover.astype(np.int8), prepend=0, append=0)
+            spans.append(np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], 1).astype("<i8").tobytes())
+            kept.append(np.frombuffer(text, np.uint8)[~cover].tobytes())
+            gone.append(int(cover.sum()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("k1"), batch.column("k2"), batch.column("doc_id"), batch.column("n_bytes"), pa.array(gone, pa.int64()),
+             pa.array([len(s) // 16 for s in spans], pa.int64()), pa.array(spans, pa.binary()),
+             pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())],
+            ["k1", "k2", "doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256", "kept"])
 
 
 def _with_known(known: DataFrame, rows: DataFrame) -> DataFrame:
@@ -522,12 +525,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shards: int | None = N
                              "counts array<int>, anchors array<long>, hots array<boolean>"), "candidates")
     found = _without_hot_anchors(marked.where("text IS NOT NULL").drop("sha"), length)
     pieces = found.select("text", "starts", "counts", "anchors").mapInArrow(_pieces(length), "anchor long, digest binary, n long, piece binary")
-    flags = materialize(_by_shard(pieces, ["anchor"], ["digest"]).mapInArrow(_flagged(length), "digest binary, flags binary"), "flags")
+    flags = materialize(_by_shard(pieces, ["anchor"], ["digest"]).mapInArrow(_flagged(length), "digest binary, spans binary"), "flags")
     marks = found.select("k1", "k2", "text", "starts", "counts", "anchors").mapInArrow(
         _occurrences(length), "k1 long, k2 long, start int, digest binary").join(flags, "digest")
-    marks = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "flags")).alias("marks"))
+    marks = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "spans")).alias("marks"))
     cleaned = found.select("k1", "k2", "doc_id", "n_bytes", "text").join(marks, ["k1", "k2"], "left").mapInArrow(
-        _removed(length), "k1 long, k2 long, doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, kept_sha256 string, kept binary")
+        _removed, "k1 long, k2 long, doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, kept_sha256 string, kept binary")
     plain = marked.where("text IS NULL").select(
         "k1", "k2", "doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.lit(None).cast("binary").alias("spans"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
