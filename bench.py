@@ -17,8 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from parcelwise.operators.assign import (  # noqa: E402
     assign_by_ranges,
     assign_partition,
@@ -37,6 +35,7 @@ from parcelwise.sources.storage import read_manifest  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+COPIES = int(os.environ.get("BENCH_COPIES", "1"))  # so many copies of lineitem, to see what grows with the rows
 
 SPEC = [{"table": "lineitem", "first_date": FIRST_DATE, "partition_by": "l_shipdate",
          "interval": "QUARTER"}]
@@ -55,6 +54,11 @@ def timed(fn, repeat=REPEAT):
 def main():
     spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=max(8, CPUS), driver_memory="8g")
     lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    if COPIES > 1:
+        copies = scratch_path(spark, "bench-copies")
+        for _ in range(COPIES):
+            lineitem.write.mode("append").parquet(copies)
+        lineitem = spark.read.parquet(copies)
     ranges = period_ranges(read_spec(spark, SPEC), AS_OF).cache()
     ranges.count()
 
@@ -109,10 +113,13 @@ def main():
         "queries": results,
         "sf": float(m.group(1)) if m else SF_DIR,
         "cpus": CPUS,
+        "copies": COPIES,
         "refresh_1q_over_full_write": round(results["w14_refresh_1q"] / results["w13_materialize_all"], 3),
     }
     print(json.dumps(out))
     drop_folder(spark, root)
+    if COPIES > 1:
+        drop_folder(spark, copies)
     spark.stop()
 
 
