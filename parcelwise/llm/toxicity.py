@@ -104,7 +104,8 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
         prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("text"))
     toxic = _sampled(known.where("toxic"), positives).select("doc_id")
-    rows = texts.join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True)).unionByName(
+    # ids of a sample of bounded size: the texts are not shuffled for them
+    rows = texts.join(F.broadcast(toxic), "doc_id", "left_semi").withColumn("positive", F.lit(True)).unionByName(
         _sampled(texts, unlabelled).withColumn("positive", F.lit(False)))
     found = rows.select("positive", "text").mapInArrow(_described(FIT_FEATURES), "positive boolean, numbers binary, values binary").toArrow()
     positive = found.column("positive").to_numpy()
