@@ -72,7 +72,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
     """For each size: (hash of the n-gram that begins at each byte, whether it lies inside its text)."""
     mapped = np.zeros(len(data) + 8, np.uint8)
     np.take(_LETTERS, data, out=mapped[:len(data)])
-    loads = np.ndarray((len(data),), "<u8", buffer=mapped, strides=(1,))
+    loads = np.ascontiguousarray(np.ndarray((len(data),), "<u8", buffer=mapped, strides=(1,)))  # aligned
     left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))
     for n in SIZES:
         yield mix64((loads & np.uint64((1 << (8 * n)) - 1)) + np.uint64(n << 56)), left >= n
@@ -82,7 +82,7 @@ def _counted(numbers: dict):
     """Per task: documents of each language that contain each n-gram."""
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch.column("text"), 1 << 20):
+            for lo, hi, data, offsets in text_chunks(batch.column("text")):
                 lang = np.array([numbers[x] for x in batch.column("lang").slice(lo, hi - lo).to_pylist()])
                 text = np.repeat(np.arange(hi - lo), np.diff(offsets))
                 for gram, inside in _grams(data, offsets):

@@ -33,9 +33,9 @@ from .suffix_array import Block
 from .words import mix64, text_chunks
 
 LENGTH, GRAM = 200, 40
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 SALTS = 8
-CHUNK = 1 << 20
+CHUNK = 1 << 15
 HOT, MANY = 1000, 250
 WINDOWS_PER_SHARD = 2_000_000
 PIECE_ROWS = 2000
@@ -52,7 +52,7 @@ def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(data) - length + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    loads = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
+    loads = np.ascontiguousarray(np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,)))  # aligned
     grams = len(data) - GRAM + 1
     h = np.zeros(grams, np.uint64)
     for i, c in enumerate(_ODD):
@@ -409,13 +409,18 @@ def _flagged(length: int):
     """Sorted stream of pieces by anchor: builds blocks and gives the repeated windows of each piece.
 
     Blocks are cut between anchors; an anchor that fills more than one block gets blocks of its own, merged with each other.
-    Such an anchor has fewer than ``HOT`` different pieces, so it fills a few blocks at most.
+    Such an anchor has fewer than ``HOT`` different pieces, so it fills a few blocks at most.  Windows of one piece stand at
+    different distances from its anchor and so never equal each other: an anchor with a single piece needs no suffix array,
+    its windows repeat if the piece does.
     """
     def run(batches):
         whole, held, own, size, last = [], 0, [], 0, None  # closed anchors of a block and their bytes; the current anchor's
+        alone = []  # single pieces that occur more than once
 
         def emit(blocks):
-            found = flag_blocks(blocks, length)
+            found = flag_blocks(blocks, length) if blocks else []
+            found += [(digest, np.array([0, len(piece)], "<i4").tobytes()) for _, digest, _, piece in alone]
+            alone.clear()
             return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()), pa.array([f for _, f in found], pa.binary())],
                                               ["digest", "spans"])
 
@@ -434,6 +439,11 @@ def _flagged(length: int):
                 if anchor == last and own[-1][1] == digest:
                     own[-1][2] += n
                     continue
+                if anchor != last and len(own) == 1:
+                    alone.extend(r for r in own if r[2] > 1)
+                    own, size = [], 0
+                    if len(alone) > 10_000:
+                        yield emit([])
                 if anchor != last and own:
                     if size > BLOCK:
                         yield emit(cut(own))
@@ -446,11 +456,14 @@ def _flagged(length: int):
                 own.append([anchor, digest, n, piece])
                 size += len(piece)
                 last = anchor
+        if len(own) == 1:
+            alone.extend(r for r in own if r[2] > 1)
+            own, size = [], 0
         if size > BLOCK:
             yield emit(cut(own))
             own = []
-        if whole or own:
-            yield emit([whole + own])
+        if whole or own or alone:
+            yield emit([whole + own] if whole or own else [])
     return run
 
 

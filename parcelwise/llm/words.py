@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 17  # small enough for the arrays of a chunk to stay in cache
 LONG_WORD = 256
 _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
