@@ -71,21 +71,32 @@ def features(data: np.ndarray, offsets: np.ndarray):
     return (pair & ((1 << BITS) - 1)).astype(np.int32), (n / total[text]).astype(np.float32), np.searchsorted(text, np.arange(len(offsets)))
 
 
-def _described(most: int):
+def _described(most: int, among: np.ndarray | None = None):
+    """Features of each text: its ``most`` frequent ones, or those in the sorted list ``among``."""
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch.column("text")):
+            for _, _, data, offsets in text_chunks(batch.column("text")):
                 number, value, cuts = features(data, offsets)
                 numbers, values = [], []
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    top = np.sort(np.argpartition(-value[a:b], most)[:most]) + a if b - a > most else np.arange(a, b)
+                    top = np.arange(a, b)
+                    if among is not None:
+                        top = top[np.isin(number[a:b], among, assume_unique=True)]
+                    elif b - a > most:
+                        top = np.sort(np.argpartition(-value[a:b], most)[:most]) + a
                     numbers.append(number[top].tobytes())
                     values.append(value[top].tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column("positive").slice(lo, hi - lo), pa.array(numbers, pa.binary()), pa.array(values, pa.binary())],
-                                                 ["positive", "numbers", "values"])
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.binary()), pa.array(values, pa.binary())], ["numbers", "values"])
     return run
 
 
+def _collected(texts: DataFrame, run) -> list:
+    """(numbers, shares) of a bounded sample of texts, in an order that depends on the texts only."""
+    found = texts.select("text").mapInArrow(run, "numbers binary, values binary").toArrow()
+    pairs = sorted(zip(found.column("numbers").to_pylist(), found.column("values").to_pylist(), strict=True))
+    return [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32)) for a, b in pairs]
+
+
 def _sampled(rows: DataFrame, most: int) -> DataFrame:
     """About ``most`` rows, chosen by a hash of the id."""
     share = min(1.0, most / max(1, rows.count()))
@@ -105,16 +116,18 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("text"))
     toxic = _sampled(known.where("toxic"), positives).select("doc_id")
     # ids of a sample of bounded size: the texts are not shuffled for them
-    rows = texts.join(F.broadcast(toxic), "doc_id", "left_semi").withColumn("positive", F.lit(True)).unionByName(
-        _sampled(texts, unlabelled).withColumn("positive", F.lit(False)))
-    found = rows.select("positive", "text").mapInArrow(_described(FIT_FEATURES), "positive boolean, numbers binary, values binary").toArrow()
-    positive = found.column("positive").to_numpy()
-    if not positive.any() or positive.all() or prior <= 0:
+    toxic_rows = _collected(texts.join(F.broadcast(toxic), "doc_id", "left_semi"), _described(FIT_FEATURES))
+    if not toxic_rows or prior <= 0:
         return NOTHING_TOXIC
-    texts_ = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32))
-              for a, b in zip(found.column("numbers").to_pylist(), found.column("values").to_pylist(), strict=True)]
-    order = sorted(range(len(texts_)), key=lambda i: (bool(positive[i]), texts_[i][0].tobytes()))  # rows come in any order
-    return train(*([texts_[i] for i in order if positive[i] == side] for side in (True, False)), prior)
+    among = frequent(toxic_rows)
+    # of the other texts only the features that can be selected come to the driver
+    return train(toxic_rows, _collected(_sampled(texts, unlabelled), _described(0, among)), among, prior)
+
+
+def frequent(toxic: list) -> np.ndarray:
+    """Sorted numbers of the features that enough toxic texts have."""
+    numbers, texts = np.unique(np.concatenate([n for n, _ in toxic]), return_counts=True)
+    return numbers[texts >= max(LEAST_TEXTS, LEAST_SHARE * len(toxic))]
 
 
 def _joined(rows: list):
@@ -122,35 +135,32 @@ def _joined(rows: list):
     return np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), np.repeat(np.arange(len(rows)), np.diff(cuts))
 
 
-def select(toxic: list, other: list) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers, log ratios) of the features that toxic texts have more of, strongest first."""
-    def mean(rows):
-        number, share, _ = _joined(rows)
-        return np.bincount(number, share, 1 << BITS) / len(rows), np.bincount(number, minlength=1 << BITS)
+def _reduced(rows: list, numbers: np.ndarray) -> list:
+    """Rows with places in ``numbers`` (sorted) instead of feature numbers; other features go."""
+    out = []
+    for number, share in rows:
+        at = np.minimum(np.searchsorted(numbers, number), len(numbers) - 1)
+        keep = numbers[at] == number
+        out.append((at[keep], share[keep].astype(np.float64)))
+    return out
 
-    (p, texts), (u, _) = mean(toxic), mean(other)
-    ratio = np.log((p + SMOOTHING) / (u + SMOOTHING))
-    some = np.flatnonzero((texts >= max(LEAST_TEXTS, LEAST_SHARE * len(toxic))) & (ratio >= LEAST_RATIO))
-    some = some[np.argsort(-(p * ratio)[some], kind="stable")][:SELECTED]
-    return some.astype(np.int32), ratio[some]
 
+def train(toxic: list, other: list, among: np.ndarray, prior: float, steps: int = STEPS) -> ToxicModel:
+    """Weights that minimise the non-negative risk with the sigmoid loss, over all examples at once.
 
-def train(toxic: list, other: list, prior: float, steps: int = STEPS) -> ToxicModel:
-    """Weights of the selected features that minimise the non-negative risk with the sigmoid loss, over all examples at once."""
-    numbers, ratio = select(toxic, other)
-    if not len(numbers):
+    Of the features ``among`` (sorted) those that toxic texts have clearly more of are used, at most ``SELECTED``, strongest first.
+    """
+    if not len(among) or not other:
         return NOTHING_TOXIC
-    place = np.full(1 << BITS, -1)
-    place[numbers] = np.arange(len(numbers))
-
-    def reduced(rows):
-        out = []
-        for number, share in rows:
-            at = place[number]
-            out.append((at[at >= 0], SCALE * share[at >= 0] * ratio[at[at >= 0]]))
-        return out
-
-    toxic, other = reduced(toxic), reduced(other)
+    toxic, other = _reduced(toxic, among), _reduced(other, among)
+    p, u = (np.bincount(n, s, len(among)) / len(rows) for rows in (toxic, other) for n, s, _ in [_joined(rows)])
+    ratio = np.log((p + SMOOTHING) / (u + SMOOTHING))
+    some = np.flatnonzero(ratio >= LEAST_RATIO)
+    some = np.sort(some[np.argsort(-(p * ratio)[some], kind="stable")][:SELECTED])
+    if not len(some):
+        return NOTHING_TOXIC
+    numbers, ratio = among[some], ratio[some]
+    toxic, other = ([(n, SCALE * s * ratio[n]) for n, s in _reduced(rows, some)] for rows in (toxic, other))
     k = len(numbers)
     size = k + 2  # a factor for all log ratios, free of the pull towards them, and the bias
     w, m, v = np.concatenate([np.zeros(k), [1.0, -2.0]]), np.zeros(size), np.zeros(size)
