@@ -45,7 +45,7 @@ def make_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
           ("mix_sources", mix_sources), ("make_shards", make_shards)]
 
-#: SQL cannot express the learned first stage; the tests compare run() with a brute-force version.
+#: SQL cannot express the learned first stage; the tests hold each operator against brute force and run() against its stages.
 ORACLE_SQL = None
 
 
