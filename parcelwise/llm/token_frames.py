@@ -45,7 +45,7 @@ class WordEncoder:
     """Ids of texts, each distinct word encoded once.
 
     ``by_word`` is only for tokenizers that lower-case, never join characters across ASCII white space, drop it, and end a
-    piece between a letter or digit and ASCII punctuation that runs to the end of a word.  Then a word's ids do not
+    piece between an ASCII letter or digit and ASCII punctuation that runs to the end of a word.  Then a word's ids do not
     depend on its neighbours: new words are encoded many at a time, with a full stop between them to tell them apart.
     The word table is bounded and only saves time.
     """
@@ -75,7 +75,9 @@ class WordEncoder:
         for word in new:
             text = word.decode("utf-8", "replace")
             core = text.rstrip(_TAIL)
-            halves[word] = (core, text[len(core):]) if core[-1:].isalnum() and "<|" not in text else (text, "")
+            # the letter before the punctuation is ASCII: no other one is sure to be a letter still when normalised
+            ends = core[-1:].isalnum() and core[-1:].isascii()
+            halves[word] = (core, text[len(core):]) if ends and "<|" not in text else (text, "")
         missing = {part for pair in halves.values() for part in pair if part}.difference(self.parts)
         joined = [p for p in missing if "." not in p and "<|" not in p]
         runs = [joined[i:i + 128] for i in range(0, len(joined), 128)]

@@ -67,6 +67,13 @@ def test_words_encode_as_the_whole_text_does(text):
         assert both[0].encode([t.encode()]) == both[1].encode([t.encode()])
 
 
+@pytest.mark.parametrize("text", ["ALİ.", "YENİ!", "(Bİ),", "ALİ... ALİ", "\u095c.", "\u095e!", "\ufb2a,", "MÜNCHEN. café, Größe!"])
+def test_letters_that_normalise_to_marks_before_punctuation(text):
+    with open(VOCABULARY, encoding="utf-8") as f:
+        spec = f.read()
+    assert WordEncoder(spec, True).encode([text.encode()]) == WordEncoder(spec, False).encode([text.encode()])
+
+
 # --- words ---------------------------------------------------------------------------------------
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(list("aB9 \t\n\x00é日-.x")), max_size=40), min_size=1, max_size=5))
