@@ -41,6 +41,19 @@ MANIFEST = "part int, path string, documents long, tokens long"
 NO_ID = -(1 << 63)
 
 
+def _words(text: bytes) -> list[bytes]:
+    """Words of a text, lower-cased where that cannot change their ids.
+
+    A special token is written as it is, so texts that may hold one stay.  So do words with other than ASCII characters: a capital
+    and a mark may have no composed character where the small letter has one, and tokenizers compose before they lower-case.
+    """
+    if b"<|" in text:
+        return text.split()
+    if text.isascii():
+        return text.lower().split()
+    return [w.lower() if w.isascii() else w for w in text.split()]
+
+
 class WordEncoder:
     """Ids of texts, each distinct word encoded once.
 
@@ -65,8 +78,7 @@ class WordEncoder:
             return [x.tobytes() for x in self._encode([t.decode("utf-8", "replace") for t in texts])]
         if len(self.table) > WORD_TABLE:
             self.table, self.parts = {}, {}
-        # a special token is written as it is, so only texts that cannot hold one are lower-cased here
-        words = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+        words = [_words(t) for t in texts]
         self._learn(set().union(*words).difference(self.table))
         return [b"".join(map(self.table.__getitem__, w)) for w in words]
 

@@ -74,6 +74,13 @@ def test_letters_that_normalise_to_marks_before_punctuation(text):
     assert WordEncoder(spec, True).encode([text.encode()]) == WordEncoder(spec, False).encode([text.encode()])
 
 
+@pytest.mark.parametrize("text", ["J\u030c", "H\u0331arb ABC", "T\u0308x", "W\u030a!", "Y\u030a", "xJ\u0323\u030c", "J\u030c<|endoftext|>"])
+def test_capitals_with_marks_are_composed_before_they_are_lower_cased(text):
+    with open(VOCABULARY, encoding="utf-8") as f:
+        spec = f.read()
+    assert WordEncoder(spec, True).encode([text.encode()]) == WordEncoder(spec, False).encode([text.encode()])
+
+
 # --- words ---------------------------------------------------------------------------------------
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(list("aB9 \t\n\x00é日-.x")), max_size=40), min_size=1, max_size=5))
