@@ -9,8 +9,8 @@ A text's features are its words and their beginnings (4 to 7 bytes), hashed; eac
 the text, so length does not matter and every part of a long text counts.  The classifier uses the at most ``SELECTED`` features whose
 mean share is at least e times higher in toxic than in unlabelled texts; their log ratios are where the weights start.
 
-Scale: the fit takes bounded samples (``POSITIVES`` toxic and ``UNLABELLED`` other texts, the ``FIT_FEATURES`` most
-frequent features of each), chosen by a hash of the id; scoring is one narrow pass over whole texts with a model of fixed size.
+Scale: the fit takes bounded samples (``POSITIVES`` toxic and ``UNLABELLED`` other texts, each whole),
+chosen by a hash of the id; features are counted in Spark and only the selected ones come to the driver; scoring is one narrow pass over whole texts with a model of fixed size.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ from .words import ALNUM, mix64, text_chunks, word_spans
 
 BITS = 22
 BEGINNINGS = (4, 5, 6, 7)
-POSITIVES, UNLABELLED, FIT_FEATURES = 2000, 6000, 4000
+POSITIVES, UNLABELLED = 2000, 6000
 SELECTED, LEAST_RATIO, LEAST_TEXTS, LEAST_SHARE, SMOOTHING = 1000, 1.0, 3, 0.01, 1e-5
+#: shares are summed as whole numbers of this fraction, so sums do not depend on their order
+ONE = 1 << 40
+ALL = -1
 STEPS, RATE, PULL, SCALE = 400, 0.1, 1e-3, 25.0
 
 
@@ -71,25 +74,43 @@ def features(data: np.ndarray, offsets: np.ndarray):
     return (pair & ((1 << BITS) - 1)).astype(np.int32), (n / total[text]).astype(np.float32), np.searchsorted(text, np.arange(len(offsets)))
 
 
-def _described(most: int, among: np.ndarray | None = None):
-    """Features of each text: its ``most`` frequent ones, or those in the sorted list ``among``."""
+def _described(among: np.ndarray):
+    """Features of each text that are in the sorted list ``among``, with their shares of the whole text."""
     def run(batches):
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column("text")):
                 number, value, cuts = features(data, offsets)
                 numbers, values = [], []
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    top = np.arange(a, b)
-                    if among is not None:
-                        top = top[np.isin(number[a:b], among, assume_unique=True)]
-                    elif b - a > most:
-                        top = np.sort(np.argpartition(-value[a:b], most)[:most]) + a
+                    top = np.arange(a, b)[np.isin(number[a:b], among, assume_unique=True)]
                     numbers.append(number[top].tobytes())
                     values.append(value[top].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.binary()), pa.array(values, pa.binary())], ["numbers", "values"])
     return run
 
 
+def _sums(batches):
+    """Of each feature of whole texts: in how many texts it is and the sum of its shares; all texts count under ``ALL``."""
+    texts, shares, every = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64), 0
+    for batch in batches:
+        for lo, hi, data, offsets in text_chunks(batch.column("text")):
+            number, value, _ = features(data, offsets)
+            np.add.at(texts, number, 1)
+            np.add.at(shares, number, np.rint(value.astype(np.float64) * ONE).astype(np.int64))
+            every += hi - lo
+    some = np.flatnonzero(texts)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(some, ALL).astype(np.int32)), pa.array(np.append(texts[some], every)),
+                                      pa.array(np.append(shares[some], 0))], ["number", "texts", "share"])
+
+
+def _summed(texts: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """(number, texts, share) over a bounded sample of texts, at most 2^BITS rows, and the number of texts."""
+    found = texts.select("text").mapInArrow(_sums, "number int, texts long, share long")
+    found = materialize(found.groupBy("number").agg(F.sum("texts").alias("texts"), F.sum("share").alias("share")), name)
+    every = found.where(F.col("number") == ALL).first()
+    return found.where(F.col("number") != ALL), every.texts if every else 0
+
+
 def _collected(texts: DataFrame, run) -> list:
     """(numbers, shares) of a bounded sample of texts, in an order that depends on the texts only."""
     found = texts.select("text").mapInArrow(run, "numbers binary, values binary").toArrow()
@@ -116,18 +137,24 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("text"))
     toxic = _sampled(known.where("toxic"), positives).select("doc_id")
     # ids of a sample of bounded size: the texts are not shuffled for them
-    toxic_rows = _collected(texts.join(F.broadcast(toxic), "doc_id", "left_semi"), _described(FIT_FEATURES))
-    if not toxic_rows or prior <= 0:
+    toxic_texts, other_texts = texts.join(F.broadcast(toxic), "doc_id", "left_semi"), _sampled(texts, unlabelled)
+    (p, n_toxic), (u, n_other) = _summed(toxic_texts, "toxic-features"), _summed(other_texts, "other-features")
+    if not n_toxic or not n_other or prior <= 0:
+        return NOTHING_TOXIC
+    numbers, ratio = telling(p, n_toxic, u, n_other)
+    if not len(numbers):
         return NOTHING_TOXIC
-    among = frequent(toxic_rows)
-    # of the other texts only the features that can be selected come to the driver
-    return train(toxic_rows, _collected(_sampled(texts, unlabelled), _described(0, among)), among, prior)
+    # only the selected features of each text come to the driver
+    return train(_collected(toxic_texts, _described(numbers)), _collected(other_texts, _described(numbers)), numbers, ratio, prior)
 
 
-def frequent(toxic: list) -> np.ndarray:
-    """Sorted numbers of the features that enough toxic texts have."""
-    numbers, texts = np.unique(np.concatenate([n for n, _ in toxic]), return_counts=True)
-    return numbers[texts >= max(LEAST_TEXTS, LEAST_SHARE * len(toxic))]
+def telling(toxic: DataFrame, n_toxic: int, other: DataFrame, n_other: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted numbers and log ratios of the features that toxic texts have clearly more of, at most ``SELECTED``, strongest first."""
+    p, u = F.col("share") / F.lit(ONE * n_toxic), F.coalesce("other", F.lit(0)) / F.lit(ONE * n_other)
+    both = toxic.where(F.col("texts") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)).join(other.select("number", F.col("share").alias("other")), "number", "left")
+    found = both.select("number", p.alias("p"), F.log((p + SMOOTHING) / (u + SMOOTHING)).alias("ratio")).where(F.col("ratio") >= LEAST_RATIO)
+    rows = sorted(found.orderBy((F.col("p") * F.col("ratio")).desc(), "number").limit(SELECTED).collect(), key=lambda r: r.number)
+    return np.array([r.number for r in rows], np.int32), np.array([r.ratio for r in rows], np.float64)
 
 
 def _joined(rows: list):
@@ -145,22 +172,9 @@ def _reduced(rows: list, numbers: np.ndarray) -> list:
     return out
 
 
-def train(toxic: list, other: list, among: np.ndarray, prior: float, steps: int = STEPS) -> ToxicModel:
-    """Weights that minimise the non-negative risk with the sigmoid loss, over all examples at once.
-
-    Of the features ``among`` (sorted) those that toxic texts have clearly more of are used, at most ``SELECTED``, strongest first.
-    """
-    if not len(among) or not other:
-        return NOTHING_TOXIC
-    toxic, other = _reduced(toxic, among), _reduced(other, among)
-    p, u = (np.bincount(n, s, len(among)) / len(rows) for rows in (toxic, other) for n, s, _ in [_joined(rows)])
-    ratio = np.log((p + SMOOTHING) / (u + SMOOTHING))
-    some = np.flatnonzero(ratio >= LEAST_RATIO)
-    some = np.sort(some[np.argsort(-(p * ratio)[some], kind="stable")][:SELECTED])
-    if not len(some):
-        return NOTHING_TOXIC
-    numbers, ratio = among[some], ratio[some]
-    toxic, other = ([(n, SCALE * s * ratio[n]) for n, s in _reduced(rows, some)] for rows in (toxic, other))
+def train(toxic: list, other: list, numbers: np.ndarray, ratio: np.ndarray, prior: float, steps: int = STEPS) -> ToxicModel:
+    """Weights of the features ``numbers`` that minimise the non-negative risk with the sigmoid loss, over all examples at once."""
+    toxic, other = ([(n, SCALE * s * ratio[n]) for n, s in _reduced(rows, numbers)] for rows in (toxic, other))
     k = len(numbers)
     size = k + 2  # a factor for all log ratios, free of the pull towards them, and the bias
     w, m, v = np.concatenate([np.zeros(k), [1.0, -2.0]]), np.zeros(size), np.zeros(size)

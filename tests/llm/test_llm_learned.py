@@ -73,6 +73,18 @@ def test_toxicity_of_odd_texts(spark, odd, none):
     assert score(odd, fit(none, labels.limit(0))).where("score >= 0.5").count() == 0
 
 
+def test_once_seen_words_of_long_toxic_texts_are_learned(spark):
+    random = np.random.RandomState(4)
+    usual = ["".join(random.choice(list("abcdefgh"), 9)) for _ in range(1200)]
+    rows = [(i, " ".join(random.choice(usual, 60))) for i in range(400)]
+    rows += [(1000 + i, " ".join([*random.permutation(usual), "xoxoxoxo", *random.permutation(usual)])) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows], "doc_id long, toxic int")
+    asked = spark.createDataFrame([(1, "xoxoxoxo"), (2, " ".join(usual))], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in score(asked, fit(docs, labels)).collect()}
+    assert got[1] >= 0.5 > got[2]
+
+
 def brute(rows, k, every):
     rows = sorted(rows)
     x = np.array([v for _, v in rows])
