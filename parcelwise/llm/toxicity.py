@@ -6,7 +6,7 @@ would cost as clean, less the toxic ones among them, never below zero.  It is mi
 a parameter or the share of toxic rows among the labelled ones.
 
 A text's features are its words and their beginnings (4 to 7 bytes), hashed; each counts with its share of
-the text, so length does not matter and every part of a long text counts.  The classifier uses the at most ``SELECTED`` features whose
+the text, so length does not matter and every part of a long text counts.  The classifier uses the features of ``LEAST_TEXTS`` or more toxic texts whose
 mean share is at least e times higher in toxic than in unlabelled texts; their log ratios are where the weights start.
 
 Scale: the fit takes bounded samples (``POSITIVES`` toxic and ``UNLABELLED`` other texts, each whole),
@@ -30,7 +30,7 @@ from .words import ALNUM, mix64, text_chunks, word_spans
 BITS = 22
 BEGINNINGS = (4, 5, 6, 7)
 POSITIVES, UNLABELLED = 2000, 6000
-SELECTED, LEAST_RATIO, LEAST_TEXTS, LEAST_SHARE, SMOOTHING = 1000, 1.0, 3, 0.01, 1e-5
+LEAST_RATIO, LEAST_TEXTS, SMOOTHING = 1.0, 3, 1e-5
 #: shares are summed as whole numbers of this fraction, so sums do not depend on their order
 ONE = 1 << 40
 ALL = -1
@@ -149,11 +149,14 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
 
 
 def telling(toxic: DataFrame, n_toxic: int, other: DataFrame, n_other: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted numbers and log ratios of the features that toxic texts have clearly more of, at most ``SELECTED``, strongest first."""
+    """Sorted numbers and log ratios of the features that toxic texts have clearly more of.
+
+    ``LEAST_TEXTS`` toxic texts are enough, however many there are, so a rare kind of toxic text has its own.
+    """
     p, u = F.col("share") / F.lit(ONE * n_toxic), F.coalesce("other", F.lit(0)) / F.lit(ONE * n_other)
-    both = toxic.where(F.col("texts") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)).join(other.select("number", F.col("share").alias("other")), "number", "left")
-    found = both.select("number", p.alias("p"), F.log((p + SMOOTHING) / (u + SMOOTHING)).alias("ratio")).where(F.col("ratio") >= LEAST_RATIO)
-    rows = sorted(found.orderBy((F.col("p") * F.col("ratio")).desc(), "number").limit(SELECTED).collect(), key=lambda r: r.number)
+    both = toxic.where(F.col("texts") >= LEAST_TEXTS).join(other.select("number", F.col("share").alias("other")), "number", "left")
+    found = both.select("number", F.log((p + SMOOTHING) / (u + SMOOTHING)).alias("ratio")).where(F.col("ratio") >= LEAST_RATIO)
+    rows = sorted(found.select("number", "ratio").collect())
     return np.array([r.number for r in rows], np.int32), np.array([r.ratio for r in rows], np.float64)
 
 

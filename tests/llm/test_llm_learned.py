@@ -85,6 +85,20 @@ def test_once_seen_words_of_long_toxic_texts_are_learned(spark):
     assert got[1] >= 0.5 > got[2]
 
 
+def test_a_rare_kind_of_toxic_texts_is_learned(spark):
+    """Eight of 1,000 toxic texts, beside a source with more telling features than any fixed number of places."""
+    random = np.random.RandomState(5)
+    word = lambda first: first + "".join(random.choice(list("abcdefgh"), 8))
+    clean, hot, rare = ([word(first) for _ in range(n)] for first, n in (("m", 2000), ("x", 400), ("z", 8)))
+    rows = [(i, " ".join([*random.choice(clean, 20), *random.choice(hot if i >= 8 else rare, 6)])) for i in range(1000)]
+    rows += [(i, " ".join(random.choice(clean, 26))) for i in range(1000, 6000)]
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, toxic int")
+    asked = [[*clean[:20], *hot[:6]], [*clean[:20], *rare[:6]], clean[:26]]
+    got = score(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(asked)], "doc_id long, text string"),
+                fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)).collect()
+    assert [r.score >= 0.5 for r in sorted(got)] == [True, True, False]
+
+
 def brute(rows, k, every):
     rows = sorted(rows)
     x = np.array([v for _, v in rows])
