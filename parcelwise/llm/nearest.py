@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, received, send
@@ -81,6 +81,14 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _first_of_each(found: list[tuple]) -> list[tuple]:
+    """The nearest (distance, vec_id, hamming) of each vec_id, nearest first."""
+    out = {}
+    for hit in sorted(found):
+        out.setdefault(hit[1], hit)
+    return list(out.values())
+
+
 def _search(sent, most: int):
     def run(batches):
         reps, queries, codes, coder, radius = received(sent)
@@ -95,12 +103,15 @@ def _search(sent, most: int):
                 if not len(rows):
                     continue
                 distance = np.sqrt(((x[rows] - queries[i]) ** 2).sum(axis=1))
-                if len(rows) > most:
-                    edge = np.partition(distance, most - 1)[most - 1]
-                    keep = distance <= edge
-                    rows, hamming, distance = rows[keep], hamming[keep], distance[keep]
-                found = [(d, v, h) for r, d, h in zip(rows.tolist(), distance.tolist(), hamming.tolist(), strict=True) for v in ids[r]]
-                best[i] = sorted(best[i] + found)[:most]
+                wanted = most
+                while True:  # vectors of one id may fill the first places: more are taken until there are enough ids
+                    keep = distance <= np.partition(distance, wanted - 1)[wanted - 1] if len(rows) > wanted else np.ones(len(rows), bool)
+                    found = [(d, v, h) for r, d, h in zip(rows[keep].tolist(), distance[keep].tolist(), hamming[keep].tolist(), strict=True)
+                             for v in ids[r]]
+                    if keep.all() or len({v for _, v, _ in found}) >= most:
+                        break
+                    wanted *= 4
+                best[i] = _first_of_each(best[i] + found)[:most]
         flat = [(rep, v, d, h) for rep, found in zip(reps.tolist(), best, strict=True) for d, v, h in found]
         if flat:
             rep, v, d, h = zip(*flat, strict=True)
@@ -123,50 +134,57 @@ def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 def _run(entries: DataFrame, reps, queries, coder: Coder, radius: int, most: int) -> DataFrame:
     sent = send(entries.sparkSession, (reps, queries, coder.codes(queries), coder, radius))
-    hits = entries.mapInArrow(_search(sent, most), HITS)
+    hits = entries.mapInArrow(_search(sent, most), HITS).groupBy("rep", "vec_id").agg(F.min(F.struct("score", "hamming")).alias("hit"))
+    hits = hits.select("rep", "vec_id", "hit.score", "hit.hamming")
     first = Window.partitionBy("rep").orderBy("score", "vec_id")
     return materialize(hits.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most), "hits")
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, embedding array<double>) of the vectors that take part, one per vec_id.
+    """Distinct (vec_id, embedding array<double>) of the vectors that take part; an id may have several.
 
-    Left out: null ids, vectors that are null, empty, all zero or hold a null or non-finite component, and vectors
-    whose length is not the most frequent one (the larger of equals).  Of rows that share an id the smallest vector stays.
+    Left out: null ids, and vectors that are null, empty, all zero or hold a null or non-finite component.
     """
     v = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     v = v.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(~bad & F.exists("embedding", lambda x: x != 0))
-    v = materialize(v.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
-    length = v.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    return v.where(F.size("embedding") == (length.d if length else 0))
+    return materialize(v.distinct(), "vectors")
 
 
 def nearest(embeddings: DataFrame, k: int = 10, every: int = 100, bits: int = BITS, recall: float = WANTED_RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by ``every``, nearest first.
 
     score is the Euclidean distance of the original vectors in double precision; ties go to the smaller vec_id; a query's
-    own row is no candidate.  All candidates are returned if there are fewer than k.  See ``usable`` for rows that take no part.
+    own id is no candidate.  Vectors of equal length are compared; of an id with several vectors the least distance counts.
+    All candidates are returned if there are fewer than k.  See ``usable`` for rows that take no part.
     """
-    spark = embeddings.sparkSession
     rows = usable(embeddings)
-    most = k + 1  # one may be the query itself
+    is_query = F.pmod("vec_id", F.lit(every)) == 0
+    lengths = sorted(r.d for r in rows.where(is_query).select(F.size("embedding").alias("d")).distinct().collect())
+    found = embeddings.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    for d in lengths:
+        found = found.unionByName(_of_length(rows.where(F.size("embedding") == d), is_query, k + 1, bits, recall))  # one may be the query itself
+    found = found.where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_length(rows: DataFrame, is_query: Column, most: int, bits: int, recall: float) -> DataFrame:
+    """(query_id, vec_id, score): for each vector of a query the ``most`` nearest ids found among ``rows``, vectors of one length."""
     small = Window.partitionBy("embedding").orderBy("vec_id")
     entries = materialize(rows.withColumn("place", F.row_number().over(small)).where(F.col("place") <= most)
                           .groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "entries")
-    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-    reps = materialize(asked.groupBy("embedding").agg(F.min("vec_id").alias("rep")), "queries")
+    asked = rows.where(is_query)
+    # written once, so the numbers stay; an id with several vectors has several
+    reps = materialize(asked.groupBy("embedding").agg(F.min("vec_id").alias("least")).withColumn("rep", F.monotonically_increasing_id()), "queries")
     owners = asked.join(reps, "embedding").select(F.col("vec_id").alias("query_id"), "rep")
-    n, total = entries.count(), rows.count()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if n == 0 or reps.isEmpty():
-        return empty
+    n, total = entries.count(), rows.select("vec_id").distinct().count()
     part = F.pmod(F.xxhash64("embedding"), F.lit(1 << 20)) < F.lit(min(1.0, SAMPLE / n) * (1 << 20))
     sample = entries.where(part).select("embedding").toPandas()["embedding"].tolist() or [entries.first().embedding]
     coder = learn_codes(np.array(sample, np.float64), bits)
     share = min(1.0, CALIBRATION / reps.count())
     trial = [np.array(x) for x in zip(*[(r.rep, r.embedding) for r in reps.where(
-        F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) <= F.lit(share * (1 << 20))).collect()], strict=True)] or next(_blocks(reps, CALIBRATION))
+        F.pmod(F.xxhash64("least"), F.lit(1 << 20)) <= F.lit(share * (1 << 20))).collect()], strict=True)] or next(_blocks(reps, CALIBRATION))
     true = _run(entries, trial[0], trial[1], coder, bits, most).select("hamming").toPandas()["hamming"].to_numpy()
     radius = int(np.ceil(np.quantile(true, recall)))
     found = None
@@ -178,6 +196,4 @@ def nearest(embeddings: DataFrame, k: int = 10, every: int = 100, bits: int = BI
             again = _run(entries, block[few], vectors[few], coder, bits, most)
             hits = hits.join(again.select("rep").distinct(), "rep", "left_anti").unionByName(again)
         found = hits if found is None else found.unionByName(hits)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (owners.join(found, "rep").where("query_id <> vec_id").withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+    return owners.join(found, "rep").select("query_id", "vec_id", "score")

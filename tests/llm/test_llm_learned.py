@@ -143,6 +143,27 @@ def test_odd_vectors(spark):
     assert nearest(df.where("vec_id = 0")).count() == 0
 
 
+def test_ids_with_several_vectors_and_several_lengths(spark):
+    random = np.random.RandomState(6)
+    rows = [(i, random.randn(4).tolist()) for i in range(0, 400, 2)] + [(i, random.randn(3).tolist()) for i in range(0, 400, 5)]
+    rows += [(2, [1.0, 0.0, 0.0, i / 1000]) for i in range(60)] + [(100, [1.0, 0.0, 0.0, 0.0]), (100, [0.0, 5.0, 0.0, 0.0]), (7, [1.0])]
+    rows += [(200, [1.0, 0.0, 0.0, 0.0]), (300, [2.0]), (4, [1.0, 0.0, 0.0, 0.5])]
+    want = {}
+    for q, x in rows:
+        for v, y in rows if q % 100 == 0 else []:
+            if v != q and len(x) == len(y):
+                d = float(np.sqrt(((np.array(x) - np.array(y)) ** 2).sum()))
+                want.setdefault(q, {})[v] = min(d, want.get(q, {}).get(v, d))
+    want = {q: [(v, d) for d, v in sorted((d, v) for v, d in found.items())[:5]] for q, found in want.items()}
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == set(want) == {0, 100, 200, 300}
+    assert sum(v in dict(want[q]) for q in want for v, _ in got[q]) >= 19
+    assert got[100][:2] == [(2, 0.0), (200, 0.0)]
+    assert all(len({v for v, _ in found}) == 5 for found in got.values())
+
+
 def test_many_copies_of_a_vector(spark):
     rows = [(i, [1.0, 1.0] if i % 3 else [float(i), 1.0]) for i in range(1, 700)]
     got = {}
