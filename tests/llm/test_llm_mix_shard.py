@@ -8,12 +8,15 @@ import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from test_llm_near_dup import expected
+from test_llm_text_ops import words
 
 import corpus_pipeline
 from parcelwise.llm.mixing import mix, take_mix
 from parcelwise.llm.oracle import ORACLE_SQL
 from parcelwise.llm.queries import QUERIES
 from parcelwise.llm.sharding import _even_cuts, _least, _ranges, _walk, minimax_cuts, place_in_shards, shard
+from parcelwise.llm.toxicity import fit, score
 
 SMALL = "/root/testdata/sf0.001"
 NATIVE = r"Python|Pandas|Arrow"
@@ -161,6 +164,54 @@ def test_pipeline_stage_by_stage(spark):
     check_shards(whole.collect(), 16)
 
 
+def windows(text, k):
+    w = words(text)
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark):
+    """The rows that each stage keeps, of what its predecessor kept; toxic ones by their scores."""
+    docs, labels, benchmark = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    stages, ids = dict(corpus_pipeline.STAGES), lambda rows: Counter(r.doc_id for r in rows)
+    low = {r.doc_id for r in score(docs, fit(docs, labels)).collect() if r.score < 0.5}
+    clean = stages["toxicity"](spark, docs, SMALL).cache()
+    rows = clean.collect()
+    assert ids(rows) == Counter(r.doc_id for r in docs.collect() if r.doc_id in low)
+
+    _, group, sets = expected([(r.doc_id, r.text) for r in rows], 80)
+    least = {g: min(r.doc_id for r, h in zip(rows, group, strict=True) if h == g) for g in group}
+    single = stages["near_dedup"](spark, clean, SMALL).cache()
+    want = Counter(r.doc_id for r, g, s in zip(rows, group, sets, strict=True) if not s or r.doc_id == least[g])
+    rows = single.collect()
+    assert ids(rows) == want
+
+    passages = defaultdict(set)  # windows of 10 words, shorter items whole
+    for r in benchmark.collect():
+        if k := min(10, len(words(r.text))):
+            passages[k] |= windows(r.text, k)
+    pure = stages["decontaminate"](spark, single, SMALL).cache()
+    want = Counter(r.doc_id for r in rows if all(windows(r.text, k).isdisjoint(found) for k, found in passages.items()))
+    assert 0 < want.total() < docs.count()
+    rows = pure.collect()
+    assert ids(rows) == want
+
+    mixed = stages["mix_sources"](spark, pure, SMALL).cache()
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in rows:
+        sizes[r.source] += size_of(r.text)
+    copies = mixed.collect()
+    for r in copies:
+        taken[r.source] += size_of(r.text)
+    assert set(ids(copies)) <= set(want)
+    assert max(ids(copies).values()) <= 2
+    for source, target in targets(sizes).items():
+        assert abs(taken[source] - target) <= 1.1 * max(size_of(r.text) for r in rows if r.source == source) + 1
+
+    placed = stages["make_shards"](spark, mixed, SMALL).collect()
+    assert ids(placed) == ids(copies)
+    check_shards(placed, 16)
+
+
 def test_pipeline_of_odd_rows(spark, odd, none):
     for docs in (odd, none):
         kept = docs
