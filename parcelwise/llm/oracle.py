@@ -76,9 +76,24 @@ SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
 FROM l LEFT JOIN c ON c.key = l.key GROUP BY doc_id
 """
 
+_TERMS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+RANKED_SEARCH = f"""
+WITH d AS (SELECT doc_id, len(w)::BIGINT AS n, w FROM (SELECT doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+q AS (SELECT item_id, t, count(*)::BIGINT AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY 1, 2),
+p AS (SELECT doc_id, t, n, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+f AS (SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY t),
+i AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS impact FROM p JOIN f USING (t), c),
+s AS (SELECT item_id, doc_id, sum(times * impact)::BIGINT AS score FROM q JOIN i USING (t) GROUP BY 1, 2)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": DECONTAMINATE,
     "op5_line_dedup": LINE_DEDUP,
     "op8_mix": MIX,
     "op10_near_dup": NEAR_DUP,
+    "op13_ranked_search": RANKED_SEARCH,
 }

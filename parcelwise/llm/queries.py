@@ -14,10 +14,12 @@ from .line_dedup import LineIndex, drop_common_lines
 from .mixing import mix
 from .near_dup import near_duplicates
 from .nearest import nearest
+from .ranked_search import rank_documents
 from .sharding import shard
 from .suffix_dedup import remove_repeats
 from .token_frames import read_tokens, write_tokens
 from .toxicity import fit, score
+from .whitening import whiten
 
 
 def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +80,14 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_shards": op2_shards,
@@ -89,4 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_nearest": op9_nearest,
     "op10_near_dup": op10_near_dup,
+    "op12_whitening": op12_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
