@@ -14,6 +14,7 @@ from .line_dedup import LineIndex, drop_common_lines
 from .mixing import mix
 from .near_dup import near_duplicates
 from .nearest import nearest
+from .pii import KINDS, find_personal_data, learn as learn_pii
 from .ranked_search import rank_documents
 from .sharding import shard
 from .suffix_dedup import remove_repeats
@@ -80,6 +81,19 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = find_personal_data(docs, learn_pii(docs))
+    names = F.lit(list(KINDS))
+    joined = lambda spans: F.array_join(F.transform(  # noqa: E731 - by start, then kind as listed
+        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"]))),
+        lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -99,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_nearest": op9_nearest,
     "op10_near_dup": op10_near_dup,
+    "op11_pii": op11_pii,
     "op12_whitening": op12_whitening,
     "op13_ranked_search": op13_ranked_search,
 }
