@@ -37,8 +37,9 @@ def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, x array<long>): rows whose vector is not null, holds no null or non-finite entry and none beyond 2^52 / 1024."""
     v = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
     bad = F.exists("e", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) * SCALE > F.lit(LARGEST)))
-    return v.where(F.col("e").isNotNull()).where(~bad) \
-        .select("vec_id", F.transform("e", lambda c: F.floor(c * SCALE).cast("long") + F.lit(SHIFT).cast("long")).alias("x"))
+    # the entries' own condition holds again inside, as Spark may compute x before it drops the row
+    units = F.transform("e", lambda c: F.when(F.abs(c) * SCALE <= F.lit(LARGEST), F.floor(c * SCALE).cast("long") + F.lit(SHIFT).cast("long")))
+    return v.where(F.col("e").isNotNull()).where(~bad).select("vec_id", units.alias("x"))
 
 
 def sums_of(rows: DataFrame) -> dict[int, tuple[int, list[int]]]:

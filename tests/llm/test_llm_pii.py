@@ -1,0 +1,171 @@
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from parcelwise.llm import pii
+from parcelwise.llm.pii import CARD, EMAIL, IP, KINDS, PHONE, added_spans, base_spans, best_segmentation, disguised, find_personal_data, harmless, learn, luhn
+
+EXPRESSIONS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+               r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def expected(text):
+    out = []
+    for kind, e in enumerate(EXPRESSIONS):
+        for m in re.finditer(e, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == IP and any(int(p) > 255 for p in m.group().split(".")) or kind == PHONE and not 10 <= len(digits) <= 15:
+                continue
+            if kind == CARD and not (14 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            out.append((m.start(), m.end(), kind))
+    return sorted(out, key=lambda s: (s[0], s[2]))
+
+
+def card(rnd, n=16):
+    while True:
+        digits = "4" + "".join(rnd.choice("0123456789") for _ in range(n - 1))
+        if luhn(digits):
+            return digits
+
+
+def span(rnd, kind):
+    n = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    if kind == EMAIL:
+        return f"{rnd.choice(['jan', 'eva.k', 'a-b'])}.{n(2)}@mail{n(1)}.example.com"
+    if kind == IP:
+        return ".".join(str(rnd.randint(0, 255)) for _ in range(4))
+    return card(rnd) if kind == CARD else f"+1 ({n(3)}) {n(3)}-{n(4)}"
+
+
+def prose(rnd, n):
+    return " ".join(rnd.choice(["the", "thing", "at", "dot", "home.", "ever", "one", "und", "ação"]) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rnd = random.Random(3)
+    return [f"{prose(rnd, 20)} {span(rnd, i % 4)} {prose(rnd, 20)}" for i in range(200)] + [f"{prose(rnd, 10)} {harmless(i % 4, rnd)} {prose(rnd, 9)}" for i in range(80)]
+
+
+@pytest.fixture(scope="module")
+def field(spark, corpus):
+    return learn(spark.createDataFrame([(t,) for t in corpus], "text string"))
+
+
+def test_patterns_equal_plain_expressions():
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice("0123456789.+-@ ()ab%_\n") for _ in range(rnd.randint(0, 60))) for _ in range(4000)]
+    texts += ["a@b@c.d.e@f.g", "1.2.3.4.5.6.7.8", "999.1.1.1.1 1.1.1.1", "0001.0.0255.3", "+1234567890+12 (34) 567 890", "x" * 50 + "@a.b-", "@a.b", "4" * 40, "ｘ１@a.b ４.1.2.3.4",
+              "4111 1111-1111 1111", "4111  1111 1111 1111"]
+    for text in texts:
+        assert base_spans(text) == expected(text), text
+
+
+def test_long_periodic_texts_take_linear_time():
+    for text in ("a" * 2_000_000, "1" * 2_000_000, "1.2." * 500_000, "a@" * 500_000, "12 34 56 " * 100_000, "+1" * 500_000, "a." * 200_000 + "@", " at a.b" * 50_000):
+        added_spans(text, pii.Field({}), base_spans(text))
+
+
+def test_segmentation_equals_all_choices():
+    rnd = random.Random(2)
+    for _ in range(300):
+        spans = sorted(((s, s + rnd.randint(1, 5), rnd.choice([-1.0, 0.5, 1.0, 2.5, 4.0])) for s in (rnd.randrange(12) for _ in range(rnd.randint(0, 7)))), key=lambda s: s[1])
+        best = max(sum(spans[i][2] for i in c) for k in range(len(spans) + 1) for c in itertools.combinations(range(len(spans)), k)
+                   if all(spans[i][1] <= spans[j][0] or spans[j][1] <= spans[i][0] for i, j in itertools.combinations(c, 2)))
+        chosen = best_segmentation(spans)
+        assert sum(spans[i][2] for i in chosen) == pytest.approx(best)
+        assert all(spans[i][1] <= spans[j][0] for i, j in zip(chosen, chosen[1:]))
+
+
+def test_learned_weights_maximise_the_likelihood_over_all_segmentations(corpus):
+    """The penalised likelihood, summed over every segmentation, has no slope where the recursion stopped."""
+    examples = [e for e in pii.examples_of(corpus[:16]) if len(list(pii.candidates(e[0]))) <= 8]
+    assert len(examples) > 20
+    field = pii.learn_weights(examples, rounds=800, penalty=0.5)
+
+    def likelihood(weights):
+        total = -0.25 * sum(w * w for w in weights.values())
+        for text, gold in examples:
+            found = list(pii.candidates(text))
+            wanted = {tuple(g) for g in gold}
+            if not found or len({c[:3] for c in found} & wanted) != len(wanted):
+                continue
+            score = [sum(weights[c[2], f] for f in [*c[3], ""]) for c in found]
+            sums = [sum(score[i] for i in c) for k in range(len(found) + 1) for c in itertools.combinations(range(len(found)), k)
+                    if all(found[i][1] <= found[j][0] or found[j][1] <= found[i][0] for i, j in itertools.combinations(c, 2))]
+            total += sum(s for s, c in zip(score, found) if c[:3] in wanted) - np.logaddexp.reduce(sums)
+        return total
+
+    at = likelihood(field.weights)
+    for name in list(field.weights)[::7]:
+        for step in (-0.05, 0.05):
+            assert likelihood(field.weights | {name: field.weights[name] + step}) <= at + 1e-3
+
+
+def test_held_out_spans_are_found_and_clean_texts_left_alone(field):
+    rnd = random.Random(9)
+    found = wrong = 0
+    for i in range(400):
+        kind = i % 4
+        hidden = disguised(span(rnd, kind), kind, rnd)
+        text = f"{prose(rnd, 8)} {hidden} {prose(rnd, 8)}"
+        at = text.index(hidden)
+        spans = base_spans(text)
+        found += (at, at + len(hidden), kind) in spans + added_spans(text, field, spans)
+    for i in range(400):
+        text = f"{prose(rnd, 8)} {harmless(i % 4, rnd)} {prose(rnd, 8)}"
+        wrong += bool(added_spans(text, field, base_spans(text)))
+    assert found >= 0.9 * 400 and wrong <= 0.03 * 400
+
+
+def test_a_card_beside_a_number_is_found(field):
+    rnd = random.Random(4)
+    text = f"one {card(rnd)} 446575838 thing"
+    assert not base_spans(text)
+    assert added_spans(text, field, []) == [(4, 20, CARD)]
+
+
+def test_odd_rows(spark, odd, odd_rows, field):
+    rows = find_personal_data(odd, field, redact=True).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(r[0]) for r in odd_rows)
+    by = {r[1] or "" for r in odd_rows}
+    assert all(not r.base and r.redacted in by for r in rows)
+
+
+def test_spans_stay_and_texts_are_redacted(spark, field):
+    texts = ["a +4111 1111 1111 1111 b", "mail jan@mail.example.com, eva (at) mail (dot) com", None, "é 10.0.0.1 ü", "é 10.0.0.1 ü"]
+    rows = {}
+    for r in find_personal_data(spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, kind int"), field, redact=True).collect():
+        rows[r.doc_id] = r
+    for i, t in enumerate(texts):
+        assert [(s.start, s.end, s.kind) for s in rows[i].base] == expected(t or "")
+    assert rows[1].redacted == "mail <email>, <email>" and rows[3].redacted == "é <ip> ü" and rows[2].redacted == ""
+    assert rows[0].redacted == "a +<card> b"  # sixteen digits are too many for a phone
+
+
+def test_nothing_to_learn_from(spark, none):
+    assert learn(none) is None
+    assert learn(spark.createDataFrame([("no numbers here",), (None,)], "text string")) is None
+    assert find_personal_data(none, None).count() == 0
+    assert added_spans("eva (at) mail (dot) com", None, []) == []
+
+
+def test_query_digests(spark, sf_small):
+    import __spark_entry__
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    rows = __spark_entry__.queries()["op11_pii"](spark, sf_small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = expected(texts[r.doc_id] or "")
+        named = [f"{KINDS[k]}:{s}:{e}" for s, e, k in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[2] == k for s in base) for k in range(4)]
+        spans = [s for s in r.spans.split(",") if s]
+        assert set(named) <= set(spans) and len(spans) == len(base) + r.n_added
+        assert spans == sorted(spans, key=lambda s: (int(s.split(":")[1]), KINDS.index(s.split(":")[0])))

@@ -1,0 +1,109 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from parcelwise.llm import ranked_search
+from parcelwise.llm.ranked_search import ImpactIndex, items_of, rank_documents, terms_of
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def expected(docs, items, most=20):
+    """All scores, item by item: [(item_id, rank, doc_id, score)]."""
+    own = [(i, terms(t)) for i, t in docs]
+    n_docs, n_terms = sum(bool(t) for _, t in own), sum(len(t) for _, t in own)
+    df = Counter(t for _, ts in own for t in set(ts))
+    out = []
+    for item_id, text in items:
+        wanted, scores = Counter(terms(text)), []
+        for doc_id, ts in own:
+            held = Counter(ts)
+            m = 75 + (25 * len(ts) * n_docs) // max(1, n_terms)
+            score = sum(c * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * held[t]) // (1000 * held[t] + 12 * m))
+                        for t, c in wanted.items() if held[t])
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        out += [(item_id, r, s[3], -s[0]) for r, s in enumerate(sorted(scores, key=lambda s: s[:3])[:most], 1)]
+    return Counter(out)
+
+
+def run(spark, docs, items, **how):
+    d = spark.createDataFrame([(i, t, 1.0) for i, t in docs], "doc_id long, text string, score double").repartition(3)
+    b = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id long, text string, rank int")
+    return Counter(tuple(r) for r in rank_documents(d, b, **how).select("item_id", "rank", "doc_id", "score").collect())
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rnd = random.Random(5)
+    words = ["the", "of", "And", "ünï", "x" * 30, "x" * 29 + "y", "a1", "日本", "longerword"] + [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(rnd.choices(words, weights=[200 // (k + 1) + 1 for k in range(len(words))], k=rnd.randint(0, 60)))) for i in range(400)]
+    docs += [(1000 + i, docs[3][1]) for i in range(50)] + [(None, docs[3][1]), (None, None), (7, docs[7][1]), (900, None), (901, ""), (902, " .,\x00\x7f")]
+    items = [(i, " ".join(rnd.choices(words, k=rnd.randint(1, 25)))) for i in range(12)] + [(50, docs[3][1]), (51, docs[3][1]), (50, docs[3][1]), (52, None), (53, "..."), (54, "unseen"), (None, "the of")]
+    return docs, items
+
+
+@pytest.mark.parametrize("how", [{}, {"block_rows": 16, "block_bytes": 500}, {"bound_rows": 40, "block_rows": 32}, {"block_terms": 30}])
+def test_equals_brute_force(spark, corpus, how):
+    assert run(spark, *corpus, **how) == expected(*corpus)
+
+
+def test_stops_early_and_reads_less_than_the_lists():
+    """On lists where few documents stand out, the best positions end the search before the lists do."""
+    rnd = np.random.RandomState(1)
+    docs, n_terms = 20000, 6
+    doc = np.concatenate([np.sort(rnd.choice(docs, 8000, replace=False)) for _ in range(n_terms)])
+    term = np.repeat(np.arange(n_terms), 8000)
+    impact = (1e6 * rnd.pareto(1.5, len(doc))).astype(np.int64) + 1
+    index, reads = ImpactIndex(docs, doc, term, impact, n_terms), []
+    found, scores = index.search(np.arange(n_terms), np.ones(n_terms, np.int64), 20, reads=reads)
+    total = np.bincount(doc, impact, docs).astype(np.int64)
+    order = np.lexsort((np.arange(docs), -total))[:20]
+    assert sorted(order) == sorted(found[np.lexsort((found, -scores))[:20]])
+    assert reads[0][0] < 0.3 * reads[0][1]
+
+
+def test_equal_scores_are_not_cut_by_the_stop():
+    """Documents with the k-th score all come back, so the smaller ids win."""
+    docs = 500
+    index = ImpactIndex(docs, np.arange(docs), np.zeros(docs, np.int64), np.full(docs, 7), 1)
+    found, scores = index.search(np.array([0]), np.array([2]), 20)
+    assert sorted(found) == list(range(docs)) and set(scores) == {14}
+
+
+def test_words_with_equal_hashes_are_told_apart(monkeypatch, spark):
+    """Long words are compared by their bytes: with all hashes of long words equal the counts stay right."""
+    own = ranked_search.word_spans
+
+    def same(data, offsets, table):
+        hashes, mapped, start, length, at = own(data, offsets, table)
+        return np.where(length == 30, np.uint64(5), hashes), mapped, start, length, at
+
+    monkeypatch.setattr(ranked_search, "word_spans", same)
+    items = items_of([(1, [b"x" * 30])])
+    text = (b"x" * 30 + b" " + b"x" * 29 + b"y ") * 3
+    n, doc, term, times = ranked_search.Matcher(items).counts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert n.tolist() == [6] and times.tolist() == [3]
+
+
+def test_odd_rows_and_empty_tables(spark, odd, odd_rows, none):
+    items = [(1, odd_rows[0][1]), (2, "ONE two"), (3, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter(tuple(r) for r in rank_documents(odd, bench).collect())
+    assert got == expected([(r[0], r[1]) for r in odd_rows], items)
+    assert rank_documents(none, bench).count() == 0
+    assert rank_documents(odd, bench.limit(0)).count() == 0
+
+
+def test_terms():
+    for text in ("Ab-cD_1é\x00ß 日本x", "", "...", "A" * 600 + " b"):
+        assert [t.decode() for t in terms_of(text.encode())] == terms(text)
