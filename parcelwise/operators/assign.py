@@ -6,12 +6,13 @@ for scale:
 * W3 (``assign_partition``) and W5 (``slice_partition``) are narrow: no
   join, no shuffle, and W5's half-open date predicate reaches the Parquet
   scan as ``PushedFilters``.
-* W4 (``assign_by_ranges``) and W8 (``uncovered_rows``) are interval joins.
-  A plain range condition would plan as a nested-loop join (rows x ranges);
-  instead each range is exploded to the month buckets it covers and the
-  join is an equi-join on the month bucket plus a residual range test.  The
-  bucketed ranges are metadata; they are broadcast after a size check, and
-  otherwise joined by shuffle, where AQE splits a hot month.
+* W4 (``assign_by_ranges``) and W8 (``uncovered_rows``) look a row's day up in
+  a literal array that has the number of each day's range: no join, no shuffle
+  (``RangeIndex``).  Ranges that overlap, that span more than ``MOST_DAYS`` days or that are more than ``MOST_RANGES``
+  are joined instead.  A plain range condition would plan as a nested-loop join (rows x ranges);
+  there each range is exploded to the month buckets it covers and the
+  join is an equi-join on the month bucket plus a residual range test, broadcast by
+  Spark's own size limit or shuffled, where AQE splits a hot month.
 * W6 (``partition_profile``) is a grouped count/min/max: partial aggregation
   map-side, so a partition holding a third of all rows costs one row per
   task in the shuffle.
@@ -20,6 +21,7 @@ for scale:
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ from ..session import local_frame
 from ..sources.control import RANGES_SCHEMA
 
 PARTITION_COLUMN = "partition_name"
+#: beyond these the ranges are joined: days between the first and the last, and ranges
+MOST_DAYS, MOST_RANGES = 400_000, 100_000
 
 
 def _c(c) -> Column:
@@ -133,16 +137,68 @@ def _bucket_join(df: DataFrame, date_col, ranges, how: str, table: str | None) -
     return keyed.join(buckets, cond, how)
 
 
+@dataclass
+class RangeIndex:
+    """Disjoint inclusive day ranges by day: the number of each day's range, from the first day on (-1: none)."""
+
+    names: list
+    first: dt.date
+    numbers: list
+
+    @classmethod
+    def of(cls, ranges: list) -> RangeIndex | None:
+        """None where the ranges overlap or span too many days.  Rows without both bounds, or reversed, hold no day."""
+        rows = sorted((r[2], r[3], r[1]) for r in ranges if r[2] is not None and r[3] is not None and r[2] <= r[3])
+        if any(nxt[0] <= prev[1] for prev, nxt in zip(rows, rows[1:], strict=False)):
+            return None
+        if rows and (rows[-1][1] - rows[0][0]).days >= MOST_DAYS:
+            return None
+        numbers: list[int] = []
+        for i, (start, end, _) in enumerate(rows):
+            numbers += [-1] * ((start - rows[0][0]).days - len(numbers)) + [i] * ((end - start).days + 1)
+        return cls([n for _, _, n in rows], rows[0][0] if rows else dt.date(1970, 1, 1), numbers)
+
+    def number(self, date_col) -> Column:
+        """Number of the range that holds the day; null where none does."""
+        if not self.names:
+            return F.lit(None).cast("int")
+        # one text literal, which Spark folds to an array once; a literal per day would make the plan long
+        numbers = F.split(F.lit(",".join(map(str, self.numbers))), ",").cast("array<int>")
+        at = F.date_diff(day_of(date_col), as_date(self.first))
+        return F.when((at >= 0) & (at < len(self.numbers)), F.nullif(F.get(numbers, at), F.lit(-1)))
+
+    def name(self, date_col) -> Column:
+        """Name of the range that holds the day; null where none does."""
+        if not self.names:
+            return F.lit(None).cast("string")
+        mark = next(c for c in map(chr, range(1, 9)) if not any(c in n for n in self.names))
+        return F.get(F.split(F.lit(mark.join(self.names)), mark), self.number(date_col))
+
+
+def _index_of(ranges, table: str | None) -> RangeIndex | None:
+    """An index of the ranges (a frame of few rows, or rows the driver holds), if they allow one."""
+    if isinstance(ranges, DataFrame):
+        if table is not None:
+            ranges = ranges.where(F.col("table_name") == table)
+        ranges = ranges.select(*RANGES_SCHEMA.names).limit(MOST_RANGES + 1).collect()
+    elif table is not None:
+        ranges = [r for r in ranges if r[0] == table]
+    return RangeIndex.of(ranges) if len(ranges) <= MOST_RANGES else None
+
+
 def assign_by_ranges(df: DataFrame, date_col, ranges: DataFrame, table: str | None = None,
                      column: str = PARTITION_COLUMN, keep_unmatched: bool = True) -> DataFrame:
     """Add ``partition_name`` from arbitrary inclusive ``ranges``.
 
     ``ranges`` has (table_name, partition_name, range_start, range_end), as
-    a DataFrame or as driver-side rows (a local relation, whose size Spark
-    knows); pass ``table`` to use only that table's ranges.  Unmatched rows keep a
-    NULL name (or are dropped with ``keep_unmatched=False``).  A row inside
-    two overlapping ranges appears once per range.
+    a DataFrame (metadata: a row per partition) or as driver-side rows; pass ``table`` to use only that table's
+    ranges.  Unmatched rows keep a NULL name (or are dropped with ``keep_unmatched=False``).  A row inside
+    two overlapping ranges appears once per range.  Ranges that do not overlap need no join.
     """
+    index = _index_of(ranges, table)
+    if index is not None:
+        tagged = df.withColumn(column, index.name(date_col))
+        return tagged if keep_unmatched else tagged.where(F.col(column).isNotNull())
     joined = _bucket_join(df, date_col, ranges, "left" if keep_unmatched else "inner", table)
     return joined.withColumn(column, F.col("_pn")).drop("_d", "_dm", "_pn", "_rs", "_re", "_m")
 
@@ -196,5 +252,8 @@ def uncovered_rows(df: DataFrame, date_col, ranges: DataFrame, table: str | None
     These are the rows that would be lost from view when the catch-all
     partition is retired.
     """
+    index = _index_of(ranges, table)
+    if index is not None:
+        return df.where(index.number(date_col).isNull())
     return (_bucket_join(df, date_col, ranges, "left_anti", table)
             .drop("_d", "_dm"))

@@ -1,15 +1,18 @@
 """Related-table closure: every vertex reachable from the seeds (W12 scope).
 
-Breadth-first frontier expansion expressed as DataFrame joins: each round
-joins the new frontier with the edges and keeps the vertices not reached
-yet (anti-join).  Edges and frontiers follow the data, so every round's frontier is
-written as a reliable checkpoint in ``spark.checkpoint.dir`` and a lost
-executor only recomputes one round.  Over undirected edges the neighbours of a
-layer lie in that layer, the one before or the next, so a round compares with two layers, not with all.
-Rounds = distance from the seeds to
-the farthest reached vertex; cycles end because a vertex is only ever
-added once.  ``component_labels`` gives the undirected closure in a number
-of rounds that does not grow with the graph's depth.
+Undirected (``direction='both'``): breadth-first frontier expansion.  Each round joins the new frontier with the edges; the
+neighbours of a layer lie in that layer, the one before or the next, so a round compares with two layers, not with all.
+Rounds = distance from the seeds to the farthest reached vertex.  ``component_labels`` gives the same closure in a number of
+rounds that does not grow with the graph's depth.
+
+Directed (``'out'``): path doubling.  Pairs of vertices that are exactly 1, 2, 4, ... steps apart are made by joining each
+set of pairs with itself, as long as the next set stays within ``GROWTH`` times the edges (counted before it is made).  With the
+sets up to 2^k, one round takes the frontier up to 2^(k+1) - 1 steps on, so a long chain takes few rounds, and a bushy
+graph falls back to single steps.  Reached vertices are kept in layers that are partitioned by vertex (``Reached``): a
+round shuffles what it has just reached, never what was reached before.
+
+Edges, frontiers and pairs follow the data, so each is written as a reliable checkpoint in ``spark.checkpoint.dir`` and a lost
+executor only recomputes one round.  Cycles end because a vertex is only ever added once.
 """
 
 from __future__ import annotations
@@ -17,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, drop_folder, scratch_path
 
 NODE = "table_name"
+GROWTH = 2     # a set of pairs holds at most so many times as many rows as there are edges
 
 
 def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
@@ -46,19 +50,83 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
     if direction == "both":
         e = e.unionByName(e.select(F.col("_dst").alias("_src"), F.col("_src").alias("_dst")))
     e = checkpointed(e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct())
+    start = checkpointed(seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE)).where(F.col(NODE).isNotNull()).distinct())
+    if direction == "out":
+        return _directed(e, start)
     # Reached = the union of the checkpointed frontiers.
-    layers = [checkpointed(seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE))
-                           .where(F.col(NODE).isNotNull()).distinct())]
+    layers = [start]
     while True:
         step = (e.join(layers[-1], e["_src"] == layers[-1][NODE])
                 .select(F.col("_dst").alias(NODE)).distinct())
-        seen = layers[-2:] if direction == "both" else layers
-        frontier = checkpointed(step.join(_union(seen), NODE, "left_anti"))
+        frontier = checkpointed(step.join(_union(layers[-2:]), NODE, "left_anti"))
         if frontier.isEmpty():
             return _union(layers)
         layers.append(frontier)
 
 
+def _powers(e: DataFrame, growth: float = GROWTH) -> list[DataFrame]:
+    """Pairs (_src, _dst) that are 1, 2, 4, ... steps apart, up to the first set that would be empty or too large."""
+    edges = e.count()
+    most, powers = growth * edges, [e]
+    while 2 ** len(powers) <= edges:  # no shortest path is longer
+        last = powers[-1]
+        # rows of the join of the pairs with themselves: for each vertex those that end in it times those that start there
+        ends = last.groupBy(F.col("_dst").alias("v")).agg(F.count("*").alias("n"))
+        starts = last.groupBy(F.col("_src").alias("v")).agg(F.count("*").alias("m"))
+        size = ends.join(starts, "v").agg(F.sum(F.col("n").cast("double") * F.col("m"))).first()[0]
+        if not size or size > most:
+            break
+        then = last.select(F.col("_src").alias("_mid"), F.col("_dst").alias("_end"))
+        powers.append(checkpointed(last.join(then, F.col("_dst") == F.col("_mid")).select("_src", F.col("_end").alias("_dst")).distinct()))
+    return powers
+
+
+class Reached:
+    """Vertices reached so far, in layers partitioned by vertex.
+
+    The layers belong to a session of their own without adaptive plans, because Spark only relies on how a checkpoint is
+    partitioned in a plan that it does not change while it runs.  Vertices are distinct, so no partition is hot.
+    """
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.own = spark.newSession()
+        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.shuffle.partitions", str(self.parts)),
+                           ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+            self.own.conf.set(key, value)
+        self.layers: list[DataFrame] = []
+
+    def unseen(self, vertices: DataFrame) -> DataFrame:
+        """Distinct ``vertices`` (of the own session) that no layer has; only they are shuffled."""
+        new = vertices.repartition(self.parts, NODE)
+        for layer in self.layers:
+            new = new.join(layer, NODE, "left_anti")
+        return new
+
+    def add(self, vertices: DataFrame) -> DataFrame:
+        """The ``vertices`` that are new; they are a layer from now on."""
+        path = scratch_path(self.spark, "frontier")
+        vertices.write.parquet(path)
+        self.layers.append(checkpointed(self.unseen(self.own.read.schema(vertices.schema).parquet(path))))
+        drop_folder(self.spark, path)
+        return self.layers[-1]
+
+
+def _directed(e: DataFrame, start: DataFrame) -> DataFrame:
+    powers, reached = _powers(e), Reached(e.sparkSession)
+    frontier = reached.add(start)
+    while True:
+        walk = frontier
+        for k, pairs in reversed(list(enumerate(powers))):  # 2^k steps or none, ..., 2 steps or none, 1 step or none
+            step = pairs.join(walk, pairs["_src"] == walk[NODE]).select(F.col("_dst").alias(NODE))
+            walk = step.unionByName(walk).distinct()
+            walk = checkpointed(walk) if k else walk  # the last one is written as it is added
+        frontier = reached.add(walk)
+        if frontier.isEmpty():
+            return _union([start, *reached.layers[1:-1]])
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

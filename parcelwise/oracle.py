@@ -287,8 +287,14 @@ ORACLE_SQL = {
     "refresh_set_documented": _refresh_set("documented"),
     "refresh_set_selected_only": _refresh_set("selected_only"),
     "refresh_set_all_unavailable": _refresh_set("all"),
-    "unknown_tables": "SELECT DISTINCT event_type AS table_name FROM events",
-    "unavailable_tables": f"SELECT DISTINCT table_name FROM ({REFRESH_RANGES}) WHERE table_name <> 'orders'",
+    "unknown_tables": """
+        SELECT DISTINCT table_name FROM (SELECT event_type AS table_name FROM events UNION ALL SELECT 'orders') r
+        WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('region'), ('nation'), ('customer'), ('supplier'), ('part'), ('orders'), ('lineitem'),
+                                                ('events')) c(name) WHERE c.name = r.table_name)""",
+    "unavailable_tables": f"""
+        SELECT DISTINCT table_name FROM ({REFRESH_RANGES}) r
+        WHERE NOT EXISTS (SELECT 1 FROM ({_profile('orders', _whole('orders', 'o_orderdate', 'quarter'))}) p
+                          WHERE p.table_name = r.table_name)""",
     "invalid_selection": f"""
         SELECT table_name, partition_name FROM ({REFRESH_RANGES}) WHERE table_name = 'orders' AND partition_name NOT IN
             (SELECT partition_name FROM ({_whole('orders', 'o_orderdate', 'quarter')})
@@ -301,6 +307,31 @@ ORACLE_SQL = {
         p AS ({_profile('events', _whole('events', 'ts', 'month'))})
         SELECT r.table_name, r.partition_name, coalesce(p.n_rows, 0) AS n_rows, p.min_date, p.max_date
         FROM r LEFT JOIN p ON p.partition_name = r.partition_name""",
+    "related_closure_out": """
+        WITH RECURSIVE e AS (
+            SELECT 'customer:' || o_custkey AS src, 'order:' || o_orderkey AS dst FROM orders
+            UNION SELECT 'order:' || l_orderkey, 'supplier:' || l_suppkey FROM lineitem
+            UNION SELECT 'order:' || l_orderkey, 'part:' || l_partkey FROM lineitem
+            UNION SELECT 'supplier:' || s_suppkey, 'nation:' || s_nationkey FROM supplier
+            UNION SELECT 'nation:' || n_nationkey, 'region:' || n_regionkey FROM nation),
+        r AS (SELECT 'customer:' || min(o_custkey) AS table_name FROM orders
+              UNION SELECT e.dst FROM r JOIN e ON e.src = r.table_name)
+        SELECT table_name FROM r""",
+    "manifest_profile": f"""
+        WITH r AS ({_whole_ranges('lineitem', 'l_shipdate', 'month')}),
+        p AS ({_profile('lineitem', _whole('lineitem', 'l_shipdate', 'month'))})
+        SELECT r.table_name, r.partition_name, coalesce(p.n_rows, 0) AS n_rows, p.min_date, p.max_date
+        FROM r LEFT JOIN p ON p.partition_name = r.partition_name""",
+    "concurrent_manifest": _profile("orders", _whole("orders", "o_orderdate", "quarter")),
+    "refresh_crash_readback": _profile("orders", _whole("orders", "o_orderdate", "year"), "o_orderstatus = 'O'"),
+    "scattered_refresh_readback": _profile("lineitem", _whole("lineitem", "l_shipdate", "month"), "l_linestatus = 'O' OR month(d) % 2 = 1"),
+    "catalog_partitions": f"""
+        SELECT table_name, partition_name, CASE WHEN range_start <= {_trunc('quarter', "(SELECT max(o_orderdate) + INTERVAL 180 DAY FROM orders)")}
+               THEN 'exists' ELSE 'pending' END AS state
+        FROM ({_ranges('orders', 'quarter', _first_day('orders', 'o_orderdate'), f"(SELECT {_trunc('quarter', 'min(o_orderdate)')} FROM orders)",
+                       f"(SELECT {_trunc('quarter', 'max(o_orderdate) + INTERVAL 360 DAY')} FROM orders)")})""",
+    "catalog_refresh_readback": _profile("orders", _whole("orders", "o_orderdate", "year"), """year(d) <> 1998 AND (o_orderstatus = 'O'
+        OR year(d) IN (SELECT year(min(o_orderdate)) FROM orders) OR year(d) >= (SELECT year(max(o_orderdate)) - 1 FROM orders))"""),
     "run_precedence": _report(_FIRST_QUARTER),
     "refresh_transactional_readback": _REFRESH_READBACK,
     "refresh_partial_readback": _REFRESH_READBACK,

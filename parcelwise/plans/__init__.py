@@ -3,6 +3,7 @@
 from .orchestrate import derived_selection, run  # noqa: F401
 from .partition import (  # noqa: F401
     TableBinding,
+    manifest_profile,
     materialize_partitions,
     partition_tables,
     retire_default,
@@ -16,3 +17,4 @@ from .refresh import (  # noqa: F401
     refresh_report,
     refresh_transactional,
 )
+from .targets import CatalogTarget, FolderTarget  # noqa: F401

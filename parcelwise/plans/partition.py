@@ -1,158 +1,96 @@
 """Create a table's date partitions (W13) and retire its catch-all partition.
 
 Flow per table, in spec order (a failure stops the run; tables done before
-it stay done): ranges from the spec (W2) -> pending = ranges not in the
-manifest (W7) -> write the pending partitions' rows and record them in the
-manifest (W13) -> retire the catch-all partition.  Re-running is safe, also
-after a run that broke off between two steps: a range is pending until the manifest
-names it, its write replaces its own partition, and a pending range without source rows
-is cleared of what an earlier run left there.
+it stay done): ranges from the spec (W2) -> pending = ranges that do not
+exist (W7) -> write the pending partitions' rows -> one commit that adds them and drops the
+catch-all partition (W13).  Re-running is safe, also after a run that broke off at any step: until the commit
+nothing has changed, so the next run starts from the same state.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.periods import as_date
-from ..operators.assign import assign_by_ranges, uncovered_rows
+from ..operators.assign import uncovered_rows
 from ..operators.ranges import overlapping_ranges, period_ranges
 from ..operators.validate import check_specs, pending_partitions, raise_if_any
 from ..session import local_frame
 from ..sources.control import RANGES_SCHEMA, columns_catalog, read_spec
-from ..sources.storage import (
-    PARTITION_COLUMN,
-    drop_from_manifest,
-    clear_directory,
-    partition_dir,
-    path_exists,
-    read_manifest,
-    write_manifest,
-    write_partitions,
-)
+from ..sources.storage import manifest_frame
+from .targets import CatalogTarget, FolderTarget
 
 log = logging.getLogger("parcelwise.partition")
 
 
 @dataclass(frozen=True)
 class TableBinding:
-    """Where a logical table's rows come from and where its partitions live."""
+    """Where a logical table's rows come from and where its partitions live: in a folder (``root``) or in a table of the
+    session catalog (``catalog_table``)."""
 
     source: DataFrame
-    root: str
+    root: str | None = None
     date_col: str | None = None
+    catalog_table: str | None = None
 
+    def target(self, table: str):
+        if (self.root is None) == (self.catalog_table is None):
+            raise ValueError(f"{table!r} needs a folder or a catalog table, and not both")
+        spark = self.source.sparkSession
+        return FolderTarget(spark, self.root) if self.root is not None else CatalogTarget(spark, self.catalog_table, table)
 
-def merged_intervals(ranges: list) -> list[tuple]:
-    """Inclusive (start, end) day intervals covering ``ranges``, adjacent ones merged."""
-    spans = sorted((r.range_start, r.range_end) for r in ranges)
-    merged: list[list] = []
-    for start, end in spans:
-        if merged and start <= merged[-1][1] + dt.timedelta(days=1):
-            merged[-1][1] = max(merged[-1][1], end)
-        else:
-            merged.append([start, end])
-    return [tuple(m) for m in merged]
 
-
-def _span_filter(df: DataFrame, date_col: str, ranges: list) -> DataFrame:
-    """Literal date predicate covering exactly ``ranges``: lets Parquet skip the rest.
-
-    Contiguous ranges collapse into one interval; scattered selections give
-    an OR of intervals, so refreshing the first and the last period does not
-    read everything in between.
-    """
-    if not ranges or any(r.range_start is None or r.range_end is None for r in ranges):
-        return df
-    c = F.col(date_col)
-    cond = None
-    for start, end in merged_intervals(ranges):
-        term = (c >= as_date(start)) & (c < F.date_add(as_date(end), 1))
-        cond = term if cond is None else cond | term
-    return df.where(cond)
+def ranges_frame(spark: SparkSession, partitions: list) -> DataFrame:
+    """Partitions as (table_name, partition_name, range_start, range_end)."""
+    return local_frame(spark, [tuple(p)[:4] for p in partitions], RANGES_SCHEMA)
 
 
 def write_default_partition(source: DataFrame, root: str, table: str) -> None:
     """Store ``source`` whole as the catch-all partition named ``table``."""
-    spark = source.sparkSession
-    write_partitions(source.withColumn(PARTITION_COLUMN, F.lit(table)), root, one_name=True)
-    write_manifest(spark, [(table, table, None, None)], root)
+    FolderTarget(source.sparkSession, root).put_whole(source, table)
 
 
-def write_ranges(source: DataFrame, root: str, date_col: str, ranges: list, rebalance: bool = True) -> None:
-    """Replace the partitions of ``ranges`` (driver-side rows with dates) by the source's rows in them.
+def materialize_partitions(source: DataFrame, target, pending: DataFrame,
+                           date_col: str, table: str | None = None,
+                           rebalance: bool = True, retire: str | None = None) -> list[str]:
+    """Write the rows of the ``pending`` ranges as partitions of ``target`` (a target or a folder).
 
-    One job reads the source between the ranges' literal bounds, tags, writes by dynamic partition overwrite
-    and observes which names got rows; the others are cleared, after a probe of their own bounds.
+    Refuses a range set that overlaps itself or the partitions that exist, with all overlapping pairs.  The source is read
+    between the pending ranges' literal bounds, rows are tagged without a join (W4), and one commit adds all ranges, those
+    without rows too, and drops the catch-all partition ``retire``.  Returns the created names.
     """
-    rows = assign_by_ranges(_span_filter(source, date_col, ranges), date_col, ranges, keep_unmatched=False)
-    write_observed(rows, source, root, [r.partition_name for r in ranges],
-                   lambda names: _span_filter(source, date_col, [r for r in ranges if r.partition_name in names]), rebalance)
+    spark = source.sparkSession
+    target = FolderTarget(spark, target) if isinstance(target, str) else target
+    if table is not None:
+        pending = pending.where(F.col("table_name") == table)
+    todo = pending.select(*RANGES_SCHEMA.names).collect()
+    if todo:
+        raise_if_any(overlapping_ranges(ranges_frame(spark, [*target.partitions(), *todo])), "overlapping ranges")
+    return target.add(source, date_col, todo, retire, rebalance) if todo or retire else []
 
 
-def write_observed(rows: DataFrame, source: DataFrame, root: str, names: list[str],
-                   source_of: Callable[[set], DataFrame], rebalance: bool = True) -> None:
-    """Write tagged ``rows`` and clear those of ``names`` that got none.
+def manifest_profile(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
+    """W6 of a table in a folder, from its manifest: (table_name, partition_name, n_rows, min_date, max_date).
 
-    ``source_of`` gives the source rows of some names.  A name without a metric counts as unknown until a probe
-    finds that the source has no row for it, so a lost metric never wipes a partition.
+    The statistics are those the writes counted, so no row is read; a partition without rows has ``n_rows`` 0.
     """
-    spark = source.sparkSession
-    seen = Observation()
-    write_partitions(rows.observe(seen, F.collect_set(PARTITION_COLUMN).alias("names")), root, rebalance, one_name=len(names) == 1)
-    emptied = sorted(set(names) - _observed(seen))
-    if not emptied:
-        return
-    if not source_of(set(emptied)).isEmpty():
-        raise RuntimeError(f"published, but could not confirm that {emptied} have no source rows; a re-run finishes the job")
-    try:
-        for name in emptied:
-            if path_exists(spark, partition_dir(root, name)):
-                clear_directory(spark, partition_dir(root, name), source.schema)
-    except Exception as exc:
-        raise RuntimeError(f"published, but clearing the emptied partitions {emptied} failed ({exc}); a re-run finishes the job") from exc
-
-
-def _observed(seen: Observation) -> set:
-    """Names that got rows; none where no task ran the observed plan (there is no metric then)."""
-    try:
-        return set(seen.get.get("names") or [])
-    except Py4JJavaError:
-        return set()
-
-
-def materialize_partitions(source: DataFrame, root: str, pending: DataFrame,
-                           date_col: str, table: str | None = None,
-                           rebalance: bool = True) -> list[str]:
-    """Write the rows of the ``pending`` ranges as partitions under ``root``.
-
-    Refuses a range set that overlaps itself or the partitions already in
-    the manifest, with all overlapping pairs.  Rows are tagged by the bucketed interval join (W4),
-    restricted to the literal span of the pending ranges so the scan skips
-    the rest, and written by dynamic partition overwrite (see ``write_ranges``); then the ranges
-    are recorded in the manifest, so a range with no rows still exists.
-    Returns the written names.
-    """
-    spark = source.sparkSession
+    rows = manifest_frame(spark, root)
     if table is not None:
-        pending = pending.where(F.col("table_name") == table)
-    todo = pending.select(*RANGES_SCHEMA.names).collect()
-    if not todo:
-        return []
-    both = read_manifest(spark, root).unionByName(local_frame(spark, [tuple(r) for r in todo], RANGES_SCHEMA))
-    raise_if_any(overlapping_ranges(both), "overlapping ranges")
-    write_ranges(source, root, date_col, todo, rebalance)
-    write_manifest(spark, todo, root, date_col)
-    return [r.partition_name for r in todo]
+        rows = rows.where(F.col("table_name") == table)
+    return rows.select("table_name", "partition_name", "n_rows", "min_date", "max_date")
+
+
+def _check_covered(source: DataFrame, date_col: str, table: str, ranges: list) -> None:
+    lost = uncovered_rows(source, date_col, [r for r in ranges if r.range_start is not None])
+    if not lost.isEmpty():
+        raise ValueError(f"retiring the catch-all partition of {table!r} would hide rows that fall in no range")
 
 
-def retire_default(spark: SparkSession, root: str, table: str, *, source: DataFrame | None = None,
+def retire_default(spark: SparkSession, target, table: str, *, source: DataFrame | None = None,
                    date_col: str | None = None, require_covered: bool = False) -> bool:
     """Remove the catch-all partition named ``table``, if present.
 
@@ -160,20 +98,13 @@ def retire_default(spark: SparkSession, root: str, table: str, *, source: DataFr
     source rows fall in no range (W8), since they would disappear from the
     partitioned table.  Returns whether a catch-all partition was removed.
     """
-    manifest = read_manifest(spark, root)
-    if manifest.where(F.col("partition_name") == table).isEmpty():
+    target = FolderTarget(spark, target) if isinstance(target, str) else target
+    held = target.partitions()
+    if table not in {p.partition_name for p in held}:
         return False
     if require_covered:
-        ranges = manifest.where(F.col("range_start").isNotNull())
-        lost = uncovered_rows(source, date_col, ranges)
-        if not lost.isEmpty():
-            raise ValueError(f"retiring the catch-all partition of {table!r} would hide "
-                             "rows that fall in no range")
-    own = partition_dir(root, table)
-    if path_exists(spark, own):
-        clear_directory(spark, own, spark.read.parquet(own).schema)
-    drop_from_manifest(spark, root, [table])
-    return True
+        _check_covered(source, date_col, table, held)
+    return target.drop([table])
 
 
 def checked_spec(spark: SparkSession, spec, bindings: Mapping[str, TableBinding], columns: DataFrame | None = None,
@@ -193,24 +124,25 @@ def partition_tables(spark: SparkSession, spec, bindings: Mapping[str, TableBind
                      columns: DataFrame | None = None, require_covered: bool = False) -> dict:
     """Entry point "partition": validate the spec, then create partitions table by table.
 
-    ``bindings`` maps each table name to its source and root.  The column
+    ``bindings`` maps each table name to its source and target.  The column
     catalog defaults to the bindings' source schemas.  Returns
     {table: [created partition names]}.
     """
     spec_df = checked_spec(spark, spec, bindings, columns)
     created = {}
     for row in spec_df.collect():
-        table = row["table"]
+        table, date_col = row["table"], row["partition_by"]
         binding = bindings[table]
-        date_col = row["partition_by"]
-        one = local_frame(spark, [tuple(row)], spec_df.schema)
-        expected = period_ranges(one, as_of)
-        existing = read_manifest(spark, binding.root)
-        pending = pending_partitions(expected, existing)
+        target = binding.target(table)
+        expected = period_ranges(local_frame(spark, [tuple(row)], spec_df.schema), as_of)
+        held = target.partitions()
+        pending = pending_partitions(expected, ranges_frame(spark, held))
+        retire = table if any(p.partition_name == table for p in held) else None
         try:
-            created[table] = materialize_partitions(binding.source, binding.root, pending, date_col)
-            if retire_default(spark, binding.root, table, source=binding.source,
-                              date_col=date_col, require_covered=require_covered):
+            if retire and require_covered:
+                _check_covered(binding.source, date_col, table, [*held, *expected.collect()])
+            created[table] = materialize_partitions(binding.source, target, pending, date_col, retire=retire)
+            if retire:
                 log.info("catch-all partition %s removed", table)
         except Exception:
             log.error("creating partitions failed for %s", table)

@@ -1,40 +1,31 @@
 """Recompute only the selected partitions (W14, W15) and report the outcome.
 
-Both commit modes write with dynamic partition overwrite under the table
-root: files are staged and only published when a job commits, so a failed
-job leaves the published partitions as they were.
-
-* ``transactional`` (W14): one job per table covers all of that table's
-  selected partitions (up to ``max_parallelism`` tables at once).  The source is read between literal bounds (the
-  span of the selected ranges), so Parquet skips the rest, rows are tagged
-  with the bucketed interval join, and the job publishes everything or
-  nothing.
-* ``partialBatch`` (W15): one job per partition, at most
-  ``max_parallelism`` running at once; each partition commits on its own
-  and a failure is recorded without stopping the others.
-
-Dynamic overwrite cannot remove a partition that no longer has any source
-rows, so every job observes (Spark ``Observation``, same pass as the write)
-which selected names received rows, and the emptied ones are then cleared
-explicitly.
+* ``transactional`` (W14): one write per table covers all of that table's selected partitions (up to
+  ``max_parallelism`` tables at once).  The source is read between literal bounds, so Parquet skips the rest, rows are tagged
+  without a join, and one commit publishes everything or nothing.
+* ``partialBatch`` (W15): partitions are packed into writes by their size, at most ``max_parallelism`` running at once.  A
+  partition of ``PACK_BYTES`` or more has a write of its own.  If a pack fails, its partitions are written one by one, so a failure
+  is recorded for the partition it belongs to and never stops the others.
+
+A partition that no longer has source rows is committed without a folder, like any other change.  The report's rows are what the
+writes counted and the commits confirmed; the target is not read.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.selection import MODES, choose_partitions, named_partitions, refresh_scope, related_names
 from ..operators.validate import InvalidInput
 from ..session import local_frame
 from ..sources.control import TABLES_SCHEMA, list_names, read_selection, table_list
-from ..sources.storage import PARTITION_COLUMN, manifest_rows, read_partitions
-from .partition import TableBinding, write_observed, write_ranges
+from ..sources.storage import Partition
+from .partition import TableBinding
 
 log = logging.getLogger("parcelwise.refresh")
 
@@ -50,15 +41,16 @@ REPORT_SCHEMA = T.StructType([
 # Refresh outcome states.
 COMPLETED = "Completed"
 FAILED = "Failed"
+#: partial batch: bytes and partitions of one write at most (a single larger partition has one of its own)
+PACK_BYTES, PACK_PARTITIONS = 256 << 20, 400
 
 
-def _ranges_of(spark: SparkSession, root: str, table: str, names: list[str]) -> list:
-    """Manifest rows of the named partitions; all of them must exist."""
-    rows = [r for r in manifest_rows(spark, [root]) if r.table_name == table and r.partition_name in names]
-    unknown = sorted(set(names) - {r.partition_name for r in rows})
-    if unknown:
+def _ranges_of(binding: TableBinding, table: str, names: list[str]) -> list[Partition]:
+    """The named partitions as the target knows them; all of them must exist."""
+    held = {p.partition_name: p for p in binding.target(table).partitions() if p.table_name == table}
+    if unknown := sorted(set(names) - set(held)):
         raise ValueError(f"partitions not in the manifest of {table!r}: {unknown}")
-    return rows
+    return [held[n] for n in dict.fromkeys(names)]
 
 
 def _date_col(binding: TableBinding, table: str, ranges: list) -> str:
@@ -70,79 +62,109 @@ def _date_col(binding: TableBinding, table: str, ranges: list) -> str:
 
 
 def refresh_transactional(binding: TableBinding, table: str, names: list[str],
-                          rebalance: bool = True, ranges: list | None = None) -> None:
-    """Recompute the selected partitions of one table in a single job.
+                          rebalance: bool = True, ranges: list | None = None) -> dict[str, int]:
+    """Recompute the selected partitions of one table, all or nothing; returns the rows of each.
 
-    ``ranges`` (manifest rows of ``names``) may be passed when already known.
+    ``ranges`` (the partitions ``names`` as the target knows them) may be passed when already known.
     """
     if ranges is None:
-        ranges = _ranges_of(binding.source.sparkSession, binding.root, table, names)
-    dated = [r for r in ranges if r.range_start is not None]
-    if dated:
-        write_ranges(binding.source, binding.root, _date_col(binding, table, dated), dated, rebalance)
-    if len(dated) < len(ranges):  # the catch-all partition holds the whole source
-        write_observed(binding.source.withColumn(PARTITION_COLUMN, F.lit(table)), binding.source, binding.root,
-                       [table], lambda _: binding.source, rebalance)
+        ranges = _ranges_of(binding, table, names)
+    dated = [p for p in ranges if p.range_start is not None]
+    date_col = _date_col(binding, table, dated) if dated else binding.date_col
+    return binding.target(table).replace(binding.source, date_col, ranges, rebalance)[0]
+
+
+def packed(partitions: list[Partition], most_bytes: int = PACK_BYTES, most: int = PACK_PARTITIONS) -> Iterator[list[Partition]]:
+    """Partitions in packs of at most ``most_bytes`` and ``most``, neighbours in time together; one pass.
+
+    A partition of unknown size, or the catch-all, is a pack of its own.
+    """
+    pack, held = [], 0
+    for p in sorted(partitions, key=lambda p: (p.range_start is None, p.range_start, p.partition_name)):
+        alone = p.n_bytes is None or p.range_start is None
+        if pack and (alone or held + p.n_bytes > most_bytes or len(pack) >= most):
+            yield pack
+            pack, held = [], 0
+        pack.append(p)
+        held += most_bytes if alone else p.n_bytes
+    if pack:
+        yield pack
+
+
+def work_list(refresh_set: list[tuple[str, str]], known_ranges: Mapping[str, list], most_bytes: int = PACK_BYTES) -> list[tuple[str, list]]:
+    """(table, pack of partitions) for a refresh set; time in proportion to both."""
+    wanted = set(refresh_set)
+    return [(t, pack) for t, rows in known_ranges.items() for pack in packed([r for r in rows if (t, r.partition_name) in wanted], most_bytes)]
 
 
 def refresh_partial_batch(bindings: Mapping[str, TableBinding], refresh_set: list[tuple[str, str]],
                           max_parallelism: int = 4, rebalance: bool = True,
-                          known_ranges: Mapping[str, list] | None = None) -> dict:
-    """One job per (table, partition), ``max_parallelism`` at a time.
+                          known_ranges: Mapping[str, list] | None = None, rows: dict | None = None,
+                          pack_bytes: int = PACK_BYTES) -> dict:
+    """Recompute partitions that succeed or fail one by one, ``max_parallelism`` writes at a time.
 
-    ``known_ranges`` maps a table to the manifest rows of its selected
-    partitions when already known.  Returns {(table, partition): error text}
-    for the failed ones.
+    ``known_ranges`` maps a table to its selected partitions as the target knows them.  Returns {(table, partition):
+    error text} for the failed ones; ``rows`` receives {(table, partition): rows} for the others.
     """
     if max_parallelism < 1:
         raise ValueError("max_parallelism must be >= 1")
+    known = dict(known_ranges or {})
     by_table: dict[str, list[str]] = {}
     for table, name in refresh_set:
         by_table.setdefault(table, []).append(name)
-    work = []
     for table, names in by_table.items():
-        binding = bindings[table]
-        rows = (known_ranges or {}).get(table) or _ranges_of(binding.source.sparkSession, binding.root, table, names)
-        work += [(table, r.partition_name, binding, r) for r in rows if r.partition_name in names]
+        if table not in known:
+            known[table] = _ranges_of(bindings[table], table, names)
 
-    def run_one(item):
-        table, name, binding, rng = item
-        refresh_transactional(binding, table, [name], rebalance, [rng])
+    def write(table: str, pack: list[Partition]) -> tuple[dict, dict]:
+        binding = bindings[table]
+        dated = [p for p in pack if p.range_start is not None]
+        date_col = _date_col(binding, table, dated) if dated else binding.date_col
+        return binding.target(table).replace(binding.source, date_col, pack, rebalance, each=True)
 
-    failures = {}
+    failures, found = {}, {} if rows is None else rows
     with ThreadPoolExecutor(max_workers=max_parallelism) as pool:
-        futures = {(t, n): pool.submit(run_one, (t, n, b, r)) for t, n, b, r in work}
-        for key, fut in futures.items():
-            exc = fut.exception()
-            if exc is not None:
-                log.error("refresh of %s failed: %s", key, exc)
-                failures[key] = f"{type(exc).__name__}: {exc}"
+        todo = work_list(refresh_set, known, pack_bytes)
+        while todo:
+            futures = [(table, pack, pool.submit(write, table, pack)) for table, pack in todo]
+            todo = []
+            for table, pack, fut in futures:
+                exc = fut.exception()
+                if exc is not None and len(pack) > 1:
+                    todo += [(table, [p]) for p in pack]  # each on its own
+                    continue
+                if exc is None:
+                    done, errors = fut.result()
+                else:
+                    done, errors = {}, {pack[0].partition_name: f"{type(exc).__name__}: {exc}"}
+                found.update({(table, n): k for n, k in done.items()})
+                for n, text in errors.items():
+                    log.error("refresh of %s failed: %s", (table, n), text)
+                    failures[(table, n)] = text
     return failures
 
 
-def refresh_report(spark: SparkSession, bindings: Mapping[str, TableBinding],
-                   refresh_set: list[tuple[str, str]], failures: Mapping | None = None) -> DataFrame:
+def refresh_report(spark: SparkSession, bindings: Mapping[str, TableBinding], refresh_set: list[tuple[str, str]],
+                   failures: Mapping | None = None, rows: Mapping | None = None) -> DataFrame:
     """(table_name, partition_name, status, rows, error) per refreshed partition.
 
-    Row counts are read back from the target, pruned to the refreshed
-    partition directories.
+    ``rows`` has the rows that the refresh wrote.  For partitions that it lacks (failed ones keep their old rows)
+    the target's own statistics are used; only a catalog table, which has none, is read for them.
     """
-    failures = failures or {}
-    counts = None
-    by_table: dict[str, list[str]] = {}
+    failures, rows = failures or {}, dict(rows or {})
+    missing: dict[str, set] = {}
     for t, n in refresh_set:
-        by_table.setdefault(t, []).append(n)
-    for table, names in by_table.items():
-        data = read_partitions(spark, bindings[table].root, names, bindings[table].source.schema)
-        if data is None:
-            continue
-        part = (data.groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("rows"))
-                .select(F.lit(table).alias("table_name"), PARTITION_COLUMN, "rows"))
-        counts = part if counts is None else counts.unionByName(part)
-    found = {(r.table_name, r[PARTITION_COLUMN]): r["rows"] for r in counts.collect()} if counts is not None else {}
-    # One row per refreshed partition: a local frame, so checking and
-    # returning it does not read the target again.
-    return local_frame(spark, [(t, n, COMPLETED if failures.get((t, n)) is None else FAILED, found.get((t, n), 0),
+        if (t, n) not in rows:
+            missing.setdefault(t, set()).add(n)
+    for table, names in missing.items():
+        target = bindings[table].target(table)
+        held = [p for p in target.partitions() if p.partition_name in names]
+        rows.update({(table, p.partition_name): p.n_rows for p in held if p.n_rows is not None})
+        unknown = [p for p in held if p.n_rows is None]
+        if unknown:
+            counts = target.read(unknown, bindings[table].source.schema).groupBy("partition_name").count().collect()
+            rows.update({(table, r["partition_name"]): r["count"] for r in counts})
+    return local_frame(spark, [(t, n, COMPLETED if failures.get((t, n)) is None else FAILED, rows.get((t, n), 0),
                                 failures.get((t, n))) for t, n in sorted(set(refresh_set))], REPORT_SCHEMA)
 
 
@@ -161,11 +183,9 @@ class RefreshFailed(RuntimeError):
         self.failures = failures
 
 
-def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBinding]) -> list:
-    """Partition catalog of all bound tables: manifest rows, read by one job."""
-    own = {(b.root, t) for t, b in bindings.items()}
-    return [r for r in manifest_rows(spark, {t: b.root for t, b in bindings.items()})
-            if any(t == r.table_name for _, t in own)]
+def available_partitions(spark: SparkSession, bindings: Mapping[str, TableBinding]) -> list[Partition]:
+    """Partition catalog of all bound tables, as their targets know them; no Spark job for folders."""
+    return [p for t, b in bindings.items() for p in b.target(t).partitions() if p.table_name == t]
 
 
 def check_request(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to_refresh=None, partitions_to_refresh=None,
@@ -216,8 +236,9 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
         if any(r.range_start is not None for r in ranges):
             _date_col(bindings[table], table, [r for r in ranges if r.range_start is not None])
     failures: dict = {}
+    rows: dict = {}
     if commit_mode == "transactional":
-        # One job per table, up to max_parallelism tables at once; each table
+        # One write per table, up to max_parallelism tables at once; each table
         # publishes all of its selected partitions or none.
         with ThreadPoolExecutor(max_workers=max_parallelism) as pool:
             futures = {table: pool.submit(refresh_transactional, bindings[table], table,
@@ -225,13 +246,15 @@ def refresh(spark: SparkSession, bindings: Mapping[str, TableBinding], tables_to
                        for table, ranges in known.items()}
             for table, fut in futures.items():
                 exc = fut.exception()
-                if exc is not None:
-                    log.error("refresh of %s failed: %s", table, exc)
-                    for r in known[table]:
-                        failures[(table, r.partition_name)] = f"{type(exc).__name__}: {exc}"
+                if exc is None:
+                    rows.update({(table, n): k for n, k in fut.result().items()})
+                    continue
+                log.error("refresh of %s failed: %s", table, exc)
+                for r in known[table]:
+                    failures[(table, r.partition_name)] = f"{type(exc).__name__}: {exc}"
     else:
-        failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance, known)
-    report = refresh_report(spark, bindings, refresh_set, failures)
+        failures = refresh_partial_batch(bindings, refresh_set, max_parallelism, rebalance, known, rows)
+    report = refresh_report(spark, bindings, refresh_set, failures, rows)
     if raise_on_failure:
         check_report(report)  # a local frame: no job on the target
     return report

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +46,11 @@ from .operators.selection import (
 )
 from .operators.validate import invalid_specs, pending_partitions
 from .plans.orchestrate import run
-from .plans.partition import TableBinding, partition_tables, write_default_partition, write_ranges
+from .plans.partition import TableBinding, manifest_profile, partition_tables, write_default_partition
+from .plans.targets import FolderTarget
 from .plans.refresh import refresh
 from .session import drop_folder, local_frame, scratch_path
+from .sources.catalog import catalog_partitions, create_table
 from .sources.control import columns_catalog, read_spec, table_list
 from .sources.storage import read_manifest, read_table
 
@@ -336,12 +339,12 @@ def q_materialize_readback(spark, sf_dir):
 
 
 def q_rematerialize_after_empty(spark, sf_dir):
-    """A run that broke off after its rows were written and before they were recorded, then a run over a
-    source without one year: that year's old rows are gone."""
+    """A run that broke off after its rows were written and before they were committed, then a run over a
+    source without one year: nothing of the first run is seen."""
     root = scratch_path(spark, "orders-again")
     src = _t(spark, sf_dir, "orders")
     spec, last = _spec_of(src, "orders", "o_orderdate", "YEAR")
-    write_ranges(src, root, "o_orderdate", period_ranges(read_spec(spark, spec), last).collect())
+    FolderTarget(spark, root).stage(src, "o_orderdate", period_ranges(read_spec(spark, spec), last).collect())
     later = src.where(F.year("o_orderdate") != 1998)
     partition_tables(spark, spec, {"orders": TableBinding(later, root, "o_orderdate")}, last)
     return _profile_of_target(spark, root, "orders", "o_orderdate")
@@ -411,6 +414,116 @@ def q_related_closure_components(spark, sf_dir):
     return related_closure(_row_edges(spark, sf_dir), seeds, method="components")
 
 
+def q_related_closure_out(spark, sf_dir):
+    """Directed closure over rows: the orders of a customer, their lines' parts and suppliers, and where those are."""
+    v = lambda kind, col: F.concat(F.lit(kind + ":"), F.col(col).cast("string"))
+    orders, lines = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    edges = (orders.select(v("customer", "o_custkey").alias("src"), v("order", "o_orderkey").alias("dst"))
+             .unionByName(lines.select(v("order", "l_orderkey").alias("src"), v("supplier", "l_suppkey").alias("dst")))
+             .unionByName(lines.select(v("order", "l_orderkey").alias("src"), v("part", "l_partkey").alias("dst")))
+             .unionByName(_t(spark, sf_dir, "supplier").select(v("supplier", "s_suppkey").alias("src"), v("nation", "s_nationkey").alias("dst")))
+             .unionByName(_t(spark, sf_dir, "nation").select(v("nation", "n_nationkey").alias("src"), v("region", "n_regionkey").alias("dst"))))
+    seeds = orders.agg(F.min("o_custkey").alias("o_custkey")).select(v("customer", "o_custkey").alias("v"))
+    return related_closure(edges, seeds, direction="out")
+
+
+def _manifest_profile(spark, root):
+    """W6 from the manifest alone, held by the driver."""
+    return _kept(spark, root, manifest_profile(spark, root).select(*PROFILE_COLUMNS))
+
+
+def q_manifest_profile(spark, sf_dir):
+    """W6 of a materialised table from the statistics its writes counted: no row is read."""
+    root = scratch_path(spark, "lineitem-stats")
+    src = _t(spark, sf_dir, "lineitem")
+    spec, last = _spec_of(src, "lineitem", "l_shipdate", "MONTH")
+    partition_tables(spark, spec, {"lineitem": TableBinding(src, root, "l_shipdate")}, last)
+    return _manifest_profile(spark, root)
+
+
+def q_concurrent_manifest(spark, sf_dir):
+    """Each quarter of orders is created by a writer of its own, all at once on one folder; one quarter by two of them."""
+    root = scratch_path(spark, "orders-many")
+    src = _t(spark, sf_dir, "orders")
+    spec, last = _spec_of(src, "orders", "o_orderdate", "QUARTER")
+    ranges = period_ranges(read_spec(spark, spec), last).orderBy("range_start").collect()
+    work = [[r] for r in ranges] + [[ranges[0]]]
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(lambda part: FolderTarget(spark, root).add(src, "o_orderdate", part), work))
+    return _profile_of_target(spark, root, "orders", "o_orderdate")
+
+
+def q_refresh_crash_readback(spark, sf_dir):
+    """A refresh of all years of orders breaks off after its rows are written and before its commit: readers see the old rows."""
+    root = scratch_path(spark, "orders-crash")
+    src = _t(spark, sf_dir, "orders")
+    spec, last = _spec_of(src, "orders", "o_orderdate", "YEAR")
+    old = src.where(F.col("o_orderstatus") == "O")
+    partition_tables(spark, spec, {"orders": TableBinding(old, root, "o_orderdate")}, last)
+    target = FolderTarget(spark, root)
+    target.stage(src, "o_orderdate", target.partitions())  # and no commit
+    return _profile_of_target(spark, root, "orders", "o_orderdate")
+
+
+def q_scattered_refresh_readback(spark, sf_dir):
+    """Every other month of a stale lineitem is refreshed: many separate intervals in one write."""
+    root = scratch_path(spark, "lineitem-scattered")
+    full = _t(spark, sf_dir, "lineitem")
+    spec, last = _spec_of(full, "lineitem", "l_shipdate", "MONTH")
+    partition_tables(spark, spec, {"lineitem": TableBinding(full.where("l_linestatus = 'O'"), root, "l_shipdate")}, last)
+    names = [p.partition_name for p in FolderTarget(spark, root).partitions() if p.range_start.month % 2 == 1]
+    refresh(spark, {"lineitem": TableBinding(full, root, "l_shipdate")}, "lineitem", [{"table": "lineitem", "selected_partitions": names}])
+    return _profile_of_target(spark, root, "lineitem", "l_shipdate")
+
+
+def _catalog_table(spark, rows, label):
+    """A fresh partitioned table of the session catalog, and its folder."""
+    folder = scratch_path(spark, label)
+    name = "parcelwise_" + folder.rsplit("-", 1)[1]
+    create_table(spark, name, rows, folder)
+    return name, folder
+
+
+def q_catalog_partitions(spark, sf_dir):
+    """``SHOW PARTITIONS`` of a catalog table that was partitioned by quarter up to 180 days after its last day, empty quarters
+    too, and what a plan of 360 days still lacks (W7)."""
+    src = _t(spark, sf_dir, "orders")
+    name, folder = _catalog_table(spark, src, "catalog-orders")
+    spec, last = _spec_of(src, "orders", "o_orderdate", "QUARTER")
+    try:
+        binding = TableBinding(src, date_col="o_orderdate", catalog_table=name)
+        binding.target("orders").put_whole(src, "orders")
+        partition_tables(spark, spec, {"orders": binding}, last + dt.timedelta(days=180))
+        found = catalog_partitions(spark, [name]).withColumn("table_name", F.lit("orders"))
+        planned = period_ranges(read_spec(spark, spec), last + dt.timedelta(days=360))
+        pending = pending_partitions(planned, found).select("table_name", "partition_name")
+        out = found.withColumn("state", F.lit("exists")).unionByName(pending.withColumn("state", F.lit("pending")))
+        return local_frame(spark, [tuple(r) for r in out.collect()], out.schema)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_folder(spark, folder)
+
+
+def q_catalog_refresh_readback(spark, sf_dir):
+    """A catalog table of open orders by year; the last two years are refreshed at once and the first alone, 1998 loses its rows."""
+    src = _t(spark, sf_dir, "orders")
+    name, folder = _catalog_table(spark, src, "catalog-refresh")
+    spec, last = _spec_of(src, "orders", "o_orderdate", "YEAR")
+    bind = lambda rows: {"orders": TableBinding(rows, date_col="o_orderdate", catalog_table=name)}
+    try:
+        partition_tables(spark, spec, bind(src.where(F.col("o_orderstatus") == "O")), last)
+        years = [p.partition_name for p in bind(src)["orders"].target("orders").partitions()]
+        later = src.where(F.year("o_orderdate") != 1998)
+        of = lambda ns: [{"table": "orders", "selected_partitions": ns}]
+        refresh(spark, bind(later), "orders", of(sorted(years)[-2:]))
+        refresh(spark, bind(later), "orders", of([sorted(years)[0], *[n for n in years if "_1998" in n]]), "partialBatch", max_parallelism=2)
+        out = partition_profile(spark.table(name), "o_orderdate", "orders").select(*PROFILE_COLUMNS)
+        return local_frame(spark, [tuple(r) for r in out.collect()], out.schema)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_folder(spark, folder)
+
+
 def q_overlapping_ranges_orders(spark, sf_dir):
     """Quarterly and monthly ranges over the orders extent side by side (as
     after an interval change): the overlaps a writer refuses."""
@@ -453,5 +566,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_report": q_refresh_report,
     "related_closure_components": q_related_closure_components,
     "overlapping_ranges_orders": q_overlapping_ranges_orders,
+    "related_closure_out": q_related_closure_out,
+    "manifest_profile": q_manifest_profile,
+    "concurrent_manifest": q_concurrent_manifest,
+    "refresh_crash_readback": q_refresh_crash_readback,
+    "scattered_refresh_readback": q_scattered_refresh_readback,
+    "catalog_partitions": q_catalog_partitions,
+    "catalog_refresh_readback": q_catalog_refresh_readback,
     "selection_json": q_selection_json,
 }

@@ -11,4 +11,5 @@ from .control import (  # noqa: F401
     read_spec,
     table_list,
 )
-from .storage import read_manifest, read_table  # noqa: F401
+from .catalog import catalog_partitions, create_table  # noqa: F401
+from .storage import CommitConflict, manifest_frame, read_manifest, read_table, vacuum  # noqa: F401

@@ -38,8 +38,10 @@ RANGES_SCHEMA = T.StructType([
     T.StructField("range_start", T.DateType()),
     T.StructField("range_end", T.DateType()),
 ])
-#: a range as the manifest keeps it: with the column its rows are dated by
-MANIFEST_SCHEMA = T.StructType([*RANGES_SCHEMA.fields, T.StructField("date_col", T.StringType())])
+#: a partition as the manifest keeps it: its range, the column its rows are dated by, and statistics of them
+MANIFEST_SCHEMA = T.StructType([*RANGES_SCHEMA.fields, T.StructField("date_col", T.StringType()), T.StructField("n_rows", T.LongType()),
+                                T.StructField("min_date", T.DateType()), T.StructField("max_date", T.DateType()),
+                                T.StructField("n_bytes", T.LongType())])
 EDGES_SCHEMA = T.StructType([
     T.StructField("src", T.StringType()),
     T.StructField("dst", T.StringType()),

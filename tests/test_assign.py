@@ -101,12 +101,42 @@ def _plan(df):
 def test_interval_join_plan_has_no_nested_loop(spark, sf_small):
     li = _lineitem(spark, sf_small)
     ranges = _ranges(spark, "lineitem", "19950215", "QUARTER")
-    for df in (assign_by_ranges(li, "l_shipdate", ranges), uncovered_rows(li, "l_shipdate", ranges)):
+    both = ranges.unionByName(_ranges(spark, "lineitem", "19950215", "YEAR"))  # these overlap
+    for df in (assign_by_ranges(li, "l_shipdate", both), uncovered_rows(li, "l_shipdate", both)):
         plan = _plan(df)
         assert "NestedLoop" not in plan
         assert "BroadcastHashJoin" in plan
 
 
+def test_disjoint_ranges_need_no_join(spark, sf_small):
+    li = _lineitem(spark, sf_small)
+    ranges = _ranges(spark, "lineitem", "19950215", "QUARTER")
+    for df in (assign_by_ranges(li, "l_shipdate", ranges), uncovered_rows(li, "l_shipdate", ranges), assign_by_ranges(li, "l_shipdate", ranges.collect())):
+        plan = _plan(df)
+        assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_range_index_equals_the_join(spark):
+    """Random disjoint ranges with gaps, null and reversed bounds: the index and the join tag the same rows."""
+    import random
+
+    from parcelwise.operators import assign
+
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, None if i % 50 == 0 else D(2019, 12, 1) + dt.timedelta(days=i)) for i in range(900)], "id int, d date")
+    for _ in range(6):
+        cuts = sorted(rnd.sample(range(0, 800), 2 * rnd.randint(1, 30)))
+        rows = [("T", f"p,{a}|'", D(2020, 1, 1) + dt.timedelta(days=a), D(2020, 1, 1) + dt.timedelta(days=b - 1)) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        rows += [("T", "open", None, D(2020, 1, 1)), ("T", "reversed", D(2021, 1, 1), D(2020, 1, 1)), ("U", "other", D(2020, 1, 1), D(2022, 1, 1))]
+        for keep in (True, False):
+            got = assign_by_ranges(df, "d", rows, "T", keep_unmatched=keep)
+            want = assign._bucket_join(df, "d", rows, "left" if keep else "inner", "T").select("id", "d", F.col("_pn").alias("partition_name"))
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert uncovered_rows(df, "d", rows, "T").count() == assign._bucket_join(df, "d", rows, "left_anti", "T").count()
+    assert uncovered_rows(df, "d", []).count() == 900
+    assert assign_by_ranges(df, "d", []).where("partition_name IS NULL").count() == 900
+
+
 def test_slice_pushes_filter_and_prunes_columns(spark, sf_small):
     li = _lineitem(spark, sf_small)
     df = slice_partition(li, "l_shipdate", "1997-01-01", "1997-03-31").select("l_orderkey")
@@ -126,7 +156,7 @@ def test_shuffle_path_beyond_the_broadcast_limit(spark, sf_small):
     """With Spark's broadcast limit off, the interval joins shuffle and give the same rows."""
     li = _lineitem(spark, sf_small)
     ranges = period_ranges(read_spec(spark, [{"table": "lineitem", "first_date": "19960301", "partition_by": "l_shipdate",
-                                              "interval": "MONTH"}]), AS_OF)
+                                              "interval": i} for i in ("MONTH", "YEAR")]), AS_OF)  # they overlap
     run = lambda: (sorted(map(tuple, assign_by_ranges(li, "l_shipdate", ranges).groupBy("partition_name").count().collect()), key=str),
                    uncovered_rows(li, "l_shipdate", ranges).count())
     want = run()
@@ -143,14 +173,14 @@ def test_shuffle_path_beyond_the_broadcast_limit(spark, sf_small):
 def test_scattered_refresh_reads_only_selected_dates(spark, sf_small):
     from pyspark.sql import Row
 
-    from parcelwise.plans.partition import _span_filter, merged_intervals
+    from parcelwise.plans.targets import merged_intervals, span_filter
 
     R = Row("range_start", "range_end")
     ranges = [R(D(1995, 1, 1), D(1995, 3, 31)), R(D(1995, 4, 1), D(1995, 6, 30)),
               R(D(2001, 7, 1), D(2001, 9, 30))]
     assert merged_intervals(ranges) == [(D(1995, 1, 1), D(1995, 6, 30)), (D(2001, 7, 1), D(2001, 9, 30))]
     li = _lineitem(spark, sf_small)
-    sliced = _span_filter(li, "l_shipdate", ranges)
+    sliced = span_filter(li, "l_shipdate", ranges)
     pushed = _plan(sliced)
     assert ("PushedFilters: [Or(And(GreaterThanOrEqual(l_shipdate,1995-01-01T00:00),"
             "LessThan(l_shipdate,1995-07-01T00:00))") in pushed

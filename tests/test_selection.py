@@ -207,3 +207,65 @@ def test_selection_is_computed_once(spark, model, tmp_path):
                                 "table string, selected_partitions string")
     resolve_refresh_set(refresh_scope(None, tables), parts, sel).collect()
     assert seen.value == 1
+
+
+def _chain(n):
+    return [(f"c{i}", f"c{i + 1}") for i in range(n)]
+
+
+def test_directed_closure_equals_brute_force(spark):
+    """Random directed graphs with cycles, hubs, self loops and null ends."""
+    import random
+
+    from parcelwise.operators.closure import related_closure
+
+    rnd = random.Random(8)
+    for n, m in ((30, 25), (30, 60), (60, 90)):
+        edges = [(f"v{rnd.randrange(n)}", f"v{rnd.randrange(n)}") for _ in range(m)] + [("hub", f"v{i}") for i in range(n)] + [(f"v{n // 2}", "hub"), ("x", None), (None, "y")] + _chain(20) + [("c20", "c5")]
+        seeds = ["v1", "c0", "alone", None, "v1"]
+        reached, todo = {s for s in seeds if s}, [s for s in seeds if s]
+        while todo:
+            v = todo.pop()
+            new = {d for s, d in edges if s == v and d} - reached
+            reached |= new
+            todo += new
+        got = related_closure(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(s,) for s in seeds], "v string"), "out")
+        assert sorted(r.table_name for r in got.collect()) == sorted(reached)
+    assert related_closure(spark.createDataFrame([], "src string, dst string"), spark.createDataFrame([("a",)], "v string"), "out").count() == 1
+
+
+def test_a_long_directed_chain_takes_few_rounds(spark, monkeypatch):
+    from parcelwise.operators import closure
+
+    rounds = []
+    own = closure.Reached.add
+    monkeypatch.setattr(closure.Reached, "add", lambda self, v: rounds.append(1) or own(self, v))
+    got = closure.related_closure(spark.createDataFrame(_chain(1000), "src string, dst string"), spark.createDataFrame([("c3",)], "v string"), "out")
+    assert got.count() == 998 and len(rounds) <= 4
+
+
+def test_pairs_stay_bounded(spark):
+    """A bushy graph falls back to single steps: no set of pairs exceeds its bound."""
+    from parcelwise.operators.closure import GROWTH, _powers
+
+    edges = [(f"a{i}", f"a{(i * 7 + k * 13) % 200}") for i in range(200) for k in range(5)]
+    e = spark.createDataFrame(edges, "_src string, _dst string").distinct()
+    powers = _powers(e)
+    assert len(powers) == 1
+    chain = spark.createDataFrame(_chain(100), "_src string, _dst string")
+    assert [p.count() for p in _powers(chain)] == [100, 99, 97, 93, 85, 69, 37] and max(p.count() for p in _powers(chain)) <= GROWTH * 100
+
+
+def test_a_round_shuffles_only_its_frontier(spark):
+    from parcelwise.operators.closure import Reached
+
+    reached = Reached(spark)
+    for k in range(3):
+        reached.add(spark.createDataFrame([(f"v{i}",) for i in range(10 * k, 10 * k + 15)], "table_name string"))
+    path = __import__("parcelwise.session", fromlist=["scratch_path"]).scratch_path(spark, "t-frontier")
+    spark.createDataFrame([("v1",), ("new",)], "table_name string").write.parquet(path)
+    new = reached.unseen(reached.own.read.parquet(path))
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("LeftAnti") == 3  # the frontier's own
+    assert [r.table_name for r in new.collect()] == ["new"]
+    assert [layer.count() for layer in reached.layers] == [15, 10, 10]

@@ -8,36 +8,36 @@ from parcelwise.sources.control import columns_catalog, read_spec
 
 @pytest.fixture
 def catalog(spark):
-    return spark.createDataFrame([("Sales", "Order Date"), ("Customer", "Create Date")],
+    return spark.createDataFrame([("orders", "o_orderdate"), ("events", "ts")],
                                  "table_name string, column_name string")
 
 
 def test_bad_rows_are_reported(spark, catalog):
     spec = read_spec(spark, [
-        {"table": "Sales", "first_date": "20200101", "partition_by": "Order Date", "interval": "quarter"},
-        {"table": "Sales", "first_date": "20200230", "partition_by": "Order Date", "interval": "QUARTER"},
-        {"table": "Sales", "first_date": "2020-01-01", "partition_by": "Order Date", "interval": "MONTH"},
-        {"table": "Sales", "first_date": "20200101", "partition_by": "Ship Date", "interval": "YEAR"},
-        {"table": "Nope", "first_date": "20200101", "partition_by": "Order Date", "interval": "YEAR"},
-        {"table": "Customer", "first_date": "20200101", "partition_by": "Create Date", "interval": "WEEK"}])
+        {"table": "orders", "first_date": "20200101", "partition_by": "o_orderdate", "interval": "quarter"},
+        {"table": "orders", "first_date": "20200230", "partition_by": "o_orderdate", "interval": "QUARTER"},
+        {"table": "orders", "first_date": "2020-01-01", "partition_by": "o_orderdate", "interval": "MONTH"},
+        {"table": "orders", "first_date": "20200101", "partition_by": "o_shipdate", "interval": "YEAR"},
+        {"table": "returns", "first_date": "20200101", "partition_by": "o_orderdate", "interval": "YEAR"},
+        {"table": "events", "first_date": "20200101", "partition_by": "ts", "interval": "WEEK"}])
     got = sorted((r.table, r.partition_by, r.reason, r.value) for r in invalid_specs(spec, catalog).collect())
     assert got == sorted([
-        ("Sales", "Order Date", "invalid first_date", "20200230"),
-        ("Sales", "Order Date", "invalid first_date", "2020-01-01"),
-        ("Sales", "Ship Date", "unknown table or column", "Ship Date"),
-        ("Nope", "Order Date", "unknown table or column", "Order Date"),
-        ("Customer", "Create Date", "invalid interval", "WEEK")])
+        ("orders", "o_orderdate", "invalid first_date", "20200230"),
+        ("orders", "o_orderdate", "invalid first_date", "2020-01-01"),
+        ("orders", "o_shipdate", "unknown table or column", "o_shipdate"),
+        ("returns", "o_orderdate", "unknown table or column", "o_orderdate"),
+        ("events", "ts", "invalid interval", "WEEK")])
     with pytest.raises(ValueError, match="invalid partition spec"):
         check_specs(spec, catalog)
 
 
 def test_refresh_fields(spark, catalog):
     spec = read_spec(spark, [
-        {"table": "Sales", "first_date": "20200101", "partition_by": "Order Date", "interval": "QUARTER",
+        {"table": "orders", "first_date": "20200101", "partition_by": "o_orderdate", "interval": "QUARTER",
          "refresh_from": "TODAY", "number_of_intervals": "*"},
-        {"table": "Sales", "first_date": "20200101", "partition_by": "Order Date", "interval": "QUARTER",
+        {"table": "orders", "first_date": "20200101", "partition_by": "o_orderdate", "interval": "QUARTER",
          "refresh_from": "yesterday", "number_of_intervals": "0"},
-        {"table": "Customer", "first_date": "20200101", "partition_by": "Create Date", "interval": "YEAR"}])
+        {"table": "events", "first_date": "20200101", "partition_by": "ts", "interval": "YEAR"}])
     reasons = sorted(r.reason for r in invalid_specs(spec, catalog, for_refresh=True).collect())
     assert reasons == ["invalid number_of_intervals", "invalid number_of_intervals",
                        "invalid refresh_from", "invalid refresh_from"]

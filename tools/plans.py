@@ -19,7 +19,7 @@ from parcelwise.operators.assign import (  # noqa: E402
     uncovered_rows,
 )
 from parcelwise.operators.ranges import period_ranges  # noqa: E402
-from parcelwise.plans.partition import _span_filter  # noqa: E402
+from parcelwise.plans.targets import span_filter  # noqa: E402
 from parcelwise.session import build_session  # noqa: E402
 from parcelwise.sources.control import read_spec  # noqa: E402
 
@@ -54,7 +54,7 @@ def main():
          uncovered_rows(li, "l_shipdate", ranges, "lineitem").select("l_orderkey")),
         ("W14 refresh input: first and last quarter selected -> OR of two intervals pushed, "
          "tagging join, rebalance",
-         assign_by_ranges(_span_filter(li, "l_shipdate", picked), "l_shipdate",
+         assign_by_ranges(span_filter(li, "l_shipdate", picked), "l_shipdate",
                           [tuple(r) for r in picked], keep_unmatched=False).hint("rebalance", "partition_name")),
     ]
     out = ["# Physical plans (generated by tools/plans.py at sf0.01, AQE on)", "",
