@@ -12,7 +12,6 @@ does not follow the data.  Prediction is one narrow pass over whole texts.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +29,6 @@ HASHES = 3
 UNKNOWN = "und"
 _LETTERS = byte_table(bytes(b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 122)))
 _ASCII = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -48,23 +46,29 @@ class LanguageFilter:
 
     def look_up(self, grams: np.ndarray) -> np.ndarray:
         """Language bits of each n-gram hash: one row of words per n-gram."""
-        mask = np.uint64(len(self.slots) - 1)
-        out = self.slots[(grams & mask).astype(np.int64)]
-        for i in range(1, HASHES):
-            out = out & self.slots[((grams >> np.uint64(21 * i)) & mask).astype(np.int64)]
+        first, *more = _places(grams, len(self.slots))
+        out = self.slots[first]
+        for at in more:
+            out = out & self.slots[at]
         return out
 
 
+def _places(grams: np.ndarray, slots: int):
+    """The slots of each n-gram: one per hash, for a filter of any (power of two) size."""
+    mask, step = np.uint64(slots - 1), (grams >> np.uint64(32)) | np.uint64(1)
+    for i in range(HASHES):
+        yield ((grams + np.uint64(i) * step) & mask).astype(np.int64)
+
+
 def make_filter(grams: list[tuple[int, int]], languages: list[str], prior: int) -> LanguageFilter:
-    """Filter of (language number, n-gram hash) pairs, with about ten slots a pair (at least 2**12, at most 2**21)."""
-    bits = min(21, max(12, int(np.ceil(np.log2(10 * len(grams) + 1)))))
+    """Filter of (language number, n-gram hash) pairs, with ten slots a pair or more (at least 2**12)."""
+    bits = max(12, int(np.ceil(np.log2(10 * len(grams) + 1))))
     slots = np.zeros((1 << bits, -(-max(1, len(languages)) // 64)), np.uint64)
-    mask = np.uint64((1 << bits) - 1)
-    for number in range(len(languages)):
-        own = np.array([g for n, g in grams if n == number], np.int64).view(np.uint64)
-        for i in range(HASHES):
-            at = ((own >> np.uint64(21 * i)) & mask).astype(np.int64)
-            slots[at, number // 64] |= np.uint64(1 << (number % 64))
+    pairs = np.array(grams, np.int64).reshape(-1, 2)
+    numbers, hashes = pairs[:, 0], np.ascontiguousarray(pairs[:, 1]).view(np.uint64)
+    bit = np.left_shift(np.uint64(1), (numbers % 64).astype(np.uint64))
+    for at in _places(hashes, len(slots)):
+        np.bitwise_or.at(slots, (at, numbers // 64), bit)
     return LanguageFilter(slots, languages, prior)
 
 
@@ -95,7 +99,10 @@ def _counted(numbers: dict):
 
 
 def learn(labelled: DataFrame, sample: int = SAMPLE, least_share: float = LEAST_SHARE) -> LanguageFilter:
-    """Filter learned from (doc_id, text, lang); rows with a null text or lang are left out."""
+    """Filter learned from (doc_id, text, lang); rows with a null id, text or lang are left out, repeated rows count each time.
+
+    An empty table gives a filter that predicts ``und``.  Other columns, whatever their names, are not read.
+    """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", F.col("lang").cast("string"))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
@@ -134,7 +141,7 @@ def _predict(sent, keep: list[str]):
                 plain = np.diff(np.concatenate([[0], np.cumsum(_ASCII[data])])[offsets]) > 0
                 names, scores = [], []
                 for r in range(hi - lo):
-                    lettered = plain[r] or (texts[r].is_valid and _LETTER.search(texts[r].as_py().decode("utf-8", "replace")))
+                    lettered = plain[r] or (texts[r].is_valid and any(map(str.isalpha, texts[r].as_py().decode("utf-8", "replace"))))
                     if not lettered or not model.languages:
                         names.append(UNKNOWN)
                         scores.append(0.0)
@@ -150,8 +157,9 @@ def _predict(sent, keep: list[str]):
 def identify(docs: DataFrame, model: LanguageFilter, keep: Column | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held (``keep`` or null), lang_pred, score in 0 to 1.
 
-    ``und`` with score 0 for a null text or one without a letter, or if nothing was learned.  A lettered text without any known
-    n-gram gets the most frequent language with score 0.  Only the text is an input.
+    ``und`` with score 0 for a null text or one without a letter (Unicode's categories L; digits, fractions and numerals are none), or if nothing was learned.  A lettered text without any known
+    n-gram gets the most frequent language with score 0.  Only the text is an input.  Repeated rows and null ids are predicted like any
+    other, an empty table gives no rows, and other columns are not read.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if keep is None else keep).alias("held"),
                       F.col("text").cast("binary").alias("text"))

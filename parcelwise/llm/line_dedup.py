@@ -172,7 +172,8 @@ def _row(values) -> pa.RecordBatch:
 class LineIndex:
     """Reference counts and filters of the lines of a set of documents, one row per shard.
 
-    ``insert`` and ``delete`` return a new index and leave the old one as it is.  A document's null text has one
+    ``insert`` and ``delete`` return a new index and leave the old one as it is.  Every row is a document of its own: repeated
+    rows and rows of one id each count.  A document's null text has one
     empty line, and empty keys are never counted.
     """
 

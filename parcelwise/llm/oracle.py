@@ -67,13 +67,13 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 LINE_DEDUP = f"""
-WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
-l AS (SELECT doc_id, i, x[i] AS line, translate(trim(x[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-             '{_UPPER}', '{_LOWER}') AS key FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM s)),
-c AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+WITH s AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+l AS (SELECT row, doc_id, i, x[i] AS line, translate(trim(x[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             '{_UPPER}', '{_LOWER}') AS key FROM (SELECT row, doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM s)),
+c AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256
-FROM l LEFT JOIN c ON c.key = l.key GROUP BY doc_id
+FROM l LEFT JOIN c ON c.key = l.key GROUP BY row, doc_id
 """
 
 _TERMS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"

@@ -114,7 +114,7 @@ def minimax_cuts(groups: DataFrame, shards: int = SHARDS) -> tuple[int, list[int
         kept = [row for i, row in enumerate(sorted(rows, key=lambda x: x[1])) if i not in set(open_.tolist())]
         for bits in sorted(set(r.bits[open_].tolist())):
             names = [int(k) >> (64 - bits) for k in r.low[open_][r.bits[open_] == bits]]
-            kept += _summed(groups.where(F.shiftright("key", 64 - bits).isin(names)), min(bits + MORE_BITS, 63))
+            kept += _summed(groups.where(F.shiftright("key", 64 - bits).isin(names)), min(bits + MORE_BITS, 64))
         rows = kept
     return most, _even_cuts(r, most, shards)
 

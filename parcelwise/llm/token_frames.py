@@ -13,6 +13,7 @@ fresh names and only those in the manifest count, so lost or repeated tasks leav
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import sys
@@ -197,12 +198,31 @@ def _writer(folder: str, spec, end_id: int, by_word: bool):
     return run
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2, by_word: bool = True) -> list[dict]:
+#: fixed value: the split of words that ``WordEncoder`` follows, as tokenizer files state it
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def word_table_is_exact(spec: str) -> bool:
+    """Whether a tokenizer file is of the kind for which words may be encoded apart and kept: it lower-cases, takes white space for
+    one space, drops it, and splits words from punctuation as ``WordEncoder`` does.  Any other file is encoded by whole texts.
+    """
+    found = json.loads(spec)
+    normalizer, splitter, model = found.get("normalizer") or {}, found.get("pre_tokenizer") or {}, found.get("model") or {}
+    steps = [n.get("type") for n in normalizer.get("normalizers", [])]
+    splits = splitter.get("pretokenizers", [])
+    return (model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and steps == ["NFC", "Replace", "Lowercase"]
+            and normalizer["normalizers"][1].get("pattern") == {"Regex": r"\s+"} and [p.get("type") for p in splits] == ["Split", "ByteLevel"]
+            and splits[0].get("pattern") == {"Regex": SPLIT} and splits[0].get("behavior") == "Removed" and splits[0].get("invert") is True
+            and splits[1].get("add_prefix_space") is False and splits[1].get("use_regex") is False and not found.get("post_processor"))
+
+
+def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2, by_word: bool | None = None) -> list[dict]:
     """Encode ``docs`` (doc_id, text) with the tokenizer file and write them in ascending doc_id order.
 
     Returns the manifest: path, documents, tokens and start (ids in earlier files) per file, in order.
-    Null text is empty; every document ends with ``end_id``; null ids come first; rows with equal ids stand in the order of
-    their texts.  Other columns are ignored; no rows give no files.
+    Null text is empty; every document ends with ``end_id``; null ids come first; rows with equal ids stand in an order
+    that depends on their texts, and lie in several files where they are many.  ``by_word`` encodes words apart and keeps them; by
+    default only for tokenizers whose file allows it (``word_table_is_exact``).  Other columns are ignored; no rows give no files.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
@@ -210,9 +230,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         folder = f"file://{folder}"
     folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
     with open(tokenizer, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())
+        text = f.read()
+    by_word = word_table_is_exact(text) if by_word is None else by_word
+    spec = spark.sparkContext.broadcast(text)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")) \
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+        .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     rows = sorted(ordered.mapInArrow(_writer(folder, spec, end_id, by_word), MANIFEST).collect(), key=lambda r: r.part)
     manifest, start = [], 0
     for r in rows:

@@ -119,15 +119,16 @@ def _collected(texts: DataFrame, run) -> list:
 
 
 def _sampled(rows: DataFrame, most: int) -> DataFrame:
-    """About ``most`` rows, chosen by a hash of the id."""
+    """About ``most`` distinct rows, chosen by a hash of the whole row: many rows of one id are sampled like others, equal rows once."""
     share = min(1.0, most / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
+    return rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)) < F.lit(share * (1 << 20))).distinct()
 
 
 def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> ToxicModel:
     """Model from ``documents`` (doc_id, text) and ``labels`` (doc_id, toxic); pass only rows that may be learned from.
 
-    Rows with a null id or text are left out; an id labelled more than once is toxic if any of its labels is.  Without a toxic
+    At most about ``positives`` and ``unlabelled`` distinct rows (doc_id, text) are learned from, whatever ids they have; repeated
+    rows count once.  Rows with a null id or text are left out; an id labelled more than once is toxic if any of its labels is.  Without a toxic
     example, or a feature that toxic texts have more of, every text scores 0.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -136,8 +137,9 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float | None = None, pos
         prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("text"))
     toxic = _sampled(known.where("toxic"), positives).select("doc_id")
-    # ids of a sample of bounded size: the texts are not shuffled for them
-    toxic_texts, other_texts = texts.join(F.broadcast(toxic), "doc_id", "left_semi"), _sampled(texts, unlabelled)
+    # ids of a sample of bounded size: the texts are not shuffled for them; an id may have many texts, so they are sampled again
+    toxic_texts = _sampled(materialize(texts.join(F.broadcast(toxic), "doc_id", "left_semi").distinct(), "toxic-texts"), positives)
+    toxic_texts, other_texts = materialize(toxic_texts, "toxic-sample"), materialize(_sampled(texts, unlabelled), "other-sample")
     (p, n_toxic), (u, n_other) = _summed(toxic_texts, "toxic-features"), _summed(other_texts, "other-features")
     if not n_toxic or not n_other or prior <= 0:
         return NOTHING_TOXIC
