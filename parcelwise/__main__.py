@@ -8,11 +8,12 @@
         --as-of 2001-08-01
 
 Each ``--table NAME=SOURCE,TARGET`` binds a table to its source (Parquet)
-and its partitioned target folder; the date column comes from the spec, else from what was recorded when the
+and its partitioned target: a folder, or ``catalog:NAME`` for a table of the session catalog; the date column comes from the spec, else from what was recorded when the
 partitions were created.
 Parameters mirror the original entry points: ``--partitions-config``,
 ``--tables-to-refresh``, ``--partitions-to-refresh``, ``--commit-mode``,
-``--max-parallelism``, ``--no-partition`` / ``--no-refresh``; ``--edges`` and ``--direction`` add related
+``--max-parallelism``, ``--no-partition`` / ``--no-refresh``; both JSON parameters may name a .json file.  ``--vacuum-hours`` removes
+what no kept version of a folder names and was written longer ago.  ``--edges`` and ``--direction`` add related
 tables to the scope.  ``--as-of``
 defaults to today's date (the only place the clock is read).
 """
@@ -27,6 +28,7 @@ import sys
 from .plans.orchestrate import run
 from .plans.partition import TableBinding
 from .sources.control import read_spec
+from .sources.storage import vacuum
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -43,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--direction", default="both", choices=["both", "out"])
     p.add_argument("--no-partition", action="store_true")
     p.add_argument("--no-refresh", action="store_true")
+    p.add_argument("--vacuum-hours", type=float, default=None, help="afterwards remove replaced rows older than this")
     p.add_argument("--mode", default="documented", choices=["documented", "selected_only"])
     return p
 
@@ -66,7 +69,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         source, _, target = paths.partition(",")
         if not (name and source and target):
             raise SystemExit(f"--table expects NAME=SOURCE,TARGET, got {item!r}")
-        bindings[name] = TableBinding(spark.read.parquet(source), target, spec_dates.get(name))
+        place = {"catalog_table": target[8:]} if target.startswith("catalog:") else {"root": target}
+        bindings[name] = TableBinding(spark.read.parquet(source), date_col=spec_dates.get(name), **place)
     edges = [tuple(x.strip().split(":")) for x in args.edges.split(",") if x.strip()]
     if any(len(e) != 2 or not all(e) for e in edges):
         raise SystemExit(f"--edges expects SRC:DST pairs, got {args.edges!r}")
@@ -80,6 +84,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if report is not None:
         for row in report.collect():
             print(json.dumps(row.asDict(), default=str))
+    if args.vacuum_hours is not None:
+        for binding in bindings.values():
+            if binding.root is not None:
+                vacuum(spark, binding.root, older_than=dt.timedelta(hours=args.vacuum_hours))
     return 0
 
 

@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions.periods import as_date, day_of
 from .operators.assign import (
@@ -51,7 +52,7 @@ from .plans.targets import FolderTarget
 from .plans.refresh import refresh
 from .session import drop_folder, local_frame, scratch_path
 from .sources.catalog import catalog_partitions, create_table
-from .sources.control import columns_catalog, read_spec, table_list
+from .sources.control import SPEC_SCHEMA, columns_catalog, read_spec, table_list
 from .sources.storage import read_manifest, read_table
 
 FIRST_DATE = "19950215"
@@ -103,25 +104,23 @@ def _extent_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(_spec_row(_t(spark, sf_dir, "events"), "events", "ts", "YEAR")))
 
 
-def _refresh_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _extents(spark, sf_dir) -> dict[str, tuple]:
+    """First and last day of orders, lineitem and events, by one job; nulls for an empty table."""
+    parts = [_t(spark, sf_dir, name).agg(F.lit(name).alias("table"), F.to_date(F.min(col)).alias("first"), F.to_date(F.max(col)).alias("last"))
+             for name, col in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))]
+    return {r.table: (r.first, r.last) for r in parts[0].unionByName(parts[1]).unionByName(parts[2]).collect()}
+
+
+def _refresh_spec(spark: SparkSession, sf_dir: str, extents: dict | None = None) -> DataFrame:
     """Refresh windows: last 4 quarters of orders up to its latest day; lineitem
     by year from FIRST_DATE up to TODAY (= its latest day); last 2 months of events."""
-    o, li, ev = (_t(spark, sf_dir, n) for n in ("orders", "lineitem", "events"))
-    orders = o.agg(F.lit("orders").alias("table"), F.lit(FIRST_DATE).alias("first_date"),
-                   F.lit("o_orderdate").alias("partition_by"), F.lit("QUARTER").alias("interval"),
-                   F.date_format(F.max("o_orderdate"), "yyyyMMdd").alias("refresh_from"),
-                   F.lit("4").alias("number_of_intervals"),
-                   F.to_date(F.max("o_orderdate")).alias("as_of"))
-    lineitem = li.agg(F.lit("lineitem").alias("table"), F.lit(FIRST_DATE).alias("first_date"),
-                      F.lit("l_shipdate").alias("partition_by"), F.lit("YEAR").alias("interval"),
-                      F.lit("TODAY").alias("refresh_from"), F.lit("*").alias("number_of_intervals"),
-                      F.to_date(F.max("l_shipdate")).alias("as_of"))
-    events = ev.agg(F.lit("events").alias("table"), F.date_format(F.min("ts"), "yyyyMMdd").alias("first_date"),
-                    F.lit("ts").alias("partition_by"), F.lit("MONTH").alias("interval"),
-                    F.date_format(F.max("ts"), "yyyyMMdd").alias("refresh_from"),
-                    F.lit("2").alias("number_of_intervals"),
-                    F.to_date(F.max("ts")).alias("as_of"))
-    return orders.unionByName(lineitem).unionByName(events)
+    extents = extents or _extents(spark, sf_dir)
+    text = lambda d: f"{d:%Y%m%d}" if d else None
+    (first_event, last_event), last_order, last_line = extents["events"], extents["orders"][1], extents["lineitem"][1]
+    rows = [("orders", FIRST_DATE, "o_orderdate", "QUARTER", text(last_order), "4", last_order),
+            ("lineitem", FIRST_DATE, "l_shipdate", "YEAR", "TODAY", "*", last_line),
+            ("events", text(first_event), "ts", "MONTH", text(last_event), "2", last_event)]
+    return local_frame(spark, rows, T.StructType([*SPEC_SCHEMA.fields, T.StructField("as_of", T.DateType())]))
 
 
 def _extent(df: DataFrame, col: str) -> tuple[dt.date, dt.date]:
@@ -130,10 +129,10 @@ def _extent(df: DataFrame, col: str) -> tuple[dt.date, dt.date]:
     return (row[0], row[1]) if row[0] else (dt.date(1900, 2, 1), dt.date(1900, 1, 1))
 
 
-def _whole_profile(spark, sf_dir, table, col, interval):
+def _whole_profile(spark, sf_dir, table, col, interval, extent: tuple | None = None):
     """Profile of all of a table's rows by calendar period."""
     df = _t(spark, sf_dir, table)
-    return calendar_profile(df, table, col, interval, *_extent(df, col))
+    return calendar_profile(df, table, col, interval, *(extent if extent and extent[0] else _extent(df, col)))
 
 
 def _kept(spark, root, df: DataFrame) -> DataFrame:
@@ -256,12 +255,12 @@ def q_related_closure(spark, sf_dir):
     return related_closure(_row_edges(spark, sf_dir), seeds)
 
 
-def _catalog_partitions(spark, sf_dir):
+def _catalog_partitions(spark, sf_dir, extents):
     """Partition catalog derived from the data: quarters of orders, years of
     lineitem, months of events, and the catch-all partition of the others."""
-    orders = _whole_profile(spark, sf_dir, "orders", "o_orderdate", "QUARTER")
-    lineitem = _whole_profile(spark, sf_dir, "lineitem", "l_shipdate", "YEAR")
-    events = _whole_profile(spark, sf_dir, "events", "ts", "MONTH")
+    orders = _whole_profile(spark, sf_dir, "orders", "o_orderdate", "QUARTER", extents["orders"])
+    lineitem = _whole_profile(spark, sf_dir, "lineitem", "l_shipdate", "YEAR", extents["lineitem"])
+    events = _whole_profile(spark, sf_dir, "events", "ts", "MONTH", extents["events"])
     parts = [p.select("table_name", "partition_name") for p in (orders, lineitem, events)]
     for name in ("region", "nation", "customer", "supplier", "part"):
         # One catch-all partition per non-empty table.
@@ -277,9 +276,10 @@ def _catalog_partitions(spark, sf_dir):
 def _refresh_set(spark, sf_dir, mode, tables=("orders", "events")):
     available = spark.createDataFrame([(t,) for t in CATALOG_TABLES], "table_name string")
     scope = refresh_scope(table_list(spark, "orders"), available, TABLE_EDGES)
-    selection = selection_list(refresh_ranges(_refresh_spec(spark, sf_dir))
+    extents = _extents(spark, sf_dir)
+    selection = selection_list(refresh_ranges(_refresh_spec(spark, sf_dir, extents))
                                .where(F.col("table_name").isin(*tables)))
-    return resolve_refresh_set(scope, _catalog_partitions(spark, sf_dir), selection, mode)
+    return resolve_refresh_set(scope, _catalog_partitions(spark, sf_dir, extents), selection, mode)
 
 
 def q_refresh_set_all_unavailable(spark, sf_dir):

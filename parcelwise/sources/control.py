@@ -107,10 +107,23 @@ def read_spec(spark: SparkSession, spec) -> DataFrame:
     return local_frame(spark, [tuple(_text(r.get(k)) for k in SPEC_SCHEMA.names) for r in rows], SPEC_SCHEMA)
 
 
+def _file_records(spark: SparkSession, path: str, what: str) -> list:
+    """Records of a small JSON file: one JSON text, or a record per line."""
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    lines = [x for x in text.splitlines() if x.strip()]
+    try:
+        found = json.loads(text) if text.lstrip().startswith("[") else [json.loads(x) for x in lines]
+    except ValueError as exc:
+        raise ValueError(f"{what}: {path} is not valid JSON: {exc}") from exc
+    if not found:
+        raise ValueError(f"{what}: {path} holds no record")
+    return found
+
+
 def read_selection(spark: SparkSession, selection) -> DataFrame | None:
-    """Selection frame ``(table, selected_partitions)``; None when blank.
+    """Selection frame ``(table, selected_partitions)`` from JSON text, records, a path to a JSON file or a frame; None when blank.
 
-    ``selected_partitions`` may be CSV text or a JSON array of names; both
+    A file holds one JSON text (an array of records) or a record per line.  ``selected_partitions`` may be CSV text or a JSON array of names; both
     come back as text and :func:`explode_selection` handles either.  A selection that is
     given but is no JSON, misses a field or names no partition raises ``ValueError``.
     """
@@ -118,6 +131,8 @@ def read_selection(spark: SparkSession, selection) -> DataFrame | None:
         return selection
     if _is_blank(selection):
         return None
+    if isinstance(selection, str) and "\n" not in selection.strip() and selection.strip().endswith(".json"):
+        selection = _file_records(spark, selection.strip(), "partitions to refresh")
     rows = []
     for r in _records(selection, SELECTION_REQUIRED, "partitions to refresh"):
         names = r["selected_partitions"]

@@ -269,3 +269,22 @@ def test_a_round_shuffles_only_its_frontier(spark):
     assert plan.count("Exchange") == 1 and plan.count("LeftAnti") == 3  # the frontier's own
     assert [r.table_name for r in new.collect()] == ["new"]
     assert [layer.count() for layer in reached.layers] == [15, 10, 10]
+
+
+def test_selection_from_a_file(spark, tmp_path):
+    """A JSON array or a record per line; a file that is no JSON or holds nothing fails."""
+    import json
+
+    from parcelwise.sources.control import read_selection
+
+    records = [{"table": "orders", "selected_partitions": ["a", "b"]}, {"table": "events", "selected_partitions": "c"}]
+    want = [("orders", "a,b"), ("events", "c")]
+    for name, text in (("array", json.dumps(records, indent=1)), ("lines", "\n".join(map(json.dumps, records)))):
+        path = tmp_path / f"{name}.json"
+        path.write_text(text)
+        assert [tuple(r) for r in read_selection(spark, str(path)).collect()] == want
+    for name, text in (("broken", '[{"table": "orders"'), ("empty", ""), ("none", "[]"), ("other", '[{"tabel": "orders"}]')):
+        path = tmp_path / f"{name}.json"
+        path.write_text(text)
+        with pytest.raises(ValueError):
+            read_selection(spark, str(path))

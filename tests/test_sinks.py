@@ -398,3 +398,29 @@ def test_manifest_is_one_file_whatever_the_number_of_partitions(spark):
     assert read_manifest(spark, root).count() == 37
     versions = sorted(os.listdir(os.path.join(local_path(root), "_ranges")))
     assert versions == [f"v{i:012d}.json" for i in range(3)]
+
+
+def test_command_line_on_a_catalog_table_with_a_selection_file(spark, sf_small, tmp_path, capsys):
+    import json as _json
+
+    from parcelwise.__main__ import main
+    from parcelwise.sources.catalog import create_table, partition_names
+
+    orders = _orders(spark, sf_small)
+    create_table(spark, "t_cli_orders", orders, scratch_path(spark, "t-cli-catalog"))
+    try:
+        selection = tmp_path / "selection.json"
+        selection.write_text(_json.dumps(_selection(["orders_19990101_19991231"])))
+        assert main(["--table", f"orders={sf_small}/orders.parquet,catalog:t_cli_orders", "--partitions-config", _json.dumps(SPEC),
+                     "--as-of", "2001-08-01", "--partitions-to-refresh", str(selection)], spark=spark) == 0
+        out = [_json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+        assert [(x["partition_name"], x["status"]) for x in out] == [("orders_19990101_19991231", "Completed")]
+        assert len(partition_names(spark, "t_cli_orders")) == 7
+    finally:
+        spark.sql("DROP TABLE t_cli_orders")
+    root = scratch_path(spark, "t-cli-vacuum")
+    for _ in range(3):
+        assert main(["--table", f"orders={sf_small}/orders.parquet,{root}", "--partitions-config", _json.dumps([dict(SPEC[0], refresh_from="TODAY", number_of_intervals="*")]),
+                     "--as-of", "2001-08-01", "--vacuum-hours", "0"], spark=spark) == 0
+    assert len(os.listdir(os.path.join(local_path(root), "_data"))) == 2  # the newest two versions' writes
+    assert _profile(spark, root) == _expected(orders)
