@@ -7,8 +7,9 @@ Documents stand in order of size class, salt, size and id, so each stretch of th
 line holds documents of near the same size and a source's taken words come close to its target.
 
 Scale: the prefix sum is made in two levels.  A source is cut into blocks (size class and a
-salt whose range grows with the rows of that class), rows are numbered inside their block, and only
-the per-block counts are summed per source.  No task holds a whole source.
+salt of id and text whose range grows with the rows of that class), rows are numbered inside their block, and only
+the per-block counts are summed per source.  Equal rows that are more than a block have blocks of their own: they stand together, so
+which of them takes which place makes no difference.  No task holds a whole source, id or text.
 """
 
 from __future__ import annotations
@@ -75,28 +76,32 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
     copies is 0, 1, ... (at most ``most``, rounded up).  A null text has size 0; null is a source of its
     own; a source without words gets no copies.  Repeated rows are documents of their own (equal rows may
-    swap their copies).  Null ids stand together.  Other columns are ignored; no rows give no rows.
+    swap their copies), and rows with a null or the same id are told apart by their texts.  Other columns are ignored; no rows give no rows.
     """
+    salt = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
     sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string")
                                     .alias("source"), word_count(F.col("text")).alias("size"),
-                                    *(key or text_key(docs))), "sizes")
+                                    F.conv(F.substring(salt, 1, 8), 16, 10).cast("long").alias("salt"),
+                                    F.monotonically_increasing_id().alias("tie"), *(key or text_key(docs))), "sizes")
+    hot = materialize(sized.groupBy(F.col("source").alias("h_source"), F.col("k1").alias("h1"), F.col("k2").alias("h2"))
+                      .agg(F.count("*").alias("h_rows")).where(F.col("h_rows") > BLOCK_ROWS), "hot")
     # integer size class: doublings from the bit length, each cut in equal parts
     bin_ = F.expr(f"if(size = 0, -1L, (length(bin(size)) - 1) * {_BINS}L + (size - shiftleft(1L, length(bin(size)) - 1))"
                   f" * {_BINS}L div shiftleft(1L, length(bin(size)) - 1))")
     binned = sized.withColumn("bin", bin_)
     counts = binned.groupBy(F.col("source").alias("of"), F.col("bin").alias("class")).agg(F.count("*").alias("rows"))
-    salt = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
     placed = binned.join(counts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bin") == F.col("class"))) \
-        .withColumn("salt", F.pmod(salt, F.ceil(F.col("rows") / BLOCK_ROWS))).drop("of", "class", "rows")
-    blocks = materialize(placed.groupBy("source", "bin", "salt").agg(F.count("*").alias("m"),
-                                                                     F.sum("size").alias("words")), "blocks")
-    along = Window.partitionBy("source").orderBy("bin", "salt").rowsBetween(Window.unboundedPreceding, -1)
+        .withColumn("salt", F.pmod("salt", F.ceil(F.col("rows") / BLOCK_ROWS))).drop("of", "class", "rows")
+    placed = placed.join(hot, F.col("source").eqNullSafe(F.col("h_source")) & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")), "left") \
+        .withColumn("part", F.pmod(F.xxhash64("tie"), F.ceil(F.col("h_rows") / BLOCK_ROWS))).drop("h_source", "h_rows", "tie")
+    keys = ["source", "bin", "salt", "h1", "h2", "part"]
+    blocks = materialize(placed.groupBy(*keys).agg(F.count("*").alias("m"), F.sum("size").alias("words")), "blocks")
+    along = Window.partitionBy("source").orderBy(*keys[1:]).rowsBetween(Window.unboundedPreceding, -1)
     targets = source_targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     starts = (blocks.withColumn("before", F.coalesce(F.sum("m").over(along), F.lit(0)))
               .join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "m", "words"))
-    inside = Window.partitionBy("source", "bin", "salt").orderBy("size", "doc_id", "k2")
+    inside = Window.partitionBy(*keys).orderBy("size", "doc_id", "k2")
     numbered = placed.withColumn("i", F.row_number().over(inside))
-    keys = ["source", "bin", "salt"]
     starts = starts.select(*[F.col(c).alias(f"b_{c}") for c in keys], "before", "source_size", "target")
     joined = numbered.join(starts, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in keys])
     # rate in units of 2^-20; products stay exact in decimals

@@ -22,7 +22,7 @@ FROM documents d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_i
 """
 
 MIX = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 z AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 k AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight,
              row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM z),
@@ -36,7 +36,7 @@ t AS (SELECT source, source_size, CASE WHEN place < from_ THEN 2.0::DOUBLE * sou
                                   ELSE f.left_ * weight / f.open_ END AS target FROM l, f),
 p AS (SELECT d.*, CASE WHEN size = 0 THEN -1 ELSE (length(bin(size)) - 1) * 4
                     + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * 4) // (1::BIGINT << (length(bin(size)) - 1)::INT) END AS bin_ FROM d),
-q AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+q AS (SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT
                % ((count(*) OVER (PARTITION BY source, bin_) + 999) // 1000) AS salt FROM p),
 i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bin_, salt, size, doc_id) AS place,
              floor(('0x' || substr(md5('17:' || coalesce('s' || source, 'null')), 1, 8))::BIGINT::DOUBLE

@@ -127,3 +127,35 @@ def test_repeated_rows_are_documents_of_their_own(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = Counter((r.doc_id, r.n_dropped, bytes(r.kept)) for r in drop_common_lines(frame, LineIndex.build(frame)).collect())
     assert got == Counter({(1, 2, b""): 12, (2, 1, b"more"): 1, (None, 1, b""): 1})
+
+
+@pytest.mark.parametrize("texts", ["equal", "different"])
+def test_a_hot_id_is_no_block_of_the_mix(spark, texts):
+    """A third of all rows under a null id, with one text or with many: no block is large, and the mix meets its targets."""
+    from parcelwise.llm import mixing
+
+    blocks = []
+    own = mixing.materialize
+
+    def seen(df, label):
+        out = own(df, label)
+        if label == "blocks":
+            blocks.append(out.agg(F.max("m")).first()[0])
+        return out
+    text = F.lit("one same text") if texts == "equal" else F.concat(F.lit("words of "), F.col("id").cast("string"))
+    hot = spark.range(9000).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text"), F.lit("a").alias("source"))
+    rest = spark.range(18000).select("id", F.concat(F.lit("other words "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"))
+    docs = hot.unionByName(rest.withColumnRenamed("id", "doc_id"))
+    mixing.materialize = seen
+    try:
+        one = mixing.mix(docs)
+        rows = one.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.sum(F.col("copies") * F.col("size")).alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most")).collect()
+        again = mixing.mix(docs.repartition(7))
+    finally:
+        mixing.materialize = own
+    assert max(blocks) <= 1600
+    for r in rows:
+        assert abs(r.taken - r.target) <= 10 and r.most <= 2
+    assert sum(r.n for r in rows) == 27000
+    count = lambda f: Counter(map(tuple, f.groupBy("doc_id", "k2", "copies").count().collect()))
+    assert count(one) == count(again)
