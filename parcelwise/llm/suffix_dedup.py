@@ -8,7 +8,7 @@ Which text meets in a shard: the anchor of a window is the smallest hash of its
 Equal windows have equal anchors, so only runs of windows whose anchor occurs at least twice can be repeated,
 and all equal windows go to the shard of their anchor.  The exact decision is made by the shard's suffix arrays.
 
-Scale: anchors (one in about 80 bytes) are counted in shards, per batch first, so a passage of a third of all
+Scale: anchors (one in about 80 bytes) are counted in shards of a bounded amount of text, per batch first, so a passage of a third of all
 documents costs one entry per batch; marking spreads hot anchors over salts.  Equal pieces of text are one piece with a
 count, so copies are sorted once.  An anchor with ``HOT`` or more different surroundings (the edge of a passage that
 very many texts share) has its windows counted one by one, by the anchor and both ends of the window: those that occur once go,
@@ -36,6 +36,8 @@ LENGTH, GRAM = 200, 40
 BLOCK = 1 << 18
 SALTS = 8
 CHUNK = 1 << 15
+RUN = 4096
+SHARD_BYTES = 80 << 20   # text whose anchors, about a million, are one shard
 HOT, MANY = 1000, 250
 WINDOWS_PER_SHARD = 2_000_000
 PIECE_ROWS = 2000
@@ -70,17 +72,28 @@ def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(text, start in the text, number of windows, anchor hash) of maximal runs of windows with one anchor."""
+    """(text, start in the text, number of windows, anchor hash, whether the anchor stands in several places) of runs of windows.
+
+    A run is windows in a row with one anchor hash, at most ``RUN``.  Periodic text has the same anchor all along, so its
+    runs are few however long it is; such a run can repeat itself.
+    """
     at, h = _anchors(data, length)
+    key = h[at]
     ends = np.repeat(offsets[1:], np.diff(offsets))[:len(at)]
     valid = np.arange(len(at)) + length <= ends
     new = np.ones(len(at), bool)
     if len(at):
-        new[1:] = (at[1:] != at[:-1]) | ~valid[:-1]
+        new[1:] = (key[1:] != key[:-1]) | ~valid[:-1]
     first = np.flatnonzero(valid & new)
     last = np.flatnonzero(valid & np.concatenate([new[1:] | ~valid[1:], [True]])) if len(at) else first
+    several = at[first] != at[last]
+    parts = -(-(last - first + 1) // RUN)
+    if len(parts) and parts.max() > 1:
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        first, last, several = np.repeat(first, parts) + nth * RUN, np.repeat(last, parts), np.repeat(several, parts)
+        last = np.minimum(last, first + RUN - 1)
     text = np.searchsorted(offsets, first, "right") - 1
-    return text, first - offsets[text], last - first + 1, h[at[first]] if len(at) else h
+    return text, first - offsets[text], last - first + 1, key[first], several
 
 
 def _by_shard(df: DataFrame, keys: list[str], then: list[str]) -> DataFrame:
@@ -113,17 +126,17 @@ def _count(shards: int, length: int):
         for batch in batches:
             found = []
             for _, _, data, offsets in text_chunks(batch.column("text"), CHUNK):
-                text, _, n, key = _runs(data, offsets, length)
+                text, _, n, key, several = _runs(data, offsets, length)
                 same = text[1:] == text[:-1]
                 before = np.concatenate([[0], np.where(same, key[:-1], 0)]).astype(np.uint64)[:len(key)]
                 after = np.concatenate([np.where(same, key[1:], 0), [0]]).astype(np.uint64)[:len(key)]
-                found.append((key, mix64(mix64(before) + mix64(~after) + n.astype(np.uint64))))
-            key, around = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.uint64),) * 2
+                found.append((key, mix64(mix64(before) + mix64(~after) + n.astype(np.uint64)), several))
+            key, around, several = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.uint64),) * 3
             order = np.lexsort((around, key))
-            key, around = key[order], around[order]
+            key, around, several = key[order], around[order], several[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (around[1:] != around[:-1])]) if len(key) else np.empty(0, bool)
-            occurs = np.diff(np.append(first, len(key)))
+            occurs = np.add.reduceat(1 + several.astype(np.int64), first) if len(first) else first
             kinds = np.add.reduceat(new, first) if len(first) else first
             names, parts = _parts(shards, key[first])
             yield pa.RecordBatch.from_arrays(
@@ -180,7 +193,7 @@ def _placed(shards: int, length: int):
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2"))
             rows = []
             for lo, _, data, offsets in text_chunks(batch.column("text"), CHUNK):
-                text, start, n, key = _runs(data, offsets, length)
+                text, start, n, key, _ = _runs(data, offsets, length)
                 rows.append((key, k1[lo + text], k2[lo + text], start, n))
             if rows:
                 key, *places = (np.concatenate(x) for x in zip(*rows, strict=True))
@@ -409,18 +422,13 @@ def _flagged(length: int):
     """Sorted stream of pieces by anchor: builds blocks and gives the repeated windows of each piece.
 
     Blocks are cut between anchors; an anchor that fills more than one block gets blocks of its own, merged with each other.
-    Such an anchor has fewer than ``HOT`` different pieces, so it fills a few blocks at most.  Windows of one piece stand at
-    different distances from its anchor and so never equal each other: an anchor with a single piece needs no suffix array,
-    its windows repeat if the piece does.
+    Such an anchor has fewer than ``HOT`` different pieces, so it fills a few blocks at most.
     """
     def run(batches):
         whole, held, own, size, last = [], 0, [], 0, None  # closed anchors of a block and their bytes; the current anchor's
-        alone = []  # single pieces that occur more than once
 
         def emit(blocks):
-            found = flag_blocks(blocks, length) if blocks else []
-            found += [(digest, np.array([0, len(piece)], "<i4").tobytes()) for _, digest, _, piece in alone]
-            alone.clear()
+            found = flag_blocks(blocks, length)
             return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()), pa.array([f for _, f in found], pa.binary())],
                                               ["digest", "spans"])
 
@@ -439,11 +447,6 @@ def _flagged(length: int):
                 if anchor == last and own[-1][1] == digest:
                     own[-1][2] += n
                     continue
-                if anchor != last and len(own) == 1:
-                    alone.extend(r for r in own if r[2] > 1)
-                    own, size = [], 0
-                    if len(alone) > 10_000:
-                        yield emit([])
                 if anchor != last and own:
                     if size > BLOCK:
                         yield emit(cut(own))
@@ -456,14 +459,11 @@ def _flagged(length: int):
                 own.append([anchor, digest, n, piece])
                 size += len(piece)
                 last = anchor
-        if len(own) == 1:
-            alone.extend(r for r in own if r[2] > 1)
-            own, size = [], 0
         if size > BLOCK:
             yield emit(cut(own))
             own = []
-        if whole or own or alone:
-            yield emit([whole + own] if whole or own else [])
+        if whole or own:
+            yield emit([whole + own])
     return run
 
 
@@ -525,9 +525,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shards: int | None = N
     Repeated rows repeat each other's text and so lose every window.  Other columns are ignored; no rows give no rows.
     """
     spark = docs.sparkSession
-    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
                       *text_key(docs))
+    if shards is None:
+        size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     counted = own.select("text").mapInArrow(_count(shards, length), "shard int, keys binary, counts binary, kinds binary, around binary")
     known = materialize(_by_shard(counted, ["shard"], []).mapInArrow(_twice(HOT), KNOWN), "anchors")
     lines = own.select("k1", "k2", "text").mapInArrow(_placed(shards, length), STREAM)
