@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialize, text_key
 
 THRESHOLD = 10
+SHARD_LINES = 500_000
 SALTS = 8
 SPACE = b" \t\n\x0b\x0c\r"
 INDEX = "shard int, digests binary, counts binary, filter binary"
@@ -182,12 +183,21 @@ class LineIndex:
 
     @classmethod
     def build(cls, docs: DataFrame, threshold: int = THRESHOLD, shards: int | None = None) -> LineIndex:
-        """``shards``: by default twice the session's shuffle partitions, which follow the data's size."""
-        shards = shards or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        """``shards``: by default one for ``SHARD_LINES`` lines, and at least twice the session's shuffle partitions."""
+        shards = shards or max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-_count_lines(docs) // SHARD_LINES))
         return cls(None, shards, threshold)._changed(docs, 1)
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        return self._changed(docs, 1)
+        """The index with ``docs`` too; its digests are dealt to more shards where they have outgrown theirs twice over."""
+        held = self.table.agg(F.sum(F.octet_length("digests"))).first()[0] or 0
+        shards = -(-(held // 16 + _count_lines(docs)) // SHARD_LINES)
+        return (self.resized(shards) if shards > 2 * self.shards else self)._changed(docs, 1)
+
+    def resized(self, shards: int) -> LineIndex:
+        """The same counts in another number of shards."""
+        dealt = self.table.mapInArrow(_dealt_again(shards), INDEX)
+        return LineIndex(materialize(_by_shard(dealt, ["shard"], []).mapInArrow(_fold(self.threshold), INDEX), "line-index"),
+                         shards, self.threshold)
 
     def delete(self, docs: DataFrame) -> LineIndex:
         return self._changed(docs, -1)
@@ -200,6 +210,25 @@ class LineIndex:
             _fold(self.threshold), INDEX), "line-index"), self.shards, self.threshold)
 
 
+def _count_lines(docs: DataFrame) -> int:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.agg(F.sum(F.octet_length(text) - F.octet_length(F.translate(text, "\n", "")) + 1)).first()[0] or 0
+
+
+def _dealt_again(shards: int):
+    """Index rows taken apart by their digests' new shards; filters are built anew."""
+    def run(batches):
+        for batch in batches:
+            for digests, counts in zip(batch.column("digests").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                digests, counts = np.frombuffer(digests, np.uint8).reshape(-1, 16), np.frombuffer(counts, "<i8")
+                shard = (digests[:, 8:12].copy().view("<u4")[:, 0] % np.uint32(shards)).astype(np.int32)
+                order = np.argsort(shard, kind="stable")
+                names, cuts = np.unique(shard[order], return_index=True)
+                for s, own in zip(names.tolist(), np.split(order, cuts[1:]), strict=True):
+                    yield _row((s, digests[own].tobytes(), counts[own].tobytes(), None))
+    return run
+
+
 def _by_shard(df: DataFrame, keys: list[str], then: list[str]) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(parts, *keys).sortWithinPartitions(*keys, *then)
