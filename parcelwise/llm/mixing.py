@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep_rows, materialize, text_key, whole_row_key
+from .common import EQUAL_ROWS, keep_rows, materialize, text_key, whole_row_key
 
 #: fixed values of the mix: weights by rank of the source, share of all sizes, most copies of a size
 WEIGHTS = (5, 2, 1)
@@ -118,5 +118,6 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 def take_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as it has copies, all columns as they are."""
     key = whole_row_key(docs)
-    copies = mix(docs, weights, share, most, seed, key).groupBy("k1", "k2").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    return keep_rows(docs, copies, "copies", key)
+    copies = materialize(mix(docs, weights, share, most, seed, key).groupBy("k1", "k2").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0"), "copies")
+    return keep_rows(docs, copies, "copies", key, copies.where(F.col("rows") > EQUAL_ROWS).select("k1", "k2", "rows"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, materialize, text_key, whole_row_key
+from .common import keep_rows, materialize, repeated_keys, text_key, whole_row_key
 from .components import connected_components
 from .words import SPACED, mix64, shingle_runs, text_chunks, words_of
 
@@ -168,7 +168,7 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> Data
     first = found.where("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("s")).select("s.k1", "s.k2", F.lit(1).alias("times"))
     alone = found.where("label IS NULL").select("k1", "k2", F.lit(None).cast("int").alias("times")).distinct()
-    return keep_rows(docs, first.unionByName(alone), "times", whole_row_key(docs))
+    return keep_rows(docs, first.unionByName(alone), "times", whole_row_key(docs), repeated_keys(found))
 
 
 def _open_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

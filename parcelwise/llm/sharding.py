@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_names, materialize, text_key
+from .common import EQUAL_ROWS, free_names, materialize, repeated_keys, split_repeats, text_key, whole_row_key
 
 SHARDS = 16
 FIRST_BITS, MORE_BITS = 14, 8
@@ -141,20 +141,29 @@ def _described(docs: DataFrame) -> dict:
     return {"key": F.xxhash64(text), "size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text)}
 
 
-def _numbered(rows: DataFrame, cuts: list[int], shards: int, count: int, key: str, ids: list[str], names: list[str]) -> DataFrame:
-    """``rows`` with their shard and slot, named as ``names`` says (shard, slot, and two names to work with)."""
-    shard, slot, block, before = names
+def _numbered(docs: DataFrame, own: list[Column], many: DataFrame, cuts: list[int], shards: int, count: int, key: str,
+              names: list[str]) -> DataFrame:
+    """``docs`` with their shard and slot, named as ``names`` says (shard, slot, and further names to work with).
+
+    ``own`` is the rows' key and ``many`` the keys that very many rows share: these lie in several blocks.
+    """
+    shard, slot, block, before, k1, k2, i, n = names
+    rows, hot = split_repeats(docs, own, many, [k1, k2, i, n])
+    rows = rows.withColumn(i, F.lit(0).cast("long"))
+    if hot is not None:
+        rows = rows.unionByName(hot.drop(n))
+    ids = [k1, k2, i]
     number = F.lit(0)
     for cut in cuts:
         number = number + (F.col(key) >= F.lit(cut)).cast("int")
     blocks = max(8, -(-count // (shards * BLOCK_ROWS)))
-    dealt = rows.withColumn(shard, number).withColumn(block, F.pmod(F.xxhash64(*ids), F.lit(blocks)))
+    dealt = rows.withColumn(shard, number).withColumn(block, F.pmod(F.xxhash64(k1, k2, F.expr(f"`{i}` div {EQUAL_ROWS}")), F.lit(blocks)))
     along = Window.partitionBy(shard).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     counts = materialize(dealt.groupBy(shard, block).agg(F.count("*").alias("m")), "blocks") \
         .withColumn(before, F.coalesce(F.sum("m").over(along), F.lit(0))).drop("m")
     inside = Window.partitionBy(shard, block).orderBy(*ids)
     return (dealt.withColumn(slot, F.row_number().over(inside)).join(counts, [shard, block])
-            .withColumn(slot, (F.col(before) + F.col(slot) - 1).cast("long")).drop(block, before))
+            .withColumn(slot, (F.col(before) + F.col(slot) - 1).cast("long")).drop(block, before, k1, k2, i))
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -167,7 +176,9 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(docs),
                                    *[c.alias(n) for n, c in _described(docs).items()]), "sized")
     _, cuts = minimax_cuts(rows.select("key", "size"), shards)
-    return _numbered(rows, cuts, shards, rows.count(), "key", ["k1", "k2"], ["shard", "slot", "block", "before"]).select(
+    own = [F.col("k1"), F.col("k2")]
+    return _numbered(rows, own, repeated_keys(rows), cuts, shards, rows.count(), "key",
+                     ["shard", "slot", "block", "before", "h1", "h2", "i", "rows"]).select(
         "k1", "k2", "doc_id", "key", "size", "text_crc32", "shard", "slot")
 
 
@@ -175,10 +186,10 @@ def place_in_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` with shard and slot (see ``shard``); columns of ``docs`` with these names are replaced."""
     docs = docs.drop("shard", "slot")
     described = _described(docs)
-    sized = materialize(docs.select(described["key"].alias("key"), described["size"].alias("size")), "sized")
-    _, cuts = minimax_cuts(sized, shards)
-    k1, k2, key, block, before = free_names(docs, "k1", "k2", "key", "block", "before")
-    own = text_key(docs)
-    rows = docs.withColumns({k1: own[0], k2: own[1], key: described["key"]})
-    return _numbered(rows, cuts, shards, sized.count(), key, [k1, k2], ["shard", "slot", block, before]).select(
+    own = whole_row_key(docs)
+    sized = materialize(docs.select(described["key"].alias("key"), described["size"].alias("size"), *own), "sized")
+    _, cuts = minimax_cuts(sized.select("key", "size"), shards)
+    names = free_names(docs, "key", "block", "before", "k1", "k2", "i", "rows")
+    rows = docs.withColumn(names[0], described["key"])
+    return _numbered(rows, own, repeated_keys(sized), cuts, shards, sized.count(), names[0], ["shard", "slot", *names[1:]]).select(
         *docs.columns, "shard", "slot")

@@ -1,4 +1,5 @@
 """Cases that used to end in an endless loop, a wrong answer or an unbounded group."""
+import hashlib
 import json
 from collections import Counter
 
@@ -6,9 +7,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from parcelwise.llm import common, line_dedup, mixing, sharding, suffix_dedup
 from parcelwise.llm.language_id import identify, learn, make_filter
 from parcelwise.llm.line_dedup import LineIndex, drop_common_lines
-from parcelwise.llm.sharding import minimax_cuts
+from parcelwise.llm.mixing import mix, take_mix
+from parcelwise.llm.near_dup import keep_one_of_each
+from parcelwise.llm.sharding import minimax_cuts, place_in_shards, shard
 from parcelwise.llm.token_frames import read_tokens, word_table_is_exact, write_tokens
 from parcelwise.llm.toxicity import _sampled, fit
 from test_llm_text_ops import VOCABULARY
@@ -159,3 +163,97 @@ def test_a_hot_id_is_no_block_of_the_mix(spark, texts):
     assert sum(r.n for r in rows) == 27000
     count = lambda f: Counter(map(tuple, f.groupBy("doc_id", "k2", "copies").count().collect()))
     assert count(one) == count(again)
+
+
+def _repeated_third(spark):
+    """300 rows of which 100 are one row and 60 another one without id or text."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(140)]
+    rows = [(i, t, "ab"[i % 2]) for i, t in enumerate(texts)] + [(7, texts[7], "b")] * 99 + [(None, None, None)] * 61
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+
+
+def _few_equal_rows(monkeypatch, most):
+    for module in (common, mixing, sharding):
+        monkeypatch.setattr(module, "EQUAL_ROWS", most)
+
+
+@pytest.mark.parametrize("most", [7, 10_000])
+def test_repeated_rows_are_dealt_out_and_kept_whole(spark, monkeypatch, most):
+    _few_equal_rows(monkeypatch, most)
+    rows, docs = _repeated_third(spark)
+    kept = Counter(map(tuple, keep_one_of_each(docs).collect()))
+    assert kept == Counter({r: 61 if r[1] is None else 1 for r in rows})
+    wanted = Counter()
+    for r in mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("n")).collect():
+        wanted[r.doc_id] = r.n
+    taken = Counter(r.doc_id for r in take_mix(docs).collect())
+    assert taken == +wanted
+    for placed in (place_in_shards(docs, 4), shard(docs, 4)):
+        got = placed.collect()
+        assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+        slots = {s: sorted(r.slot for r in got if r.shard == s) for s in {r.shard for r in got}}
+        assert all(v == list(range(len(v))) for v in slots.values())
+
+
+def test_no_task_holds_more_equal_rows_than_its_share(spark, monkeypatch):
+    _few_equal_rows(monkeypatch, 10)
+    rows = [(None, "the same text", {"a": 1}, i % 2) for i in range(2000)] + [(1, "other", {"a": 2}, 0), (1, "other", {"a": 3}, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,int>, number int")
+    key = common.whole_row_key(docs)
+    many = common.repeated_keys(docs.select(*key))
+    assert sorted(r["rows"] for r in many.collect()) == [1000, 1000]
+    rest, hot = common.split_repeats(docs, key, many, ["k1", "k2", "i", "rows"])
+    assert sorted(r.more["a"] for r in rest.collect()) == [2, 3]
+    tasks = Counter(r.p for r in hot.select(F.spark_partition_id().alias("p")).collect())
+    assert sum(tasks.values()) == 2000 and len(tasks) > 1 and max(tasks.values()) <= 800
+    assert Counter((r.number, r.i) for r in hot.collect()) == Counter((n, i) for n in (0, 1) for i in range(1000))
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 161, 170])
+def test_long_periodic_texts_have_few_runs(spark, period):
+    """Runs of a periodic text do not grow with it byte for byte, and every repeated window goes, within one text too."""
+    random = np.random.RandomState(period)
+    unit = bytes(random.randint(97, 123, period).astype(np.uint8))
+    long = (unit * (60_000 // period + 1))[:60_000]
+    starts = suffix_dedup._runs(np.frombuffer(long, np.uint8), np.array([0, len(long)]), 200)[1]
+    assert len(starts) <= 2 * (len(long) // suffix_dedup.RUN + 1) if period <= 161 else len(starts) <= 4 * len(long) // period
+    noise = bytes(random.randint(32, 127, 400).astype(np.uint8))
+    texts = [long, noise + long[:9000] + noise[:150], noise[:250], (unit * 260)[:250], bytes(random.randint(32, 127, 300).astype(np.uint8))]
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs).collect()}
+    seen = Counter(t[i:i + 200] for t in texts for i in range(len(t) - 199))
+    for d, t in enumerate(texts):
+        cover = np.zeros(len(t) + 1, np.int64)
+        for i in range(len(t) - 199):
+            if seen[t[i:i + 200]] > 1:
+                cover[i] += 1
+                cover[i + 200 if i + 200 <= len(t) else len(t)] -= 1
+        gone = np.cumsum(cover)[:len(t)] > 0
+        spans = int(np.sum(np.diff(gone.astype(np.int8), prepend=0) == 1))
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        assert got[d] == (int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()), (period, d)
+
+
+def test_one_short_text_that_repeats_itself(spark):
+    """Fewer windows than an anchor's reach, all equal, in a text of which there is one."""
+    docs = spark.createDataFrame([(1, "a" * 250), (2, "b" * 200)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == {1: (250, 1), 2: (0, 0)}
+
+
+def test_shards_of_lines_follow_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_LINES", 5)
+    first = spark.createDataFrame([(i, f"own {i}\nboth {i % 3}\nown {i} too") for i in range(40)], "doc_id long, text string")
+    second = spark.createDataFrame([(100 + i, f"later {i}\n\nboth {i % 40}") for i in range(400)], "doc_id long, text string")
+    index = LineIndex.build(first)
+    assert index.shards == 40 * 3 // 5 and index.table.count() > 8
+    grown = index.insert(second)
+    assert grown.shards > 2 * index.shards
+    assert max(len(r.digests) for r in grown.table.collect()) // 16 <= 40
+    whole = LineIndex.build(first.unionByName(second), shards=3)
+    counts = lambda x: {r.digests[16 * i:16 * i + 16]: n for r in x.table.collect()
+                        for i, n in enumerate(np.frombuffer(r.counts, "<i8").tolist())}
+    assert counts(grown) == counts(whole)
+    dropped = lambda docs, x: {r.doc_id: (r.n_dropped, r.kept) for r in drop_common_lines(docs, x).collect()}
+    assert dropped(first, grown) == dropped(first, whole)
+    assert counts(grown.delete(second)) == counts(index)
