@@ -5,14 +5,17 @@ neighbours of a layer lie in that layer, the one before or the next, so a round
 Rounds = distance from the seeds to the farthest reached vertex.  ``component_labels`` gives the same closure in a number of
 rounds that does not grow with the graph's depth.
 
-Directed (``'out'``): path doubling.  Pairs of vertices that are exactly 1, 2, 4, ... steps apart are made by joining each
+Directed (``'out'``): the first ``PLAIN`` steps are taken one at a time.  As long as few vertices are reached they are sent to the
+edges, so a step reads the edges once and shuffles none of them.  A graph that goes on after that is deep, and path doubling
+takes over.  Pairs of vertices that are exactly 1, 2, 4, ... steps apart are made by joining each
 set of pairs with itself, as long as the next set stays within ``GROWTH`` times the edges (counted before it is made).  With the
 sets up to 2^k, one round takes the frontier up to 2^(k+1) - 1 steps on, so a long chain takes few rounds, and a bushy
-graph falls back to single steps.  Reached vertices are kept in layers that are partitioned by vertex (``Reached``): a
-round shuffles what it has just reached, never what was reached before.
+graph falls back to single steps.  Reached vertices that are many or far are kept in layers that are partitioned by vertex
+(``Reached``): a round shuffles what it has just reached, never what was reached before.
 
-Edges, frontiers and pairs follow the data, so each is written as a reliable checkpoint in ``spark.checkpoint.dir`` and a lost
-executor only recomputes one round.  Cycles end because a vertex is only ever added once.
+Edges, frontiers and pairs follow the data, so each is written to ``spark.checkpoint.dir`` (the edges of a directed closure as
+a scratch table, the others as reliable checkpoints) and a lost executor only recomputes one round.  Cycles end because a
+vertex is only ever added once.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from ..session import checkpointed, drop_folder, scratch_path
 
 NODE = "table_name"
 GROWTH = 2     # a set of pairs holds at most so many times as many rows as there are edges
+PLAIN = 8      # steps of a directed closure taken one at a time before pairs are made
+FEW = 100_000  # so many reached vertices, at most, are sent to the edges
 
 
 def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
@@ -49,10 +54,16 @@ def related_closure(edges: DataFrame, seeds: DataFrame, direction: str = "both",
                      F.col("dst").cast("string").alias("_dst"))
     if direction == "both":
         e = e.unionByName(e.select(F.col("_dst").alias("_src"), F.col("_src").alias("_dst")))
-    e = checkpointed(e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct())
+    e = e.where(F.col("_src").isNotNull() & F.col("_dst").isNotNull())
     start = checkpointed(seeds.select(F.col(seeds.columns[0]).cast("string").alias(NODE)).where(F.col(NODE).isNotNull()).distinct())
     if direction == "out":
-        return _directed(e, start)
+        path = scratch_path(e.sparkSession, "edges")
+        try:
+            e.write.parquet(path)
+            return _directed(e.sparkSession.read.schema(e.schema).parquet(path), start)
+        finally:
+            drop_folder(e.sparkSession, path)
+    e = checkpointed(e.distinct())
     # Reached = the union of the checkpointed frontiers.
     layers = [start]
     while True:
@@ -113,18 +124,46 @@ class Reached:
         return self.layers[-1]
 
 
+def _onward(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Where ``pairs`` lead from ``vertices``; may repeat."""
+    return pairs.join(vertices, pairs["_src"] == vertices[NODE]).select(F.col("_dst").alias(NODE))
+
+
+def _near(e: DataFrame, start: DataFrame) -> tuple[list[DataFrame], bool]:
+    """Layers 0, 1, ... up to ``PLAIN`` steps from ``start``, as long as they hold few vertices, and whether those are all.
+
+    The reached vertices are broadcast, so that no step shuffles or sorts edges.
+    """
+    layers, reached = [start], start.count()
+    while len(layers) <= PLAIN and reached <= FEW:
+        step = _onward(e, F.broadcast(layers[-1])).distinct()
+        frontier = checkpointed(step.join(F.broadcast(_union(layers)), NODE, "left_anti"))
+        new = frontier.count()
+        if not new:
+            return layers, True
+        layers.append(frontier)
+        reached += new
+    return layers, False
+
+
 def _directed(e: DataFrame, start: DataFrame) -> DataFrame:
-    powers, reached = _powers(e), Reached(e.sparkSession)
-    frontier = reached.add(start)
+    near, done = _near(e, start)
+    if done:
+        return _union(near)
+    steps, powers, reached = len(near) - 1, [e], Reached(e.sparkSession)
+    reached.add(_union(near))
+    frontier = near[-1]
     while True:
+        if steps == PLAIN:
+            powers = _powers(checkpointed(e.distinct()))
         walk = frontier
         for k, pairs in reversed(list(enumerate(powers))):  # 2^k steps or none, ..., 2 steps or none, 1 step or none
-            step = pairs.join(walk, pairs["_src"] == walk[NODE]).select(F.col("_dst").alias(NODE))
-            walk = step.unionByName(walk).distinct()
+            walk = _onward(pairs, walk).unionByName(walk).distinct()
             walk = checkpointed(walk) if k else walk  # the last one is written as it is added
         frontier = reached.add(walk)
+        steps += 1
         if frontier.isEmpty():
-            return _union([start, *reached.layers[1:-1]])
+            return _union([*near, *reached.layers[1:-1]])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -1,5 +1,7 @@
 """Scope, closure and refresh-set resolution (goldens G6-G8, both modes)."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -288,3 +290,34 @@ def test_selection_from_a_file(spark, tmp_path):
         path.write_text(text)
         with pytest.raises(ValueError):
             read_selection(spark, str(path))
+
+
+@pytest.mark.parametrize("few, plain", [(100_000, 8), (3, 8), (100_000, 1), (0, 0), (0, 3)])
+def test_directed_closure_near_and_far(spark, monkeypatch, few, plain):
+    """Few or many vertices, shallow or deep: each way of walking gives the same vertices, and the edges' scratch table goes."""
+    from parcelwise.operators import closure
+
+    dropped, own = [], closure.drop_folder
+    monkeypatch.setattr(closure, "drop_folder", lambda s, path: dropped.append(path) or own(s, path))
+    monkeypatch.setattr(closure, "FEW", few)
+    monkeypatch.setattr(closure, "PLAIN", plain)
+    edges = _chain(14) * 2 + [("c14", "c9"), ("c2", "c2"), ("c3", None), (None, "c4"), ("far", "c1")] + [("c4", f"leaf{i}") for i in range(5)]
+    seeds = spark.createDataFrame([("c1",), (None,), ("c1",), ("alone",)], "v string")
+    got = closure.related_closure(spark.createDataFrame(edges, "src string, dst string"), seeds, "out")
+    assert sorted(r.table_name for r in got.collect()) == sorted([f"c{i}" for i in range(1, 15)] + [f"leaf{i}" for i in range(5)] + ["alone"])
+    assert any("parcelwise-edges" in path for path in dropped) and not any(os.path.exists(path.removeprefix("file:")) for path in dropped)
+
+
+def test_a_shallow_directed_closure_makes_no_pairs(spark, monkeypatch):
+    """Four steps from one vertex of very many: no pairs, and no frame as large as the edges is checkpointed."""
+    from parcelwise.operators import closure
+
+    sizes, own = [], closure.checkpointed
+    monkeypatch.setattr(closure, "checkpointed", lambda df: sizes.append((out := own(df)).count()) or out)
+    monkeypatch.setattr(closure, "_powers", lambda e, growth=2: pytest.fail("pairs were made"))
+    ids = spark.range(4000)
+    edges = ids.selectExpr("concat('a', id) AS src", "concat('b', id) AS dst") \
+        .unionByName(ids.selectExpr("concat('b', id) AS src", "concat('c', id % 50) AS dst")) \
+        .unionByName(spark.range(50).selectExpr("concat('c', id) AS src", "concat('d', id % 5) AS dst"))
+    got = closure.related_closure(edges, spark.createDataFrame([("a7",)], "v string"), "out")
+    assert sorted(r.table_name for r in got.collect()) == ["a7", "b7", "c7", "d2"] and max(sizes) == 1
