@@ -16,6 +16,7 @@ from __future__ import annotations
 import gc
 import json
 import os
+import re
 import struct
 import sys
 import types
@@ -40,6 +41,8 @@ READ_BYTES = 8 << 20
 #: fixed values of the zstandard seekable format
 SKIPPABLE, SEEK_SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 _TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")  # ASCII punctuation but the apostrophe
+#: words of small letters a-z and those of Latin-1, in UTF-8: normalising leaves them as they are, and each is one piece
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
 MANIFEST = "part int, path string, documents long, tokens long"
 NO_ID = -(1 << 63)
 
@@ -63,18 +66,25 @@ class WordEncoder:
     ``by_word`` is only for tokenizers that lower-case, never join characters across ASCII white space, drop it, and end a
     piece between an ASCII letter or digit and ASCII punctuation that runs to the end of a word.  Then a word's ids do not
     depend on its neighbours: new words are encoded many at a time, with a full stop between them to tell them apart.
-    A word with punctuation behind it is put together from the two.  The word table is bounded and only saves time.
+    A word with punctuation behind it is put together from the two.  Words of small letters skip the tokenizer's normaliser and
+    its split by pattern, which leave them whole, if its file states those (``word_table_is_exact``).  The word table is bounded
+    and only saves time.
     """
 
     def __init__(self, spec: str, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer, self.by_word, self.table = Tokenizer.from_str(spec), by_word, {}
         if by_word:
             (self.stop,) = self.tokenizer.encode(".", add_special_tokens=False).ids
+        self.letters = None
+        if by_word and word_table_is_exact(spec):  # the same model behind a split at white space
+            self.letters = Tokenizer(self.tokenizer.model)
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
@@ -85,19 +95,26 @@ class WordEncoder:
         self._learn(list(set().union(*words).difference(self.table)))
         return [b"".join(map(self.table.__getitem__, w)) for w in words]
 
+    def _learn_joined(self, words: list[bytes], tokenizer) -> None:
+        """Encodes words without full stops, many at a time."""
+        runs = [words[i:i + 128] for i in range(0, len(words), 128)]
+        for run, ids in zip(runs, self._encode([b" . ".join(run).decode("utf-8", "replace") for run in runs], tokenizer), strict=True):
+            stops = np.flatnonzero(ids == self.stop)
+            blob, starts, ends = ids.tobytes(), [0, *(4 * (stops + 1)).tolist()], [*(4 * stops).tolist(), 4 * len(ids)]
+            self.table.update([(w, blob[a:b]) for w, a, b in zip(run, starts, ends, strict=True)])
+
     def _learn(self, new: list[bytes]) -> None:
         # the letter before the punctuation is ASCII: no other one is sure to be a letter still when normalised
         tailed = [(word, core) for word, core in zip(new, map(bytes.rstrip, new, repeat(_TAIL)), strict=True)
                   if core is not word and core[-1:].isalnum() and b"<|" not in word]
         wanted = set(new).difference([word for word, _ in tailed])
         wanted.update([core for _, core in tailed], [word[len(core):] for word, core in tailed])
-        wanted.difference_update(self.table)
+        wanted = wanted.difference(self.table)  # looks its own few words up; difference_update would walk the whole table
+        letters = [w for w in wanted if _LETTERS(w)] if self.letters else []
+        self._learn_joined(letters, self.letters)
+        wanted.difference_update(letters)
         joined = [w for w in wanted if b"." not in w and b"<|" not in w]
-        runs = [joined[i:i + 128] for i in range(0, len(joined), 128)]
-        for run, ids in zip(runs, self._encode([b" . ".join(run).decode("utf-8", "replace") for run in runs]), strict=True):
-            stops = np.flatnonzero(ids == self.stop)
-            blob, starts, ends = ids.tobytes(), [0, *(4 * (stops + 1)).tolist()], [*(4 * stops).tolist(), 4 * len(ids)]
-            self.table.update([(w, blob[a:b]) for w, a, b in zip(run, starts, ends, strict=True)])
+        self._learn_joined(joined, self.tokenizer)
         single = list(wanted.difference(joined))
         found = self._encode([w.decode("utf-8", "replace") for w in single])
         self.table.update((w, x.tobytes()) for w, x in zip(single, found, strict=True))

@@ -1,6 +1,8 @@
 """Token files, line dedup, suffix dedup and decontamination against brute force."""
 import hashlib
+import json
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -81,6 +83,39 @@ def test_capitals_with_marks_are_composed_before_they_are_lower_cased(text):
     assert WordEncoder(spec, True).encode([text.encode()]) == WordEncoder(spec, False).encode([text.encode()])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("abz'ßàöøÿ÷×ÀŸŉªµ \n.,1\u0301\u0308")), max_size=60))
+def test_words_of_small_letters_skip_the_normaliser(text):
+    with open(VOCABULARY, encoding="utf-8") as f:
+        spec = test_words_of_small_letters_skip_the_normaliser.__dict__.setdefault("spec", f.read())
+    whole, words = test_words_of_small_letters_skip_the_normaliser.__dict__.setdefault(
+        "both", (WordEncoder(spec, False), WordEncoder(spec, True)))
+    assert words.letters and not whole.letters
+    assert words.encode([text.encode()]) == whole.encode([text.encode()])
+
+
+def test_other_tokenizer_files_keep_their_normaliser():
+    with open(VOCABULARY, encoding="utf-8") as f:
+        spec = json.loads(f.read())
+    spec["normalizer"]["normalizers"].append({"type": "StripAccents"})
+    assert WordEncoder(json.dumps(spec), True).letters is None
+
+
+def test_a_new_word_does_not_walk_the_word_table():
+    """Learning costs as much behind a large table as behind an empty one."""
+    with open(VOCABULARY, encoding="utf-8") as f:
+        spec = f.read()
+    seconds = []
+    for held in (0, 600_000):
+        encoder = WordEncoder(spec, True)
+        encoder.table = {b"#%d" % i: b"" for i in range(held)}
+        begun = time.process_time()
+        for i in range(300):
+            encoder.encode([b"new%dword" % i])
+        seconds.append(time.process_time() - begun)
+    assert seconds[1] < 4 * seconds[0] + 0.2
+
+
 # --- words ---------------------------------------------------------------------------------------
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(list("aB9 \t\n\x00é日-.x")), max_size=40), min_size=1, max_size=5))
