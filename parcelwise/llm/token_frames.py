@@ -22,10 +22,11 @@ import sys
 import types
 import uuid
 import zlib
-from itertools import repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -38,26 +39,41 @@ from ..session import scratch_path
 LEVEL = 3
 WORD_TABLE = 1_200_000   # words kept; each is held once
 READ_BYTES = 8 << 20
+#: bytes of text encoded at a time: by words, whose distinct ones are looked up once, and by whole texts
+WORDS_BYTES, TEXTS_BYTES = 4 << 20, 1 << 20
 #: fixed values of the zstandard seekable format
 SKIPPABLE, SEEK_SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 _TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")  # ASCII punctuation but the apostrophe
+_ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
 #: words of small letters a-z and those of Latin-1, in UTF-8: normalising leaves them as they are, and each is one piece
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
 MANIFEST = "part int, path string, documents long, tokens long"
 NO_ID = -(1 << 63)
 
 
-def _words(text: bytes) -> list[bytes]:
-    """Words of a text, lower-cased where that cannot change their ids.
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray, pa.DictionaryArray]:
+    """Where each text's words begin in the row of all words, that row, and two pieces of each distinct word: core and tail.
 
-    A special token is written as it is, so texts that may hold one stay.  So do words with other than ASCII characters: a capital
-    and a mark may have no composed character where the small letter has one, and tokenizers compose before they lower-case.
+    Words are lower-cased where that cannot change their ids.  A special token is written as it is, so words that may hold one
+    stay.  So do words with other than ASCII characters: a capital and a mark may have no composed character where the small
+    letter has one, and tokenizers compose before they lower-case.  Bytes that are no UTF-8 pass through.  A tail is punctuation
+    behind an ASCII letter or digit: no other one is sure to be a letter still when normalised.  Most words have an empty tail.
     """
-    if b"<|" in text:
-        return text.split()
-    if text.isascii():
-        return text.lower().split()
-    return [w.lower() if w.isascii() else w for w in text.split()]
+    listed = pc.ascii_split_whitespace(texts.view(pa.large_string()))  # leaves empty words beside white space: they have no ids
+    words = listed.values.dictionary_encode()
+    distinct = words.dictionary
+    special = pc.match_substring(distinct, "<|")
+    distinct = pc.if_else(pc.and_not(pc.string_is_ascii(distinct), special), pc.ascii_lower(distinct), distinct)
+    cores = pc.binary_length(pc.ascii_rtrim(distinct, _TAIL.decode())).to_numpy()
+    _, offsets, held = distinct.buffers()
+    held = held or pa.py_buffer(b"")
+    starts, data = np.frombuffer(offsets, np.int64, len(distinct) + 1), np.frombuffer(held, np.uint8)
+    tailed = (cores > 0) & ~special.to_numpy(zero_copy_only=False)
+    tailed[tailed] = _ALNUM[data[(starts[:-1] + cores)[tailed] - 1]]
+    cuts = np.empty(2 * len(distinct) + 1, np.int64)
+    cuts[::2], cuts[1::2] = starts, np.where(tailed, starts[:-1] + cores, starts[1:])
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * len(distinct), [None, pa.py_buffer(cuts), held])
+    return listed.offsets.to_numpy(), words, pieces.dictionary_encode()
 
 
 class WordEncoder:
@@ -66,9 +82,10 @@ class WordEncoder:
     ``by_word`` is only for tokenizers that lower-case, never join characters across ASCII white space, drop it, and end a
     piece between an ASCII letter or digit and ASCII punctuation that runs to the end of a word.  Then a word's ids do not
     depend on its neighbours: new words are encoded many at a time, with a full stop between them to tell them apart.
-    A word with punctuation behind it is put together from the two.  Words of small letters skip the tokenizer's normaliser and
-    its split by pattern, which leave them whole, if its file states those (``word_table_is_exact``).  The word table is bounded
-    and only saves time.
+    A word with punctuation behind it is put together from the two, which the word table holds apart.  Words of small letters
+    skip the tokenizer's normaliser and its split by pattern, which leave them whole, if its file states those
+    (``word_table_is_exact``); their last tokens tell them apart.  Texts are split and their ids put together by Arrow, so only
+    a call's distinct words are Python objects.  The word table is bounded and only saves time.
     """
 
     def __init__(self, spec: str, by_word: bool):
@@ -82,43 +99,61 @@ class WordEncoder:
             self.letters = Tokenizer(self.tokenizer.model)
             self.letters.pre_tokenizer = pre_tokenizers.Sequence([
                 pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            last = [i for token, i in self.letters.get_vocab().items() if token.endswith("</w>")]
+            self.last = np.zeros(max(last, default=0) + 1, bool)
+            self.last[last] = True
 
     def _encode(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: list[bytes] | pa.Array) -> list[bytes]:
         if not self.by_word:
+            texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
             return [x.tobytes() for x in self._encode([t.decode("utf-8", "replace") for t in texts])]
         if len(self.table) > WORD_TABLE:
             self.table = {}
-        words = [_words(t) for t in texts]
-        self._learn(list(set().union(*words).difference(self.table)))
-        return [b"".join(map(self.table.__getitem__, w)) for w in words]
-
-    def _learn_joined(self, words: list[bytes], tokenizer) -> None:
+        texts = pa.array(texts, pa.large_binary()) if isinstance(texts, list) else texts.cast(pa.large_binary())
+        if not len(texts):
+            return []
+        offsets, words, pieces = _split(texts)
+        keys = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn([w for w in keys if w not in self.table])
+        both = pa.array(list(map(self.table.__getitem__, keys)), pa.large_binary()).take(pieces.indices)
+        starts = np.frombuffer(both.buffers()[1], np.int64)[::2].copy()  # the ids of a core and of its tail stand together
+        distinct = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), both.buffers()[2] or pa.py_buffer(b"")])
+        ids = distinct.take(words.indices)
+        ends, blob = np.frombuffer(ids.buffers()[1], np.int64)[offsets].tolist(), memoryview(ids.buffers()[2] or b"")
+        return [bytes(blob[a:b]) for a, b in pairwise(ends)]
+
+    def _learn_joined(self, words: list[bytes]) -> None:
         """Encodes words without full stops, many at a time."""
         runs = [words[i:i + 128] for i in range(0, len(words), 128)]
-        for run, ids in zip(runs, self._encode([b" . ".join(run).decode("utf-8", "replace") for run in runs], tokenizer), strict=True):
+        for run, ids in zip(runs, self._encode([b" . ".join(run).decode("utf-8", "replace") for run in runs]), strict=True):
             stops = np.flatnonzero(ids == self.stop)
             blob, starts, ends = ids.tobytes(), [0, *(4 * (stops + 1)).tolist()], [*(4 * stops).tolist(), 4 * len(ids)]
             self.table.update([(w, blob[a:b]) for w, a, b in zip(run, starts, ends, strict=True)])
 
+    def _learn_letters(self, words: list[bytes]) -> None:
+        """Encodes words of small letters, many at a time: each is one piece, and only a piece's last token has the suffix."""
+        runs = [words[i:i + 256] for i in range(0, len(words), 256)]
+        for run, ids in zip(runs, self._encode([b" ".join(run).decode() for run in runs], self.letters), strict=True):
+            ends = np.flatnonzero(self.last[ids]) + 1 if len(ids) and ids.max() < len(self.last) else ids[:0]
+            if len(ends) != len(run):  # a letter that the vocabulary lacks
+                self._learn_joined(run)
+                continue
+            blob, ends = ids.tobytes(), (4 * ends).tolist()
+            self.table.update([(w, blob[a:b]) for w, a, b in zip(run, [0, *ends], ends, strict=False)])
+
     def _learn(self, new: list[bytes]) -> None:
-        # the letter before the punctuation is ASCII: no other one is sure to be a letter still when normalised
-        tailed = [(word, core) for word, core in zip(new, map(bytes.rstrip, new, repeat(_TAIL)), strict=True)
-                  if core is not word and core[-1:].isalnum() and b"<|" not in word]
-        wanted = set(new).difference([word for word, _ in tailed])
-        wanted.update([core for _, core in tailed], [word[len(core):] for word, core in tailed])
-        wanted = wanted.difference(self.table)  # looks its own few words up; difference_update would walk the whole table
-        letters = [w for w in wanted if _LETTERS(w)] if self.letters else []
-        self._learn_joined(letters, self.letters)
-        wanted.difference_update(letters)
-        joined = [w for w in wanted if b"." not in w and b"<|" not in w]
-        self._learn_joined(joined, self.tokenizer)
-        single = list(wanted.difference(joined))
+        letters = [w for w in new if _LETTERS(w)] if self.letters else []
+        self._learn_letters(letters)
+        rest = set(new).difference(letters)
+        joined = [w for w in rest if b"." not in w and b"<|" not in w]
+        self._learn_joined(joined)
+        single = list(rest.difference(joined))
         found = self._encode([w.decode("utf-8", "replace") for w in single])
         self.table.update((w, x.tobytes()) for w, x in zip(single, found, strict=True))
-        self.table.update([(word, self.table[core] + self.table[word[len(core):]]) for word, core in tailed])
 
 
 def worker_encoder(spec: str, by_word: bool) -> WordEncoder:
@@ -188,22 +223,31 @@ def _open(uri: str):
     return system, path
 
 
+def _parts(batch: pa.RecordBatch, size: int):
+    """Slices of a batch, each of about ``size`` bytes of text or of one row."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _writer(folder: str, spec, end_id: int, by_word: bool):
     end = struct.pack("<I", end_id)
 
     def run(batches):
         out = None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                if part.num_rows and out is None:
+            for part in _parts(batch, WORDS_BYTES if by_word else TEXTS_BYTES):
+                if out is None:
                     uri = f"{folder}/{uuid.uuid4().hex}.zst"
                     system, path = _open(uri)
                     system.create_dir(path.rpartition("/")[0], recursive=True)
                     sink = system.open_output_stream(path, compression=None)
                     out, encoder = FrameWriter(sink), worker_encoder(spec.value, by_word)
                 gc.disable()  # millions of small values without cycles: searching them for some takes a sixth of the time
-                ids = encoder.encode([t or b"" for t in part.column("text").to_pylist()])
+                ids = encoder.encode(part.column("text").fill_null(b""))
                 gc.enable()
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     out.add(doc_id, x + end)
